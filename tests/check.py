@@ -18,7 +18,7 @@ def main(argv: list[str]) -> int:
     root = argv[0] if argv else "/root/testdata/sf0.01"
     queries, sqls = spine.queries(), spine.oracle_sql()
     keys = [k for k in queries if not argv[1:] or any(k == a or (a.endswith("*") and k.startswith(a[:-1])) for a in argv[1:])]
-    spark = build_session(**{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session(**{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(root), []
     for key in keys:

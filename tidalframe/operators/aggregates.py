@@ -67,7 +67,7 @@ def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.min("v").alias("p0"),
         F.max("v").alias("p100"),
     )
-    distinct = long.groupBy("column_name", "v").agg().groupBy("column_name").agg(F.count("v").alias("n_unique"))
+    distinct = long.distinct().groupBy("column_name").agg(F.count("v").alias("n_unique"))
     quartiles = exact_quantiles(long, ["column_name"], "v", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     return base.join(quartiles, "column_name", "left").join(distinct, "column_name")
 

@@ -49,9 +49,8 @@ def time_folds(df: DataFrame, date: str, assess: int, slices: int, skip: int | N
         first = F.try_element_at(back, F.lit(assess + skip * i))
         last = F.try_element_at(back, F.lit(1 + skip * i))
         role = F.when(F.col(date) < first, TRAIN).when(F.col(date) <= last, TEST)
-        out.append(F.when(role.isNotNull(), F.struct(F.lit(i + 1).alias("slice_id"), role.alias("role"))))
-    rows = F.filter(F.array(*out), lambda s: s.isNotNull())
-    return df.select("*", F.inline(rows))
+        out.append(F.struct(F.lit(i + 1).alias("slice_id"), role.alias("role")))
+    return df.select("*", F.inline(F.array(*out))).where(F.col("role").isNotNull())
 
 
 def training(df: DataFrame) -> DataFrame:
