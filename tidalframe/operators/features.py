@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidalframe.functions import selectors
 from tidalframe.functions.selectors import Selector
-from tidalframe.operators.ordered import edges, exact_quantiles
+from tidalframe.operators.ordered import exact_quantiles, row_index
 
 Apply = Callable[[DataFrame], DataFrame]
 Step = Callable[[DataFrame], Apply]
@@ -153,10 +153,19 @@ def discretize(col: str, bins: int) -> Step:
     return learn
 
 
+# Most levels a category may have to become separate columns.
+WIDEST = 10_000
+
+
 def levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
-    """Sorted distinct values of several category columns, from one pass."""
-    row = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in cols]).first()
-    return {c: list(row[c]) for c in cols}
+    """Sorted distinct values of category columns that are to become columns."""
+    out = {}
+    for c in cols:
+        found = df.select(c).where(F.col(c).isNotNull()).distinct().limit(WIDEST + 1).collect()
+        if len(found) > WIDEST:
+            raise ValueError(f"{c} has over {WIDEST} levels: use the sparse encoder of models.stages")
+        out[c] = sorted(r[0] for r in found)
+    return out
 
 
 def dummies(cols: Selector, one_hot: bool = False) -> Step:
@@ -215,10 +224,5 @@ def recode(col: str | Column, mapping: dict) -> Column:
 
 def level_code(df: DataFrame, col: str, out: str) -> DataFrame:
     """1-based position of a value among its column's sorted distinct values."""
-    known = df.agg(F.sort_array(F.collect_set(col)).alias("v")).scalar()
-    return df.withColumn(out, F.array_position(known, F.col(col)).cast("int"))
-
-
-def bucket_edges(df: DataFrame, col: str, bins: int) -> list[float]:
-    """Approximate break points, one sketch per task."""
-    return edges(df, col, bins)
+    known = row_index(df.select(col).where(F.col(col).isNotNull()).distinct(), col, out)
+    return df.join(known.withColumn(out, F.col(out).cast("int")), col, "left")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -75,10 +75,25 @@ def running_totals(
     )
 
 
+def order_number(col: str, kind: str) -> Column:
+    """A number that never decreases along the column's own order.
+
+    For text it is made of the first six bytes; texts that share them fall into
+    one bucket and are told apart there.
+    """
+    if kind == "date":
+        return F.unix_date(col).cast("double")
+    if kind == "string":
+        head = F.rpad(F.hex(F.substring(F.encode(F.col(col), "UTF-8"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    return F.col(col).cast("double")
+
+
 def row_index(df: DataFrame, order: str, out: str = "row_id") -> DataFrame:
-    """Dense 1..n over a unique numeric (or date) column."""
-    number = F.unix_date(order) if dict(df.dtypes)[order] == "date" else F.col(order)
-    keyed = df.withColumn("_order", number).withColumn("_one", F.lit(1).cast("long"))
+    """Dense 1..n over a unique column."""
+    keyed = df.withColumn("_order", order_number(order, dict(df.dtypes)[order])).withColumn(
+        "_one", F.lit(1).cast("long")
+    )
     bucketed = with_bucket(keyed, "_order", edges(keyed, "_order"))
     ranked = running_totals(bucketed, [], [order], ["_one"])
     return ranked.select((F.col("before__one") + 1).alias(out), *df.columns)
@@ -112,25 +127,55 @@ def exact_quantiles(
     return found.select(*by, *out)
 
 
-def hashed_order(df: DataFrame, key: str | Sequence[str], seed: int, buckets: int = 1024) -> DataFrame:
-    """Add a seeded hash of the key as ``_hash`` and its leading bits as bucket."""
+def hashed(key: str | Sequence[str], seed: int) -> Column:
+    """Seeded hash of a row's key."""
     keys = [key] if isinstance(key, str) else list(key)
-    shift = 64 - (buckets.bit_length() - 1)
-    return df.withColumn("_hash", F.xxhash64(F.lit(seed), *keys)).withColumn(
-        BUCKET, F.shiftright("_hash", shift)
-    )
+    return F.xxhash64(F.lit(seed), *keys)
 
 
-def hashed_rank(
-    df: DataFrame, key: str | Sequence[str], by: Sequence[str], seed: int
-) -> DataFrame:
-    """Add ``_rank`` (0-based, random but reproducible) and ``_size`` per stratum."""
+def hashed_place(key: str | Sequence[str], seed: int) -> Column:
+    """A row's place in a random but reproducible order: its hash, then its key."""
     keys = [key] if isinstance(key, str) else list(key)
-    hashed = hashed_order(df, keys, seed).withColumn("_one", F.lit(1).cast("long"))
-    ranked = running_totals(hashed, by, ["_hash", *keys], ["_one"])
-    return ranked.select(
-        *df.columns, F.col("before__one").alias("_rank"), F.col("total__one").alias("_size")
+    return F.struct(hashed(keys, seed).alias("hash"), *[F.col(k) for k in keys])
+
+
+def hashed_cuts(
+    df: DataFrame,
+    key: str | Sequence[str],
+    by: Sequence[str],
+    quotas: dict[str, Column],
+    seed: int,
+    bits: int = 16,
+) -> DataFrame:
+    """Per stratum, the place of the row at which each quota is filled.
+
+    A quota is an expression of ``_size``, the stratum's row count. Rows are
+    counted per leading bits of their hash; only the rows of the one cell in
+    which a quota is filled are put in order. The result has one row per stratum
+    (by, one place per quota), so applying it to the rows needs no shuffle.
+    """
+    by, cell_of = list(by), F.shiftright(hashed(key, seed), 64 - bits)
+    rows = df.select(*by, cell_of.alias("_cell"), hashed_place(key, seed).alias("_place"))
+    cells = rows.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    stratum = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    earlier = stratum.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    placed = cells.withColumns(
+        {"_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "_size": F.sum("_n").over(stratum)}
+    )
+    wanted = [
+        F.struct(F.lit(name).alias("_quota"), (q.cast("long") - F.col("_before")).alias("_nth")) for name, q in quotas.items()
+    ]
+    filled = placed.select(*[F.col(c).alias(f"_k_{c}") for c in (*by, "_cell")], "_n", F.inline(F.array(*wanted)))
+    filled = filled.where((F.col("_nth") > 0) & (F.col("_nth") <= F.col("_n"))).drop("_n")
+    match = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*by, "_cell")]
+    asked = rows.join(filled, match)
+    order = Window.partitionBy(*by, "_cell", "_quota").orderBy("_place")
+    at = asked.withColumn("_row", F.row_number().over(order)).where("_row = _nth")
+    strata = cells.select(*by).distinct() if by else None
+    found = at.groupBy(*by).agg(
+        *[F.max(F.when(F.col("_quota") == name, F.col("_place"))).alias(name) for name in quotas]
     )
+    return found if strata is None else strata.join(found, by, "left")
 
 
 def top_rows(df: DataFrame, by: Sequence[str], order: Sequence, n: int) -> DataFrame:
@@ -146,9 +191,19 @@ def top_rows(df: DataFrame, by: Sequence[str], order: Sequence, n: int) -> DataF
 def slice_extreme(df: DataFrame, by: Sequence[str], value: str, largest: bool = False) -> DataFrame:
     """Rows holding their group's smallest (or largest) value, ties kept.
 
-    The extreme is a partial aggregate; the rows come back through a semi join
-    on (group, value), which spreads a hot group over its values.
+    Each input partition keeps only its own winners per group, before anything
+    is shuffled; the winners of a hot group stay spread over as many tasks as
+    there were input partitions. The true extreme, a partial aggregate, then
+    picks among them by a semi join on (group, value).
     """
-    pick = F.max if largest else F.min
-    best = df.groupBy(*by).agg(pick(value).alias(value))
-    return df.join(best, [*by, value], "left_semi")
+    by = list(by)
+    order = F.col(value).desc() if largest else F.col(value).asc_nulls_last()
+    local = Window.partitionBy(*by, "_part").orderBy(order)
+    winners = (
+        df.withColumn("_part", F.spark_partition_id())
+        .withColumn("_rank", F.rank().over(local))
+        .where(F.col("_rank") == 1)
+        .drop("_part", "_rank")
+    )
+    best = df.groupBy(*by).agg((F.max if largest else F.min)(value).alias(value))
+    return winners.join(best, [*by, value], "left_semi")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidalframe.functions import dates
-from tidalframe.operators.ordered import hashed_order, hashed_rank
+from tidalframe.operators.ordered import hashed_cuts, hashed_place
 
 TRAIN, TEST = "training", "testing"
 
@@ -61,6 +61,16 @@ def testing(df: DataFrame) -> DataFrame:
     return df.where(F.col("role") == TEST).drop("role")
 
 
+def _with_cuts(df: DataFrame, cuts: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Bring one row of cuts per stratum to the rows (one row in all without strata)."""
+    if not by:
+        one = cuts.select(F.struct(*names).alias("c")).scalar()
+        return df.withColumns({n: one[n] for n in names})
+    renamed = cuts.select(*[F.col(c).alias(f"_k_{c}") for c in by], *names)
+    match = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]
+    return df.join(renamed, match, "left").drop(*[f"_k_{c}" for c in by])
+
+
 def random_split(
     df: DataFrame, key: str | Sequence[str], prop: float, strata: Sequence[str] = (), seed: int = 1
 ) -> DataFrame:
@@ -68,31 +78,45 @@ def random_split(
 
     Rows are ordered by a hash of their key, so a rerun gives the same split.
     """
-    ranked = hashed_rank(df, key, strata, seed)
-    train = F.col("_rank") < F.floor(F.col("_size") * F.lit(prop))
-    return ranked.select(*df.columns, F.when(train, TRAIN).otherwise(TEST).alias("role"))
+    quota = {"_cut": F.floor(F.col("_size") * F.lit(prop))}
+    cuts = hashed_cuts(df, key, strata, quota, seed)
+    train = hashed_place(key, seed) <= F.col("_cut")
+    role = F.when(train, TRAIN).otherwise(TEST).alias("role")
+    return _with_cuts(df, cuts, strata, ["_cut"]).select(*df.columns, role)
 
 
 def folds(
     df: DataFrame, key: str | Sequence[str], v: int, strata: Sequence[str] = (), seed: int = 1
 ) -> DataFrame:
     """Add ``fold`` 0..v-1, as even as possible within every stratum."""
-    ranked = hashed_rank(df, key, strata, seed)
-    return ranked.select(*df.columns, F.pmod("_rank", F.lit(v)).cast("int").alias("fold"))
+    size = F.col("_size")
+    ends, quotas = F.lit(0), {}
+    for f in range(v - 1):
+        ends = ends + F.floor((size - f + v - 1) / v)
+        quotas[f"_cut{f}"] = ends
+    cuts = hashed_cuts(df, key, strata, quotas, seed)
+    place = hashed_place(key, seed)
+    fold = F.lit(0)
+    for name in quotas:
+        fold = fold + F.when(place > F.col(name), 1).otherwise(0)
+    return _with_cuts(df, cuts, strata, list(quotas)).select(*df.columns, fold.alias("fold"))
 
 
 def split_by_id(df: DataFrame, id: str, prop: float, seed: int = 1) -> DataFrame:
-    """Add ``role`` so that round(prop·n) of the distinct ids are training."""
-    ids = hashed_rank(df.select(id).distinct(), id, [], seed)
-    train = F.col("_rank") < F.floor(F.col("_size") * F.lit(prop) + 0.5)
-    roles = ids.select(id, F.when(train, TRAIN).otherwise(TEST).alias("role"))
-    return df.join(roles, id)
+    """Add ``role`` so that round(prop·n) of the distinct ids are training.
+
+    The rows are only compared with one cut place; they are not joined.
+    """
+    quota = {"_cut": F.floor(F.col("_size") * F.lit(prop) + 0.5)}
+    cuts = hashed_cuts(df.select(id).distinct(), id, [], quota, seed)
+    train = hashed_place(id, seed) <= F.col("_cut")
+    role = F.when(train, TRAIN).otherwise(TEST).alias("role")
+    return _with_cuts(df, cuts, [], ["_cut"]).select(*df.columns, role)
 
 
 def sample_rows(df: DataFrame, key: str | Sequence[str], n: int, seed: int = 1) -> DataFrame:
     """A reproducible random sample of ``n`` rows, taken as a distributed top-n."""
-    hashed = hashed_order(df, key, seed)
-    return hashed.orderBy("_hash").limit(n).select(*df.columns)
+    return df.orderBy(hashed_place(key, seed)).limit(n)
 
 
 def plan_summary(df: DataFrame, date: str, by: Sequence[str] = ("role",)) -> DataFrame:

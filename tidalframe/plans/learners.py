@@ -107,15 +107,16 @@ PANEL = Design("value", CALENDAR, ("id",))
 def mod_tweedie(spark: SparkSession, root: str) -> DataFrame:
     """A daily target with many zeros."""
     rows = splits.time_split(nation_days(spark, root), "date", 28)
-    train = cut_lineage(splits.training(rows).withColumn("value", F.col("value") / 1000))
-    model = models.fit(PANEL, models.tweedie(1.5, 0.01), train)
+    train = cut_lineage(splits.training(rows))
+    scaled = Design("value", ("year", "month", "wday"), ("id",), scaled=True)
+    model, unit = models.fit_in_means(scaled, models.tweedie(1.5, 0.01), train)
     scored = models.predict(model, train, ["id", "value"])
     return scored.groupBy("id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(F.col("value") == 0, 1)).alias("n_zero"),
         F.avg("value").alias("mean_actual"),
-        F.avg("prediction").alias("mean_prediction"),
-        F.min("prediction").alias("lowest_prediction"),
+        (F.avg("prediction") * unit).alias("mean_prediction"),
+        (F.min("prediction") * unit).alias("lowest_prediction"),
     )
 
 

@@ -194,7 +194,10 @@ def met_runs(spark: SparkSession, root: str) -> DataFrame:
         )
         run = hit.withColumn("auc", auc.scalar())
         out = run if out is None else out.unionByName(run)
-    return out.withColumn("chosen", F.col("accuracy") == out.agg(F.max("accuracy")).scalar())
+    runs = cut_lineage(out)
+    best = runs.orderBy(F.col("accuracy").desc(), F.col("auc").desc(), "units1", "units2").limit(1)
+    chosen = best.select("units1", "units2", F.lit(True).alias("chosen"))
+    return runs.join(chosen, ["units1", "units2"], "left").fillna({"chosen": False})
 
 
 @query("ens_stack")
