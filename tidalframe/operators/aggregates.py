@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidalframe.functions import dates
-from tidalframe.functions.exact import exact_mean, exact_sum
-from tidalframe.operators.ordered import exact_quantiles
+from tidalframe.functions.exact import exact_sum
+from tidalframe.operators.ordered import counted, quantiles_of_counts
 
 
 def hierarchy(df: DataFrame, levels: dict[str, str], date: str, value: str) -> DataFrame:
@@ -57,19 +57,31 @@ def missing_profile(df: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, nulls, mean, sd, extremes, quartiles and distinct count per numeric column."""
+    """Count, nulls, mean, sd, extremes, quartiles and distinct count per numeric column.
+
+    Everything follows from how often each value of each column occurs.
+    """
     long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in cols], "column_name", "v")
-    base = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(F.when(F.col("v").isNull(), 1)).alias("n_missing"),
-        exact_mean("v").alias("mean"),
-        F.round(F.stddev_samp("v"), 4).alias("sd"),
-        F.min("v").alias("p0"),
-        F.max("v").alias("p100"),
+    counts = counted(long, ["column_name"], "v")
+    known = F.when(F.col("_v").isNotNull(), F.col("n"))
+    total = F.sum(F.col("_v").cast("decimal(18,2)") * F.col("n")).cast("double")
+    base = counts.groupBy("column_name").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("_v").isNull(), F.col("n")).otherwise(0)).alias("n_missing"),
+        F.try_divide(total, F.sum(known)).alias("mean"),
+        F.min("_v").alias("p0"),
+        F.max("_v").alias("p100"),
+        F.count("_v").alias("n_unique"),
+    )
+    gap = F.col("_v") - F.col("mean")
+    spread = (
+        counts.join(base.select("column_name", "mean"), "column_name")
+        .groupBy("column_name")
+        .agg(F.sqrt(F.try_divide(F.sum(gap * gap * F.col("n")), F.sum(known) - 1)).alias("sd"))
     )
-    distinct = long.distinct().groupBy("column_name").agg(F.count("v").alias("n_unique"))
-    quartiles = exact_quantiles(long, ["column_name"], "v", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    return base.join(quartiles, "column_name", "left").join(distinct, "column_name")
+    quartiles = quantiles_of_counts(counts, ["column_name"], {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    out = base.join(spread, "column_name").join(quartiles, "column_name", "left")
+    return out.withColumn("sd", F.round("sd", 4))
 
 
 def series_diagnostics(panel: DataFrame, ids: Sequence[str], date: str) -> DataFrame:
@@ -183,10 +195,13 @@ def seasonal_profile(df: DataFrame, date: str, value: str) -> DataFrame:
         F.year(date).alias("year"),
     )
     long = keyed.unpivot(["_v"], ["weekday", "month", "quarter", "year"], "feature", "level")
-    base = long.groupBy("feature", "level").agg(
-        F.count("_v").alias("n"), F.min("_v").alias("lowest"), F.max("_v").alias("highest")
+    counts = counted(long.withColumnRenamed("_v", "v"), ["feature", "level"], "v")
+    base = counts.groupBy("feature", "level").agg(
+        F.sum(F.when(F.col("_v").isNotNull(), F.col("n")).otherwise(0)).alias("n"),
+        F.min("_v").alias("lowest"),
+        F.max("_v").alias("highest"),
     )
-    box = exact_quantiles(long, ["feature", "level"], "_v", {"q1": 0.25, "med": 0.5, "q3": 0.75})
+    box = quantiles_of_counts(counts, ["feature", "level"], {"q1": 0.25, "med": 0.5, "q3": 0.75})
     return base.join(box, ["feature", "level"])
 
 

@@ -28,6 +28,20 @@ def window_forecast(
     return future.join(window_level(train, ids, date, value, size, stat), list(ids))
 
 
+def window_levels(
+    train: DataFrame, ids: Sequence[str], date: str, value: str, sizes: Sequence[int]
+) -> DataFrame:
+    """Medians of several window sizes from one tail: (ids, size, prediction)."""
+    ids = list(ids)
+    w = Window.partitionBy(*ids).orderBy(F.col(date).desc())
+    tail = train.withColumn("_back", F.row_number().over(w)).where(F.col("_back") <= max(sizes))
+    levels = tail.groupBy(*ids).agg(
+        *[F.percentile(F.when(F.col("_back") <= s, F.col(value)), F.lit(0.5)).alias(f"{s}") for s in sizes]
+    )
+    long = levels.unpivot(ids, [f"{s}" for s in sizes], "size", "prediction")
+    return long.withColumn("size", F.col("size").cast("int"))
+
+
 def steps_ahead(df: DataFrame, ids: Sequence[str], date: str) -> DataFrame:
     """Number the rows of each series 1.. as ``h``."""
     w = Window.partitionBy(*ids).orderBy(date)

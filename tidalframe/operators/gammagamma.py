@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from itertools import product
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,20 +54,36 @@ def score(rows: DataFrame, x: str, z: str, guesses: list[Guess]) -> list[float]:
     return totals
 
 
-def fit(rows: DataFrame, x: str, z: str, rounds: int = 12) -> tuple[float, float, float, float]:
-    """(p, q, gamma, log-likelihood) by a pattern search on the logarithms."""
+def _summit(centre: np.ndarray, width: float, moves: np.ndarray, values: list[float]) -> list[np.ndarray]:
+    """Where a paraboloid through the scored grid peaks, and points short of and past it."""
+    d = (moves - centre) / width
+    cols = [np.ones(len(d)), *d.T, *[d[:, i] * d[:, j] for i in range(3) for j in range(i, 3)]]
+    c = np.linalg.lstsq(np.stack(cols, axis=1), np.array(values), rcond=None)[0]
+    curve = np.zeros((3, 3))
+    for k, (i, j) in enumerate((i, j) for i in range(3) for j in range(i, 3)):
+        curve[i, j] += c[4 + k]
+        curve[j, i] += c[4 + k]
+    if np.linalg.eigvalsh(curve).max() >= 0:
+        return []
+    step = np.clip(np.linalg.solve(curve, -c[1:4]), -8, 8) * width
+    return [centre + f * step for f in (0.5, 1.0, 2.0)]
+
+
+def fit(rows: DataFrame, x: str, z: str, rounds: int = 14) -> tuple[float, float, float, float]:
+    """(p, q, gamma, log-likelihood), searched on the logarithms of the parameters."""
     mean = rows.agg(F.avg(z)).first()[0]
-    best = (math.log(2.0), math.log(3.0), math.log(mean))
-    best_value, width = None, 1.0
+    best, width = np.log([2.0, 3.0, mean]), 1.0
+    best_value, tips = -math.inf, []
+    steps = np.array(list(product((-1, 0, 1), repeat=3)), dtype=float)
     for _ in range(rounds):
-        moves = [tuple(b + width * d for b, d in zip(best, step)) for step in product((-1, 0, 1), repeat=3)]
-        values = score(rows, x, z, [tuple(math.exp(v) for v in m) for m in moves])
-        at = max(range(len(moves)), key=values.__getitem__)
-        if best_value is None or values[at] > best_value + 1e-9:
-            if moves[at] == best:
-                width /= 2
-            best, best_value = moves[at], values[at]
-        else:
+        grid = best + width * steps
+        tried = [*grid, *tips]
+        values = score(rows, x, z, [tuple(float(v) for v in np.exp(t)) for t in tried])
+        tips = _summit(best, width, grid, values[: len(grid)])
+        at = max(range(len(tried)), key=values.__getitem__)
+        if values[at] <= best_value or np.allclose(tried[at], best):
             width /= 2
-    p, q, gamma = (math.exp(v) for v in best)
+        if values[at] > best_value:
+            best, best_value = tried[at], values[at]
+    p, q, gamma = (float(v) for v in np.exp(best))
     return p, q, gamma, best_value

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidalframe.operators.ordered import edges, running_totals, with_bucket
+from tidalframe.session import cut_lineage
 
 
 def _col(x) -> Column:
@@ -72,12 +73,14 @@ def accuracy_table(
 def scored_counts(
     df: DataFrame, truth: str, score: str, event, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Events and non-events per distinct score, ready for a running total."""
+    """Events and non-events per distinct score, written down once and bucketed."""
     hit = F.when(F.col(truth) == F.lit(event), 1).otherwise(0)
-    counts = df.groupBy(*by, F.col(score).alias("score")).agg(
-        F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg")
+    counts = cut_lineage(
+        df.groupBy(*by, F.col(score).alias("score")).agg(
+            F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg")
+        )
     )
-    return with_bucket(counts, "score", edges(df, score))
+    return with_bucket(counts, "score", edges(counts, "score"))
 
 
 def roc_auc(df: DataFrame, truth: str, score: str, event=1, by: Sequence[str] = ()) -> DataFrame:

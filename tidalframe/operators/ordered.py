@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidalframe.session import parallelism
+from tidalframe.session import cut_lineage, parallelism
 
 BUCKET = "_bucket"
 
@@ -31,6 +31,8 @@ def edges(df: DataFrame, col: str, parts: int | None = None) -> list[float]:
 
 def with_bucket(df: DataFrame, col: str, cuts: Sequence[float], out: str = BUCKET) -> DataFrame:
     """Add the order-preserving bucket number of a numeric column."""
+    if not cuts:
+        return df.withColumn(out, F.lit(0.0))
     splits = [-float("inf"), *cuts, float("inf")]
     number = Bucketizer(splits=splits, inputCol="_edge", outputCol=out, handleInvalid="keep")
     return number.transform(df.withColumn("_edge", F.col(col).cast("double"))).drop("_edge")
@@ -99,19 +101,20 @@ def row_index(df: DataFrame, order: str, out: str = "row_id") -> DataFrame:
     return ranked.select((F.col("before__one") + 1).alias(out), *df.columns)
 
 
-def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]
-) -> DataFrame:
-    """Exact interpolated quantiles per group, one output column per entry.
+def counted(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """(by, _v, n): how often each value occurs per group, written down once.
 
-    Equal values are counted together before the first shuffle, so a hot group
-    or a hot value costs one row per task.
+    Equal values meet before the first shuffle, so a hot group or a hot value
+    costs one row per task. Several passes read the counts, hence the checkpoint.
     """
-    by = list(by)
-    kept = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    cuts = edges(kept, "_v")
-    counts = kept.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("n"))
-    placed = running_totals(with_bucket(counts, "_v", cuts), by, ["_v"], ["n"])
+    kept = df.select(*by, F.col(value).cast("double").alias("_v"))
+    return cut_lineage(kept.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("n")))
+
+
+def quantiles_of_counts(counts: DataFrame, by: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """Exact interpolated quantiles per group of a ``counted`` table; nulls are left out."""
+    by, kept = list(by), counts.where(F.col("_v").isNotNull())
+    placed = running_totals(with_bucket(kept, "_v", edges(kept, "_v")), by, ["_v"], ["n"])
     aggs = []
     for name, p in probs.items():
         position = (F.col("total_n") - 1) * F.lit(float(p))
@@ -127,6 +130,13 @@ def exact_quantiles(
     return found.select(*by, *out)
 
 
+def exact_quantiles(
+    df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]
+) -> DataFrame:
+    """Exact interpolated quantiles per group, one output column per entry."""
+    return quantiles_of_counts(counted(df, by, value), by, probs)
+
+
 def hashed(key: str | Sequence[str], seed: int) -> Column:
     """Seeded hash of a row's key."""
     keys = [key] if isinstance(key, str) else list(key)

@@ -50,31 +50,37 @@ def solve(
         ]
     )
 
-    def one(sums, n: int, penalty: float):
-        import numpy as np
-
-        if n <= k:
-            raise ValueError(f"{n} training rows for {k} features")
-        full = np.zeros((k + 1, k + 1))
-        full[np.triu_indices(k + 1)] = np.asarray(sums, dtype=float)
-        x, y = full[:k, :k], full[:k, k]
-        x = x + np.triu(x, 1).T
-        ridge = penalty * n * np.eye(k)
-        ridge[0, 0] = 0.0
-        return np.linalg.solve(x + ridge, y)
+    upper = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
 
     def batches(frames):
+        import numpy as np
         import pandas as pd
 
         for pdf in frames:
-            rows = []
-            for sid, n, sums in zip(pdf[id], pdf["n"], pdf["sums"]):
-                for name, penalty in penalties.items():
-                    try:
-                        rows.append((sid, name, n, list(one(sums, n, penalty)), None))
-                    except Exception as err:  # a series that fails is reported, not raised
-                        rows.append((sid, name, n, None, str(err)))
-            yield pd.DataFrame(rows, columns=[f.name for f in schema])
+            sums = np.array(pdf["sums"].tolist(), dtype=float).reshape(len(pdf), len(upper))
+            full = np.zeros((len(pdf), k + 1, k + 1))
+            for at, (i, j) in enumerate(upper):
+                full[:, i, j] = full[:, j, i] = sums[:, at]
+            x, y, n = full[:, :k, :k], full[:, :k, k], pdf["n"].to_numpy()
+            for name, penalty in penalties.items():
+                ridge = np.eye(k)
+                ridge[0, 0] = 0.0
+                left = x + penalty * n[:, None, None] * ridge
+                solvable = (n > k) & (np.linalg.matrix_rank(left, hermitian=True) == k)
+                beta = np.zeros((len(pdf), k))
+                beta[solvable] = np.linalg.solve(left[solvable], y[solvable][:, :, None])[:, :, 0]
+                errors = np.where(
+                    solvable, None, [f"{v} training rows cannot fit {k} features" for v in n]
+                )
+                yield pd.DataFrame(
+                    {
+                        id: pdf[id],
+                        "model_desc": name,
+                        "n": n,
+                        "coefficients": [list(b) if ok else None for b, ok in zip(beta, solvable)],
+                        "error": errors,
+                    }
+                )
 
     return grams.mapInPandas(batches, schema)
 

@@ -112,8 +112,8 @@ def standardise(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 def clean_series(panel: DataFrame, ids: Sequence[str], date: str, value: str, period: int) -> DataFrame:
     """Replace outliers of a seasonal series by interpolation.
 
-    Trend is a centred mean of one season, the season is the median remainder
-    per position in the year, and what is left may stray three interquartile
+    Trend is a centred median over one season, the season is the median
+    remainder per position in it, and what is left may stray three interquartile
     ranges from the quartiles. Adds ``<value>_clean``.
     """
     ids = list(ids)
@@ -123,7 +123,7 @@ def clean_series(panel: DataFrame, ids: Sequence[str], date: str, value: str, pe
     frame = w.rowsBetween(-half, half)
     steps = panel.select(
         "*",
-        (F.col(value) - exact_mean(value, over=frame)).alias("_detrended"),
+        (F.col(value) - array_median(F.collect_list(value).over(frame))).alias("_detrended"),
         F.pmod(F.row_number().over(w) - 1, F.lit(period)).alias("_slot"),
     )
     seasonal = steps.withColumn("_season", F.percentile("_detrended", F.lit(0.5)).over(slot))

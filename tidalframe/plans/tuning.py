@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,14 +71,9 @@ def window_errors(sizes: list[int], folded: DataFrame, slice_id: int) -> DataFra
     """rmse of each window size on one backtest slice."""
     rows = folded.where(F.col("slice_id") == slice_id)
     train, test = splits.training(rows), splits.testing(rows)
-    parts_ = [
-        baselines.window_forecast(train, test.withColumnRenamed("value", "actual"), ["id"], "date", "value", s).select(
-            F.lit(s).alias("candidate"), "actual", "prediction"
-        )
-        for s in sizes
-    ]
-    scored = reduce(DataFrame.unionByName, parts_)
-    return scored.groupBy("candidate").agg(metrics.rmse("actual", "prediction").alias("metric"))
+    levels = baselines.window_levels(train, ["id"], "date", "value", sizes)
+    scored = test.withColumnRenamed("value", "actual").join(levels, "id")
+    return scored.groupBy(F.col("size").alias("candidate")).agg(metrics.rmse("actual", "prediction").alias("metric"))
 
 
 SLICED = f"""{MONTHLY}, days AS (SELECT date, row_number() OVER (ORDER BY date DESC) AS b FROM (SELECT DISTINCT date FROM monthly)),
@@ -134,17 +127,10 @@ def window_accuracy(spark: SparkSession, root: str) -> DataFrame:
     All sizes are taken from one tail of twelve rows, in one aggregation.
     """
     split = splits.time_split(monthly_panel(spark, root), "date", 6)
-    from pyspark.sql import Window
-
-    back = Window.partitionBy("id").orderBy(F.col("date").desc())
-    tail = splits.training(split).withColumn("_r", F.row_number().over(back)).where(F.col("_r") <= max(SIZES))
-    levels = tail.groupBy("id").agg(
-        *[F.percentile(F.when(F.col("_r") <= s, F.col("value")), F.lit(0.5)).alias(str(s)) for s in SIZES]
-    )
-    long = shape.longer(levels, ["id"], [str(s) for s in SIZES], "model_id", "prediction")
-    scored = splits.testing(split).withColumnRenamed("value", "actual").join(long, "id")
+    levels = baselines.window_levels(splits.training(split), ["id"], "date", "value", SIZES)
+    scored = splits.testing(split).withColumnRenamed("value", "actual").join(levels, "id")
     return metrics.accuracy_table(
-        scored.withColumn("model_id", F.col("model_id").cast("int")), ["model_id"], "date", series=["id"]
+        scored.withColumnRenamed("size", "model_id"), ["model_id"], "date", series=["id"]
     )
 
 

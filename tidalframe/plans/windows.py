@@ -115,7 +115,7 @@ def win_panel_tail(spark: SparkSession, root: str) -> DataFrame:
 CLEAN_SQL = f"""{MONTHLY}, spiked AS (
   SELECT id, date, CASE WHEN month(date) = 7 AND year(date) = 1998 THEN value * 9 ELSE value END AS value FROM monthly),
 t1 AS (SELECT id, date, value, row_number() OVER (PARTITION BY id ORDER BY date) AS n,
-    value - CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER f AS DOUBLE) / count(value) OVER f AS d
+    value - quantile_cont(value, 0.5) OVER f AS d
   FROM spiked WINDOW f AS (PARTITION BY id ORDER BY date ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)),
 t2 AS (SELECT *, d - quantile_cont(d, 0.5) OVER (PARTITION BY id, (n - 1) % 12) AS r FROM t1),
 t3 AS (SELECT *, quantile_cont(r, 0.25) OVER (PARTITION BY id) AS q1, quantile_cont(r, 0.75) OVER (PARTITION BY id) AS q3 FROM t2),
