@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidalframe.operators.ordered import BUCKET, edges, running_totals, top_rows, with_bucket
+from tidalframe.session import cut_lineage
 
 
 def _subsets(cols: Sequence[str]) -> list[tuple[str, ...]]:
@@ -74,13 +75,16 @@ def impute_knn(
     """Fill nulls of ``target`` by the mean of its k nearest donors.
 
     Ties in distance go to the smaller key. Rows of one profile share their
-    neighbours, so the search runs once per distinct profile.
+    neighbours, so the search runs once per distinct profile; and of the donors
+    of one profile only the k smallest keys can ever be chosen, so the search
+    runs over those.
     """
     cats = list(cats)
     profile = [number, *cats]
-    donors = df.where(F.col(target).isNotNull()).select(key, target, *profile)
-    wanted = df.where(F.col(target).isNull()).select(*profile).distinct()
-    cuts = edges(df, number)
+    known = df.where(F.col(target).isNotNull()).select(key, target, *profile)
+    donors = cut_lineage(top_rows(known, profile, [F.col(key)], k))
+    wanted = cut_lineage(df.where(F.col(target).isNull()).select(*profile).distinct())
+    cuts = edges(donors.select(number).distinct(), number)
     reach = df.agg((F.max(number) - F.min(number)).cast("double")).scalar()
     found = None
     for agree in _subsets(cats):

@@ -112,22 +112,50 @@ def counted(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 
 def quantiles_of_counts(counts: DataFrame, by: Sequence[str], probs: dict[str, float]) -> DataFrame:
-    """Exact interpolated quantiles per group of a ``counted`` table; nulls are left out."""
-    by, kept = list(by), counts.where(F.col("_v").isNotNull())
-    placed = running_totals(with_bucket(kept, "_v", edges(kept, "_v")), by, ["_v"], ["n"])
-    aggs = []
+    """Exact interpolated quantiles per group of a ``counted`` table; nulls are left out.
+
+    Bucket totals tell which bucket holds each wanted position. Only the rows of
+    those buckets are put in order.
+    """
+    by, known = list(by), counts.where(F.col("_v").isNotNull())
+    rows = with_bucket(known, "_v", edges(known, "_v"))
+    cell = [*by, BUCKET]
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    earlier = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    cells = rows.groupBy(*cell).agg(F.sum("n").alias("_in_cell")).withColumns(
+        {"_before": F.coalesce(F.sum("_in_cell").over(earlier), F.lit(0)), "_size": F.sum("_in_cell").over(group)}
+    )
+    wanted = []
     for name, p in probs.items():
-        position = (F.col("total_n") - 1) * F.lit(float(p))
+        position = (F.col("_size") - 1) * F.lit(float(p))
         for side, at in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            hit = (F.col("before_n") <= at) & (at < F.col("before_n") + F.col("n"))
-            aggs.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{side}_{name}"))
-    found = placed.groupBy(*by).agg(F.max("total_n").alias("_n"), *aggs)
+            wanted.append(
+                F.struct(
+                    F.lit(f"{side}_{name}").alias("what"),
+                    (at - F.col("_before")).alias("at"),
+                    (position - F.floor(position)).alias("part"),
+                )
+            )
+    inside = lambda w: (w["at"] >= 0) & (w["at"] < F.col("_in_cell"))
+    asked = cells.withColumn("_asked", F.filter(F.array(*wanted), inside)).where(F.size("_asked") > 0)
+    asked = asked.select(*[F.col(c).alias(f"_k_{c}") for c in cell], "_asked")
+    match = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cell]
+    in_cell = Window.partitionBy(*cell).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.join(asked, match).withColumn("_start", F.coalesce(F.sum("n").over(in_cell), F.lit(0)))
+    hit = (F.col("at") >= F.col("_start")) & (F.col("at") < F.col("_start") + F.col("n"))
+    found = placed.select(*by, "_v", "n", "_start", F.inline("_asked")).where(hit)
+    ends = found.groupBy(*by).agg(
+        *[
+            F.max(F.when(F.col("what") == f"{side}_{name}", F.col(col))).alias(f"_{side}_{name}_{col}")
+            for name in probs
+            for side, col in (("lo", "_v"), ("hi", "_v"), ("lo", "part"))
+        ]
+    )
     out = []
-    for name, p in probs.items():
-        position = (F.col("_n") - 1) * F.lit(float(p))
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((low + (high - low) * (position - F.floor(position))).alias(name))
-    return found.select(*by, *out)
+    for name in probs:
+        low, high, part = (F.col(f"_{x}_{name}_{c}") for x, c in (("lo", "_v"), ("hi", "_v"), ("lo", "part")))
+        out.append((low + (high - low) * part).alias(name))
+    return ends.select(*by, *out)
 
 
 def exact_quantiles(

@@ -11,6 +11,7 @@ from tidalframe.plans.inputs import (
     LOG,
     MONTHLY,
     daily_panel,
+    kept,
     labelled,
     monthly_panel,
     transactions,
@@ -27,7 +28,7 @@ from tidalframe.sources.tables import table
 )
 def cal_pad(spark: SparkSession, root: str) -> DataFrame:
     """Days without an order are added with value 0."""
-    return calendar.pad(daily_panel(spark, root), ["id"], "date", "day", 0.0)
+    return calendar.pad(kept(daily_panel(spark, root)), ["id"], "date", "day", 0.0)
 
 
 @query(
@@ -40,7 +41,7 @@ UNION ALL SELECT id, CAST(last_date + to_months(CAST(h AS INT)) AS DATE), NULL F
 )
 def cal_future(spark: SparkSession, root: str) -> DataFrame:
     """24 future months after each series' own end; the step is found from the data."""
-    return calendar.with_future(monthly_panel(spark, root), ["id"], "date", 24)
+    return calendar.with_future(kept(monthly_panel(spark, root)), ["id"], "date", 24)
 
 
 SPLIT = f"""{DAILY}, cut AS (SELECT min(date) AS cut FROM (SELECT DISTINCT date FROM daily ORDER BY date DESC LIMIT 28))"""
@@ -56,7 +57,7 @@ SELECT '3 months', id, date, CASE WHEN date > (SELECT CAST(max(date) - INTERVAL
 )
 def cal_split(spark: SparkSession, root: str) -> DataFrame:
     """Hold out the last 28 dates of the whole panel, or its last three months."""
-    panel = daily_panel(spark, root).select("id", "date")
+    panel = kept(daily_panel(spark, root).select("id", "date"))
     one = splits.time_split(panel, "date", 28).select(F.lit("last 28 dates").alias("rule"), "*")
     return one.unionByName(splits.time_split(panel, "date", "3 months").select(F.lit("3 months").alias("rule"), "*"))
 
@@ -73,7 +74,7 @@ cv AS (SELECT id, date, value, slice_id, CASE WHEN date < a THEN 'training' ELSE
 @query("cal_cv", f"WITH {CV} SELECT id, date, value, slice_id, role FROM cv")
 def cal_cv(spark: SparkSession, root: str) -> DataFrame:
     """Three expanding backtest slices of six months each."""
-    return splits.time_folds(monthly_panel(spark, root), "date", 6, SLICES)
+    return splits.time_folds(kept(monthly_panel(spark, root)), "date", 6, SLICES)
 
 
 @query(
@@ -81,7 +82,7 @@ def cal_cv(spark: SparkSession, root: str) -> DataFrame:
     f"""WITH {CV} SELECT slice_id, role, count(*) AS n, min(date) AS "start", max(date) AS "end" FROM cv GROUP BY 1, 2""",
 )
 def cal_cv_plan(spark: SparkSession, root: str) -> DataFrame:
-    folded = splits.time_folds(monthly_panel(spark, root), "date", 6, SLICES)
+    folded = splits.time_folds(kept(monthly_panel(spark, root)), "date", 6, SLICES)
     return splits.plan_summary(folded, "date", ["slice_id", "role"])
 
 
@@ -92,7 +93,7 @@ def cal_cv_plan(spark: SparkSession, root: str) -> DataFrame:
 )
 def cal_roles(spark: SparkSession, root: str) -> DataFrame:
     """Both halves of a split, with the dates at its edge."""
-    split = splits.time_split(daily_panel(spark, root), "date", 28)
+    split = splits.time_split(kept(daily_panel(spark, root)), "date", 28)
     train = splits.training(split).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("date").alias("edge"))
     test = splits.testing(split).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("edge"))
     return train.select(F.lit("training").alias("role"), "*").unionByName(
@@ -108,7 +109,7 @@ def cal_roles(spark: SparkSession, root: str) -> DataFrame:
 )
 def spl_initial(spark: SparkSession, root: str) -> DataFrame:
     """A stratified 80 % split: every class keeps its share, every row has one role."""
-    split = splits.random_split(labelled(spark, root), "doc_id", 0.8, ["quality"])
+    split = splits.random_split(kept(labelled(spark, root)), "doc_id", 0.8, ["quality"])
     return split.groupBy("quality").agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(F.col("role") == "training", 1)).alias("n_training"),
@@ -174,7 +175,7 @@ ends AS (SELECT id, max(date) AS last_date FROM daily GROUP BY 1)"""
 )
 def nst_nest(spark: SparkSession, root: str) -> DataFrame:
     """One row per series holding its actual and its future points."""
-    rows = nested.nest(daily_panel(spark, root), "id", "date", "value", 90)
+    rows = nested.nest(kept(daily_panel(spark, root)), "id", "date", "value", 90)
     return rows.select(
         "id",
         F.size("actual").alias("n_actual"),
@@ -193,7 +194,7 @@ def nst_nest(spark: SparkSession, root: str) -> DataFrame:
 )
 def nst_split(spark: SparkSession, root: str) -> DataFrame:
     """The last 90 points of each nested series are its test part."""
-    cut = nested.split_last(nested.nest(daily_panel(spark, root), "id", "date", "value", 90), 90)
+    cut = nested.split_last(nested.nest(kept(daily_panel(spark, root)), "id", "date", "value", 90), 90)
     parts = [nested.unnest(cut, "id", p).withColumn("part", F.lit(p)) for p in ("train", "test")]
     return parts[0].unionByName(parts[1])
 
@@ -205,7 +206,7 @@ def nst_split(spark: SparkSession, root: str) -> DataFrame:
 )
 def nst_extract(spark: SparkSession, root: str) -> DataFrame:
     """The nested parts as long rows again."""
-    rows = nested.nest(daily_panel(spark, root), "id", "date", "value", 90)
+    rows = nested.nest(kept(daily_panel(spark, root)), "id", "date", "value", 90)
     parts = [nested.unnest(rows, "id", p).withColumn("part", F.lit(p)) for p in ("actual", "future")]
     return parts[0].unionByName(parts[1])
 
@@ -230,7 +231,7 @@ def customer_days(spark: SparkSession, root: str) -> DataFrame:
 )
 def nst_short(spark: SparkSession, root: str) -> DataFrame:
     """Customers with few purchase days get a shorter test part instead of none."""
-    tiered = nested.length_tier(customer_days(spark, root), "id", 9, 3)
+    tiered = nested.length_tier(kept(customer_days(spark, root)), "id", 9, 3)
     return nested.split_by_tier(tiered, "id", "date").select("id", "date", "value", "test_length", "role")
 
 
@@ -240,5 +241,5 @@ def nst_short(spark: SparkSession, root: str) -> DataFrame:
 )
 def nst_errors(spark: SparkSession, root: str) -> DataFrame:
     """Series too short to be split are reported, the rest goes on."""
-    rows = nested.nest(customer_days(spark, root), "id", "date", "value", 9)
+    rows = nested.nest(kept(customer_days(spark, root)), "id", "date", "value", 9)
     return nested.error_report(nested.split_last(rows, 9), "id")

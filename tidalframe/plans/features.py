@@ -9,7 +9,7 @@ from tidalframe.functions import dates
 from tidalframe.functions import selectors as sel
 from tidalframe.operators import aggregates, calendar, features, impute, windows
 from tidalframe.operators.features import Roles, Steps
-from tidalframe.plans.inputs import UNKNOWN, order_days, parts, unknown_prices
+from tidalframe.plans.inputs import UNKNOWN, kept, order_days, parts, unknown_prices
 from tidalframe.plans.registry import query
 from tidalframe.plans.scalars import SIGNATURE
 from tidalframe.sources.tables import table
@@ -208,9 +208,9 @@ def hier_features(spark: SparkSession, root: str) -> DataFrame:
     nations = table(spark, root, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     regions = table(spark, root, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     rows = order_days(spark, root).join(customers, "o_custkey").join(nations, "c_nationkey").join(regions, "n_regionkey")
-    levels = aggregates.hierarchy(rows, {"region": "r_name", "segment": "c_mktsegment"}, "date", "spend")
+    levels = kept(aggregates.hierarchy(rows, {"region": "r_name", "segment": "c_mktsegment"}, "date", "spend"))
     ids = ["category", "identifier"]
-    padded = calendar.pad(levels, ids, "date", "day", 0.0)
+    padded = kept(calendar.pad(levels, ids, "date", "day", 0.0))
     extended = calendar.with_future(padded, ids, "date", HORIZON, "day")
     lagged = windows.add_lags(extended, ids, "date", "value", [HORIZON])
     return windows.add_rolling_mean(lagged, ids, "date", f"value_lag{HORIZON}", [7, 14, 28, 56])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidalframe.functions import dates
 from tidalframe.operators import calendar, joins, ordered
-from tidalframe.plans.inputs import DAILY, LOG, UNKNOWN, daily_panel, transactions, unknown_prices
+from tidalframe.plans.inputs import DAILY, LOG, UNKNOWN, daily_panel, kept, transactions, unknown_prices
 from tidalframe.plans.flagship import BY_SERIES, holdout_predictions
 from tidalframe.operators import metrics
 from tidalframe.plans.registry import query
@@ -72,7 +72,7 @@ WHERE date >= CAST(e - INTERVAL 3 MONTH AS DATE)""",
 )
 def flt_time(spark: SparkSession, root: str) -> DataFrame:
     """Partial dates as bounds, and the last three months of each series."""
-    panel = daily_panel(spark, root)
+    panel = kept(daily_panel(spark, root))
     bounds = calendar.filter_by_time(panel, "date", "1997-01", "1997-03")
     last = calendar.last_period(panel, ["id"], "date", "3 months")
     cols = ["id", "date", "value"]

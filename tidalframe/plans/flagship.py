@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalframe.operators import baselines, forecasts, metrics, splits
-from tidalframe.plans.inputs import MONTHLY, monthly_panel
+from tidalframe.plans.inputs import MONTHLY, kept, monthly_panel
 from tidalframe.plans.registry import query
 
 HORIZON, WINDOW, SEASON = 6, 6, 12
@@ -14,7 +14,7 @@ HORIZON, WINDOW, SEASON = 6, 6, 12
 
 def holdout_predictions(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """The monthly panel and both baselines' predictions of its last months."""
-    panel = monthly_panel(spark, root)
+    panel = kept(monthly_panel(spark, root))
     split = splits.time_split(panel, "date", HORIZON)
     train = splits.training(split)
     test = baselines.steps_ahead(splits.testing(split), ["id"], "date").withColumnRenamed("value", "actual")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidalframe.operators import baselines, calendar, forecasts, metrics, recursive, temporal
 from tidalframe.plans.flagship import BY_SERIES, HOLDOUT, METRICS_SQL, REACH, holdout_predictions
-from tidalframe.plans.inputs import MONTHLY, monthly_panel, nation_monthly
+from tidalframe.plans.inputs import MONTHLY, kept, monthly_panel, nation_monthly
 from tidalframe.plans.registry import query
 
 BACK = f"""{MONTHLY}, back AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY date DESC) AS r FROM monthly),
@@ -25,7 +25,7 @@ UNION ALL SELECT a.id, a.date, a.h, 'mean', mean FROM ahead a JOIN level USING (
 )
 def bas_window(spark: SparkSession, root: str) -> DataFrame:
     """The last ten months' median and mean, held for two years."""
-    panel = monthly_panel(spark, root)
+    panel = kept(monthly_panel(spark, root))
     future = calendar.future_rows(panel, ["id"], "date", 24, "month")
     out = []
     for stat, digits in (("median", 4), ("mean", 5)):
@@ -40,7 +40,7 @@ def bas_window(spark: SparkSession, root: str) -> DataFrame:
         LEFT JOIN back b ON b.id = a.id AND b.r = 12 - (a.h - 1) % 12""",
 )
 def bas_snaive(spark: SparkSession, root: str) -> DataFrame:
-    panel = monthly_panel(spark, root)
+    panel = kept(monthly_panel(spark, root))
     future = calendar.future_rows(panel, ["id"], "date", 24, "month")
     return baselines.seasonal_naive(panel, future, ["id"], "date", "value", 12).select("id", "date", "h", "prediction")
 
@@ -142,5 +142,5 @@ def mod_recursive(spark: SparkSession, root: str) -> DataFrame:
 @query("mod_temporal_hier")
 def mod_temporal_hier(spark: SparkSession, root: str) -> DataFrame:
     """Next year of every nation, reconciled over six period lengths."""
-    nodes = temporal.node_forecasts(nation_monthly(spark, root), ["id"], "date", "value", 12, 3)
+    nodes = temporal.node_forecasts(kept(nation_monthly(spark, root)), ["id"], "date", "value", 12, 3)
     return temporal.reconcile(nodes, ["id"], 12)

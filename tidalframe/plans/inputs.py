@@ -1,7 +1,8 @@
 """Inputs shared by the registered queries, with the SQL that says the same.
 
 Every panel is added up to one row per series and date before anything else
-happens to it.
+happens to it. A query that reads its panel more than once takes it through
+``kept``, so that the raw tables are scanned and shuffled once.
 """
 
 from __future__ import annotations
@@ -10,9 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalframe.functions.exact import decimal, exact_mean, exact_sum
+from tidalframe.session import cut_lineage
 from tidalframe.sources.tables import table
 
 
+def kept(panel: DataFrame) -> DataFrame:
+    """A panel written down: small beside the raw rows it was added up from."""
+    return cut_lineage(panel)
+
+
 def order_days(spark: SparkSession, root: str) -> DataFrame:
     """Spend per customer and day: a busy customer is at most one row per day."""
     orders = table(spark, root, "orders").select(

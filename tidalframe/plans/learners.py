@@ -24,7 +24,7 @@ from tidalframe.operators.models import Design
 from tidalframe.plans.aggregates import returns_wide
 from tidalframe.plans.calendar import customer_days
 from tidalframe.plans.customers import rfm_table
-from tidalframe.plans.inputs import SYMBOLS, daily_panel, labelled, nation_monthly, order_days, parts
+from tidalframe.plans.inputs import SYMBOLS, kept, labelled, nation_monthly, order_days
 from tidalframe.plans.registry import query
 from tidalframe.session import cut_lineage, scratch
 from tidalframe.sources.tables import table
@@ -60,7 +60,7 @@ def judged_fit(model, rows: DataFrame, target: str) -> DataFrame:
 @query("mod_workflow")
 def mod_workflow(spark: SparkSession, root: str) -> DataFrame:
     """Features and model fitted together; class and probability for held-out customers."""
-    rows = cut_lineage(splits.split_by_id(rfm_table(spark, root), "customer_id", 0.8))
+    rows = cut_lineage(splits.split_by_id(kept(rfm_table(spark, root)), "customer_id", 0.8))
     model = models.fit(FLAG, models.logistic(), splits.training(rows))
     return models.predict(model, splits.testing(rows), ["customer_id", "spend_90_flag"])
 
@@ -75,7 +75,7 @@ def mod_gbt(spark: SparkSession, root: str) -> DataFrame:
 @query("mod_gbt_class")
 def mod_gbt_class(spark: SparkSession, root: str) -> DataFrame:
     """Boosted classification; a learn rate of 2 is taken as 1."""
-    rows = cut_lineage(splits.split_by_id(rfm_table(spark, root), "customer_id", 0.8))
+    rows = cut_lineage(splits.split_by_id(kept(rfm_table(spark, root)), "customer_id", 0.8))
     learner = models.boosted("classification", trees=10, learn_rate=2.0, depth=3)
     model = models.fit(FLAG, learner, splits.training(rows))
     scored = models.predict(model, rows, ["role", "spend_90_flag"])
@@ -93,7 +93,7 @@ def nation_days(spark: SparkSession, root: str) -> DataFrame:
         .groupBy("id", "date")
         .agg(F.sum("spend").cast("double").alias("value"))
     )
-    padded = calendar.pad(days, ["id"], "date", "day", 0.0)
+    padded = calendar.pad(kept(days), ["id"], "date", "day", 0.0)
     wanted = ("index_num", "year", "half", "quarter", "month", "mday", "wday", "yday", "week", "mday7")
     sig = {k: v.cast("double") for k, v in dates.signature("date").items() if k in wanted}
     return padded.withColumns(sig)
@@ -106,7 +106,7 @@ PANEL = Design("value", CALENDAR, ("id",))
 @query("mod_tweedie")
 def mod_tweedie(spark: SparkSession, root: str) -> DataFrame:
     """A daily target with many zeros."""
-    rows = splits.time_split(nation_days(spark, root), "date", 28)
+    rows = splits.time_split(kept(nation_days(spark, root)), "date", 28)
     train = cut_lineage(splits.training(rows))
     scaled = Design("value", ("year", "month", "wday"), ("id",), scaled=True)
     model, unit = models.fit_in_means(scaled, models.tweedie(1.5, 0.01), train)
@@ -145,7 +145,7 @@ def mod_enet(spark: SparkSession, root: str) -> DataFrame:
 
 @query("mod_logit")
 def mod_logit(spark: SparkSession, root: str) -> DataFrame:
-    rows = cut_lineage(splits.random_split(labelled(spark, root), "doc_id", 0.8, ["quality"]))
+    rows = cut_lineage(splits.random_split(kept(labelled(spark, root)), "doc_id", 0.8, ["quality"]))
     model = models.fit(QUALITY, models.logistic(0.01, 0.5), splits.training(rows))
     scored = models.predict(model, rows, ["role", "quality"])
     return metrics.roc_auc(scored, "quality", "pred_prob", 1, ["role"])
@@ -153,7 +153,7 @@ def mod_logit(spark: SparkSession, root: str) -> DataFrame:
 
 @query("mod_rf")
 def mod_rf(spark: SparkSession, root: str) -> DataFrame:
-    rows = cut_lineage(splits.random_split(labelled(spark, root), "doc_id", 0.8, ["quality"]))
+    rows = cut_lineage(splits.random_split(kept(labelled(spark, root)), "doc_id", 0.8, ["quality"]))
     model = models.fit(QUALITY, models.forest(trees=20), splits.training(rows))
     scored = models.predict(model, rows, ["role", "quality"])
     return metrics.roc_auc(scored, "quality", "pred_prob", 1, ["role"])
@@ -162,7 +162,7 @@ def mod_rf(spark: SparkSession, root: str) -> DataFrame:
 @query("mod_mlp")
 def mod_mlp(spark: SparkSession, root: str) -> DataFrame:
     """Two hidden layers of 16 units on four scaled features."""
-    rows = cut_lineage(splits.split_by_id(rfm_table(spark, root), "customer_id", 0.8))
+    rows = cut_lineage(splits.split_by_id(kept(rfm_table(spark, root)), "customer_id", 0.8))
     model = models.fit(FLAG, models.network(len(RFM), 16, 16), splits.training(rows))
     scored = models.predict(model, splits.testing(rows), ["spend_90_flag"])
     return metrics.confusion(scored, "spend_90_flag", "pred_class", [0, 1])
@@ -171,7 +171,7 @@ def mod_mlp(spark: SparkSession, root: str) -> DataFrame:
 @query("mod_global")
 def mod_global(spark: SparkSession, root: str) -> DataFrame:
     """One model over all nations, the nation being a feature; errors per nation."""
-    rows = splits.time_split(nation_days(spark, root), "date", 28)
+    rows = splits.time_split(kept(nation_days(spark, root)), "date", 28)
     train = cut_lineage(splits.training(rows))
     model = models.fit(PANEL, models.boosted(trees=5, depth=4), train)
     scored = models.predict(model, splits.testing(rows), ["id", "date", "value"])
@@ -181,7 +181,7 @@ def mod_global(spark: SparkSession, root: str) -> DataFrame:
 @query("mod_refit")
 def mod_refit(spark: SparkSession, root: str) -> DataFrame:
     """The held-out model and the same model refitted on everything, one month ahead."""
-    panel = nation_monthly(spark, root)
+    panel = kept(nation_monthly(spark, root))
     sig = lambda df: df.withColumns(
         {k: v.cast("double") for k, v in dates.signature("date").items() if k in ("year", "quarter", "month")}
     )
@@ -230,7 +230,7 @@ def mod_importance(spark: SparkSession, root: str) -> DataFrame:
 )
 def mod_score(spark: SparkSession, root: str) -> DataFrame:
     """Stored features and model applied to a table: every row gets a class and a probability."""
-    rows = labelled(spark, root)
+    rows = kept(labelled(spark, root))
     path = models.save(models.fit(QUALITY, models.logistic(0.01, 0.5), rows), scratch(spark, "mod_score"))
     scored = models.predict(models.load(path), rows, ["doc_id"])
     return scored.agg(
@@ -250,7 +250,7 @@ def lag_design() -> Design:
 @query("mod_recursive_trees")
 def mod_recursive_trees(spark: SparkSession, root: str) -> DataFrame:
     """Boosted trees on lags 1 to 12, each step feeding the next, for every nation."""
-    panel = nation_monthly(spark, root)
+    panel = kept(nation_monthly(spark, root))
     lagged = windows.add_lags(panel, ["id"], "date", "value", LAGS, [f"lag{k}" for k in LAGS])
     train = cut_lineage(lagged.dropna("any"))
     model = models.fit(lag_design(), models.boosted(trees=5, depth=3), train)
@@ -316,7 +316,7 @@ def nst_best(spark: SparkSession, root: str) -> DataFrame:
     """Three models per nation, the best by hold-out error, its forecast for six months."""
     from tidalframe.operators.baselines import steps_ahead
 
-    panel = cut_lineage(nation_monthly(spark, root))
+    panel = kept(nation_monthly(spark, root))
     split = nested_split = splits.series_tail_split(panel, ["id"], "date", 6)
     test = steps_ahead(splits.testing(split), ["id"], "date")
     tested = nested_predictions(splits.training(nested_split), test, 6).join(

@@ -9,8 +9,8 @@ from tidalframe.operators import baselines, metrics, models, shape, splits, tuni
 from tidalframe.operators.models import Design
 from tidalframe.plans.customers import rfm_table
 from tidalframe.plans.flagship import METRICS_SQL
-from tidalframe.plans.inputs import MONTHLY, labelled, monthly_panel, parts
-from tidalframe.plans.learners import FLAG, LINES, QUALITY, RFM, line_items
+from tidalframe.plans.inputs import MONTHLY, kept, labelled, monthly_panel
+from tidalframe.plans.learners import FLAG, QUALITY, RFM
 from tidalframe.plans.registry import query
 from tidalframe.session import cut_lineage
 
@@ -18,7 +18,7 @@ FOLDS = 5
 
 
 def folded_documents(spark: SparkSession, root: str) -> DataFrame:
-    return cut_lineage(splits.folds(labelled(spark, root), "doc_id", FOLDS, ["quality"]))
+    return cut_lineage(splits.folds(kept(labelled(spark, root)), "doc_id", FOLDS, ["quality"]))
 
 
 def fold_auc(oof: DataFrame, target: str) -> DataFrame:
@@ -45,7 +45,7 @@ def tun_grid(spark: SparkSession, root: str) -> DataFrame:
 @query("tun_set")
 def tun_set(spark: SparkSession, root: str) -> DataFrame:
     """Three feature designs with three learners, each over three folds."""
-    rows = splits.folds(rfm_table(spark, root), "customer_id", 3, ["spend_90_flag"])
+    rows = splits.folds(kept(rfm_table(spark, root)), "customer_id", 3, ["spend_90_flag"])
     designs = {
         "recency": Design("spend_90_total", ("recency", "frequency")),
         "money": Design("spend_90_total", ("price_sum", "price_mean")),
@@ -107,7 +107,7 @@ AND e.slice_id <= r.n_folds GROUP BY 1, 2, 4""",
 )
 def tun_race(spark: SparkSession, root: str) -> DataFrame:
     """Twelve window sizes raced over five backtest slices."""
-    folded = cut_lineage(splits.time_folds(monthly_panel(spark, root), "date", 6, SLICES))
+    folded = cut_lineage(splits.time_folds(kept(monthly_panel(spark, root)), "date", 6, SLICES))
     out = tuning.race(spark, SIZES, lambda alive, i: window_errors(alive, folded, i + 1), SLICES)
     return out.withColumn("mean_metric", F.round("mean_metric", 4))
 
@@ -126,7 +126,7 @@ def window_accuracy(spark: SparkSession, root: str) -> DataFrame:
 
     All sizes are taken from one tail of twelve rows, in one aggregation.
     """
-    split = splits.time_split(monthly_panel(spark, root), "date", 6)
+    split = splits.time_split(kept(monthly_panel(spark, root)), "date", 6)
     levels = baselines.window_levels(splits.training(split), ["id"], "date", "value", SIZES)
     scored = splits.testing(split).withColumnRenamed("value", "actual").join(levels, "id")
     return metrics.accuracy_table(
@@ -153,7 +153,7 @@ def tun_rank(spark: SparkSession, root: str) -> DataFrame:
 @query("mod_leaderboard")
 def mod_leaderboard(spark: SparkSession, root: str) -> DataFrame:
     """Several learners over the same folds, ranked by their error."""
-    rows = cut_lineage(splits.folds(rfm_table(spark, root), "customer_id", FOLDS))
+    rows = cut_lineage(splits.folds(kept(rfm_table(spark, root)), "customer_id", FOLDS))
     design = Design("spend_90_total", RFM)
     candidates = [
         ("linear", design, models.linear()),
@@ -169,7 +169,7 @@ def mod_leaderboard(spark: SparkSession, root: str) -> DataFrame:
 @query("met_runs")
 def met_runs(spark: SparkSession, root: str) -> DataFrame:
     """One row per network configuration: accuracy and area under the curve; the best is marked."""
-    rows = cut_lineage(splits.split_by_id(rfm_table(spark, root), "customer_id", 0.8))
+    rows = cut_lineage(splits.split_by_id(kept(rfm_table(spark, root)), "customer_id", 0.8))
     out = None
     for u1, u2 in ((16, 16), (8, 4), (4, 4)):
         model = models.fit(FLAG, models.network(len(RFM), u1, u2, steps=20), splits.training(rows))
@@ -190,7 +190,7 @@ def met_runs(spark: SparkSession, root: str) -> DataFrame:
 def ens_stack(spark: SparkSession, root: str) -> DataFrame:
     """Three learners stacked by non-negative weights; area under the curve of each and of the blend."""
     rows = cut_lineage(
-        splits.random_split(rfm_table(spark, root), "customer_id", 0.8, ["spend_90_flag"])
+        splits.random_split(kept(rfm_table(spark, root)), "customer_id", 0.8, ["spend_90_flag"])
     )
     train = cut_lineage(splits.folds(splits.training(rows), "customer_id", FOLDS, ["spend_90_flag"]))
     learners = {

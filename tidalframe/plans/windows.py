@@ -12,6 +12,7 @@ from tidalframe.plans.inputs import (
     MONTHLY,
     PRICES,
     daily_panel,
+    kept,
     monthly_panel,
     price_panel,
     transactions,
@@ -52,7 +53,7 @@ FROM prices GROUP BY 1, 2""",
 )
 def win_return(spark: SparkSession, root: str) -> DataFrame:
     """Daily returns and the return of each year from its first to its last price."""
-    prices = price_panel(spark, root)
+    prices = kept(price_panel(spark, root))
     daily = windows.add_return(prices, ["symbol"], "date", "adjusted")
     first, last = F.min_by("adjusted", "date"), F.max_by("adjusted", "date")
     yearly = prices.groupBy("symbol", F.trunc("date", "year").alias("date")).agg(

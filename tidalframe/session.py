@@ -59,4 +59,4 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def parallelism(spark: SparkSession) -> int:
     """How many ordered buckets to cut a global order into."""
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(2000, 2 * shuffle))
+    return max(64, min(2000, 2 * shuffle))
