@@ -23,13 +23,11 @@ MODULES = (
     "learners",
     "tuning",
     "streams",
+    "studies",
 )
 
 
 def collect():
     for name in MODULES:
-        try:
-            import_module(f"tidalframe.plans.{name}")
-        except ModuleNotFoundError as e:
-            if "tidalframe.plans" not in str(e): raise
+        import_module(f"tidalframe.plans.{name}")
     return QUERIES, ORACLES
