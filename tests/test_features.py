@@ -15,7 +15,7 @@ from tidalframe.functions import selectors as sel
 from tidalframe.functions.names import snake_names
 from tidalframe.operators import features, impute
 from tidalframe.operators.features import Roles, Steps
-from tidalframe.session import scratch
+from tidalframe.session import scratch, shared_dir
 from tidalframe.sources import files
 
 
@@ -125,7 +125,7 @@ def test_knn_equals_brute_force(spark, seed, whole, n_cats, k):
     want = gower_by_hand(rows, "n", cats, k)
     assert len(got) == len(rows) and want
     for row in rows:
-        assert got[row["key"]] == pytest.approx(want.get(row["key"], row["y"]), abs=0.006)
+        assert got[row["key"]] == pytest.approx(want.get(row["key"], row["y"]), abs=1e-9)
 
 
 def test_csv_traps(spark, tmp_path):
@@ -159,3 +159,27 @@ def test_blank_separated(spark, tmp_path):
 
 def test_scratch_paths_differ(spark):
     assert scratch(spark, "x") != scratch(spark, "x")
+
+
+class Session:
+    """Just enough of a session to ask for its shared folder."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {} if folder is None else {"spark.checkpoint.dir": folder}
+        self.sparkContext, self.master, self.applicationId = self, master, f"app-{master}-{folder}"
+        self.checkpoint = None
+
+    def getCheckpointDir(self):
+        return self.checkpoint
+
+    def setCheckpointDir(self, folder):
+        self.checkpoint = folder
+
+
+def test_shared_folder_is_the_one_the_cluster_names():
+    named = Session("spark://host:7077", "/shared/place")
+    assert shared_dir(named) == "/shared/place" == named.checkpoint
+    with pytest.raises(ValueError):
+        shared_dir(Session("spark://host:7077"))
+    local = Session("local[2]")
+    assert shared_dir(local) == shared_dir(local) == local.checkpoint

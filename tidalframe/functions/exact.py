@@ -1,7 +1,9 @@
-"""Order-independent sums and means.
+"""Sums and means, if wanted independent of the order of addition.
 
-Adding doubles gives a result that depends on which task finishes first. Money
-is therefore added as a decimal, and turned into a double once, at the end.
+Adding doubles gives a result whose last digits depend on which task finishes
+first. A ``scale`` says how many decimals the values have, as money does; they
+are then added as decimals and turned into a double once, at the end. Without a
+scale the values are added as they are.
 """
 
 from __future__ import annotations
@@ -15,19 +17,29 @@ def _col(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def decimal(x, scale: int = 2) -> Column:
-    return _col(x).cast(f"decimal(18,{scale})")
+def decimal(x, scale: int | None = 2) -> Column:
+    return _col(x) if scale is None else _col(x).cast(f"decimal(18,{scale})")
 
 
-def exact_sum(x, scale: int = 2, over: WindowSpec | None = None) -> Column:
-    total = F.sum(decimal(x, scale))
+def total(x, scale: int | None = None, over: WindowSpec | None = None) -> Column:
+    out = F.sum(decimal(x, scale))
     if over is not None:
-        total = total.over(over)
-    return total.cast("double")
+        out = out.over(over)
+    return out.cast("double")
 
 
-def exact_mean(x, scale: int = 2, over: WindowSpec | None = None) -> Column:
+def mean(x, scale: int | None = None, over: WindowSpec | None = None) -> Column:
     n = F.count(_col(x))
     if over is not None:
         n = n.over(over)
-    return F.try_divide(exact_sum(x, scale, over), n.cast("double"))
+    return F.try_divide(total(x, scale, over), n.cast("double"))
+
+
+def exact_sum(x, scale: int = 2, over: WindowSpec | None = None) -> Column:
+    """Sum of values of two decimals."""
+    return total(x, scale, over)
+
+
+def exact_mean(x, scale: int = 2, over: WindowSpec | None = None) -> Column:
+    """Mean of values of two decimals."""
+    return mean(x, scale, over)

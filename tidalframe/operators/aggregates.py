@@ -13,18 +13,20 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidalframe.functions import dates
-from tidalframe.functions.exact import exact_sum
+from tidalframe.functions.exact import decimal, total
 from tidalframe.operators.ordered import counted, quantiles_of_counts
 
 
-def hierarchy(df: DataFrame, levels: dict[str, str], date: str, value: str) -> DataFrame:
+def hierarchy(
+    df: DataFrame, levels: dict[str, str], date: str, value: str, scale: int | None = None
+) -> DataFrame:
     """Totals by date for every level, as (category, identifier, date, value).
 
     ``levels`` maps category names to id columns. Rows are first added up at the
     finest grain; only those cells are expanded over the grouping sets.
     """
     cols = list(levels.values())
-    cells = df.groupBy(*cols, date).agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("_v"))
+    cells = df.groupBy(*cols, date).agg(F.sum(decimal(value, scale)).alias("_v"))
     sets = [[F.col(date)], *[[F.col(c), F.col(date)] for c in cols]]
     grouped = cells.groupingSets(sets, *cols, date).agg(
         F.sum("_v").cast("double").alias("_total"), *[F.grouping(c).alias(f"_g_{c}") for c in cols]
@@ -56,7 +58,7 @@ def missing_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def profile(df: DataFrame, cols: Sequence[str], scale: int | None = None) -> DataFrame:
     """Count, nulls, mean, sd, extremes, quartiles and distinct count per numeric column.
 
     Everything follows from how often each value of each column occurs.
@@ -64,11 +66,11 @@ def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in cols], "column_name", "v")
     counts = counted(long, ["column_name"], "v")
     known = F.when(F.col("_v").isNotNull(), F.col("n"))
-    total = F.sum(F.col("_v").cast("decimal(18,2)") * F.col("n")).cast("double")
+    added = total(decimal("_v", scale) * F.col("n"))
     base = counts.groupBy("column_name").agg(
         F.sum("n").alias("n"),
         F.sum(F.when(F.col("_v").isNull(), F.col("n")).otherwise(0)).alias("n_missing"),
-        F.try_divide(total, F.sum(known)).alias("mean"),
+        F.try_divide(added, F.sum(known)).alias("mean"),
         F.min("_v").alias("p0"),
         F.max("_v").alias("p100"),
         F.count("_v").alias("n_unique"),
@@ -205,5 +207,7 @@ def seasonal_profile(df: DataFrame, date: str, value: str) -> DataFrame:
     return base.join(box, ["feature", "level"])
 
 
-def sum_by(df: DataFrame, by: Sequence[str], value: str, out: str = "value") -> DataFrame:
-    return df.groupBy(*by).agg(exact_sum(value).alias(out))
+def sum_by(
+    df: DataFrame, by: Sequence[str], value: str, out: str = "value", scale: int | None = None
+) -> DataFrame:
+    return df.groupBy(*by).agg(total(value, scale).alias(out))

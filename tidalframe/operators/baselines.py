@@ -8,24 +8,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidalframe.functions.exact import exact_mean
+from tidalframe.functions.exact import mean
 from tidalframe.operators.windows import panel_tail
 
 
 def window_level(
-    train: DataFrame, ids: Sequence[str], date: str, value: str, size: int, stat: str = "median"
+    train: DataFrame,
+    ids: Sequence[str],
+    date: str,
+    value: str,
+    size: int,
+    stat: str = "median",
+    scale: int | None = None,
 ) -> DataFrame:
     """Median or mean of the last ``size`` values of each series."""
     tail = panel_tail(train, ids, date, size)
-    level = F.percentile(value, F.lit(0.5)) if stat == "median" else exact_mean(value)
+    level = F.percentile(value, F.lit(0.5)) if stat == "median" else mean(value, scale)
     return tail.groupBy(*ids).agg(level.alias("prediction"))
 
 
 def window_forecast(
-    train: DataFrame, future: DataFrame, ids: Sequence[str], date: str, value: str, size: int, stat: str = "median"
+    train: DataFrame,
+    future: DataFrame,
+    ids: Sequence[str],
+    date: str,
+    value: str,
+    size: int,
+    stat: str = "median",
+    scale: int | None = None,
 ) -> DataFrame:
     """The window level repeated over the rows of ``future``."""
-    return future.join(window_level(train, ids, date, value, size, stat), list(ids))
+    return future.join(window_level(train, ids, date, value, size, stat, scale), list(ids))
 
 
 def window_levels(

@@ -1,4 +1,7 @@
-"""Customer value: recency, frequency, money, cohorts and expected spend."""
+"""Customer value: recency, frequency, money, cohorts and expected spend.
+
+Money has two decimals.
+"""
 
 from __future__ import annotations
 

@@ -94,8 +94,7 @@ def keep_best(forecast: DataFrame, best: DataFrame, id: str) -> DataFrame:
 
 
 def average(predictions: DataFrame, keys: Sequence[str]) -> DataFrame:
-    total = F.sum(F.col("prediction").cast("decimal(28,6)")).cast("double")
-    return predictions.groupBy(*keys).agg((total / F.count("prediction")).alias("prediction"))
+    return predictions.groupBy(*keys).agg(F.avg("prediction").alias("prediction"))
 
 
 def weighted(predictions: DataFrame, keys: Sequence[str], loadings: dict[int, float]) -> DataFrame:

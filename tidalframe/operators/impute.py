@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidalframe.functions.exact import mean
 from tidalframe.operators.ordered import BUCKET, edges, running_totals, top_rows, with_bucket
 from tidalframe.session import cut_lineage
 
@@ -70,7 +71,13 @@ def gower(number: str, cats: Sequence[str], reach: Column, donor: Column) -> Col
 
 
 def impute_knn(
-    df: DataFrame, key: str, target: str, number: str, cats: Sequence[str], k: int = 5
+    df: DataFrame,
+    key: str,
+    target: str,
+    number: str,
+    cats: Sequence[str],
+    k: int = 5,
+    scale: int | None = None,
 ) -> DataFrame:
     """Fill nulls of ``target`` by the mean of its k nearest donors.
 
@@ -99,8 +106,7 @@ def impute_knn(
     ).distinct()
     w = Window.partitionBy(*profile).orderBy("_distance", "_key")
     kept = scored.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= k)
-    total = F.sum(F.col("_value").cast("decimal(18,2)")).cast("double")
-    filled = kept.groupBy(*profile).agg((total / F.count("_value")).alias("_filled"))
+    filled = kept.groupBy(*profile).agg(mean("_value", scale).alias("_filled"))
     return df.join(filled, profile, "left").select(
         *[F.coalesce(F.col(target), F.col("_filled")).alias(c) if c == target else F.col(c) for c in df.columns]
     )

@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from tidalframe.functions.exact import exact_mean, exact_sum
+from tidalframe.functions.exact import mean, total
 
 
-def panel_of(df: DataFrame, ids: Sequence[str], date: str, value: str, out: str = "value") -> DataFrame:
-    return df.groupBy(*ids, date).agg(exact_sum(value).alias(out))
+def panel_of(
+    df: DataFrame, ids: Sequence[str], date: str, value: str, out: str = "value", scale: int | None = None
+) -> DataFrame:
+    return df.groupBy(*ids, date).agg(total(value, scale).alias(out))
 
 
 def in_order(ids: Sequence[str], date: str) -> WindowSpec:
@@ -50,12 +52,17 @@ def centred_frame(ids: Sequence[str], date: str, period: int) -> WindowSpec:
 
 
 def add_rolling_mean(
-    panel: DataFrame, ids: Sequence[str], date: str, value: str, periods: Sequence[int]
+    panel: DataFrame,
+    ids: Sequence[str],
+    date: str,
+    value: str,
+    periods: Sequence[int],
+    scale: int | None = None,
 ) -> DataFrame:
     """Centred rolling means; edges use the rows there are, nulls are left out."""
     return panel.select(
         "*",
-        *[exact_mean(value, over=centred_frame(ids, date, k)).alias(f"{value}_roll_{k}") for k in periods],
+        *[mean(value, scale, centred_frame(ids, date, k)).alias(f"{value}_roll_{k}") for k in periods],
     )
 
 
@@ -98,13 +105,13 @@ def standardise(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
     )
     if by:
         joined = df.join(stats, list(by))
-        mean, sd = (lambda c: F.col(f"_m_{c}")), (lambda c: F.col(f"_s_{c}"))
+        middle, sd = (lambda c: F.col(f"_m_{c}")), (lambda c: F.col(f"_s_{c}"))
     else:
         joined = df
         one = stats.select(F.struct("*").alias("s")).scalar()
-        mean, sd = (lambda c: one[f"_m_{c}"]), (lambda c: one[f"_s_{c}"])
+        middle, sd = (lambda c: one[f"_m_{c}"]), (lambda c: one[f"_s_{c}"])
     keep = [
-        F.try_divide(F.col(c) - mean(c), sd(c)).alias(c) if c in cols else F.col(c) for c in df.columns
+        F.try_divide(F.col(c) - middle(c), sd(c)).alias(c) if c in cols else F.col(c) for c in df.columns
     ]
     return joined.select(*keep)
 
@@ -145,7 +152,3 @@ def clean_series(panel: DataFrame, ids: Sequence[str], date: str, value: str, pe
     )
     return both.select(*panel.columns, cleaned.alias(f"{value}_clean"))
 
-
-def expanding_sum(panel: DataFrame, ids: Sequence[str], date: str, value: str, out: str) -> DataFrame:
-    w = in_order(ids, date).rowsBetween(Window.unboundedPreceding, 0)
-    return panel.withColumn(out, exact_sum(value, over=w))

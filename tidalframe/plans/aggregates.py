@@ -164,7 +164,7 @@ def agg_hierarchy(spark: SparkSession, root: str) -> DataFrame:
         .join(regions, "n_regionkey")
     )
     levels = {"region": "r_name", "nation": "n_name", "segment": "c_mktsegment"}
-    return aggregates.hierarchy(rows, levels, "date", "spend")
+    return aggregates.hierarchy(rows, levels, "date", "spend", scale=2)
 
 
 @query(
@@ -224,7 +224,7 @@ def agg_profile(spark: SparkSession, root: str) -> DataFrame:
         "l_discount",
         "l_linenumber",
     )
-    out = aggregates.profile(lines, PROFILED)
+    out = aggregates.profile(lines, PROFILED, scale=2)
     return out.withColumns({p: F.round(p, 4) for p in ("p25", "p50", "p75")})
 
 

@@ -219,7 +219,7 @@ def customer_days(spark: SparkSession, root: str) -> DataFrame:
     from tidalframe.operators.windows import panel_of
 
     return panel_of(
-        transactions(spark, root).withColumnRenamed("customer_id", "id"), ["id"], "date", "price"
+        transactions(spark, root).withColumnRenamed("customer_id", "id"), ["id"], "date", "price", scale=2
     )
 
 

@@ -176,7 +176,7 @@ def fea_impute_knn(spark: SparkSession, root: str) -> DataFrame:
     """Unknown prices from the five most similar parts."""
     price = F.when(~F.col("p_name").startswith("red"), F.col("p_retailprice"))
     rows = table(spark, root, "part").select("p_partkey", "p_size", "p_brand", "p_type", price.alias("price"))
-    return impute.impute_knn(rows, "p_partkey", "price", "p_size", ["p_brand", "p_type"], 5)
+    return impute.impute_knn(rows, "p_partkey", "price", "p_size", ["p_brand", "p_type"], 5, scale=2)
 
 
 HORIZON = 28
@@ -208,9 +208,9 @@ def hier_features(spark: SparkSession, root: str) -> DataFrame:
     nations = table(spark, root, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     regions = table(spark, root, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     rows = order_days(spark, root).join(customers, "o_custkey").join(nations, "c_nationkey").join(regions, "n_regionkey")
-    levels = kept(aggregates.hierarchy(rows, {"region": "r_name", "segment": "c_mktsegment"}, "date", "spend"))
+    levels = kept(aggregates.hierarchy(rows, {"region": "r_name", "segment": "c_mktsegment"}, "date", "spend", scale=2))
     ids = ["category", "identifier"]
     padded = kept(calendar.pad(levels, ids, "date", "day", 0.0))
     extended = calendar.with_future(padded, ids, "date", HORIZON, "day")
     lagged = windows.add_lags(extended, ids, "date", "value", [HORIZON])
-    return windows.add_rolling_mean(lagged, ids, "date", f"value_lag{HORIZON}", [7, 14, 28, 56])
+    return windows.add_rolling_mean(lagged, ids, "date", f"value_lag{HORIZON}", [7, 14, 28, 56], scale=2)

@@ -29,7 +29,7 @@ def bas_window(spark: SparkSession, root: str) -> DataFrame:
     future = calendar.future_rows(panel, ["id"], "date", 24, "month")
     out = []
     for stat, digits in (("median", 4), ("mean", 5)):
-        part = baselines.window_forecast(panel, future, ["id"], "date", "value", 10, stat)
+        part = baselines.window_forecast(panel, future, ["id"], "date", "value", 10, stat, scale=2)
         out.append(part.select("id", "date", "h", F.lit(stat).alias("stat"), F.round("prediction", digits).alias("prediction")))
     return out[0].unionByName(out[1])
 

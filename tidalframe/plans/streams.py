@@ -23,10 +23,10 @@ def stream_event_days(spark: SparkSession, root: str) -> DataFrame:
     stream = jobs.read_stream(spark, root, "events.parquet", schema).select(
         "event_type", F.col("ts").cast("timestamp").alias("ts"), "value"
     )
-    totals = jobs.windowed_totals(stream, "ts", ["event_type"], "value")
+    totals = jobs.windowed_totals(stream, "ts", ["event_type"], "value", scale=2)
     latest = jobs.run_updates(totals, "stream_event_days", ["event_type", "start"])
     return latest.select(
-        "event_type", F.col("start").cast("date").alias("date"), F.col("total").cast("double").alias("total"), "n"
+        "event_type", F.col("start").cast("date").alias("date"), "total", "n"
     )
 
 

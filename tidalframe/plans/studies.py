@@ -93,13 +93,13 @@ def hierarchy_features(spark: SparkSession, root: str) -> DataFrame:
     nations = table(spark, root, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     regions = table(spark, root, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     rows = order_days(spark, root).join(customers_, "o_custkey").join(nations, "c_nationkey").join(regions, "n_regionkey")
-    levels = kept(aggregates.hierarchy(rows, {"region": "r_name", "segment": "c_mktsegment"}, "date", "spend"))
+    levels = kept(aggregates.hierarchy(rows, {"region": "r_name", "segment": "c_mktsegment"}, "date", "spend", scale=2))
     ids = ["category", "identifier"]
     padded = kept(calendar.pad(levels, ids, "date", "day", 0.0))
     lagged = windows.add_lags(
         calendar.with_future(padded, ids, "date", HORIZON, "day"), ids, "date", "value", [HORIZON]
     )
-    rolled = windows.add_rolling_mean(lagged, ids, "date", f"value_lag{HORIZON}", ROLLS)
+    rolled = windows.add_rolling_mean(lagged, ids, "date", f"value_lag{HORIZON}", ROLLS, scale=2)
     wanted = ("month", "mday", "wday", "week")
     return rolled.withColumns({k: v.cast("double") for k, v in dates.signature("date").items() if k in wanted})
 

@@ -81,7 +81,7 @@ SELECT id, date, value, value_lag28, {', '.join(_roll_sql('value_lag28', k) for
 def win_slidify(spark: SparkSession, root: str) -> DataFrame:
     """A long lag and its centred rolling means."""
     lagged = windows.add_lags(daily_panel(spark, root), ["id"], "date", "value", [28])
-    return windows.add_rolling_mean(lagged, ["id"], "date", "value_lag28", [7, 14, 28, 56])
+    return windows.add_rolling_mean(lagged, ["id"], "date", "value_lag28", [7, 14, 28, 56], scale=2)
 
 
 @query(
@@ -90,7 +90,7 @@ def win_slidify(spark: SparkSession, root: str) -> DataFrame:
 )
 def win_smooth(spark: SparkSession, root: str) -> DataFrame:
     """The smooth line behind a plot: a centred mean over 29 days."""
-    return windows.add_rolling_mean(daily_panel(spark, root), ["id"], "date", "value", [29])
+    return windows.add_rolling_mean(daily_panel(spark, root), ["id"], "date", "value", [29], scale=2)
 
 
 @query(

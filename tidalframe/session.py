@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders made for sessions without a named one, by application.
+_own: dict[str, str] = {}
+
+
 def build_session(master: str = "local[8]", app: str = "tidalframe", **conf: str) -> SparkSession:
     """Start (or fetch) a session with the settings the library expects.
 
@@ -33,12 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
     A folder of our own is made only for an in-process master, where driver and
     executors share one disk; a real cluster has to name its folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidalframe-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="tidalframe-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return base

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidalframe.functions.exact import total
 from tidalframe.session import scratch
 
 
@@ -17,13 +18,19 @@ def read_stream(spark: SparkSession, path: str, glob: str, schema: StructType) -
 
 
 def windowed_totals(
-    stream: DataFrame, time: str, by: list[str], value: str, width: str = "1 day", late: str = "1 hour"
+    stream: DataFrame,
+    time: str,
+    by: list[str],
+    value: str,
+    width: str = "1 day",
+    late: str = "1 hour",
+    scale: int | None = None,
 ) -> DataFrame:
     """Totals per key and tumbling window; later rows than ``late`` are not waited for."""
     return (
         stream.withWatermark(time, late)
         .groupBy(*by, F.window(time, width).alias("w"))
-        .agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("total"), F.count(F.lit(1)).alias("n"))
+        .agg(total(value, scale).alias("total"), F.count(F.lit(1)).alias("n"))
         .select(*by, F.col("w.start").alias("start"), "total", "n")
     )
 
