@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidalframe.functions.exact import mean
-from tidalframe.operators.ordered import BUCKET, edges, running_totals, top_rows, with_bucket
+from tidalframe.operators.ordered import edges, running_totals, top_rows, with_bucket
 from tidalframe.session import cut_lineage
 
 
@@ -25,40 +25,44 @@ def _subsets(cols: Sequence[str]) -> list[tuple[str, ...]]:
     return [s for n in range(len(cols), -1, -1) for s in combinations(cols, n)]
 
 
+def _agreements(df: DataFrame, cats: Sequence[str]) -> DataFrame:
+    """Every row once per subset of the categories, with its values of that subset."""
+    views = [
+        F.struct(
+            F.lit(i).alias("subset"),
+            *[(F.col(c).cast("string") if c in subset else F.lit("")).alias(f"v{j}") for j, c in enumerate(cats)],
+        )
+        for i, subset in enumerate(_subsets(cats))
+    ]
+    return df.withColumn("_agree", F.explode(F.array(*views)))
+
+
 def _candidates(
-    wanted: DataFrame, donors: DataFrame, key: str, number: str, agree: Sequence[str], k: int, cuts: list[float]
+    wanted: DataFrame, donors: DataFrame, key: str, number: str, cats: Sequence[str], k: int, cuts: list[float]
 ) -> DataFrame:
     """Up to 2k distinct donor numbers around each wanted profile, k donors at each.
 
-    ``wanted`` holds distinct profiles. Returns (profile columns, donor columns).
+    ``wanted`` holds distinct profiles. Returns (profile columns, donor struct).
     """
-    agree = list(agree)
-    cell = [*agree, number]
-    nearest_keys = top_rows(donors, cell, [F.col(key)], k)
+    cell = ["_agree", number]
+    asking, giving = _agreements(wanted, cats), _agreements(donors, cats)
     places = (
-        donors.select(*cell).distinct().withColumn("_donor", F.lit(1).cast("long"))
-        .unionByName(wanted.select(*cell).distinct().withColumn("_donor", F.lit(0).cast("long")))
+        giving.select(*cell).distinct().withColumn("_donor", F.lit(1).cast("long"))
+        .unionByName(asking.select(*cell).distinct().withColumn("_donor", F.lit(0).cast("long")))
         .groupBy(*cell).agg(F.max("_donor").alias("_donor"))
     )
-    ranked = running_totals(with_bucket(places, number, cuts), agree, [number], ["_donor"])
-    spots = ranked.select(*cell, "_donor", F.col("before__donor").alias("_before")).drop(BUCKET)
+    ranked = running_totals(with_bucket(places, number, cuts), ["_agree"], [number], ["_donor"])
+    spots = ranked.select(*cell, "_donor", F.col("before__donor").alias("_before"))
     donor_spots = spots.where("_donor = 1").select(
-        *agree, F.col(number).alias("_d_number"), (F.col("_before") + 1).alias("_rank")
+        "_agree", F.col(number).alias("_at"), (F.col("_before") + 1).alias("_rank")
     )
     offsets = F.sequence(F.col("_before") - k + 1, F.col("_before") + k)
-    asked = wanted.join(spots.drop("_donor"), cell).withColumn("_rank", F.explode(offsets)).drop("_before")
-    near = asked.join(donor_spots, [*agree, "_rank"]).drop("_rank")
-    named = nearest_keys.select(
-        *[F.col(c).alias(f"_a_{c}") for c in agree],
-        F.col(number).alias("_d_number"),
-        F.struct(*[F.col(c) for c in donors.columns]).alias("_donor"),
-    )
-    match = [F.col(c) == F.col(f"_a_{c}") for c in agree]
-    joined = near.join(
-        named.withColumnRenamed("_d_number", "_n_number"),
-        [F.col("_d_number") == F.col("_n_number"), *match],
+    asked = asking.join(spots.drop("_donor"), cell).withColumn("_rank", F.explode(offsets))
+    near = asked.join(donor_spots, ["_agree", "_rank"]).select(*wanted.columns, "_agree", "_at")
+    named = top_rows(giving, cell, [F.col(key)], k).select(
+        "_agree", F.col(number).alias("_at"), F.struct(*donors.columns).alias("_donor")
     )
-    return joined.select(*wanted.columns, "_donor")
+    return near.join(named, ["_agree", "_at"]).select(*wanted.columns, "_donor")
 
 
 def gower(number: str, cats: Sequence[str], reach: Column, donor: Column) -> Column:
@@ -93,10 +97,7 @@ def impute_knn(
     wanted = cut_lineage(df.where(F.col(target).isNull()).select(*profile).distinct())
     cuts = edges(donors.select(number).distinct(), number)
     reach = df.agg((F.max(number) - F.min(number)).cast("double")).scalar()
-    found = None
-    for agree in _subsets(cats):
-        part = _candidates(wanted, donors, key, number, agree, k, cuts)
-        found = part if found is None else found.unionByName(part)
+    found = _candidates(wanted, donors, key, number, cats, k, cuts)
     donor = F.col("_donor")
     scored = found.select(
         *profile,

@@ -292,10 +292,25 @@ def agg_acf(spark: SparkSession, root: str) -> DataFrame:
     return acf.withColumn("acf", F.round("acf", 6))
 
 
-@query("agg_pacf")
+@query(
+    "agg_pacf",
+    f"""WITH RECURSIVE {MONTHLY}, centred AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY date) AS i,
+  value - avg(value) OVER (PARTITION BY id) AS c FROM monthly),
+lags AS (SELECT unnest(range(1, {ACF_LAGS + 1})) AS k),
+acf AS (SELECT a.id, k, sum(a.c * b.c) / max(t.total) AS r FROM lags, centred a JOIN centred b ON a.id = b.id
+  JOIN (SELECT id, sum(c * c) AS total FROM centred GROUP BY 1) t ON t.id = a.id WHERE a.i = b.i + k GROUP BY 1, 2),
+rho AS (SELECT id, list(r ORDER BY k) AS rho FROM acf GROUP BY 1),
+steps(id, rho, k, phi) AS (
+  SELECT id, rho, 1, [rho[1]] FROM rho
+  UNION ALL
+  SELECT id, rho, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - last * phi[k + 1 - j]), last) FROM (
+    SELECT *, (rho[k + 1] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * rho[k + 1 - j])))
+            / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * rho[j]))) AS last FROM steps) WHERE k < {ACF_LAGS})
+SELECT id, CAST(k AS INT) AS lag, round(phi[k], 6) AS pacf FROM steps""",
+)
 def agg_pacf(spark: SparkSession, root: str) -> DataFrame:
     acf = aggregates.autocorrelation(monthly_panel(spark, root), ["id"], "date", "value", ACF_LAGS)
-    return aggregates.partial_autocorrelation(acf, ["id"])
+    return aggregates.partial_autocorrelation(acf, ["id"]).withColumn("pacf", F.round("pacf", 6))
 
 
 @query(

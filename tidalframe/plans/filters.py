@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalframe.functions import dates
-from tidalframe.operators import calendar, joins, ordered
-from tidalframe.plans.inputs import DAILY, LOG, UNKNOWN, daily_panel, kept, transactions, unknown_prices
+from tidalframe.operators import calendar, joins
+from tidalframe.plans.inputs import DAILY, UNKNOWN, daily_panel, kept, unknown_prices
 from tidalframe.plans.flagship import BY_SERIES, holdout_predictions
 from tidalframe.operators import metrics
 from tidalframe.plans.registry import query

@@ -21,9 +21,10 @@ def holdout_predictions(spark: SparkSession, root: str) -> tuple[DataFrame, Data
     level = baselines.window_forecast(train, test, ["id"], "date", "value", WINDOW)
     season = baselines.seasonal_naive(train, test, ["id"], "date", "value", SEASON)
     cols = ["id", "date", "h", "actual", "prediction"]
-    return panel, forecasts.stack_predictions(
+    both = forecasts.stack_predictions(
         ("WINDOW MEDIAN", level.select(*cols)), ("SNAIVE", season.select(*cols))
     )
+    return panel, kept(both)
 
 
 HOLDOUT = f"""{MONTHLY},

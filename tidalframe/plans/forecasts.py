@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalframe.operators import baselines, calendar, forecasts, metrics, recursive, temporal
-from tidalframe.plans.flagship import BY_SERIES, HOLDOUT, METRICS_SQL, REACH, holdout_predictions
+from tidalframe.plans.flagship import BY_SERIES, HOLDOUT, REACH, holdout_predictions
 from tidalframe.plans.inputs import MONTHLY, kept, monthly_panel, nation_monthly
 from tidalframe.plans.registry import query
 
@@ -139,8 +139,31 @@ def mod_recursive(spark: SparkSession, root: str) -> DataFrame:
     return out.withColumn("value", F.round("value", 4))
 
 
-@query("mod_temporal_hier")
+def _matrix_rows() -> str:
+    """The reconciliation matrix as SQL rows (h, level, block, g)."""
+    order = [(d, b) for d in temporal.divisors(12) for b in range(12 // d)]
+    matrix = temporal.reconcile_matrix(12)
+    return ", ".join(
+        f"({h + 1}, {d}, {b}, {float(matrix[h, at])!r}::DOUBLE)"
+        for h in range(12)
+        for at, (d, b) in enumerate(order)
+    )
+
+
+@query(
+    "mod_temporal_hier",
+    f"""WITH panel AS (SELECT n_name AS id, CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value FROM orders JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
+b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY date DESC) - 1 AS back, count(*) OVER (PARTITION BY id) // 12 AS full_years FROM panel),
+slots AS (SELECT id, back // 12 AS season, 11 - back % 12 AS slot, value FROM b WHERE back < least(full_years, 3) * 12),
+levels(level) AS (VALUES (1), (2), (3), (4), (6), (12)),
+per_node AS (SELECT id, level, slot // level AS block, season, sum(value) AS v FROM slots, levels GROUP BY 1, 2, 3, 4),
+nodes AS (SELECT id, level, block, quantile_cont(v, 0.5) AS f FROM per_node GROUP BY 1, 2, 3),
+g(h, level, block, g) AS (VALUES {_matrix_rows()})
+SELECT id, CAST(h AS INT) AS h, round(sum(g * f), 3) AS prediction FROM nodes JOIN g USING (level, block) GROUP BY 1, 2""",
+)
 def mod_temporal_hier(spark: SparkSession, root: str) -> DataFrame:
     """Next year of every nation, reconciled over six period lengths."""
     nodes = temporal.node_forecasts(kept(nation_monthly(spark, root)), ["id"], "date", "value", 12, 3)
-    return temporal.reconcile(nodes, ["id"], 12)
+    return temporal.reconcile(nodes, ["id"], 12).withColumn("prediction", F.round("prediction", 3))

@@ -26,7 +26,7 @@ from tidalframe.plans.calendar import customer_days
 from tidalframe.plans.customers import rfm_table
 from tidalframe.plans.inputs import SYMBOLS, kept, labelled, nation_monthly, order_days
 from tidalframe.plans.registry import query
-from tidalframe.session import cut_lineage, scratch
+from tidalframe.session import cut_lineage, scratch, spread
 from tidalframe.sources.tables import table
 
 RFM = ("recency", "frequency", "price_sum", "price_mean")
@@ -42,7 +42,8 @@ def line_items(spark: SparkSession, root: str) -> DataFrame:
         "l_orderkey", "l_linenumber", *LINES.numeric, *LINES.nominal, "l_extendedprice"
     )
     held = F.pmod(F.xxhash64(F.lit(7), "l_orderkey"), F.lit(5)) == 0
-    return lines.withColumn("role", F.when(held, splits.TEST).otherwise(splits.TRAIN))
+    rows = lines.withColumn("role", F.when(held, splits.TEST).otherwise(splits.TRAIN))
+    return spread(rows, "l_orderkey", "l_linenumber")
 
 
 def judged_fit(model, rows: DataFrame, target: str) -> DataFrame:

@@ -13,9 +13,11 @@ from tidalframe.operators import (
     customers,
     features,
     forecasts,
+    impute,
     metrics,
     models,
     splits,
+    tuning,
     windows,
 )
 from tidalframe.operators.features import Roles, Steps
@@ -183,3 +185,31 @@ def study_churn(spark: SparkSession, root: str) -> DataFrame:
     scored = models.predict(model, splits.testing(ready), ["spend_90_flag"])
     overall = scored.agg(metrics.accuracy("spend_90_flag", "pred_class")).scalar()
     return metrics.confusion(scored, "spend_90_flag", "pred_class", [0, 1]).withColumn("accuracy", overall)
+
+
+@query("study_recipes")
+def study_recipes(spark: SparkSession, root: str) -> DataFrame:
+    """Unknown sizes left out, set to the mean or taken from 3 or 5 neighbours, with two learners, ranked."""
+    size = F.when(~F.col("p_name").startswith("red"), F.col("p_size").cast("double"))
+    rows = table(spark, root, "part").select("p_partkey", "p_brand", "p_type", "p_retailprice", size.alias("size"))
+    full = features.impute_mean(lambda df: ["size_mean"])(rows.withColumn("size_mean", F.col("size")))(
+        rows.withColumn("size_mean", F.col("size"))
+    ).drop("size")
+    for k in (3, 5):
+        near = impute.impute_knn(rows, "p_partkey", "size", "p_retailprice", ["p_brand", "p_type"], k)
+        full = full.join(near.select("p_partkey", F.col("size").alias(f"size_knn{k}")), "p_partkey")
+    folded = cut_lineage(splits.folds(kept(full), "p_partkey", 3))
+    cats = ("p_brand", "p_type")
+    designs = {
+        "without": Design("p_retailprice", (), cats),
+        "mean": Design("p_retailprice", ("size_mean",), cats),
+        "knn3": Design("p_retailprice", ("size_knn3",), cats),
+        "knn5": Design("p_retailprice", ("size_knn5",), cats),
+    }
+    learners = {"net": models.elastic_net(0.1, 0.5), "forest": models.forest("regression", trees=5, depth=4)}
+    oof = tuning.out_of_fold(folded, tuning.cross(designs, learners), ["p_partkey", "p_retailprice"], 3)
+    per_fold = oof.groupBy("candidate", "fold").agg(
+        metrics.rmse("p_retailprice", "prediction").alias("rmse"), metrics.rsq("p_retailprice", "prediction").alias("rsq")
+    )
+    rsq = per_fold.groupBy("candidate").agg(F.avg("rsq").alias("mean_rsq"))
+    return tuning.rank_results(tuning.summarise_folds(per_fold, "rmse")).join(rsq, "candidate")

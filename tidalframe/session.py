@@ -59,6 +59,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out evenly by key and written down, for fits that read them many times.
+
+    One shuffle is little beside the dozens of passes of an iterative fit, which
+    would otherwise be as slow as the largest unsplittable input file.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return cut_lineage(df.repartition(parts, *keys))
+
+
 def parallelism(spark: SparkSession) -> int:
     """How many ordered buckets to cut a global order into."""
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
