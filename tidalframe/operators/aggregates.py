@@ -204,9 +204,3 @@ def seasonal_profile(df: DataFrame, date: str, value: str) -> DataFrame:
     )
     box = quantiles_of_counts(counts, ["feature", "level"], {"q1": 0.25, "med": 0.5, "q3": 0.75})
     return base.join(box, ["feature", "level"])
-
-
-def sum_by(
-    df: DataFrame, by: Sequence[str], value: str, out: str = "value", scale: int | None = None
-) -> DataFrame:
-    return df.groupBy(*by).agg(total(value, scale).alias(out))

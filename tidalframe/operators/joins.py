@@ -1,6 +1,6 @@
 """Joins and row binding.
 
-No join carries a broadcast hint. Spark broadcasts a side when its file size or
+These joins carry no broadcast hint. Spark broadcasts a side when its file size or
 its measured shuffle size is below ``spark.sql.autoBroadcastJoinThreshold`` and
 otherwise shuffles both sides, splitting skewed partitions at run time.
 """

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidalframe.session import cut_lineage, parallelism
+from tidalframe.session import cut_lineage, parallelism, sized
 
 BUCKET = "_bucket"
 
@@ -138,7 +138,7 @@ def quantiles_of_counts(counts: DataFrame, by: Sequence[str], probs: dict[str, f
             )
     inside = lambda w: (w["at"] >= 0) & (w["at"] < F.col("_in_cell"))
     asked = cells.withColumn("_asked", F.filter(F.array(*wanted), inside)).where(F.size("_asked") > 0)
-    asked = asked.select(*[F.col(c).alias(f"_k_{c}") for c in cell], "_asked")
+    asked = sized(asked.select(*[F.col(c).alias(f"_k_{c}") for c in cell], "_asked"))
     match = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cell]
     in_cell = Window.partitionBy(*cell).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.join(asked, match).withColumn("_start", F.coalesce(F.sum("n").over(in_cell), F.lit(0)))
@@ -204,7 +204,7 @@ def hashed_cuts(
         F.struct(F.lit(name).alias("_quota"), (q.cast("long") - F.col("_before")).alias("_nth")) for name, q in quotas.items()
     ]
     filled = placed.select(*[F.col(c).alias(f"_k_{c}") for c in (*by, "_cell")], "_n", F.inline(F.array(*wanted)))
-    filled = filled.where((F.col("_nth") > 0) & (F.col("_nth") <= F.col("_n"))).drop("_n")
+    filled = sized(filled.where((F.col("_nth") > 0) & (F.col("_nth") <= F.col("_n"))).drop("_n"))
     match = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*by, "_cell")]
     asked = rows.join(filled, match)
     order = Window.partitionBy(*by, "_cell", "_quota").orderBy("_place")
@@ -213,7 +213,7 @@ def hashed_cuts(
     found = at.groupBy(*by).agg(
         *[F.max(F.when(F.col("_quota") == name, F.col("_place"))).alias(name) for name in quotas]
     )
-    return found if strata is None else strata.join(found, by, "left")
+    return cut_lineage(found) if strata is None else sized(strata.join(found, by, "left"))
 
 
 def top_rows(df: DataFrame, by: Sequence[str], order: Sequence, n: int) -> DataFrame:

@@ -74,9 +74,11 @@ def transpose(df: DataFrame, row: str, cols: Sequence[str], names: Sequence, int
     return wider(long, [into], row, "_cell", names, prefix="v_")
 
 
-def enframe(df: DataFrame, mapping: Column, name: str = "name", value: str = "value") -> DataFrame:
+def enframe(
+    df: DataFrame, ids: Sequence[str], mapping: Column, name: str = "name", value: str = "value"
+) -> DataFrame:
     """A map column becomes (name, value) rows."""
-    return df.select(F.explode(mapping).alias(name, value))
+    return df.select(*ids, F.explode(mapping).alias(name, value))
 
 
 def across(df: DataFrame, cols: Sequence[str], fn) -> DataFrame:

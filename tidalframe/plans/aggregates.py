@@ -82,12 +82,13 @@ def agg_minmax(spark: SparkSession, root: str) -> DataFrame:
 )
 def agg_median(spark: SparkSession, root: str) -> DataFrame:
     """Exact medians of three groups that share the whole table."""
-    lines = table(spark, root, "lineitem")
-    price = ordered.exact_quantiles(lines, ["l_returnflag"], "l_extendedprice", {"price": 0.5})
-    quantity = ordered.exact_quantiles(lines, ["l_returnflag"], "l_quantity", {"quantity": 0.5})
-    return price.join(quantity, "l_returnflag").select(
-        "l_returnflag", F.round("price", 4).alias("price"), F.round("quantity", 4).alias("quantity")
+    lines = table(spark, root, "lineitem").select(
+        "l_returnflag", F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity")
     )
+    long = shape.longer(lines, ["l_returnflag"], ["price", "quantity"], "what", "v")
+    middle = ordered.exact_quantiles(long, ["l_returnflag", "what"], "v", {"m": 0.5})
+    wide = shape.wider(middle, ["l_returnflag"], "what", "m", ["price", "quantity"])
+    return wide.select("l_returnflag", F.round("price", 4).alias("price"), F.round("quantity", 4).alias("quantity"))
 
 
 @query(

@@ -190,7 +190,7 @@ YEARLY = f"""{PRICES}, yearly AS (
   SELECT c_nationkey, bal_AUTOMOBILE AS v FROM wide UNION ALL SELECT c_nationkey, bal_BUILDING FROM wide
   UNION ALL SELECT c_nationkey, bal_FURNITURE FROM wide UNION ALL SELECT c_nationkey, bal_HOUSEHOLD FROM wide
   UNION ALL SELECT c_nationkey, bal_MACHINERY FROM wide)
-SELECT c_nationkey, round(avg(v), 3) AS bal_mean, round(median(v), 3) AS bal_median, round(stddev_samp(v), 3) AS bal_stdev,
+SELECT c_nationkey, round(avg(v), 5) AS bal_mean, round(median(v), 5) AS bal_median, round(stddev_samp(v), 5) AS bal_stdev,
        CAST(count(*) FILTER (v IS NULL) AS INT) AS bal_missing
 FROM cells GROUP BY 1""",
 )
@@ -199,7 +199,7 @@ def rsh_rowwise(spark: SparkSession, root: str) -> DataFrame:
     out = shape.row_stats(wide, sel.names(wide, sel.starts_with("bal_")), "bal")
     return out.select(
         "c_nationkey",
-        *[F.round(f"bal_{s}", 3).alias(f"bal_{s}") for s in ("mean", "median", "stdev")],
+        *[F.round(f"bal_{s}", 5).alias(f"bal_{s}") for s in ("mean", "median", "stdev")],
         "bal_missing",
     )
 
@@ -228,8 +228,7 @@ def rsh_enframe(spark: SparkSession, root: str) -> DataFrame:
     named = F.create_map(
         F.lit("balance"), F.col("s_acctbal"), F.lit("nation"), F.col("s_nationkey").cast("double")
     )
-    rows = table(spark, root, "supplier")
-    return rows.select("s_suppkey", F.explode(named).alias("name", "value"))
+    return shape.enframe(table(spark, root, "supplier"), ["s_suppkey"], named)
 
 
 @query(

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidalframe.functions import dates
 from tidalframe.operators import (
-    aggregates,
     baselines,
     calendar,
     customers,
@@ -18,11 +17,11 @@ from tidalframe.operators import (
     models,
     splits,
     tuning,
-    windows,
 )
 from tidalframe.operators.features import Roles, Steps
 from tidalframe.operators.models import Design
-from tidalframe.plans.inputs import MONTHLY, kept, monthly_panel, order_days, transactions
+from tidalframe.plans.features import HORIZON, hier_features
+from tidalframe.plans.inputs import MONTHLY, kept, monthly_panel, transactions
 from tidalframe.plans.learners import FLAG, RFM, SPEND
 from tidalframe.plans.registry import query
 from tidalframe.session import cut_lineage
@@ -85,35 +84,21 @@ def study_baselines(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-HORIZON = 28
-ROLLS = (7, 14, 28, 56)
-
-
-def hierarchy_features(spark: SparkSession, root: str) -> DataFrame:
-    """Region and segment totals by day with future rows, long lag, rolling means, calendar."""
-    customers_ = table(spark, root, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
-    nations = table(spark, root, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
-    regions = table(spark, root, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    rows = order_days(spark, root).join(customers_, "o_custkey").join(nations, "c_nationkey").join(regions, "n_regionkey")
-    levels = kept(aggregates.hierarchy(rows, {"region": "r_name", "segment": "c_mktsegment"}, "date", "spend", scale=2))
-    ids = ["category", "identifier"]
-    padded = kept(calendar.pad(levels, ids, "date", "day", 0.0))
-    lagged = windows.add_lags(
-        calendar.with_future(padded, ids, "date", HORIZON, "day"), ids, "date", "value", [HORIZON]
-    )
-    rolled = windows.add_rolling_mean(lagged, ids, "date", f"value_lag{HORIZON}", ROLLS, scale=2)
+def hierarchy_table(spark: SparkSession, root: str) -> DataFrame:
+    """The model table of the hierarchy with a few calendar columns."""
     wanted = ("month", "mday", "wday", "week")
-    return rolled.withColumns({k: v.cast("double") for k, v in dates.signature("date").items() if k in wanted})
+    calendar_columns = {k: v.cast("double") for k, v in dates.signature("date").items() if k in wanted}
+    return hier_features(spark, root).withColumns(calendar_columns)
 
 
 @query("study_hierarchical")
 def study_hierarchical(spark: SparkSession, root: str) -> DataFrame:
     """Two global models and their 2 : 3 blend on a hierarchy; median error per level and model."""
-    table_ = kept(hierarchy_features(spark, root).withColumn("id", F.concat_ws("/", "category", "identifier")))
+    table_ = kept(hierarchy_table(spark, root).withColumn("id", F.concat_ws("/", "category", "identifier")))
     known = table_.where(F.col("value").isNotNull()).dropna("any")
     split = splits.time_split(known, "date", HORIZON)
     lag = f"value_lag{HORIZON}"
-    design = Design("value", (lag, *[f"{lag}_roll_{k}" for k in ROLLS], "month", "mday", "wday", "week"), ("id",))
+    design = Design("value", (lag, *[f"{lag}_roll_{k}" for k in (7, 14, 28, 56)], "month", "mday", "wday", "week"), ("id",))
     train, test = splits.training(split), splits.testing(split)
     keys = ["category", "id", "date", "value"]
     tree = models.predict(models.fit(design, models.boosted(trees=5, depth=4), train), test, keys)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 # Folders made for sessions without a named one, by application.
@@ -59,6 +60,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# A side of at most this many short rows may be sent to every task.
+SMALL = 50_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """A side of a join written down and counted: broadcast if small, else shuffled.
+
+    Meant for tables of a few rows per group joined to all rows of a table. Left
+    to itself Spark learns their size only after it has shuffled the other side.
+    """
+    written = cut_lineage(df)
+    return F.broadcast(written) if written.limit(SMALL + 1).count() <= SMALL else written
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows dealt out evenly by key and written down, for fits that read them many times.
 
