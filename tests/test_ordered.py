@@ -32,6 +32,14 @@ def test_quantiles(spark, skewed):
             assert got[g][name] == pytest.approx(np.quantile(vals, p), abs=1e-9)
 
 
+def test_group_names_do_not_clash(spark, skewed):
+    names = ["n", "at", "what", "part"]
+    df = spark.createDataFrame(skewed, "k long, g string, v double").select(*[F.col("g").alias(n) for n in names], "v")
+    rows = ordered.exact_quantiles(df, names, "v", {"m": 0.5}).collect()
+    want = np.median([r[2] for r in skewed if r[1] == "hot"])
+    assert [r["m"] for r in rows if r["at"] == "hot"] == [pytest.approx(want)]
+
+
 def test_quantiles_of_the_whole_and_of_nothing(spark, skewed):
     df = spark.createDataFrame(skewed, "k long, g string, v double")
     row = ordered.exact_quantiles(df, [], "v", {"m": 0.5}).first()

@@ -64,11 +64,11 @@ def profile(df: DataFrame, cols: Sequence[str], scale: int | None = None) -> Dat
     """
     long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in cols], "column_name", "v")
     counts = counted(long, ["column_name"], "v")
-    known = F.when(F.col("_v").isNotNull(), F.col("n"))
-    added = total(decimal("_v", scale) * F.col("n"))
+    known = F.when(F.col("_v").isNotNull(), F.col("_n"))
+    added = total(decimal("_v", scale) * F.col("_n"))
     base = counts.groupBy("column_name").agg(
-        F.sum("n").alias("n"),
-        F.sum(F.when(F.col("_v").isNull(), F.col("n")).otherwise(0)).alias("n_missing"),
+        F.sum("_n").alias("n"),
+        F.sum(F.when(F.col("_v").isNull(), F.col("_n")).otherwise(0)).alias("n_missing"),
         F.try_divide(added, F.sum(known)).alias("mean"),
         F.min("_v").alias("p0"),
         F.max("_v").alias("p100"),
@@ -78,7 +78,7 @@ def profile(df: DataFrame, cols: Sequence[str], scale: int | None = None) -> Dat
     spread = (
         counts.join(base.select("column_name", "mean"), "column_name")
         .groupBy("column_name")
-        .agg(F.sqrt(F.try_divide(F.sum(gap * gap * F.col("n")), F.sum(known) - 1)).alias("sd"))
+        .agg(F.sqrt(F.try_divide(F.sum(gap * gap * F.col("_n")), F.sum(known) - 1)).alias("sd"))
     )
     quartiles = quantiles_of_counts(counts, ["column_name"], {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     out = base.join(spread, "column_name").join(quartiles, "column_name", "left")
@@ -198,7 +198,7 @@ def seasonal_profile(df: DataFrame, date: str, value: str) -> DataFrame:
     long = keyed.unpivot(["_v"], ["weekday", "month", "quarter", "year"], "feature", "level")
     counts = counted(long.withColumnRenamed("_v", "v"), ["feature", "level"], "v")
     base = counts.groupBy("feature", "level").agg(
-        F.sum(F.when(F.col("_v").isNotNull(), F.col("n")).otherwise(0)).alias("n"),
+        F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)).alias("n"),
         F.min("_v").alias("lowest"),
         F.max("_v").alias("highest"),
     )

@@ -102,13 +102,13 @@ def row_index(df: DataFrame, order: str, out: str = "row_id") -> DataFrame:
 
 
 def counted(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """(by, _v, n): how often each value occurs per group, written down once.
+    """(by, _v, _n): how often each value occurs per group, written down once.
 
     Equal values meet before the first shuffle, so a hot group or a hot value
     costs one row per task. Several passes read the counts, hence the checkpoint.
     """
     kept = df.select(*by, F.col(value).cast("double").alias("_v"))
-    return cut_lineage(kept.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("n")))
+    return cut_lineage(kept.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")))
 
 
 def quantiles_of_counts(counts: DataFrame, by: Sequence[str], probs: dict[str, float]) -> DataFrame:
@@ -122,7 +122,7 @@ def quantiles_of_counts(counts: DataFrame, by: Sequence[str], probs: dict[str, f
     cell = [*by, BUCKET]
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    cells = rows.groupBy(*cell).agg(F.sum("n").alias("_in_cell")).withColumns(
+    cells = rows.groupBy(*cell).agg(F.sum("_n").alias("_in_cell")).withColumns(
         {"_before": F.coalesce(F.sum("_in_cell").over(earlier), F.lit(0)), "_size": F.sum("_in_cell").over(group)}
     )
     wanted = []
@@ -131,29 +131,29 @@ def quantiles_of_counts(counts: DataFrame, by: Sequence[str], probs: dict[str, f
         for side, at in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             wanted.append(
                 F.struct(
-                    F.lit(f"{side}_{name}").alias("what"),
-                    (at - F.col("_before")).alias("at"),
-                    (position - F.floor(position)).alias("part"),
+                    F.lit(f"{side}_{name}").alias("_what"),
+                    (at - F.col("_before")).alias("_at"),
+                    (position - F.floor(position)).alias("_part"),
                 )
             )
-    inside = lambda w: (w["at"] >= 0) & (w["at"] < F.col("_in_cell"))
+    inside = lambda w: (w["_at"] >= 0) & (w["_at"] < F.col("_in_cell"))
     asked = cells.withColumn("_asked", F.filter(F.array(*wanted), inside)).where(F.size("_asked") > 0)
     asked = sized(asked.select(*[F.col(c).alias(f"_k_{c}") for c in cell], "_asked"))
     match = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cell]
     in_cell = Window.partitionBy(*cell).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.join(asked, match).withColumn("_start", F.coalesce(F.sum("n").over(in_cell), F.lit(0)))
-    hit = (F.col("at") >= F.col("_start")) & (F.col("at") < F.col("_start") + F.col("n"))
-    found = placed.select(*by, "_v", "n", "_start", F.inline("_asked")).where(hit)
+    placed = rows.join(asked, match).withColumn("_start", F.coalesce(F.sum("_n").over(in_cell), F.lit(0)))
+    hit = (F.col("_at") >= F.col("_start")) & (F.col("_at") < F.col("_start") + F.col("_n"))
+    found = placed.select(*by, "_v", "_n", "_start", F.inline("_asked")).where(hit)
     ends = found.groupBy(*by).agg(
         *[
-            F.max(F.when(F.col("what") == f"{side}_{name}", F.col(col))).alias(f"_{side}_{name}_{col}")
+            F.max(F.when(F.col("_what") == f"{side}_{name}", F.col(col))).alias(f"_{side}_{name}_{col}")
             for name in probs
-            for side, col in (("lo", "_v"), ("hi", "_v"), ("lo", "part"))
+            for side, col in (("lo", "_v"), ("hi", "_v"), ("lo", "_part"))
         ]
     )
     out = []
     for name in probs:
-        low, high, part = (F.col(f"_{x}_{name}_{c}") for x, c in (("lo", "_v"), ("hi", "_v"), ("lo", "part")))
+        low, high, part = (F.col(f"_{x}_{name}_{c}") for x, c in (("lo", "_v"), ("hi", "_v"), ("lo", "_part")))
         out.append((low + (high - low) * part).alias(name))
     return ends.select(*by, *out)
 
