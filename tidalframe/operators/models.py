@@ -63,12 +63,16 @@ def stages(design: Design) -> list:
     return out
 
 
-def workflow(design: Design, model: Estimator) -> Pipeline:
+def aimed(design: Design, model: Estimator) -> Estimator:
+    """A copy of the learner that predicts the design's target."""
     model = model.copy()
-    label = "labelCol" if model.hasParam("labelCol") else None
-    if label:
-        model.set(model.getParam(label), design.target)
-    return Pipeline(stages=[*stages(design), model])
+    if model.hasParam("labelCol"):
+        model.set(model.getParam("labelCol"), design.target)
+    return model
+
+
+def workflow(design: Design, model: Estimator) -> Pipeline:
+    return Pipeline(stages=[*stages(design), aimed(design, model)])
 
 
 # -- learners ---------------------------------------------------------------
@@ -155,7 +159,11 @@ def probability(scored: DataFrame, out: str = "pred_prob") -> DataFrame:
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    scored = model.transform(df)
+    return tidy(model.transform(df), keep)
+
+
+def tidy(scored: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The kept columns with the prediction, or with class and probability."""
     if "probability" in scored.columns:
         return probability(scored).select(*keep, F.col("prediction").alias("pred_class"), "pred_prob")
     return scored.select(*keep, "prediction")

@@ -12,7 +12,7 @@ from functools import reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -47,21 +47,29 @@ def cross(designs: dict[str, Design], learners: dict[str, Estimator]) -> list[Ca
 
 
 def out_of_fold(
-    df: DataFrame, candidates: Sequence[Candidate], keep: Sequence[str], folds: int, parallel: int = 4
+    df: DataFrame, candidates: Sequence[Candidate], keep: Sequence[str], folds: int, parallel: int = 8
 ) -> DataFrame:
     """Predictions of every candidate on every held-out fold.
 
-    ``df`` carries a ``fold`` column. Fits run a few at a time, each on the
+    ``df`` carries a ``fold`` column. Feature stages are learnt once per design
+    and fold and shared by the learners. Fits run a few at a time, each on the
     whole cluster.
     """
+    designs = list(dict.fromkeys(design for _, design, _ in candidates))
+
+    def prepare(task):
+        design, i = task
+        return task, Pipeline(stages=models.stages(design)).fit(df.where(F.col("fold") != i))
 
     def run(task):
         (name, design, learner), i = task
-        model = models.fit(design, learner, df.where(F.col("fold") != i))
-        held = models.predict(model, df.where(F.col("fold") == i), [*keep, "fold"])
+        ready = prepared[design, i].transform(df)
+        model = models.aimed(design, learner).fit(ready.where(F.col("fold") != i))
+        held = models.tidy(model.transform(ready.where(F.col("fold") == i)), [*keep, "fold"])
         return held.select(F.lit(name).alias("candidate"), "*")
 
     with ThreadPool(parallel) as pool:
+        prepared = dict(pool.map(prepare, list(product(designs, range(folds))), chunksize=1))
         parts = pool.map(run, list(product(candidates, range(folds))), chunksize=1)
     return reduce(DataFrame.unionByName, parts)
 
