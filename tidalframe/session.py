@@ -78,10 +78,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows dealt out evenly by key and written down, for fits that read them many times.
 
     One shuffle is little beside the dozens of passes of an iterative fit, which
-    would otherwise be as slow as the largest unsplittable input file.
+    would otherwise be as slow as the largest unsplittable input file. No number
+    of partitions is given, so that Spark sizes them by what it measures.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return cut_lineage(df.repartition(parts, *keys))
+    return cut_lineage(df.repartition(*keys))
 
 
 def parallelism(spark: SparkSession) -> int:
