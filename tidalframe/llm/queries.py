@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidalframe.llm import fmindex, kdtree, packing, token_counts, token_files, warc
+from tidalframe.llm import dartminhash, divergence, fmindex, kdtree, packing, quality, token_counts, token_files, toxicity, warc
 from tidalframe.sources.tables import table
 
 
@@ -29,10 +29,27 @@ def op3_kd_sharding(spark: SparkSession, root: str) -> DataFrame:
     return kdtree.document_shards(table(spark, root, "documents"))
 
 
+def op4_divergence_rules(spark: SparkSession, root: str) -> DataFrame:
+    found = divergence.quality_rules(table(spark, root, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_dart_minhash(spark: SparkSession, root: str) -> DataFrame:
+    return dartminhash.near_duplicates(table(spark, root, "documents")).select("doc_id", "class_id", "n_links")
+
+
+def op6_quality_network(spark: SparkSession, root: str) -> DataFrame:
+    return quality.quality_scores(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
 def op7_fm_decontamination(spark: SparkSession, root: str) -> DataFrame:
     return fmindex.digest(fmindex.contamination(table(spark, root, "documents"), table(spark, root, "benchmark")))
 
 
+def op8_toxicity_machine(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
 def op9_token_counts(spark: SparkSession, root: str) -> DataFrame:
     return token_counts.token_counts(table(spark, root, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -42,7 +59,19 @@ def op10_web_archive(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_wavelet_tokens, op3_kd_sharding, op7_fm_decontamination, op9_token_counts, op10_web_archive)
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op2_wavelet_tokens,
+        op3_kd_sharding,
+        op4_divergence_rules,
+        op5_dart_minhash,
+        op6_quality_network,
+        op7_fm_decontamination,
+        op8_toxicity_machine,
+        op9_token_counts,
+        op10_web_archive,
+    )
 }
 
 ORACLES: dict[str, str] = {
