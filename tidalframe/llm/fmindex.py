@@ -206,8 +206,7 @@ def cut_spans(text: str, spans: list[int]) -> str:
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
     """Benchmark windows in every whole document, and the text without them.
 
-    Returns doc_id, the ``carried`` columns as they are, text (the hit spans removed),
-    n_words, n_hit, spans (merged, first word and the one after the last, in pairs) and
+    Returns doc_id, text (the hit spans removed), the carried columns as _c_<name>, n_words, n_hit, spans (merged, first word and the one after the last, in pairs) and
     items (ids of the items found, in the benchmark's order). Items and documents without
     words have no windows; a null text stays null; repeated rows are each searched; an
     empty table gives no rows. The benchmark is the stated query set: its items go whole
@@ -215,8 +214,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     """
     asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").collect()
     sought = docs.sparkSession.sparkContext.broadcast(Phrases([(r["item_id"], r["text"]) for r in asked], window))
-    names = list(carried)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *names)
+    names = [f"_c_{c}" for c in carried]
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_c_{c}") for c in carried])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = sought.value
