@@ -42,11 +42,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, root: str) -> DataFram
 
 def decontamination(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
     """All documents, without the benchmark passages in their texts; n_chars follows the text."""
-    found = fmindex.contamination(docs, table(spark, root, "benchmark"), carried=tuple(c for c in docs.columns if c not in ("doc_id", "text")))
+    found = fmindex.contamination(docs, table(spark, root, "benchmark"), carried=_others(docs))
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        found = found.withColumn("n_chars", F.when(F.col("n_hit") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+        found = found.withColumn("_c_n_chars", F.when(F.col("n_hit") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_c_n_chars")))
+    return _kept(found.drop("_c_text").withColumnRenamed("text", "_c_text"), docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:

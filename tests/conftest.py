@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidalframe.session import build_session
 
     session = build_session(
@@ -17,6 +17,7 @@ def spark():
         "tests",
         **{
             "spark.sql.shuffle.partitions": "8",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
