@@ -100,16 +100,14 @@ def classes(texts, threshold=0.8):
             x = parent[x]
         return x
 
-    links = [0] * len(texts)
     for i in range(len(texts)):
         for j in range(i):
             a, b = held[i], held[j]
             if texts[i] == texts[j] or a and b and len(a & b) >= threshold * len(a | b):
-                links[i] += 1
-                links[j] += 1
                 x, y = top(i), top(j)
                 parent[max(x, y)] = min(x, y)
-    return [(top(k), links[k]) for k in range(len(texts))]
+    heads = [top(k) for k in range(len(texts))]
+    return [(x, heads.count(x)) for x in heads]
 
 
 def varied(rng, words, n):
@@ -127,21 +125,21 @@ def test_near_duplicates_against_all_pairs(spark):
     passage = [f"c{k}" for k in range(60)]
     texts += [" ".join(passage + [f"u{rng.randrange(10**6)}" for _ in range(rng.randint(5, 60))]) for _ in range(60)]
     texts += ["", "", "a", "a", " ", "A"]
-    got = {r.doc_id: (r.class_id, r.n_links) for r in dartminhash.near_duplicates(frame(spark, list(enumerate(texts)))).collect()}
+    got = {r.doc_id: (r.class_id, r.class_size) for r in dartminhash.near_duplicates(frame(spark, list(enumerate(texts)))).collect()}
     assert [got[k] for k in range(len(texts))] == classes(texts)
 
 
 def test_a_chain_is_one_class(spark):
     words = [f"w{k}" for k in range(100)]
     texts = [" ".join(words[k * 4 :] + [f"n{j}" for j in range(k * 4)]) for k in range(8)]
-    got = {r.doc_id: (r.class_id, r.n_links) for r in dartminhash.near_duplicates(frame(spark, list(enumerate(texts)))).collect()}
+    got = {r.doc_id: (r.class_id, r.class_size) for r in dartminhash.near_duplicates(frame(spark, list(enumerate(texts)))).collect()}
     assert [got[k] for k in range(8)] == classes(texts) and {x for x, _ in got.values()} == {0}
 
 
 def test_near_duplicates_of_odd_rows(odd, odd_rows, nothing):
     rows = dartminhash.near_duplicates(odd, carried=("uid", "digest")).collect()
     assert len(rows) == len(odd_rows) and {"_c_uid", "_c_digest"} <= set(rows[0].asDict())
-    assert sorted(r.n_links for r in rows if r.doc_id == 4) == [0, 1, 1]
+    assert sorted(r.class_size for r in rows if r.doc_id == 4) == [1, 2, 2]
     assert sum(r.first for r in rows) == len(odd_rows) - 1
     assert dartminhash.near_duplicates(nothing).count() == 0
 

@@ -24,10 +24,9 @@ SHINGLE, THRESHOLD = 5, 0.8
 # Coordinates: at a similarity of 0.8 a pair shares none of 36 bands of 6 coordinates
 # once in 55,000 pairs; at 0.5 it shares one in 4 of 10 cases, which the exact check ends.
 BANDS, ROWS = 36, 6
-# Bits of the sketch that goes with a document (two hashes agree in a bit with
-# probability (1 + similarity) / 2), and the most in which a pair worth checking differs:
-# at the threshold the mean is 25.6 and this is more than six deviations above.
-SKETCH, FURTHEST = 256, 56
+# Bits of a document's parity map. The ones in the difference of two maps are never more
+# than the shingles that only one of two texts has, so they rule out a pair for certain.
+PARITY = 1024
 
 MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -95,11 +94,14 @@ def bands(signature: np.ndarray, rows: int) -> np.ndarray:
     return keys
 
 
-def sketch(signature: np.ndarray) -> np.ndarray:
-    """One bit of each of SKETCH coordinates' hashes (coordinates are used again, mixed anew, if there are fewer)."""
-    n, k = signature.shape
-    turns = [((mixed(signature + np.uint64(t) * MIX[0]) >> np.uint64(17)) & np.uint64(1)).astype(np.uint8) for t in range(-(-SKETCH // k))]
-    return np.packbits(np.concatenate(turns, axis=1)[:, :SKETCH], axis=1).view(">u8").astype(np.int64)
+def parity(keys: np.ndarray, times: np.ndarray | None, owner: np.ndarray, n: int) -> np.ndarray:
+    """Per set a bit for each of PARITY places: whether an odd count of its elements lies there."""
+    if times is not None:
+        strip = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        owner, keys = np.repeat(owner, times), mixed(np.repeat(keys, times) + strip.astype(np.uint64) * MIX[0])
+    place = owner * PARITY + (mixed(keys) % np.uint64(PARITY)).astype(np.int64)
+    odd = np.bincount(place, minlength=n * PARITY).reshape(n, PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(">u8").astype(np.int64)
 
 
 class WordHash(Numbers):
@@ -145,7 +147,7 @@ def distinct(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def signed(docs: DataFrame, weighted: bool, bands_: int = BANDS, rows_: int = ROWS) -> DataFrame:
-    """Per row of (uid, text): uid, digest of the text, weight (of its shingles), sketch, bands."""
+    """Per row of (uid, text): uid, digest of the text, weight (of its shingles), parity map, bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 19):
@@ -156,50 +158,54 @@ def signed(docs: DataFrame, weighted: bool, bands_: int = BANDS, rows_: int = RO
                 weight = np.bincount(owner, weights=times if weighted else None, minlength=len(texts)).astype(np.int64)
                 full = weight > 0
                 held = bands(signature, rows_).view(np.int64)
-                drawn = sketch(signature)
+                drawn = parity(keys, times if weighted else None, owner, len(texts))
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.int64())) for x in (drawn, held)]
             lists[1] = pa.array([x if f else [] for x, f in zip(lists[1].to_pylist(), full, strict=True)], pa.list_(pa.int64())) if not full.all() else lists[1]
             digest = pa.array([xxhash.xxh3_128_digest(t.encode()) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), digest, pa.array(weight), *lists], ["uid", "digest", "weight", "sketch", "bands"])
-
-    return docs.select("uid", "text").mapInArrow(run, "uid long, digest binary, weight long, sketch array<long>, bands array<long>")
+            yield pa.RecordBatch.from_arrays([batch.column(0), digest, pa.array(weight), *lists], ["uid", "digest", "weight", "parity", "bands"])
 
+    return docs.select("uid", "text").mapInArrow(run, "uid long, digest binary, weight long, parity array<long>, bands array<long>")
 
-def similar(pairs: DataFrame, texts: DataFrame, weighted: bool, threshold: float) -> DataFrame:
-    """Of pairs (a, b) of text numbers those whose shingles' similarity reaches ``threshold``.
 
-    Only the shingles of texts in a pair are made, once for each text, and joined to the
-    pairs; a text in many pairs is one row on its side of the join.
-    """
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """Per row of (uid, text) its distinct shingles in order and how often each occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             found = [x or "" for x in batch.column(1).to_pylist()]
             keys, owner, times = distinct(*shingles(found))
-            ends = np.cumsum(np.bincount(owner, minlength=len(found)))
-            offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(found)))]), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int64)))], ["uid", "keys", "times"])
 
+    return texts.select("uid", "text").mapInArrow(run, "uid long, keys array<long>, times array<long>")
+
+
+def lists_of(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, values) of a list column."""
+    column = batch.column(k)
+    return column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+
+
+def similar(pairs: DataFrame, sets: DataFrame, weighted: bool, threshold: float) -> DataFrame:
+    """Of pairs (a, b) of text numbers those whose shingles' similarity reaches ``threshold``."""
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column(0), batch.column(1)
-            sets = [(c.offsets.to_numpy(), c.values.to_numpy(), t.values.to_numpy()) for c, t in ((batch.column(2), batch.column(3)), (batch.column(4), batch.column(5)))]
+            (oa, ka), (_, ta), (ob, kb), (_, tb) = (lists_of(batch, k) for k in range(2, 6))
             keep = np.zeros(batch.num_rows, bool)
             for r in range(batch.num_rows):
-                (ka, ta), (kb, tb) = (((k[o[r] : o[r + 1]]), t[o[r] : o[r + 1]]) for o, k, t in sets)
-                _, ia, ib = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
+                x, y = slice(oa[r], oa[r + 1]), slice(ob[r], ob[r + 1])
+                _, ia, ib = np.intersect1d(ka[x], kb[y], assume_unique=True, return_indices=True)
                 if weighted:
-                    common, every = int(np.minimum(ta[ia], tb[ib]).sum()), int(ta.sum() + tb.sum())
+                    common, every = int(np.minimum(ta[x][ia], tb[y][ib]).sum()), int(ta[x].sum() + tb[y].sum())
                 else:
-                    common, every = len(ia), len(ka) + len(kb)
+                    common, every = len(ia), oa[r + 1] - oa[r] + ob[r + 1] - ob[r]
                 keep[r] = common >= threshold * (every - common)
-            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
 
-    used = pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct()
-    sets = written(texts.join(used, "uid", "left_semi").select("uid", "text").mapInArrow(run, "uid long, keys array<long>, times array<long>"), "shingles")
     one, two = ([F.col("uid").alias(x), F.col("keys").alias(f"k{x}"), F.col("times").alias(f"t{x}")] for x in "ab")
-    joined = pairs.join(sets.select(*one), "a").join(sets.select(*two), "b").select("a", "b", "ka", "ta", "kb", "tb")
-    return joined.mapInArrow(check, "a long, b long")
+    joined = pairs.hint("merge").join(sets.select(*one), "a").hint("merge").join(sets.select(*two), "b")
+    return joined.select("a", "b", "ka", "ta", "kb", "tb").mapInArrow(check, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -225,16 +231,16 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = False, id_col: str = "doc_id", text_col: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
-    """Classes of documents linked by near-equal texts: doc_id, class_id, n_links, first, _c_<carried>.
+    """Classes of documents linked by near-equal texts: doc_id, class_id, class_size, first, _c_<carried>.
 
     Texts are linked if their shingles (runs of five words) have a Jaccard similarity of
     ``threshold`` or more, with ``weighted`` one that counts each shingle as often as it
-    occurs. Equal texts are one from the start. Each band's key gathers texts around two
-    of its own, which are checked against the rest; where a key still holds texts of
-    different classes, all pairs across these that the sketches let through are checked,
-    so no link within a key is lost. class_id is the smallest doc_id of the class, n_links
-    the number of other documents with the same text or a checked link to it, first marks
-    one document of the class, that with the smallest id. Empty texts are equal; texts
+    occurs. Equal texts are one from the start. Every band key has a centre, and a text is
+    first checked against one centre of its keys; where a key then still holds texts of
+    different classes, all pairs across these that parity maps let through are checked,
+    so no link within a key is lost and hardly any pair within a class is made. class_id is
+    the smallest doc_id of the class, class_size its number of documents, first marks one
+    of them, that with the smallest id. Empty texts are equal; texts
     without words are linked to equal texts only; a document with null text is a class of
     its own; null ids come last in a class; repeated rows are a class of copies; an empty
     table gives no rows.
@@ -245,52 +251,57 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
     groups = written(marks.groupBy("digest").agg(F.min("uid").alias("text_id"), F.count(F.lit(1)).alias("copies")), "texts")
     heads = marks.join(groups.select(F.col("text_id").alias("uid")), "uid", "left_semi")
     keys = heads.select("uid", F.posexplode("bands").alias("band", "key")).select("uid", F.xxhash64("band", "key").alias("key"))
-    turn = F.struct(F.xxhash64("uid", "key").alias("h"), F.col("uid").alias("uid"))
-    shared = keys.groupBy("key").agg(F.min(turn).alias("low"), F.max(turn).alias("high")).filter("low.uid <> high.uid").select("key", F.col("low.uid").alias("low"), F.col("high.uid").alias("high"))
-    members = written(keys.join(shared, "key"), "members")
-    ends = members.select("uid", F.explode(F.array("low", "high")).alias("other")).filter("uid <> other")
-    pair = lambda df, x, y: df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
-    profile = heads.select("uid", "weight", "sketch")
-    tried = written(worth(pair(ends, "uid", "other"), profile, threshold), "pairs")
-    links = written(similar(tried, rows, weighted, threshold), "similar")
+    turn = F.struct(F.xxhash64("uid").alias("h"), F.col("uid").alias("uid"))
+    shared = keys.groupBy("key").agg(F.min(turn).alias("low"), F.max(turn).alias("high")).filter("low.uid <> high.uid").select("key", "low")
+    # No side of these joins has a bound on its size, so none may be broadcast.
+    members = written(keys.hint("merge").join(shared, "key"), "members")
+    centres = members.groupBy("uid").agg(F.min("low").alias("low")).select("uid", F.col("low.uid").alias("centre"))
+    sets = written(shingle_sets(rows.hint("merge").join(centres.select("uid"), "uid", "left_semi")), "shingles")
+    profile = heads.select("uid", "weight", *[F.col("parity")[k].alias(f"p{k}") for k in range(PARITY // 64)])
+    tried = written(worth(pair(centres.filter("uid <> centre"), "uid", "centre"), profile, threshold), "pairs")
+    links = written(similar(tried, sets, weighted, threshold), "similar")
     found = components(links)
     # What is left: keys whose texts are in more than one class.
-    placed = members.select("key", "uid").join(found, "uid", "left").select("key", "uid", F.coalesce("class", "uid").alias("class"))
+    placed = members.select("key", "uid").hint("merge").join(found, "uid", "left").select("key", "uid", F.coalesce("class", "uid").alias("class"))
+    placed = written(placed, "placed")
     mixed_ = placed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("key")
-    left = written(placed.join(mixed_, "key").join(profile, "uid"), "open")
+    open_ = written(placed.hint("merge").join(mixed_, "key", "left_semi"), "open")
+    left = open_.hint("merge").join(profile, "uid")
     x, y = left.alias("x"), left.alias("y")
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.uid") < F.col("y.uid")) & (F.col("x.class") != F.col("y.class")) & near("x", "y", threshold))
-    rest = pair(rest.select(F.col("x.uid").alias("p"), F.col("y.uid").alias("q")), "p", "q").join(tried, ["a", "b"], "left_anti")
-    rest = written(rest, "rest")
-    more = written(similar(rest, rows, weighted, threshold), "more")
-    links = links.union(more)
-    found = written(components(links), "classes") if not more.isEmpty() else found
-    return labelled(rows, marks, groups, links, found, carried)
+    rest = x.hint("merge").join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.uid") < F.col("y.uid")) & (F.col("x.class") != F.col("y.class")) & near("x", "y", threshold))
+    rest = pair(rest.select(F.col("x.uid").alias("p"), F.col("y.uid").alias("q")), "p", "q").hint("merge").join(tried, ["a", "b"], "left_anti")
+    more = written(similar(written(rest, "rest"), sets, weighted, threshold), "more")
+    found = components(links.union(more)) if not more.isEmpty() else found
+    return labelled(rows, marks, groups, found, carried)
+
+
+def pair(df: DataFrame, x: str, y: str) -> DataFrame:
+    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
 def near(x: str, y: str, threshold: float):
-    """Whether weights and sketches of two sides of a join allow the similarity."""
-    differ = sum((F.bit_count(F.col(f"{x}.sketch")[k].bitwiseXOR(F.col(f"{y}.sketch")[k])) for k in range(SKETCH // 64)), F.lit(0))
+    """Whether weights and parity maps of two sides of a join allow the similarity. It never rules out one that has it."""
+    differ = sum((F.bit_count(F.col(f"{x}.p{k}").bitwiseXOR(F.col(f"{y}.p{k}"))) for k in range(PARITY // 64)), F.lit(0))
     a, b = F.col(f"{x}.weight"), F.col(f"{y}.weight")
-    return (a >= threshold * b) & (b >= threshold * a) & (differ <= FURTHEST)
+    return (a >= threshold * b) & (b >= threshold * a) & (differ <= F.floor((a + b) * (1 - threshold) / (1 + threshold) + 1e-6))
 
 
 def worth(pairs: DataFrame, profile: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose weights and sketches allow the similarity."""
+    """Pairs whose weights and parity maps allow the similarity."""
     x, y = profile.alias("x"), profile.alias("y")
-    joined = pairs.join(x, F.col("a") == F.col("x.uid")).join(y, F.col("b") == F.col("y.uid"))
+    joined = pairs.hint("merge").join(x, F.col("a") == F.col("x.uid")).hint("merge").join(y, F.col("b") == F.col("y.uid"))
     return joined.filter(near("x", "y", threshold)).select("a", "b")
 
 
-def labelled(rows: DataFrame, marks: DataFrame, groups: DataFrame, links: DataFrame, found: DataFrame, carried: tuple[str, ...]) -> DataFrame:
+def labelled(rows: DataFrame, marks: DataFrame, groups: DataFrame, found: DataFrame, carried: tuple[str, ...]) -> DataFrame:
     """Every document with its class: copies take that of their text."""
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copies = groups.select(F.col("text_id").alias("b"), "copies")
-    linked = both.join(copies, "b").groupBy("a").agg(F.sum("copies").alias("linked")).withColumnRenamed("a", "text_id")
-    texts = groups.join(linked, "text_id", "left").join(found.withColumnRenamed("uid", "text_id"), "text_id", "left")
-    texts = texts.select("digest", F.coalesce("class", "text_id").alias("_class"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
-    own = marks.select("uid", "digest").join(texts, "digest").drop("digest")
-    every = rows.drop("text").join(own, "uid", "left").withColumn("_class", F.coalesce("_class", "uid"))
-    head = every.groupBy("_class").agg(F.min("doc_id").alias("class_id"), F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "uid")).alias("head"))
-    out = every.join(head, "_class")
-    return out.select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), (F.col("uid") == F.col("head.uid")).alias("first"), *[f"_c_{c}" for c in carried])
+    texts = groups.hint("merge").join(found.withColumnRenamed("uid", "text_id"), "text_id", "left")
+    texts = texts.select("digest", F.coalesce("class", "text_id").alias("_class"))
+    own = marks.select("uid", "digest").hint("merge").join(texts, "digest").drop("digest")
+    every = rows.select("uid", "doc_id").hint("merge").join(own, "uid", "left").withColumn("_class", F.coalesce("_class", "uid"))
+    every = written(every, "labelled")
+    head = every.groupBy("_class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "uid")).alias("head"))
+    out = every.hint("merge").join(head, "_class").select("uid", "doc_id", "class_id", "class_size", (F.col("uid") == F.col("head.uid")).alias("first"))
+    if not carried:
+        return out.drop("uid")
+    return rows.drop("doc_id", "text").hint("merge").join(out, "uid").select("doc_id", "class_id", "class_size", "first", *[f"_c_{c}" for c in carried])

@@ -35,7 +35,7 @@ def op4_divergence_rules(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op5_dart_minhash(spark: SparkSession, root: str) -> DataFrame:
-    return dartminhash.near_duplicates(table(spark, root, "documents")).select("doc_id", "class_id", "n_links")
+    return dartminhash.near_duplicates(table(spark, root, "documents")).select("doc_id", "class_id", "class_size")
 
 
 def op6_quality_network(spark: SparkSession, root: str) -> DataFrame:
