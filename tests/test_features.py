@@ -79,11 +79,11 @@ def test_steps_learn_on_train_only(spark):
     assert [r["x"] for r in apply(train).orderBy("id").collect()] == [-1.0, 1.0, 0.0]
 
 
-def test_too_many_levels_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(features, "WIDEST", 3)
-    df = spark.range(10).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError):
-        features.dummies(lambda d: ["c"])(df)
+def test_levels_that_clean_to_one_name_get_columns_of_their_own(spark):
+    df = spark.createDataFrame([(v, 1) for v in ("a b", "a-b", "a_b", "x")], "c string, c_x int")
+    out = features.dummies(lambda d: ["c"], one_hot=True)(df)(df)
+    assert out.columns == ["c_x", "c_a_b", "c_a_b_2", "c_a_b_3", "c_x_2"]
+    assert all(sum(r[1:]) == 1 for r in out.collect())
 
 
 def gower_by_hand(rows, number, cats, k):

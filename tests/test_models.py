@@ -35,8 +35,18 @@ def test_least_squares_recovers_truth(rows):
     assert err < 1e-6
 
 
-def test_learn_rate_is_clamped():
-    assert models.boosted(learn_rate=2.0).getStepSize() == 1.0
+def test_learn_rate_beyond_one_is_an_error():
+    assert models.boosted(learn_rate=1.0).getStepSize() == 1.0
+    with pytest.raises(ValueError):
+        models.boosted(learn_rate=2.0)
+
+
+def test_thousands_of_series_share_hashed_slots(spark):
+    rows = spark.range(40_000).selectExpr("concat('s', id % 20000) as id", "cast(id % 7 as double) as x", "cast(id % 7 + if(id % 2 = 0, 1, 0) as double) as y")
+    design = Design("y", ("x",), hashed=("id",), slots=256)
+    model = models.fit(design, models.linear(), rows)
+    assert model.stages[-1].numFeatures == 257
+    assert models.predict(model, rows, ["id"]).count() == 40_000
 
 
 def test_more_trees_fit_better(rows):

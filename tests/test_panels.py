@@ -112,8 +112,11 @@ def test_linear_and_stepwise_recursion_agree(panel):
     one = recursive.linear_recursion(state, "id", 3.0, weights, 15)
     predict = lambda df: df.withColumn("prediction", 3.0 + 0.5 * F.col("lag1") + 0.4 * F.col("lag12"))
     two = recursive.model_recursion(state, "id", predict, [1, 12], 15, checkpoint_every=4)
-    a = {(r["id"], r["h"]): r["value"] for r in one.collect()}
-    b = {(r["id"], r["h"]): r["value"] for r in two.collect()}
+    for out in (one, two):
+        short = out.where("error IS NOT NULL").collect()
+        assert [(r["id"], r["h"], r["value"]) for r in short] == [("short", None, None)]
+    a = {(r["id"], r["h"]): r["value"] for r in one.where("error IS NULL").collect()}
+    b = {(r["id"], r["h"]): r["value"] for r in two.where("error IS NULL").collect()}
     assert a.keys() == b.keys() and {k[0] for k in a} == {"long", "gap"}
     assert all(a[k] == pytest.approx(b[k]) for k in a)
 

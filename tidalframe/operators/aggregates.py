@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,26 +110,25 @@ def series_diagnostics(panel: DataFrame, ids: Sequence[str], date: str) -> DataF
     return out.withColumn("scale", scale)
 
 
+# Pairs of columns whose moments are added up in one pass.
+PAIRS = 400
+
+
 def correlation(wide: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Correlation matrix of columns as (x, y, r) rows, incomplete rows dropped.
 
-    Up to 32 columns every entry is one aggregate of a single pass. Beyond that
-    the Gram matrix of the assembled vectors is used. Neither pairs up rows.
+    Every entry is an aggregate, some hundred of them a pass; no rows are paired up.
+    A column that does not vary has no correlation with another one.
     """
     full = wide.select(*cols).dropna("any")
-    if len(cols) > 32:
-        vec = VectorAssembler(inputCols=list(cols), outputCol="_x").transform(full)
-        values = Correlation.corr(vec, "_x").first()[0].toArray()
-        rows = [(a, b, float(values[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-        out = wide.sparkSession.createDataFrame(rows, "x string, y string, r double")
-        return out.withColumn("r", F.round("r", digits))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    one = full.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [F.struct(F.lit(a).alias("x"), F.lit(a).alias("y"), F.lit(1.0).alias("r")) for a in cols]
-    for i, (a, b) in enumerate(pairs):
-        for x, y in ((a, b), (b, a)):
-            cells.append(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"{i}").alias("r")))
-    out = one.select(F.inline(F.array(*cells)))
+    same = [F.struct(F.lit(a).alias("x"), F.lit(a).alias("y"), F.lit(1.0).alias("r")) for a in cols]
+    out = full.limit(1).select(F.inline(F.array(*same))) if cols else None
+    for at in range(0, len(pairs), PAIRS):
+        own = pairs[at : at + PAIRS]
+        r = [F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)).alias(f"{i}") for i, (a, b) in enumerate(own)]
+        cells = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"{i}").alias("r")) for i, (a, b) in enumerate(own) for x, y in ((a, b), (b, a))]
+        out = out.unionByName(full.agg(*r).select(F.inline(F.array(*cells))))
     return out.select("x", "y", F.round("r", digits).alias("r"))
 
 
@@ -203,4 +200,4 @@ def seasonal_profile(df: DataFrame, date: str, value: str) -> DataFrame:
         F.max("_v").alias("highest"),
     )
     box = quantiles_of_counts(counts, ["feature", "level"], {"q1": 0.25, "med": 0.5, "q3": 0.75})
-    return base.join(box, ["feature", "level"])
+    return base.join(box, ["feature", "level"], "left")

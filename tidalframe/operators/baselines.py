@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidalframe.operators.joins import by_group
 from tidalframe.functions.exact import mean
 from tidalframe.operators.windows import panel_tail
 
@@ -37,8 +38,8 @@ def window_forecast(
     stat: str = "median",
     scale: int | None = None,
 ) -> DataFrame:
-    """The window level repeated over the rows of ``future``."""
-    return future.join(window_level(train, ids, date, value, size, stat, scale), list(ids))
+    """The window level repeated over the rows of ``future``; null for a series without training rows."""
+    return by_group(future, window_level(train, ids, date, value, size, stat, scale), list(ids), "left")
 
 
 def window_levels(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidalframe.operators.joins import by_group
 from tidalframe.functions import dates
 
 # Spark interval text per period.
@@ -35,7 +36,7 @@ def filter_by_time(df: DataFrame, date: str, start: str | None = None, end: str
 def last_period(df: DataFrame, ids: Sequence[str], date: str, period: str) -> DataFrame:
     """Rows on or after each series' last date minus a period."""
     ends = df.groupBy(*ids).agg(F.max(date).alias("_end"))
-    joined = df.join(ends, list(ids))
+    joined = by_group(df, ends, list(ids))
     return joined.where(F.col(date) >= dates.minus("_end", period)).drop("_end")
 
 
@@ -58,11 +59,15 @@ def pad(df: DataFrame, ids: Sequence[str], date: str, unit: str = "day", fill: f
 
 
 def likely_step(panel: DataFrame, ids: Sequence[str], date: str) -> DataFrame:
-    """First date, last date and most frequent step (in days) of each series."""
+    """Last date and most frequent step (in days) of each series.
+
+    A series of one date takes the step most frequent in the panel, a day if there is none.
+    """
     w = Window.partitionBy(*ids).orderBy(date)
     gaps = panel.select(*ids, date, F.datediff(date, F.lag(date).over(w)).alias("_gap"))
+    usual = gaps.agg(F.mode("_gap", True)).scalar()
     return gaps.groupBy(*ids).agg(
-        F.max(date).alias("_end"), F.mode("_gap", True).alias("_gap")
+        F.max(date).alias("_end"), F.coalesce(F.mode("_gap", True), usual, F.lit(1)).alias("_gap")
     )
 
 

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidalframe.functions.names import free_name
 from tidalframe.functions import selectors
 from tidalframe.functions.selectors import Selector
 from tidalframe.operators.ordered import exact_quantiles, row_index
@@ -153,37 +154,29 @@ def discretize(col: str, bins: int) -> Step:
     return learn
 
 
-# Most levels a category may have to become separate columns.
-WIDEST = 10_000
-
-
 def levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
-    """Sorted distinct values of category columns that are to become columns."""
-    out = {}
-    for c in cols:
-        found = df.select(c).where(F.col(c).isNotNull()).distinct().limit(WIDEST + 1).collect()
-        if len(found) > WIDEST:
-            raise ValueError(f"{c} has over {WIDEST} levels: use the sparse encoder of models.stages")
-        out[c] = sorted(r[0] for r in found)
-    return out
+    """Sorted distinct values of category columns that are to become columns, one column each."""
+    return {c: sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect()) for c in cols}
 
 
 def dummies(cols: Selector, one_hot: bool = False) -> Step:
     """0/1 columns per level in alphabetical order, the first left out unless one-hot.
 
-    Meant for columns of few levels; models with wide categories go through the
-    sparse encoder of ``models.stages``.
+    Meant for columns of few levels, each of which the plan names; categories of any
+    number of levels go through the hashed slots of ``models.Design``.
     """
 
     def learn(train: DataFrame) -> Apply:
         chosen = cols(train)
         known = levels(train, chosen)
-        flags = []
+        flags, names = [], []
         for c in chosen:
             for level in known[c] if one_hot else known[c][1:]:
                 name = "".join(ch if ch.isalnum() else "_" for ch in str(level))
                 flag = F.when(F.col(c).isNotNull(), (F.col(c) == F.lit(level)).cast("int"))
-                flags.append(flag.alias(f"{c}_{name}"))
+                taken = free_name(f"{c}_{name}", [*(x for x in train.columns if x not in chosen), *names])
+                names.append(taken)
+                flags.append(flag.alias(taken))
 
         return lambda df: df.select(*[c for c in df.columns if c not in chosen], *flags)
 

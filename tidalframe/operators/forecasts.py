@@ -10,12 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidalframe.functions.quantiles import normal_quantile
 from tidalframe.operators.joins import bind_rows
 
-# Two-sided normal quantiles.
-Z = {0.95: 1.959964, 0.99: 2.575829}
-
-
 def model_table(spark: SparkSession, *descriptions: str) -> DataFrame:
     rows = [(i, d) for i, d in enumerate(descriptions, 1)]
     return spark.createDataFrame(rows, "model_id int, model_desc string")
@@ -45,7 +42,7 @@ def interval_width(calibrated: DataFrame, by: Sequence[str], level: float) -> Da
     n = F.count("residual")
     squares = F.sum(F.col("residual") * F.col("residual"))
     sd = F.sqrt(F.try_divide(2 * squares, 2 * n - 1))
-    return calibrated.groupBy(*by).agg((F.lit(Z[level]) * sd).alias("_reach"))
+    return calibrated.groupBy(*by).agg((F.lit(round(normal_quantile((1 + level) / 2), 6)) * sd).alias("_reach"))
 
 
 def forecast_table(

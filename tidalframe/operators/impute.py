@@ -66,7 +66,7 @@ def _candidates(
 
 
 def gower(number: str, cats: Sequence[str], reach: Column, donor: Column) -> Column:
-    parts = [F.abs(F.col(number) - donor[number]) / reach]
+    parts = [F.coalesce(F.try_divide(F.abs(F.col(number) - donor[number]), reach), F.lit(0.0))]
     parts += [F.when(F.col(c) == donor[c], 0.0).otherwise(1.0) for c in cats]
     total = parts[0]
     for p in parts[1:]:

@@ -14,6 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def by_group(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null being equal to null; the keys come from the left."""
+    named = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return left.join(named, same, how).drop(*[f"_k_{k}" for k in keys])
+
+
 def left_join_by(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Left join on keys of different names; the left key is kept."""
     return left.join(right.withColumnRenamed(right_key, left_key), left_key, "left")

@@ -13,7 +13,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     GBTRegressor,
@@ -27,13 +27,19 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Design:
-    """Target and predictors of a model."""
+    """Target and predictors of a model.
+
+    ``nominal`` columns get a slot for each level, which the driver lists; ``hashed`` ones,
+    such as ids, share ``slots`` slots by a hash, however many values they have.
+    """
 
     target: str
     numeric: tuple[str, ...] = ()
     nominal: tuple[str, ...] = ()
     scaled: bool = False
     one_hot: bool = True
+    hashed: tuple[str, ...] = ()
+    slots: int = 1024
 
 
 def stages(design: Design) -> list:
@@ -56,6 +62,10 @@ def stages(design: Design) -> list:
             inputs += flags
         else:
             inputs += codes
+    if design.hashed:
+        hasher = FeatureHasher(inputCols=list(design.hashed), outputCol="hashed_flags", numFeatures=design.slots)
+        out.append(hasher.setCategoricalCols(list(design.hashed)))
+        inputs.append("hashed_flags")
     raw = "raw_features" if design.scaled else "features"
     out.append(VectorAssembler(inputCols=inputs, outputCol=raw, handleInvalid="keep"))
     if design.scaled:
@@ -87,11 +97,13 @@ def boosted(
     min_gain: float = 0.0,
     seed: int = 1,
 ) -> Estimator:
-    """Gradient-boosted trees. A learn rate above 1 is taken as 1, Spark's limit."""
+    """Gradient-boosted trees. Spark's learn rates end at 1; a larger one is an error."""
+    if not 0 < learn_rate <= 1:
+        raise ValueError(f"a learn rate lies above 0 and up to 1, not at {learn_rate}")
     kind = GBTRegressor if mode == "regression" else GBTClassifier
     return kind(
         maxIter=trees,
-        stepSize=min(learn_rate, 1.0),
+        stepSize=learn_rate,
         minInstancesPerNode=min_n,
         maxDepth=depth,
         minInfoGain=min_gain,

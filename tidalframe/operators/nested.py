@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidalframe.operators.joins import by_group
 from tidalframe.operators.calendar import future_rows
 
 
@@ -54,7 +55,7 @@ def length_tier(panel: DataFrame, id: str, long_test: int, short_test: int) -> D
     """Add the test length each series can bear: the long one, else the short one."""
     sizes = panel.groupBy(id).agg(F.count(F.lit(1)).alias("_n"))
     tier = F.when(F.col("_n") > long_test, long_test).otherwise(short_test)
-    return panel.join(sizes.select(id, tier.alias("test_length")), id)
+    return by_group(panel, sizes.select(id, tier.alias("test_length")), [id])
 
 
 def split_by_tier(tiered: DataFrame, id: str, date: str) -> DataFrame:

@@ -16,14 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidalframe.session import cut_lineage, parallelism, sized
+from tidalframe.operators.joins import by_group
+from tidalframe.session import cut_lineage, parallelism
 
 BUCKET = "_bucket"
 
 
 def edges(df: DataFrame, col: str, parts: int | None = None) -> list[float]:
-    """Approximate quantiles of a numeric column: at most ``parts - 1`` numbers."""
-    parts = parts or parallelism(df.sparkSession)
+    """Approximate quantiles of a numeric column: at most ``parts - 1`` numbers, as many as the rows ask for."""
+    parts = parts or parallelism(df.sparkSession, df.count())
     cuts = [i / parts for i in range(1, parts)]
     found = df.agg(F.percentile_approx(F.col(col).cast("double"), cuts, 20 * parts)).first()[0]
     return sorted(set(found or []))
@@ -77,28 +78,22 @@ def running_totals(
     )
 
 
-def order_number(col: str, kind: str) -> Column:
-    """A number that never decreases along the column's own order.
+def row_index(df: DataFrame, order: str, out: str = "row_id") -> DataFrame:
+    """Dense 1..n over a unique column of any type that can be ordered.
 
-    For text it is made of the first six bytes; texts that share them fall into
-    one bucket and are told apart there.
+    The column alone is dealt out by its own ranges and written down; counts per range
+    give each range its offset.
     """
-    if kind == "date":
-        return F.unix_date(col).cast("double")
-    if kind == "string":
-        head = F.rpad(F.hex(F.substring(F.encode(F.col(col), "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return F.col(col).cast("double")
-
-
-def row_index(df: DataFrame, order: str, out: str = "row_id") -> DataFrame:
-    """Dense 1..n over a unique column."""
-    keyed = df.withColumn("_order", order_number(order, dict(df.dtypes)[order])).withColumn(
-        "_one", F.lit(1).cast("long")
+    keys = df.select(order)
+    parts = parallelism(df.sparkSession, keys.count())
+    dealt = keys.repartitionByRange(parts, order).select(
+        order, F.spark_partition_id().cast("double").alias(BUCKET), F.lit(1).cast("long").alias("_one")
     )
-    bucketed = with_bucket(keyed, "_order", edges(keyed, "_order"))
-    ranked = running_totals(bucketed, [], [order], ["_one"])
-    return ranked.select((F.col("before__one") + 1).alias(out), *df.columns)
+    ranked = running_totals(cut_lineage(dealt), [], [order], ["_one"])
+    numbers = ranked.select((F.col("before__one") + 1).alias(out), order)
+    if df.columns == [order]:
+        return numbers
+    return by_group(df, numbers, [order]).select(out, *df.columns)
 
 
 def counted(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -138,7 +133,7 @@ def quantiles_of_counts(counts: DataFrame, by: Sequence[str], probs: dict[str, f
             )
     inside = lambda w: (w["_at"] >= 0) & (w["_at"] < F.col("_in_cell"))
     asked = cells.withColumn("_asked", F.filter(F.array(*wanted), inside)).where(F.size("_asked") > 0)
-    asked = sized(asked.select(*[F.col(c).alias(f"_k_{c}") for c in cell], "_asked"))
+    asked = cut_lineage(asked.select(*[F.col(c).alias(f"_k_{c}") for c in cell], "_asked"))
     match = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cell]
     in_cell = Window.partitionBy(*cell).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.join(asked, match).withColumn("_start", F.coalesce(F.sum("_n").over(in_cell), F.lit(0)))
@@ -204,7 +199,7 @@ def hashed_cuts(
         F.struct(F.lit(name).alias("_quota"), (q.cast("long") - F.col("_before")).alias("_nth")) for name, q in quotas.items()
     ]
     filled = placed.select(*[F.col(c).alias(f"_k_{c}") for c in (*by, "_cell")], "_n", F.inline(F.array(*wanted)))
-    filled = sized(filled.where((F.col("_nth") > 0) & (F.col("_nth") <= F.col("_n"))).drop("_n"))
+    filled = cut_lineage(filled.where((F.col("_nth") > 0) & (F.col("_nth") <= F.col("_n"))).drop("_n"))
     match = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*by, "_cell")]
     asked = rows.join(filled, match)
     order = Window.partitionBy(*by, "_cell", "_quota").orderBy("_place")
@@ -213,7 +208,7 @@ def hashed_cuts(
     found = at.groupBy(*by).agg(
         *[F.max(F.when(F.col("_quota") == name, F.col("_place"))).alias(name) for name in quotas]
     )
-    return cut_lineage(found) if strata is None else sized(strata.join(found, by, "left"))
+    return cut_lineage(found if strata is None else by_group(strata, found, by, "left"))
 
 
 def top_rows(df: DataFrame, by: Sequence[str], order: Sequence, n: int) -> DataFrame:

@@ -26,12 +26,18 @@ def trend_season(date: str, origin: str, season_days: float = 365.25, waves: int
 
 
 def gram_sums(df: DataFrame, id: str, features: Sequence[str], target: str) -> DataFrame:
-    """Per series: sums of products of all features and of features with target."""
+    """Per series: sums of products of all features and of features with target, over complete rows.
+
+    A series without any has n = 0.
+    """
     cols = [*features, target]
+    known = F.lit(True)
+    for c in cols:
+        known = known & F.col(c).isNotNull()
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     return df.groupBy(id).agg(
-        F.count(target).alias("n"),
-        F.array(*[F.sum(F.col(a) * F.col(b)) for a, b in pairs]).alias("sums"),
+        F.count(F.when(known, 1)).alias("n"),
+        F.array(*[F.coalesce(F.sum(F.when(known, F.col(a) * F.col(b))), F.lit(0.0)) for a, b in pairs]).alias("sums"),
     )
 
 

@@ -27,7 +27,10 @@ def tail_state(panel: DataFrame, id: str, date: str, value: str, n: int) -> Data
 def linear_recursion(
     state: DataFrame, id: str, intercept: float, weights: dict[int, float], horizon: int
 ) -> DataFrame:
-    """A linear model of lags, all steps in one expression; rows (id, h, value)."""
+    """A linear model of lags, all steps in one expression; rows (id, h, value, error).
+
+    A series shorter than the longest lag is one row with the error.
+    """
     longest = max(weights)
 
     def step(acc: Column, _: Column) -> Column:
@@ -40,7 +43,15 @@ def linear_recursion(
     grown = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step)
     ahead = F.slice(grown, longest + 1, horizon)
     long = state.where(F.size("tail") >= longest).select(id, F.posexplode(ahead).alias("h", "value"))
-    return long.withColumn("h", F.col("h") + 1)
+    return long.select(id, (F.col("h") + 1).alias("h"), "value", F.lit(None).cast("string").alias("error")).unionByName(
+        too_short(state, longest).select(id, F.lit(None).cast("int").alias("h"), F.lit(None).cast("double").alias("value"), "error")
+    )
+
+
+def too_short(state: DataFrame, longest: int) -> DataFrame:
+    """Series whose history does not reach back to the longest lag, and why they have no forecast."""
+    short = state.where(F.size("tail") < longest)
+    return short.withColumn("error", F.concat(F.size("tail").cast("string"), F.lit(f" values, the longest lag is {longest}")))
 
 
 def model_recursion(
@@ -52,7 +63,9 @@ def model_recursion(
     step_features: Callable[[Column], dict[str, Column]] | None = None,
     checkpoint_every: int = 6,
 ) -> DataFrame:
-    """Any fitted model, one transform per step; rows (id, h, value).
+    """Any fitted model, one transform per step; rows (id, last_date, h, value, error).
+
+    A series shorter than the longest lag is one row with the error.
 
     ``predict`` adds a ``prediction`` column from columns ``lag<k>`` and those
     of ``step_features(h)``. The growing plan is cut by reliable checkpoints.
@@ -74,4 +87,5 @@ def model_recursion(
         if h % checkpoint_every == 0 and h < horizon:
             now = cut_lineage(now)
     long = now.select(id, "last_date", F.posexplode("_path").alias("h", "value"))
-    return long.withColumn("h", F.col("h") + 1)
+    long = long.withColumn("h", F.col("h") + 1).withColumn("error", F.lit(None).cast("string"))
+    return long.unionByName(too_short(state, longest).select(id, "last_date", "error"), allowMissingColumns=True)

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidalframe.operators.joins import by_group
+
 
 def divisors(m: int) -> list[int]:
     return [d for d in range(1, m + 1) if m % d == 0]
@@ -46,7 +48,7 @@ def node_forecasts(panel: DataFrame, ids: Sequence[str], date: str, value: str,
     back = Window.partitionBy(*ids).orderBy(F.col(date).desc())
     placed = panel.select(*ids, F.col(value).alias("_v"), (F.row_number().over(back) - 1).alias("_back"))
     sizes = placed.groupBy(*ids).agg(F.floor(F.count(F.lit(1)) / m).alias("_full"))
-    recent = placed.join(sizes, ids).where(
+    recent = by_group(placed, sizes, ids).where(
         F.col("_back") < F.least(F.col("_full"), F.lit(seasons)) * m
     )
     slot = (m - 1) - F.pmod(F.col("_back"), F.lit(m))

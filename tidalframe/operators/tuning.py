@@ -17,22 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidalframe.functions.quantiles import t_quantile
 from tidalframe.operators import models
 from tidalframe.operators.models import Design
 
-# 97.5 % quantiles of Student's t by degrees of freedom.
-T975 = {
-    1: 12.706205,
-    2: 4.302653,
-    3: 3.182446,
-    4: 2.776445,
-    5: 2.570582,
-    6: 2.446912,
-    7: 2.364624,
-    8: 2.306004,
-    9: 2.262157,
-}
-
 Candidate = tuple[str, Design, Estimator]
 
 
@@ -116,7 +104,7 @@ def race(
             gaps = [a - b for a, b in zip(scores[c], scores[leader])]
             mean = sum(gaps) / n
             sd = math.sqrt(sum((g - mean) ** 2 for g in gaps) / (n - 1))
-            if mean - T975[n - 1] * sd / math.sqrt(n) <= 0:
+            if mean - t_quantile(0.975, n - 1) * sd / math.sqrt(n) <= 0:
                 stay.append(c)
         alive = stay
     rows = [(c, len(s), sum(s) / len(s), c not in alive) for c, s in scores.items() if s]

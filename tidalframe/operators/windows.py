@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from tidalframe.operators.joins import by_group
 from tidalframe.functions.exact import mean, total
 
 
@@ -104,7 +105,7 @@ def standardise(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
         *[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"_s_{c}") for c in cols]
     )
     if by:
-        joined = df.join(stats, list(by))
+        joined = by_group(df, stats, list(by))
         middle, sd = (lambda c: F.col(f"_m_{c}")), (lambda c: F.col(f"_s_{c}"))
     else:
         joined = df

@@ -95,13 +95,12 @@ SCORED = f"""{RFM}, scored AS (SELECT *, round(1 / (1 + exp(-(0.25 * frequency -
 @query(
     "rfm_questions",
     f"""WITH {SCORED}
-SELECT * FROM (SELECT 'likely to spend' AS question, customer_id, pred_prob, pred_total FROM scored ORDER BY pred_prob DESC, customer_id LIMIT 20)
+SELECT 'likely to spend' AS question, customer_id, pred_prob, pred_total FROM scored
 UNION ALL SELECT 'recent but unlikely', customer_id, pred_prob, pred_total FROM scored WHERE recency > -90 AND pred_prob < 0.2
-UNION ALL SELECT * FROM (SELECT 'missed', customer_id, pred_prob, pred_total FROM scored WHERE spend_90_total = 0
-  ORDER BY pred_total DESC, customer_id LIMIT 20)""",
+UNION ALL SELECT 'missed', customer_id, pred_prob, pred_total FROM scored WHERE spend_90_total = 0""",
 )
 def rfm_questions(spark: SparkSession, root: str) -> DataFrame:
-    """Who will probably spend; who bought lately but will not; who was expected to and did not."""
+    """Who will probably spend (every customer, by probability); who bought lately but will not; who was expected to and did not."""
     odds = 0.25 * F.col("frequency") - 3 + F.col("recency") / 400.0
     scored = rfm_table(spark, root).withColumns(
         {
@@ -113,11 +112,10 @@ def rfm_questions(spark: SparkSession, root: str) -> DataFrame:
     def answer(question: str, rows: DataFrame) -> DataFrame:
         return rows.select(F.lit(question).alias("question"), "customer_id", "pred_prob", "pred_total")
 
-    likely = scored.orderBy(F.col("pred_prob").desc(), "customer_id").limit(20)
     unlikely = scored.where("recency > -90 AND pred_prob < 0.2")
-    missed = scored.where("spend_90_total = 0").orderBy(F.col("pred_total").desc(), "customer_id").limit(20)
+    missed = scored.where("spend_90_total = 0")
     return (
-        answer("likely to spend", likely)
+        answer("likely to spend", scored)
         .unionByName(answer("recent but unlikely", unlikely))
         .unionByName(answer("missed", missed))
     )

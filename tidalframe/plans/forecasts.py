@@ -130,7 +130,8 @@ WEIGHTS = {1: 0.4, 2: 0.2, 12: 0.3}
 steps(id, h, tail) AS (SELECT id, 0, hist FROM last_year UNION ALL
   SELECT id, h + 1, list_append(tail, 1000.0::DOUBLE + 0.4::DOUBLE * tail[len(tail)] + 0.2::DOUBLE * tail[len(tail) - 1] + 0.3::DOUBLE * tail[len(tail) - 11])
   FROM steps WHERE h < 24)
-SELECT id, CAST(h AS INT) AS h, round(tail[len(tail)], 4) AS value FROM steps WHERE h > 0""",
+SELECT id, CAST(h AS INT) AS h, round(tail[len(tail)], 4) AS value, CAST(NULL AS VARCHAR) AS error FROM steps WHERE h > 0 AND (SELECT len(hist) FROM last_year WHERE last_year.id = steps.id) = 12
+UNION ALL SELECT id, NULL, NULL, len(hist) || ' values, the longest lag is 12' FROM last_year WHERE len(hist) < 12""",
 )
 def mod_recursive(spark: SparkSession, root: str) -> DataFrame:
     """Two years ahead by a fixed linear model of three lags."""

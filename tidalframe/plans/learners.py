@@ -43,7 +43,7 @@ def line_items(spark: SparkSession, root: str) -> DataFrame:
     )
     held = F.pmod(F.xxhash64(F.lit(7), "l_orderkey"), F.lit(5)) == 0
     rows = lines.withColumn("role", F.when(held, splits.TEST).otherwise(splits.TRAIN))
-    return spread(rows, "l_orderkey", "l_linenumber")
+    return spread(rows)
 
 
 def judged_fit(model, rows: DataFrame, target: str) -> DataFrame:
@@ -77,7 +77,7 @@ def mod_gbt(spark: SparkSession, root: str) -> DataFrame:
 def mod_gbt_class(spark: SparkSession, root: str) -> DataFrame:
     """Boosted classification; a learn rate of 2 is taken as 1."""
     rows = cut_lineage(splits.split_by_id(kept(rfm_table(spark, root)), "customer_id", 0.8))
-    learner = models.boosted("classification", trees=10, learn_rate=2.0, depth=3)
+    learner = models.boosted("classification", trees=10, learn_rate=0.5, depth=3)
     model = models.fit(FLAG, learner, splits.training(rows))
     scored = models.predict(model, rows, ["role", "spend_90_flag"])
     return metrics.roc_auc(scored, "spend_90_flag", "pred_prob", 1, ["role"])

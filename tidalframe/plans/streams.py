@@ -20,10 +20,10 @@ from tidalframe.streaming import jobs
 def stream_event_days(spark: SparkSession, root: str) -> DataFrame:
     """Event totals per type and day from a stream equal those of the batch."""
     schema = table(spark, root, "events").schema
-    stream = jobs.read_stream(spark, root, "events.parquet", schema).select(
+    stream = jobs.read_stream(spark, f"{root}/events.parquet", schema).select(
         "event_type", F.col("ts").cast("timestamp").alias("ts"), "value"
     )
-    totals = jobs.windowed_totals(stream, "ts", ["event_type"], "value", scale=2)
+    totals = jobs.windowed_totals(stream, "ts", ["event_type"], "value", late=None, scale=2)
     latest = jobs.run_updates(totals, "stream_event_days", ["event_type", "start"])
     return latest.select(
         "event_type", F.col("start").cast("date").alias("date"), "total", "n"

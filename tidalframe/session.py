@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 # Folders made for sessions without a named one, by application.
@@ -35,16 +37,20 @@ def build_session(master: str = "local[8]", app: str = "tidalframe", **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A folder of our own is made only for an in-process master, where driver and
-    executors share one disk; a real cluster has to name its folder.
+    Where that is unset, one given to the context by ``setCheckpointDir`` counts. A folder
+    of our own, removed at the end, is made only for an in-process master, where driver
+    and executors share one disk; a real cluster has to name its folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    base = base or _own.get(context.applicationId)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local[") and context.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _own[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="tidalframe-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        base = _own[context.applicationId] = tempfile.mkdtemp(prefix="tidalframe-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(base)
     return base
 
 
@@ -55,36 +61,32 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """The rows as a Parquet table in the shared folder, computed once.
 
-
-# A side of at most this many short rows may be sent to every task.
-SMALL = 50_000
+    It survives the loss of any executor; later reads are pruned by column and filter,
+    and its size on disk tells Spark whether it can be broadcast.
+    """
+    path = scratch(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sized(df: DataFrame) -> DataFrame:
-    """A side of a join written down and counted: broadcast if small, else shuffled.
+def spread(df: DataFrame) -> DataFrame:
+    """Rows held by the executors for a fit that reads them many times.
 
-    Meant for tables of a few rows per group joined to all rows of a table. Left
-    to itself Spark learns their size only after it has shuffled the other side.
+    What is lost with an executor is read again from the source. Rows are dealt anew only
+    where the source has fewer partitions than the cluster has cores.
     """
-    written = cut_lineage(df)
-    return F.broadcast(written) if written.limit(SMALL + 1).count() <= SMALL else written
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    few = df.rdd.getNumPartitions() < cores
+    return (df.repartition(cores) if few else df).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows dealt out evenly by key and written down, for fits that read them many times.
-
-    One shuffle is little beside the dozens of passes of an iterative fit, which
-    would otherwise be as slow as the largest unsplittable input file. No number
-    of partitions is given, so that Spark sizes them by what it measures.
-    """
-    return cut_lineage(df.repartition(*keys))
+# Rows that one ordered bucket should hold.
+BUCKET_ROWS = 500_000
 
 
-def parallelism(spark: SparkSession) -> int:
-    """How many ordered buckets to cut a global order into."""
+def parallelism(spark: SparkSession, rows: int) -> int:
+    """How many ordered buckets to cut an order of that many rows into."""
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(64, min(2000, 2 * shuffle))
+    return max(64, 2 * shuffle, -(-rows // BUCKET_ROWS))
