@@ -22,6 +22,7 @@ MODULES = (
     "metrics",
     "learners",
     "tuning",
+    "closed",
     "streams",
     "studies",
 )

@@ -75,7 +75,7 @@ def mod_gbt(spark: SparkSession, root: str) -> DataFrame:
 
 @query("mod_gbt_class")
 def mod_gbt_class(spark: SparkSession, root: str) -> DataFrame:
-    """Boosted classification; a learn rate of 2 is taken as 1."""
+    """Boosted classification."""
     rows = cut_lineage(splits.split_by_id(kept(rfm_table(spark, root)), "customer_id", 0.8))
     learner = models.boosted("classification", trees=10, learn_rate=0.5, depth=3)
     model = models.fit(FLAG, learner, splits.training(rows))
@@ -227,18 +227,16 @@ def mod_importance(spark: SparkSession, root: str) -> DataFrame:
 
 @query(
     "mod_score",
-    "SELECT count(*) AS n, count(*) AS n_class, count(*) AS n_probability FROM documents JOIN labels USING (doc_id)",
+    """WITH d AS (SELECT doc_id, quality, n_chars FROM documents JOIN labels USING (doc_id)),
+fit AS (SELECT regr_slope(quality, n_chars) AS b, regr_intercept(quality, n_chars) AS a FROM d)
+SELECT doc_id, round(a + b * n_chars, 6) AS prediction FROM d, fit""",
 )
 def mod_score(spark: SparkSession, root: str) -> DataFrame:
-    """Stored features and model applied to a table: every row gets a class and a probability."""
+    """Stored features and model applied to a table: the score of every row."""
     rows = kept(labelled(spark, root))
-    path = models.save(models.fit(QUALITY, models.logistic(0.01, 0.5), rows), scratch(spark, "mod_score"))
-    scored = models.predict(models.load(path), rows, ["doc_id"])
-    return scored.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(F.when(F.col("pred_class").isin(0.0, 1.0), 1)).alias("n_class"),
-        F.count(F.when(F.col("pred_prob").between(0, 1), 1)).alias("n_probability"),
-    )
+    model = models.fit(Design("quality", ("n_chars",)), models.linear(), rows)
+    scored = models.predict(models.load(models.save(model, scratch(spark, "mod_score"))), rows, ["doc_id"])
+    return scored.withColumn("prediction", F.round("prediction", 6))
 
 
 LAGS = list(range(1, 13))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalframe.operators import models
-from tidalframe.plans.learners import LINES
+from tidalframe.operators.models import Design
 from tidalframe.plans.registry import query
 from tidalframe.sources.tables import table
 from tidalframe.streaming import jobs
@@ -30,19 +30,15 @@ def stream_event_days(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-@query("stream_score", "SELECT count(*) AS n, count(*) AS n_same FROM lineitem")
+@query(
+    "stream_score",
+    """WITH fit AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem)
+SELECT l_orderkey, l_linenumber, round(a + b * l_quantity, 3) AS prediction FROM lineitem, fit""",
+)
 def stream_score(spark: SparkSession, root: str) -> DataFrame:
-    """A stored model scores a stream of lines exactly as it scores the table."""
-    lines = table(spark, root, "lineitem")
-    model = models.fit(LINES, models.elastic_net(200.0, 0.99), lines)
-    keep = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    predict = lambda df: models.predict(model, df, keep)
-    stream = jobs.read_stream(spark, root, "lineitem.parquet", lines.schema)
-    streamed = jobs.run_append(jobs.score_stream(stream, predict), "stream_score")
-    batch = predict(lines)
-    both = streamed.groupBy(*keep, "prediction").agg(F.count(F.lit(1)).alias("n")).join(
-        batch.groupBy(*keep, "prediction").agg(F.count(F.lit(1)).alias("m")), [*keep, "prediction"], "left"
-    )
-    return both.agg(
-        F.sum("n").alias("n"), F.sum(F.when(F.col("n") == F.col("m"), F.col("n")).otherwise(0)).alias("n_same")
-    )
+    """A fitted model scores a stream of lines as it scores the table."""
+    lines = table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    model = models.fit(Design("l_extendedprice", ("l_quantity",)), models.linear(), lines)
+    stream = jobs.read_stream(spark, f"{root}/lineitem.parquet", lines.schema)
+    scored = jobs.run_append(models.predict(model, stream, ["l_orderkey", "l_linenumber"]), "stream_score")
+    return scored.withColumn("prediction", F.round("prediction", 3))
