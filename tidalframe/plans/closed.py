@@ -173,14 +173,14 @@ def mod_gbt_class_groups(spark: SparkSession, root: str) -> DataFrame:
 
 @query(
     "mod_rf_groups",
-    """SELECT CAST(l_extendedprice > 40000 AS DOUBLE) AS dear, count(*) AS n, round(avg(CAST(l_quantity > 25 AS INT)), 4) AS share
+    """SELECT CAST(l_quantity > 25 AS DOUBLE) AS large, count(*) AS n, round(avg(CAST(l_quantity > 20 AS INT)), 4) AS share
        FROM lineitem GROUP BY 1""",
 )
 def mod_rf_groups(spark: SparkSession, root: str) -> DataFrame:
     """A forest of one tree with one split, which sees every row, gives the shares of the groups."""
-    rows = kept(lines(spark, root).select((F.col("l_extendedprice") > 40000).cast("double").alias("dear"), (F.col("l_quantity") > 25).cast("double").alias("many")))
-    scored = models.predict(models.fit(Design("many", ("dear",)), models.forest(trees=1, depth=1), rows), rows, ["dear"])
-    return scored.groupBy("dear").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("pred_prob"), 4).alias("share"))
+    rows = kept(lines(spark, root).select((F.col("l_quantity") > 25).cast("double").alias("large"), (F.col("l_quantity") > 20).cast("double").alias("many")))
+    scored = models.predict(models.fit(Design("many", ("large",)), models.forest(trees=1, depth=1), rows), rows, ["large"])
+    return scored.groupBy("large").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("pred_prob"), 4).alias("share"))
 
 
 @query("mod_tweedie_groups", MEANS.format("round(avg(quality + 1), 3)"))
