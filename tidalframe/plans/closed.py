@@ -179,7 +179,7 @@ def mod_gbt_class_groups(spark: SparkSession, root: str) -> DataFrame:
 def mod_rf_groups(spark: SparkSession, root: str) -> DataFrame:
     """A forest of one tree with one split, which sees every row, gives the shares of the groups."""
     rows = kept(lines(spark, root).select((F.col("l_quantity") > 25).cast("double").alias("large"), (F.col("l_quantity") > 20).cast("double").alias("many")))
-    scored = models.predict(models.fit(Design("many", ("large",)), models.forest(trees=1, depth=1), rows), rows, ["large"])
+    scored = models.predict(models.fit(Design("many", ("large",)), models.forest(trees=1, depth=1).setBootstrap(False), rows), rows, ["large"])
     return scored.groupBy("large").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("pred_prob"), 4).alias("share"))
 
 
