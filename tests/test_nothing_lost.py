@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidalframe.functions.names import snake_names
 from tidalframe.functions.quantiles import normal_quantile, t_quantile
-from tidalframe.operators import aggregates, baselines, calendar, nested, ordered, perseries, splits, tuning, windows
+from tidalframe.operators import aggregates, baselines, calendar, impute, nested, ordered, perseries, shape, splits, tuning, windows
 from tidalframe.streaming import jobs
 
 
@@ -132,3 +132,21 @@ def test_a_race_over_more_than_ten_folds(spark):
 
     rows = {r["candidate"]: r for r in tuning.race(spark, ["good", "bad"], evaluate, 12).collect()}
     assert rows["good"]["n_folds"] == 12 and rows["bad"]["dropped"] and rows["bad"]["n_folds"] == 3
+
+
+def test_a_name_without_a_column_is_an_error(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "c", 2.0), (2, None, 3.0)], "id int, n string, v double")
+    assert shape.wider(df, ["id"], "n", "v", ["a", "c"]).count() == 2
+    with pytest.raises(Exception, match="without a column: c"):
+        shape.wider(df, ["id"], "n", "v", ["a"]).collect()
+
+
+def test_rows_with_unknown_predictors_are_filled(spark):
+    rows = [(k, float(k % 5), "ab"[k % 2], float(k)) for k in range(20)] + [(20, None, "a", None), (21, 2.0, None, None), (22, 3.0, "b", None)]
+    df = spark.createDataFrame(rows, "k long, x double, c string, y double")
+    got = {r["k"]: r for r in impute.impute_knn(df, "k", "y", "x", ["c"], 3).collect()}
+    assert len(got) == 23 and all(r["y"] is not None for r in got.values())
+    assert got[20]["x"] is None and got[21]["c"] is None
+    assert got[22]["y"] == pytest.approx(np.mean([3.0, 13.0, 7.0]))
+    constant = df.withColumn("x", F.lit(1.0))
+    assert impute.impute_knn(constant, "k", "y", "x", ["c"], 3).where("y IS NULL").count() == 0

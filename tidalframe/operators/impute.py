@@ -85,12 +85,18 @@ def impute_knn(
 ) -> DataFrame:
     """Fill nulls of ``target`` by the mean of its k nearest donors.
 
+    A null category is a level of its own and a null number counts as the column's mean,
+    so every row has a profile; the columns themselves stay as they are.
     Ties in distance go to the smaller key. Rows of one profile share their
     neighbours, so the search runs once per distinct profile; and of the donors
     of one profile only the k smallest keys can ever be chosen, so the search
     runs over those.
     """
-    cats = list(cats)
+    given, own_number, own_cats = df, "_number", [f"_cat{i}" for i in range(len(cats))]
+    middle = df.agg(F.avg(number).cast(df.schema[number].dataType)).scalar()
+    level = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    df = df.withColumns({own_number: F.coalesce(number, middle), **{o: level(c) for o, c in zip(own_cats, cats, strict=True)}})
+    number, cats = own_number, own_cats
     profile = [number, *cats]
     known = df.where(F.col(target).isNotNull()).select(key, target, *profile)
     donors = cut_lineage(top_rows(known, profile, [F.col(key)], k))
@@ -109,5 +115,5 @@ def impute_knn(
     kept = scored.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= k)
     filled = kept.groupBy(*profile).agg(mean("_value", scale).alias("_filled"))
     return df.join(filled, profile, "left").select(
-        *[F.coalesce(F.col(target), F.col("_filled")).alias(c) if c == target else F.col(c) for c in df.columns]
+        *[F.coalesce(F.col(target), F.col("_filled")).alias(c) if c == target else F.col(c) for c in given.columns]
     )

@@ -27,8 +27,12 @@ def wider(
     """Long to wide over known names: one aggregate per name in a single pass.
 
     ``fill`` goes only into cells that have no source row. A cell whose source
-    row holds null stays null.
+    row holds null stays null. A name that is not in the list is an error, as its
+    values would have no column; rows with a null name only keep their ids.
     """
+    stray = F.concat(F.lit(f"{names_from} holds a name without a column: "), F.col(names_from).cast("string"))
+    listed = F.col(names_from).isNull() | F.col(names_from).isin(*names)
+    df = df.where(F.when(listed, F.lit(True)).otherwise(F.raise_error(stray).cast("boolean")))
     cells = []
     for name in names:
         here = F.col(names_from) == F.lit(name)

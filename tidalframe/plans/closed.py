@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidalframe.operators import calendar, metrics, models, splits, tuning
+from tidalframe.operators import calendar, forecasts, metrics, models, splits, tuning
 from tidalframe.operators.models import Design
 from tidalframe.plans.customers import RFM as RFM_SQL
 from tidalframe.plans.customers import rfm_table
@@ -222,3 +222,49 @@ def mod_kmeans_nearest(spark: SparkSession, root: str) -> DataFrame:
     reach = [sum((F.pow(F.col("x")[k] - F.lit(float(v)), 2) for k, v in enumerate(c)), F.lit(0.0)) for c in flow.stages[-1].clusterCenters()]
     own = F.element_at(F.array(*reach), F.col("prediction") + 1)
     return scored.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(own <= F.array_min(F.array(*reach)) + 1e-9, 1)).alias("n_nearest"))
+
+
+PANEL_FITS = """panel AS (SELECT n_name AS id, CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value FROM orders JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
+aged AS (SELECT *, date - DATE '1995-01-01' AS t FROM panel),
+held AS (SELECT min(date) AS d FROM (SELECT DISTINCT date FROM panel ORDER BY date DESC LIMIT 6)),
+before AS (SELECT regr_slope(value, t) AS b, regr_intercept(value, t) AS a FROM aged WHERE date < (SELECT d FROM held)),
+every AS (SELECT regr_slope(value, t) AS b, regr_intercept(value, t) AS a FROM aged),
+reach AS (SELECT id, 1.959964 * sqrt(2 * sum((value - a - b * t) ** 2) / (2 * count(*) - 1)) AS w FROM aged, before WHERE date >= (SELECT d FROM held) GROUP BY id),
+ahead AS (SELECT id, CAST(max(date) + to_months(CAST(h AS INT)) AS DATE) AS date FROM panel, range(1, 7) x(h) GROUP BY id, h)"""
+
+
+def panel_study(spark: SparkSession, root: str, design: Design, learner) -> DataFrame:
+    """One model for all series: held out, calibrated per series, refitted on everything, half a year ahead.
+
+    Returns a forecast table: the actual rows and the predictions with an interval of each series' own width.
+    """
+    aged = lambda df: df.withColumns(
+        {"t": F.datediff("date", F.to_date(F.lit("1995-01-01"))).cast("double"), "month": F.month("date").cast("double")}
+    )
+    panel = kept(aged(nation_monthly(spark, root)))
+    split = splits.time_split(panel, "date", 6)
+    named = lambda df: df.select(F.lit(1).alias("model_id"), F.lit("global").alias("model_desc"), "*")
+    tested = named(models.predict(models.fit(design, learner, splits.training(split)), splits.testing(split), ["id", "date", "value"]))
+    future = aged(calendar.future_rows(panel.select("id", "date"), ["id"], "date", 6, "month"))
+    ahead = named(models.predict(models.fit(design, learner, panel), future, ["id", "date"]))
+    calibrated = forecasts.calibrate(tested, "value")
+    return forecasts.forecast_table(panel, ahead, calibrated, "id", "date", "value", digits=1)
+
+
+@query(
+    "study_panel_line",
+    f"""WITH {PANEL_FITS} SELECT 1 AS model_id, 'global' AS model_desc, 'prediction' AS key, id, date AS index, round(p, 1) AS value, round(p - w, 1) AS conf_lo, round(p + w, 1) AS conf_hi
+FROM (SELECT id, date, a + b * (date - DATE '1995-01-01') AS p FROM ahead, every) JOIN reach USING (id)
+UNION ALL SELECT NULL, 'ACTUAL', 'actual', id, date, round(value, 1), NULL, NULL FROM panel""",
+)
+def study_panel_line(spark: SparkSession, root: str) -> DataFrame:
+    """The panel study with a least-squares line through all series."""
+    return panel_study(spark, root, Design("value", ("t",)), models.linear())
+
+
+@query("study_panel")
+def study_panel(spark: SparkSession, root: str) -> DataFrame:
+    """The panel study with boosted trees, the series' ids in hashed slots."""
+    return panel_study(spark, root, Design("value", ("t", "month"), hashed=("id",), slots=64), models.boosted(trees=30, depth=4))
