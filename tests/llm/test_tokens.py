@@ -31,7 +31,7 @@ def whole(name: str):
 def test_pieces_give_the_ids_of_whole_texts(name, kind, monkeypatch):
     monkeypatch.setattr(words.segments, "__defaults__", (40,))
     texts = odd_texts()
-    encoder = words.PieceEncoder(tokenizer(name), {"words": words.word_pieces, "spaced": words.spaced_pieces}[kind], remembered=50)
+    encoder = words.PieceEncoder(tokenizer(name), {"words": words.Words, "spaced": words.Spaced}[kind], remembered=50)
     library = whole(name)
     for at in range(0, len(texts), 200):
         ids, lens = encoder.encode(texts[at : at + 200])
