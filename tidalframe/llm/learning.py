@@ -20,11 +20,20 @@ def known_labels(labels: DataFrame, column: str) -> DataFrame:
     return rows.filter("label_id IS NOT NULL AND label IS NOT NULL").groupBy("label_id").agg(F.min("label").alias("label"))
 
 
-def sample(rows: DataFrame, labels: DataFrame, column: str, bound: int) -> DataFrame:
-    """At most ``bound`` rows that may be learnt from, in the order of a hash of their id."""
-    known = known_labels(labels, column)
-    learnt = rows.join(known, F.col("doc_id") == F.col("label_id")).filter(~held_out(F.col("doc_id"))).drop("label_id")
-    return learnt.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+def chosen(labels: DataFrame, column: str, bound: int) -> DataFrame:
+    """At most ``bound`` labelled ids that may be learnt from, in the order of a hash: label_id, label."""
+    known = known_labels(labels, column).filter(~held_out(F.col("label_id")))
+    return known.orderBy(F.xxhash64("label_id"), "label_id").limit(bound)
+
+
+def sample(rows: DataFrame, labels: DataFrame, value: str) -> DataFrame:
+    """doc_id, label and ``value`` (an array) of the ``chosen`` documents, one row each.
+
+    The labels are as bounded as their choice, so they go to the rows; of several rows of
+    one id the smallest value counts.
+    """
+    learnt = rows.join(F.broadcast(labels), F.col("doc_id") == F.col("label_id"))
+    return learnt.groupBy("doc_id").agg(F.min(value).alias(value), F.min("label").alias("label"))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidalframe.llm.learning import Adam, held_out, log_loss, sample, sigmoid, temperature
+from tidalframe.llm.learning import Adam, chosen, held_out, log_loss, sample, sigmoid, temperature
 from tidalframe.llm.store import written
 from tidalframe.llm.words import Numbers, slices
 
@@ -195,7 +195,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, fit
             yield pa.RecordBatch.from_arrays([batch.column(0), held, *batch.columns[2:]], ["doc_id", "vector", *names])
 
     table = written(rows.mapInArrow(pool, f"doc_id long, vector array<float>{kept}"), "pooled")
-    learnt = sample(table.select("doc_id", "vector"), labels, "quality", fitted).toPandas()
+    learnt = sample(table.select("doc_id", "vector"), chosen(labels, "quality", fitted), "vector").orderBy("doc_id").toPandas()
     x = np.array(learnt["vector"].tolist(), np.float64).reshape(-1, VECTOR)
     net = fit(x, learnt["label"].to_numpy())
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidalframe.llm.learning import Adam, held_out, log_loss, sample, sigmoid, temperature
+from tidalframe.llm.learning import Adam, chosen, held_out, log_loss, sample, sigmoid, temperature
 from tidalframe.llm.store import written
 from tidalframe.llm.words import Numbers, slices
 
@@ -136,10 +136,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, fi
         for batch in slices(batches, "text"):
             bucket, doc = terms([t or "" for t in batch.column(1).to_pylist()])
             ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=batch.num_rows))])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bucket.astype(np.int32)))], ["doc_id", "label", "terms"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bucket.astype(np.int32)))], ["doc_id", "terms"])
 
-    texts = sample(rows, labels, "toxic", fitted).select("doc_id", "text", "label")
-    learnt = written(texts.mapInArrow(listed, "doc_id long, label int, terms array<int>"), "terms").toArrow()
+    known = written(chosen(labels, "toxic", fitted), "labels")
+    texts = rows.join(F.broadcast(known.select("label_id")), F.col("doc_id") == F.col("label_id"), "left_semi")
+    learnt = sample(texts.mapInArrow(listed, "doc_id long, terms array<int>"), known, "terms").orderBy("doc_id").toArrow()
     held = learnt.column("terms").combine_chunks()
     sizes = np.array([len(x) for x in held.to_pylist()], np.int64) if learnt.num_rows else np.zeros(0, np.int64)
     bucket = held.flatten().to_numpy(zero_copy_only=False).astype(np.int64) if learnt.num_rows else np.zeros(0, np.int64)
