@@ -137,11 +137,14 @@ def test_a_chain_is_one_class(spark):
 
 
 def test_near_duplicates_of_odd_rows(odd, odd_rows, nothing):
-    rows = dartminhash.near_duplicates(odd, carried=("uid", "digest")).collect()
-    assert len(rows) == len(odd_rows) and {"_c_uid", "_c_digest"} <= set(rows[0].asDict())
+    rows = dartminhash.near_duplicates(odd).collect()
+    assert len(rows) == len(odd_rows)
     assert sorted(r.class_size for r in rows if r.doc_id == 4) == [1, 2, 2]
     assert sum(r.first for r in rows) == len(odd_rows) - 1
     assert dartminhash.near_duplicates(nothing).count() == 0
+    kept = dartminhash.deduplicated(odd)
+    assert kept.dtypes == odd.dtypes and kept.count() == len(odd_rows) - 1
+    assert kept.where("doc_id = 4").count() == 2 and kept.where("doc_id IS NULL AND text IS NULL").count() == 1
 
 
 def test_signatures_estimate_weighted_similarity():
@@ -185,7 +188,9 @@ def plain_search(texts, items, window):
     return out
 
 
-def test_passages_against_plain_search(spark):
+@pytest.mark.parametrize("block", [4, 1000])
+def test_passages_against_plain_search(spark, monkeypatch, block):
+    monkeypatch.setattr(fmindex, "BLOCK_ITEMS", block)
     rng = random.Random(9)
     pick = lambda n, extra: " ".join(rng.choices(["Ab", "ÉT", "c9", "d", "e", "F", *extra], k=n))
     for window in (3, 10):

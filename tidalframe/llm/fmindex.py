@@ -10,22 +10,29 @@ placed by walking to sampled suffix positions, and their spans are merged.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidalframe.llm.store import new_file, read_file
 from tidalframe.llm.wavelet import WaveletMatrix
 from tidalframe.llm.words import slices
+from tidalframe.session import scratch
 
 WINDOW = 10
 # Every so many-th position of the text is sampled.
 SAMPLE = 8
 # Bytes of text of a shard, and occurrences that are placed at once.
 SHARD_BYTES, PLACED = 8 << 20, 1 << 20
+# Items of the benchmark that are searched together.
+BLOCK_ITEMS = 20_000
 
 # Bytes of words as themselves, A-Z as a-z, all others as a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -203,31 +210,66 @@ def cut_spans(text: str, spans: list[int]) -> str:
     return b"".join([*out, data[at:]]).decode()
 
 
+def phrase_blocks(benchmark: DataFrame, window: int) -> list[str]:
+    """Addresses of the benchmark's phrases, a file for each block of items; none for items without words."""
+    base, out = scratch(benchmark.sparkSession, "phrases"), []
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator()
+    while block := [(r["item_id"], r["text"]) for r in islice(rows, BLOCK_ITEMS)]:
+        sought = Phrases(block, window)
+        if sought.items:
+            file, address = new_file(base, ".phrases")
+            file.write(pickle.dumps(sought))
+            file.close()
+            out.append(address)
+    return out
+
+
+@lru_cache(maxsize=1)
+def phrases_at(address: str) -> Phrases:
+    return pickle.loads(read_file(address))
+
+
+def merged(a: list[int], b: list[int]) -> list[int]:
+    """Two lists of spans (start, end pairs) as one without overlaps; spans that touch are one."""
+    if not a or not b:
+        return a or b
+    out: list[int] = []
+    for start, end in sorted([*zip(a[::2], a[1::2], strict=True), *zip(b[::2], b[1::2], strict=True)]):
+        if out and start <= out[-1]:
+            out[-1] = max(out[-1], end)
+        else:
+            out += [start, end]
+    return out
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
     """Benchmark windows in every whole document, and the text without them.
 
-    Returns doc_id, text (the hit spans removed), the carried columns as _c_<name>, n_words, n_hit, spans (merged, first word and the one after the last, in pairs) and
-    items (ids of the items found, in the benchmark's order). Items and documents without
+    Returns doc_id, text (the hit spans removed), the carried columns as _c_<name>, n_words,
+    n_hit, spans (merged, first word and the one after the last, in pairs) and items (ids
+    of the items found, block by block in the benchmark's order). Items and documents without
     words have no windows; a null text stays null; repeated rows are each searched; an
-    empty table gives no rows. The benchmark is the stated query set: its items go whole
-    to every task, and the documents pass by them once.
+    empty table gives no rows. The benchmark is the stated query set: it is written down
+    in blocks of BLOCK_ITEMS items, and each shard's words are held against one block
+    after another, so neither the driver nor a task holds more of it than a block.
     """
-    asked = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").collect()
-    sought = docs.sparkSession.sparkContext.broadcast(Phrases([(r["item_id"], r["text"]) for r in asked], window))
+    blocks = phrase_blocks(benchmark, window)
     names = [f"_c_{c}" for c in carried]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_c_{c}") for c in carried])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = sought.value
-        number = asked.numbers.get
         for batch in slices(batches, "text", SHARD_BYTES):
             texts = batch.column(1).to_pylist()
-            ids = []
-            for text in texts:
-                own = words(text)
-                ids.append(np.fromiter((number(w, 0) for w in own), np.int64, len(own)))
-            spans, items = search_shard(ids, asked) if asked.items else ([[] for _ in ids], [[] for _ in ids])
-            lens = [len(x) for x in ids]
+            own = [words(text) for text in texts]
+            spans: list[list[int]] = [[] for _ in texts]
+            items: list[list[int]] = [[] for _ in texts]
+            for address in blocks:
+                asked = phrases_at(address)
+                number = asked.numbers.get
+                found = search_shard([np.fromiter((number(w, 0) for w in x), np.int64, len(x)) for x in own], asked)
+                spans = [merged(a, b) for a, b in zip(spans, found[0], strict=True)]
+                items = [a + b for a, b in zip(items, found[1], strict=True)]
+            lens = [len(x) for x in own]
             hit = [sum(s[1::2]) - sum(s[::2]) for s in spans]
             left = [cut_spans(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
             out = [batch.column(0), pa.array(left, pa.string()), *batch.columns[2:], pa.array(lens, pa.int64()), pa.array(hit, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.int64()))]
