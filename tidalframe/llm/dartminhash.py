@@ -230,8 +230,8 @@ def components(links: DataFrame) -> DataFrame:
         seen = state
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = False, id_col: str = "doc_id", text_col: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
-    """Classes of documents linked by near-equal texts: doc_id, class_id, class_size, first, _c_<carried>.
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Classes of documents linked by near-equal texts: doc_id, class_id, class_size, first.
 
     Texts are linked if their shingles (runs of five words) have a Jaccard similarity of
     ``threshold`` or more, with ``weighted`` one that counts each shingle as often as it
@@ -240,13 +240,35 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
     different classes, all pairs across these that parity maps let through are checked,
     so no link within a key is lost and hardly any pair within a class is made. class_id is
     the smallest doc_id of the class, class_size its number of documents, first marks one
-    of them, that with the smallest id. Empty texts are equal; texts
-    without words are linked to equal texts only; a document with null text is a class of
-    its own; null ids come last in a class; repeated rows are a class of copies; an empty
-    table gives no rows.
+    of them, that with the smallest id. Empty texts are equal; texts without words are
+    linked to equal texts only; a document with null text is a class of its own; null ids
+    come last in a class; repeated rows are a class of copies; an empty table gives no
+    rows; other columns are not looked at.
     """
+    return classes(numbered_rows(docs, id_col, text_col), threshold, weighted).drop("uid")
+
+
+def deduplicated(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that are the first of their class, all columns as they were; see ``near_duplicates``.
+
+    The others are left out by their numbers, which Spark sends to the documents if they
+    are few and else meets them by a shuffle.
+    """
+    rows = numbered_rows(docs, id_col, text_col, tuple(c for c in docs.columns if c not in (id_col, text_col)))
+    out = written(classes(rows, threshold, weighted).filter(~F.col("first")).select("uid"), "left_out")
+    kept = rows.join(out, "uid", "left_anti")
+    back = {id_col: F.col("doc_id").cast(docs.schema[id_col].dataType), text_col: F.col("text")}
+    return kept.select(*[back.get(c, F.col(f"_c_{c}")).alias(c) for c in docs.columns])
+
+
+def numbered_rows(docs: DataFrame, id_col: str, text_col: str, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Documents with a number for each row, written down so that the numbers stay."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_c_{c}") for c in carried])
-    rows = written(rows.withColumn("uid", F.monotonically_increasing_id()), "documents")
+    return written(rows.withColumn("uid", F.monotonically_increasing_id()), "documents")
+
+
+def classes(rows: DataFrame, threshold: float, weighted: bool) -> DataFrame:
+    """Per numbered row: uid, doc_id, class_id, class_size, first."""
     marks = written(signed(rows.filter(F.col("text").isNotNull()), weighted), "signatures")
     groups = written(marks.groupBy("digest").agg(F.min("uid").alias("text_id"), F.count(F.lit(1)).alias("copies")), "texts")
     heads = marks.join(groups.select(F.col("text_id").alias("uid")), "uid", "left_semi")
@@ -272,7 +294,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
     rest = pair(rest.select(F.col("x.uid").alias("p"), F.col("y.uid").alias("q")), "p", "q").hint("merge").join(tried, ["a", "b"], "left_anti")
     more = written(similar(written(rest, "rest"), sets, weighted, threshold), "more")
     found = components(links.union(more)) if not more.isEmpty() else found
-    return labelled(rows, marks, groups, found, carried)
+    return labelled(rows, marks, groups, found)
 
 
 def pair(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -293,7 +315,7 @@ def worth(pairs: DataFrame, profile: DataFrame, threshold: float) -> DataFrame:
     return joined.filter(near("x", "y", threshold)).select("a", "b")
 
 
-def labelled(rows: DataFrame, marks: DataFrame, groups: DataFrame, found: DataFrame, carried: tuple[str, ...]) -> DataFrame:
+def labelled(rows: DataFrame, marks: DataFrame, groups: DataFrame, found: DataFrame) -> DataFrame:
     """Every document with its class: copies take that of their text."""
     texts = groups.hint("merge").join(found.withColumnRenamed("uid", "text_id"), "text_id", "left")
     texts = texts.select("digest", F.coalesce("class", "text_id").alias("_class"))
@@ -301,7 +323,4 @@ def labelled(rows: DataFrame, marks: DataFrame, groups: DataFrame, found: DataFr
     every = rows.select("uid", "doc_id").hint("merge").join(own, "uid", "left").withColumn("_class", F.coalesce("_class", "uid"))
     every = written(every, "labelled")
     head = every.groupBy("_class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "uid")).alias("head"))
-    out = every.hint("merge").join(head, "_class").select("uid", "doc_id", "class_id", "class_size", (F.col("uid") == F.col("head.uid")).alias("first"))
-    if not carried:
-        return out.drop("uid")
-    return rows.drop("doc_id", "text").hint("merge").join(out, "uid").select("doc_id", "class_id", "class_size", "first", *[f"_c_{c}" for c in carried])
+    return every.hint("merge").join(head, "_class").select("uid", "doc_id", "class_id", "class_size", (F.col("uid") == F.col("head.uid")).alias("first"))

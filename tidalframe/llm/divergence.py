@@ -13,10 +13,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidalframe.llm.store import written
 from tidalframe.llm.words import Numbers, slices
 
 # Classes of bytes; a byte that continues a character has none.
@@ -150,43 +149,63 @@ def common_words(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     return counted.select("lang", "place", "word")
 
 
-BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+Common = dict[str, dict[bytes, int]]
 
 
-def histograms(docs: DataFrame, common: dict[str, dict[bytes, int]], id_col: str, lang_col: str, text_col: str, carried: tuple[str, ...]) -> DataFrame:
-    """Base counts and both histograms of every document."""
-    names = list(carried)
+def histograms(batch: pa.RecordBatch, langs: list[str], common: Common) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(base counts, class histograms, word histograms) of the texts of a slice, a row each."""
+    texts, flat, numbers, doc, lens, classes = measured(batch)
+    words = np.zeros((len(texts), COMMON + 1), np.int64)
+    for lang in set(langs):
+        places = common.get(lang, {})
+        look = np.array([places.get(w.lower(), COMMON) for w in numbers], np.int64)
+        mine = np.array([x == lang for x in langs])[doc]
+        if mine.any():
+            words += np.bincount(doc[mine] * (COMMON + 1) + look[flat[mine]], minlength=words.size).reshape(words.shape)
+    lines = np.array([repeated_lines(t) for t in texts], np.int64)
+    base = np.stack([lens, classes.sum(axis=1) - classes[:, SPACE], classes[:, SYMBOL], lines, repeated(flat, doc, len(texts))], axis=1)
+    return base.astype(np.int64), classes.astype(np.int64), words
+
+
+def failed(base: np.ndarray) -> np.ndarray:
+    """The base rules: fewer than 50 words, or over half of them in repeated windows."""
+    return (base[:, 0] < 50) | (100 * base[:, 4] > 50 * base[:, 0])
+
+
+def language_sums(rows: DataFrame, common: Common) -> dict[str, np.ndarray]:
+    """Per language the words, class counts and word counts of all documents that pass the base rules.
+
+    A task adds its documents up by language; Spark adds the tasks' sums.
+    """
+    size = 1 + CLASSES + COMMON + 1
+    names = [f"s{k}" for k in range(size)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
         for batch in slices(batches, "text"):
             langs = batch.column(1).to_pylist()
-            texts, flat, numbers, doc, lens, classes = measured(batch)
-            words = np.zeros((len(texts), COMMON + 1), np.int64)
+            base, classes, words = histograms(batch, langs, common)
+            every = np.concatenate([base[:, :1], classes, words], axis=1)
+            passed = ~failed(base)
             for lang in set(langs):
-                places = common.get(lang, {})
-                look = np.array([places.get(w.lower(), COMMON) for w in numbers], np.int64)
-                own = np.array([x == lang for x in langs])
-                mine = own[doc]
-                if mine.any():
-                    words += np.bincount(doc[mine] * (COMMON + 1) + look[flat[mine]], minlength=words.size).reshape(words.shape)
-            base = [lens, classes.sum(axis=1) - classes[:, SPACE], classes[:, SYMBOL], np.array([repeated_lines(t) for t in texts], np.int64), repeated(flat, doc, len(texts))]
-            lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel().astype(np.int64)), x.shape[1]).cast(pa.list_(pa.int64())) for x in (classes, words)]
-            columns = [batch.column(0), batch.column(1), *[pa.array(x.astype(np.int64)) for x in base], *lists, *batch.columns[3:]]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_classes", "_words", *names])
+                own = np.array([x == lang for x in langs]) & passed
+                sums[lang] = sums.get(lang, 0) + every[own].sum(axis=0)
+        total = np.array(list(sums.values()), np.int64).reshape(-1, size)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), *[pa.array(total[:, k]) for k in range(size)]], ["lang", *names])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang_col), F.lit("")).alias("_lang"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_c_{c}") for c in carried])
-    names = [f"_c_{c}" for c in carried]
-    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[3:])
-    return rows.mapInArrow(run, f"doc_id long, _lang string, {BASE}, _classes array<long>, _words array<long>{kept}")
+    added = rows.mapInArrow(run, "lang string, " + ", ".join(f"{n} long" for n in names)).groupBy("lang").agg(*[F.sum(n).alias(n) for n in names])
+    return {r["lang"]: np.array(r[1:], np.int64) for r in added.collect()}
 
 
-def distance(a: Column, b: Column) -> Column:
-    """Jensen-Shannon distance (base 2, from 0 to 1) of two histograms, null where one is empty."""
-    total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
-    share = lambda x: F.transform(x, lambda v: F.try_divide(v.cast("double"), total(x)))
-    term = lambda p, q: F.when(p > 0, p * F.log2(2 * p / (p + q))).otherwise(F.lit(0.0))
-    parts = F.zip_with(share(a), share(b), lambda p, q: term(p, q) + term(q, p))
-    return F.sqrt(F.greatest(F.lit(0.0), total(parts) / 2))
+def distances(own: np.ndarray, reference: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon distances (base 2, from 0 to 1) of histograms from one, nan where either is empty."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p = own / own.sum(axis=1, keepdims=True)
+        q = reference / reference.sum()
+        m = (p + q) / 2
+        parts = np.where(p > 0, p * np.log2(p / m), 0) + np.where(q > 0, q * np.log2(q / m), 0)
+    return np.sqrt(np.maximum(0, parts.sum(axis=1) / 2))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
@@ -200,23 +219,37 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang
     and either where the language has LANGUAGE_WORDS in documents that passed. A null or
     empty text has no words and fails the base rules; documents without a language form
     one of their own; ties between common words go to the smaller one; repeated rows are
-    judged alike; an empty table gives no rows. The driver sees COMMON words a language.
+    judged alike; an empty table gives no rows. The driver sees COMMON words and a row of
+    sums for each language. The texts are read three times rather than kept in between.
     """
-    common: dict[str, dict[bytes, int]] = {}
+    common: Common = {}
     for r in common_words(docs, lang_col, text_col).collect():
         common.setdefault(r["lang"], {})[bytes(r["word"])] = r["place"] - 1
-    rows = written(histograms(docs, common, id_col, lang_col, text_col, carried), "histograms")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    sums = [F.array(*[F.sum(F.col(c)[k]) for k in range(n)]).alias(f"{c}_all") for c, n in (("_classes", CLASSES), ("_words", COMMON + 1))]
-    language = rows.filter(~failed).groupBy("_lang").agg(F.sum("n_words").alias("_n_all"), *sums).withColumnRenamed("_lang", "_own")
-    joined = rows.join(F.broadcast(language), F.col("_lang") == F.col("_own"), "left")
-    known = F.col("_n_all") >= LANGUAGE_WORDS
-    joined = joined.select(
-        "*",
-        failed.alias("base_failed"),
-        F.when(known & (F.col("n_words") >= CLASS_WORDS), distance(F.col("_classes"), F.col("_classes_all"))).alias("class_distance"),
-        F.when(known & (F.col("n_words") >= COMMON_WORDS), distance(F.col("_words"), F.col("_words_all"))).alias("word_distance"),
-    )
-    far = F.coalesce(F.col("class_distance") > CLASS_DISTANCE, F.lit(False)) | F.coalesce(F.col("word_distance") > WORD_DISTANCE, F.lit(False))
-    base = [x.split()[0] for x in BASE.split(", ")]
-    return joined.select("doc_id", *base, "base_failed", "class_distance", "word_distance", (~F.col("base_failed") & ~far).alias("kept"), *[f"_c_{c}" for c in carried])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang_col), F.lit("")).alias("_lang"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_c_{c}") for c in carried if c != text_col])
+    sums = language_sums(rows.select("doc_id", "_lang", "text"), common)
+    names = rows.columns[2:]
+    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            langs = batch.column(1).to_pylist()
+            base, classes, words = histograms(batch, langs, common)
+            far = np.full((2, len(langs)), np.nan)
+            for lang in set(langs):
+                total = sums.get(lang)
+                if total is None or total[0] < LANGUAGE_WORDS:
+                    continue
+                own = np.array([x == lang for x in langs])
+                for k, (held, reference, least) in enumerate(((classes, total[1 : 1 + CLASSES], CLASS_WORDS), (words, total[1 + CLASSES :], COMMON_WORDS))):
+                    on = own & (base[:, 0] >= least)
+                    far[k, on] = distances(held[on], reference)
+            bad = failed(base)
+            good = ~bad & ~(far[0] > CLASS_DISTANCE) & ~(far[1] > WORD_DISTANCE)
+            gaps = [pa.array(x, pa.float64(), mask=np.isnan(x)) for x in far]
+            columns = [batch.column(0), *[pa.array(base[:, k]) for k in range(len(BASE))], pa.array(bad), *gaps, pa.array(good), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *BASE, "base_failed", "class_distance", "word_distance", "kept", *names])
+
+    counts = ", ".join(f"{b} long" for b in BASE)
+    out = rows.mapInArrow(run, f"doc_id long, {counts}, base_failed boolean, class_distance double, word_distance double, kept boolean{kept}")
+    carry = [F.col("text" if c == text_col else f"_c_{c}").alias(f"_c_{c}") for c in carried]
+    return out.select("doc_id", *BASE, "base_failed", "class_distance", "word_distance", "kept", *carry)

@@ -184,25 +184,26 @@ def quality_scores(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, fit
     """
     spark = docs.sparkSession
     vectors = spark.sparkContext.broadcast(word_vectors(docs, text_col))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_c_{c}") for c in carried])
-    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
-    names = [f.name for f in rows.schema.fields[2:]]
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_c_{c}") for c in carried if c != text_col])
+    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    names = rows.columns[1:]
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             x = pooled([t or "" for t in batch.column(1).to_pylist()], vectors.value)
             held = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), VECTOR).cast(pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), held, *batch.columns[2:]], ["doc_id", "vector", *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), held], ["doc_id", "vector"])
 
-    table = written(rows.mapInArrow(pool, f"doc_id long, vector array<float>{kept}"), "pooled")
-    learnt = sample(table.select("doc_id", "vector"), chosen(labels, "quality", fitted), "vector").orderBy("doc_id").toPandas()
-    x = np.array(learnt["vector"].tolist(), np.float64).reshape(-1, VECTOR)
-    net = fit(x, learnt["label"].to_numpy())
+    known = written(chosen(labels, "quality", fitted), "labels")
+    texts = rows.select("doc_id", "text").join(F.broadcast(known.select("label_id")), F.col("doc_id") == F.col("label_id"), "left_semi")
+    learnt = sample(texts.mapInArrow(pool, "doc_id long, vector array<float>"), known, "vector").orderBy("doc_id").toPandas()
+    net = fit(np.array(learnt["vector"].tolist(), np.float64).reshape(-1, VECTOR), learnt["label"].to_numpy())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, VECTOR).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(net.score(x)), *batch.columns[2:]], ["doc_id", "score", *names])
+        for batch in slices(batches, "text"):
+            x = pooled([t or "" for t in batch.column(1).to_pylist()], vectors.value).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(net.score(x)), *batch.columns[1:]], ["doc_id", "score", *names])
 
-    scored = table.mapInArrow(score, f"doc_id long, score double{kept}")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= limit).cast("int").alias("predicted"), *names)
+    scored = rows.mapInArrow(score, f"doc_id long, score double{kept}")
+    carry = [F.col("text" if c == text_col else f"_c_{c}").alias(f"_c_{c}") for c in carried]
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= limit).cast("int").alias("predicted"), *carry)
