@@ -37,15 +37,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
     """One document of each class of near duplicates: that with the smallest id."""
-    return _kept(dartminhash.near_duplicates(docs, carried=_others(docs)).filter("first"), docs)
+    return dartminhash.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
     """All documents, without the benchmark passages in their texts; n_chars follows the text."""
-    found = fmindex.contamination(docs, table(spark, root, "benchmark"), carried=_others(docs))
+    found = fmindex.contamination(docs, table(spark, root, "benchmark"), carried=tuple(c for c in _others(docs) if c != "text"))
     if "n_chars" in docs.columns:
         found = found.withColumn("_c_n_chars", F.when(F.col("n_hit") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_c_n_chars")))
-    return _kept(found.drop("_c_text").withColumnRenamed("text", "_c_text"), docs)
+    return _kept(found.withColumnRenamed("text", "_c_text"), docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
