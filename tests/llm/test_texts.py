@@ -84,6 +84,31 @@ def test_short_languages_and_texts_are_not_compared(spark):
     assert got[0].class_distance is None and got[0].kept
 
 
+def spoken(rng, common, n):
+    return " ".join(rng.choice(common) if rng.random() < 0.25 else "".join(rng.choices("abcdefghijklmno", k=rng.randint(5, 9))) for _ in range(n))
+
+
+def test_text_of_another_language_or_without_common_words_is_rejected(spark):
+    rng = random.Random(9)
+    # The two languages share three common words in twelve.
+    common = {"xx": "de la en mu ro ti sa po ke lu vi no".split(), "yy": "de la en der und das mit von zu ist auf ein".split()}
+    rows = [(k, spoken(rng, common[lang], rng.randint(50, 400)), lang) for k, lang in enumerate(["xx", "yy"] * 150)]
+    wrong = [(1000 + k, spoken(rng, common["yy" if lang == "xx" else "xx"], rng.randint(200, 400)), lang) for k, lang in enumerate(["xx", "yy"] * 8)]
+    wrong += [(2000 + k, spoken(rng, ["".join(rng.choices("pqrstuv", k=4)) for _ in range(999)], n), lang) for k, (n, lang) in enumerate([(50, "xx"), (70, "yy"), (150, "xx"), (900, "yy")])]
+    got = {r.doc_id: r for r in divergence.quality_rules(frame(spark, rows + wrong)).collect()}
+    assert not any(got[r[0]].base_failed for r in rows + wrong)
+    assert [r[0] for r in rows if not got[r[0]].kept] == [] and [r[0] for r in wrong if got[r[0]].kept] == []
+    assert max(got[r[0]].word_distance for r in wrong) < divergence.WORD_DISTANCE and max(got[r[0]].class_distance for r in wrong) < divergence.CLASS_DISTANCE
+
+
+def test_a_language_with_few_common_words_keeps_texts_without_them():
+    reference = np.array([20] + [0] * 31 + [980])
+    assert divergence.word_limits(np.array([50, 400]), reference)[0] == divergence.WORD_DISTANCE
+    without = divergence.distances(np.eye(33)[32:], reference)[0]
+    assert divergence.word_limits(np.array([5000]), reference)[0] < without
+    assert divergence.word_limits(np.array([50]), np.eye(33)[32])[0] == divergence.WORD_DISTANCE
+
+
 # Near duplicates
 
 

@@ -3,7 +3,8 @@
 Two histograms are compared with the language's by Jensen-Shannon distance: classes of
 characters, and the language's common words with one place for all others. Texts too
 short for a histogram to mean much pass that comparison. The language's histograms are
-sums over all documents that pass the base rules.
+sums over all documents that pass the base rules. How far a text may lie from its
+language's words follows from the language: see ``word_limits``.
 """
 
 from __future__ import annotations
@@ -43,6 +44,10 @@ LEAST_TIMES, LEAST_SHARE = 3, 0.01
 # Largest distances, and the words a text and a language need for a comparison.
 CLASS_DISTANCE, WORD_DISTANCE = 0.31, 0.42
 CLASS_WORDS, COMMON_WORDS, LANGUAGE_WORDS = 20, 50, 2000
+# Shares of the distance of a text without any common word: how far a text may lie that
+# should have ENOUGH common words, and how far any text that can hardly lack them all by
+# chance (once in 1 / RARE texts).
+LONG_SHARE, SHARE, ENOUGH, RARE = 0.67, 0.98, 50, 1e-4
 # Words are kept as numbers; text becomes words in pieces of this many bytes.
 PIECE = 1 << 20
 
@@ -208,14 +213,31 @@ def distances(own: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, parts.sum(axis=1) / 2))
 
 
+def word_limits(n_words: np.ndarray, reference: np.ndarray) -> np.ndarray:
+    """Largest word distances of texts with so many words from a language's word histogram.
+
+    With a share c of common words in the language, a text of n words should have n * c of
+    them, and the chance in its distance falls with the root of that. A text without any
+    has a distance that c alone fixes; the limit is a share of this one: LONG_SHARE from
+    ENOUGH expected words on, more for shorter texts, SHARE at most. Where a text of the
+    language may well have no common word, and anywhere above it, WORD_DISTANCE holds.
+    """
+    without = np.zeros((1, COMMON + 1))
+    without[0, COMMON] = 1
+    share = reference[:COMMON].sum() / max(1, reference.sum())
+    expected = np.maximum(n_words * share, 1e-9)
+    own = distances(without, reference)[0] * np.minimum(SHARE, LONG_SHARE * np.sqrt(np.maximum(1, ENOUGH / expected)))
+    return np.where((1 - share) ** n_words < RARE, np.minimum(WORD_DISTANCE, own), WORD_DISTANCE)
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
     """Base rules and distances from the language for every whole document.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, class_distance, word_distance, kept and, as _c_<name>, the carried
     columns. base_failed: fewer than 50 words, or over half of them in repeated windows.
-    A document that passes is kept unless one of the distances is over its limit; the
-    class distance counts from CLASS_WORDS words on, the word distance from COMMON_WORDS,
+    A document that passes is kept unless one of the distances is over its limit
+    (CLASS_DISTANCE, and for words that of ``word_limits``); the class distance counts from CLASS_WORDS words on, the word distance from COMMON_WORDS,
     and either where the language has LANGUAGE_WORDS in documents that passed. A null or
     empty text has no words and fails the base rules; documents without a language form
     one of their own; ties between common words go to the smaller one; repeated rows are
@@ -234,17 +256,18 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang
         for batch in slices(batches, "text"):
             langs = batch.column(1).to_pylist()
             base, classes, words = histograms(batch, langs, common)
-            far = np.full((2, len(langs)), np.nan)
+            far, word_limit = np.full((2, len(langs)), np.nan), np.full(len(langs), WORD_DISTANCE)
             for lang in set(langs):
                 total = sums.get(lang)
                 if total is None or total[0] < LANGUAGE_WORDS:
                     continue
                 own = np.array([x == lang for x in langs])
+                word_limit[own] = word_limits(base[own, 0], total[1 + CLASSES :])
                 for k, (held, reference, least) in enumerate(((classes, total[1 : 1 + CLASSES], CLASS_WORDS), (words, total[1 + CLASSES :], COMMON_WORDS))):
                     on = own & (base[:, 0] >= least)
                     far[k, on] = distances(held[on], reference)
             bad = failed(base)
-            good = ~bad & ~(far[0] > CLASS_DISTANCE) & ~(far[1] > WORD_DISTANCE)
+            good = ~bad & ~(far[0] > CLASS_DISTANCE) & ~(far[1] > word_limit)
             gaps = [pa.array(x, pa.float64(), mask=np.isnan(x)) for x in far]
             columns = [batch.column(0), *[pa.array(base[:, k]) for k in range(len(BASE))], pa.array(bad), *gaps, pa.array(good), *batch.columns[2:]]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", *BASE, "base_failed", "class_distance", "word_distance", "kept", *names])
