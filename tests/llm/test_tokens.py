@@ -116,6 +116,17 @@ def fewest(sizes, capacity):
     return best
 
 
+def test_fillings_beyond_the_first_are_tried():
+    """A packing that neither best fit nor the first fillings of each node find."""
+    counts = {21: 1, 32: 2, 22: 4, 16: 1}
+    patterns = packing.solve(counts, 100)
+    assert sum(n for _, n in patterns) == 2 and all(sum(items) <= 100 for items, _ in patterns)
+    placed = Counter()
+    for items, n in patterns:
+        placed.update({x: k * n for x, k in Counter(items).items()})
+    assert placed == counts
+
+
 def test_solver_against_all_packings():
     rng = random.Random(5)
     found = wanted = 0

@@ -10,6 +10,7 @@ run of those numbers.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,7 +24,7 @@ from tidalframe.llm.words import encoder, slices, texts_of
 
 CAPACITY = 2048
 END_ID = 0
-# Nodes of the search beyond the best-fit solution, and fillings tried at each.
+# Nodes of the search beyond the best-fit solution, and fillings tried at each before all are.
 NODES = 4000
 WIDTH = 6
 
@@ -125,13 +126,80 @@ def fillings(counts: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]
     return kept or [min(found, key=found.get)]
 
 
+def all_fillings(counts: np.ndarray, room: int) -> Iterator[tuple[int, ...] | None]:
+    """Every undominated filling of ``room``, one after another, and None for each step that gives none.
+
+    Complete and dominated are meant as in ``fillings``.
+    """
+    have = [int(x) for x in np.flatnonzero(counts[: room + 1]) if x]
+
+    def grow(left: int, upto: int, items: Counter) -> Iterator[tuple[int, ...] | None]:
+        for at in range(min(upto, bisect_right(have, left)) - 1, -1, -1):
+            x = have[at]
+            for n in range(min(int(counts[x]), left // x), 0, -1):
+                yield from grow(left - n * x, at, items | Counter({x: n}))
+        larger = (y for x in (0, *items) for y in have[bisect_right(have, x) : bisect_right(have, x + left)])
+        yield None if any(counts[y] > items[y] for y in larger) else tuple(sorted(items.elements(), reverse=True))
+
+    return grow(room, len(have), Counter())
+
+
+def complete_all(counts: np.ndarray, capacity: int, incumbent: int, target: int, nodes: int) -> list[Pattern] | None:
+    """Bin completion as in ``complete``, of all undominated fillings and numbers of repeats, found one by one.
+
+    A sequence is repeated as often as its pieces last, and else used once before the next
+    is chosen. Every step of an enumeration counts as a node.
+    """
+
+    def options(left: np.ndarray) -> Iterator[tuple[Counter, int] | None]:
+        largest, rest = int(np.flatnonzero(left)[-1]), left.copy()
+        rest[largest] -= 1
+        for filling in all_fillings(rest, capacity - largest):
+            if filling is None:
+                yield None
+                continue
+            items = Counter((largest, *filling))
+            times = min(int(left[x]) // m for x, m in items.items())
+            yield items, times
+            if times > 1:
+                yield items, 1
+
+    if not counts.any():
+        return None
+    best, chain, stack = None, [], [(counts, 0, options(counts))]
+    while stack and nodes > 0 and incumbent > target:
+        left, used, tried = stack[-1]
+        option = next(tried, ())
+        if option == ():
+            stack.pop()
+            del chain[-1:]
+            continue
+        nodes -= 1
+        if option is None:
+            continue
+        items, times = option
+        rest = left.copy()
+        for x, m in items.items():
+            rest[x] -= m * times
+        pattern = (tuple(items.elements()), times)
+        if used + times + lower_bound(rest, capacity) >= incumbent:
+            continue
+        if rest.any():
+            chain.append(pattern)
+            stack.append((rest, used + times, options(rest)))
+        else:
+            best, incumbent = [*chain, pattern], used + times
+    return best
+
+
 def complete(counts: np.ndarray, capacity: int, incumbent: int, target: int, nodes: int, width: int) -> list[Pattern] | None:
     """Depth-first bin completion; a packing of fewer sequences than ``incumbent``, if it finds one.
 
-    Each node fills a sequence around the largest piece left, for every undominated
-    filling in turn, and repeats that sequence as often as its pieces last. A node whose
+    Each node fills a sequence around the largest piece left, for ``width`` undominated
+    fillings in turn, and repeats that sequence as often as its pieces last. A node whose
     sequences so far and lower bound for the rest reach the incumbent is pruned. The
-    search ends at ``target``, a proven bound, or after ``nodes`` nodes.
+    search ends at ``target``, a proven bound, or after ``nodes`` nodes. If it has tried
+    all that before, the nodes left go to all fillings.
     """
     best, stack = None, [(counts.copy(), 0, ())]
     while stack and nodes > 0:
@@ -157,13 +225,12 @@ def complete(counts: np.ndarray, capacity: int, incumbent: int, target: int, nod
             for x, m in items.items():
                 rest[x] -= m * times
             stack.append((rest, used + times, ((tuple(items.elements()), times), chain)))
-    if best is None:
-        return None
     out = []
     while best:
         head, best = best
         out.append(head)
-    return out
+    wider = complete_all(counts, capacity, incumbent, target, nodes) if incumbent > target else None
+    return wider or out or None
 
 
 def solve(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, width: int = WIDTH) -> list[Pattern]:
