@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from tidalframe.functions import dates
 from tidalframe.functions.exact import decimal, total
+from tidalframe.operators.joins import by_group
 from tidalframe.operators.ordered import counted, quantiles_of_counts
 
 
@@ -200,4 +201,4 @@ def seasonal_profile(df: DataFrame, date: str, value: str) -> DataFrame:
         F.max("_v").alias("highest"),
     )
     box = quantiles_of_counts(counts, ["feature", "level"], {"q1": 0.25, "med": 0.5, "q3": 0.75})
-    return base.join(box, ["feature", "level"], "left")
+    return by_group(base, box, ["feature", "level"], "left")

@@ -77,4 +77,4 @@ def seasonal_naive(
         .select(*ids, (season - F.col("_back")).alias("_slot"), F.col(value).alias("prediction"))
     )
     slotted = future.withColumn("_slot", F.pmod(F.col("h") - 1, F.lit(season)))
-    return slotted.join(last, [*ids, "_slot"], "left").drop("_slot")
+    return by_group(slotted, last, [*ids, "_slot"], "left").drop("_slot")

@@ -48,14 +48,17 @@ def every_date(df: DataFrame, ids: Sequence[str], date: str, unit: str = "day")
 
 
 def pad(df: DataFrame, ids: Sequence[str], date: str, unit: str = "day", fill: float | None = None) -> DataFrame:
-    """Add the missing dates of each series; value columns get ``fill``."""
-    padded = every_date(df, ids, date, unit).join(df, [*ids, date], "left")
-    if fill is None:
-        return padded
-    new = [c for c in df.columns if c not in (*ids, date)]
-    return padded.select(
-        *ids, date, *[F.coalesce(F.col(c), F.lit(fill)).alias(c) for c in new]
-    )
+    """Add the missing dates of each series; value columns get ``fill``.
+
+    A null id is a series like any other. Rows whose date is none of the series' steps,
+    or null, stay as they are.
+    """
+    keys, new = [*ids, date], [c for c in df.columns if c not in (*ids, date)]
+    own = df.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *new)
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    padded = every_date(df, ids, date, unit).join(own, same, "full")
+    filled = [F.col(c) if fill is None else F.coalesce(F.col(c), F.lit(fill)).alias(c) for c in new]
+    return padded.select(*[F.coalesce(F.col(k), F.col(f"_k_{k}")).alias(k) for k in keys], *filled)
 
 
 def likely_step(panel: DataFrame, ids: Sequence[str], date: str) -> DataFrame:

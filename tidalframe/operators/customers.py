@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidalframe.functions.dates import days_between
 from tidalframe.functions.exact import decimal, exact_mean, exact_sum
+from tidalframe.operators.joins import by_group
 
 
 def spend_features(log: DataFrame, id: str, date: str, money: str, cutoff: Column) -> DataFrame:
@@ -39,7 +40,7 @@ def features_with_targets(
     if cutoff is None:
         cutoff = before.agg(F.max(date)).scalar()
     features = spend_features(before, id, date, money, cutoff)
-    return features.join(spend_targets(after, id, money), id, "left").fillna(
+    return by_group(features, spend_targets(after, id, money), [id], "left").fillna(
         {"spend_90_total": 0.0, "spend_90_flag": 0}
     )
 
@@ -51,7 +52,7 @@ def first_purchases(log: DataFrame, id: str, date: str) -> DataFrame:
 def cohort(log: DataFrame, id: str, date: str, start, end) -> DataFrame:
     """All rows of customers whose first purchase lies between two dates."""
     ids = first_purchases(log, id, date).where(F.col(date).between(F.lit(start), F.lit(end)))
-    return log.join(ids.select(id), id, "left_semi")
+    return by_group(log, ids.select(id), [id], "left_semi")
 
 
 def transaction_summary(log: DataFrame, id: str, date: str, money: str, split) -> DataFrame:

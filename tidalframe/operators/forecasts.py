@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalframe.functions.quantiles import normal_quantile
-from tidalframe.operators.joins import bind_rows
+from tidalframe.operators.joins import bind_rows, by_group
 
 def model_table(spark: SparkSession, *descriptions: str) -> DataFrame:
     rows = [(i, d) for i, d in enumerate(descriptions, 1)]
@@ -59,7 +59,7 @@ def forecast_table(
     """Actual rows (no model) followed by prediction rows with an interval."""
     by = ["model_id", id] if by_id else ["model_id"]
     widths = interval_width(calibrated, by, level)
-    ahead = predictions.join(widths, by, "left").select(
+    ahead = by_group(predictions, widths, by, "left").select(
         "model_id",
         "model_desc",
         F.lit("prediction").alias("key"),
@@ -80,14 +80,14 @@ def forecast_table(
 
 
 def best_by_series(accuracy: DataFrame, id: str, metric: str = "rmse") -> DataFrame:
-    """Models holding a series' smallest metric, ties kept."""
+    """Models holding a series' smallest metric, ties kept; all of a series without any metric."""
     best = accuracy.groupBy(id).agg(F.min(metric).alias(metric))
-    return accuracy.join(best, [id, metric], "left_semi")
+    return by_group(accuracy, best, [id, metric], "left_semi")
 
 
 def keep_best(forecast: DataFrame, best: DataFrame, id: str) -> DataFrame:
     """Forecast rows of each series' chosen model."""
-    return forecast.join(best.select("model_id", id), ["model_id", id], "right")
+    return by_group(best.select("model_id", id), forecast, ["model_id", id], "left")
 
 
 def average(predictions: DataFrame, keys: Sequence[str]) -> DataFrame:

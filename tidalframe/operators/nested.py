@@ -24,7 +24,7 @@ def nest(panel: DataFrame, id: str, date: str, value: str, length: int, unit: st
         id, F.struct(F.col(date).alias("date"), F.lit(None).cast("double").alias("value")).alias("_p")
     )
     future = ahead.groupBy(id).agg(F.sort_array(F.collect_list("_p")).alias("future"))
-    return actual.join(future, id, "left")
+    return by_group(actual, future, [id], "left")
 
 
 def split_last(nested: DataFrame, n: int) -> DataFrame:

@@ -239,4 +239,4 @@ def slice_extreme(df: DataFrame, by: Sequence[str], value: str, largest: bool =
         .drop("_part", "_rank")
     )
     best = df.groupBy(*by).agg((F.max if largest else F.min)(value).alias(value))
-    return winners.join(best, [*by, value], "left_semi")
+    return by_group(winners, best, [*by, value], "left_semi")

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidalframe.operators.joins import by_group
+
 
 def trend_season(date: str, origin: str, season_days: float = 365.25, waves: int = 2) -> dict[str, Column]:
     """Intercept, trend and a few sine waves of the year and the week."""
@@ -92,9 +94,14 @@ def solve(
 
 
 def predict(df: DataFrame, models: DataFrame, id: str, features: Sequence[str]) -> DataFrame:
-    """Join each series' coefficients and add ``prediction``."""
+    """Each row once for every spec, with model_desc, prediction and the error of its model.
+
+    A series without a model, and one with a null id, keeps its rows; where the fit failed
+    the prediction is null and the error says why.
+    """
     value = F.lit(0.0)
     for i, name in enumerate(features):
         value = value + F.col(name) * F.get("coefficients", F.lit(i))
-    good = models.where(F.col("error").isNull()).select(id, "model_desc", "coefficients")
-    return df.join(good, id).withColumn("prediction", value).drop("coefficients")
+    fitted = by_group(df, models.select(id, "model_desc", "coefficients", "error"), [id], "left")
+    error = F.coalesce("error", F.when(F.col("model_desc").isNull(), F.lit("no training rows")))
+    return fitted.withColumn("prediction", value).withColumn("error", error).drop("coefficients")

@@ -21,6 +21,7 @@ MODULES = (
     "forecasts",
     "metrics",
     "learners",
+    "series",
     "tuning",
     "closed",
     "streams",

@@ -105,7 +105,7 @@ def flt_group(spark: SparkSession, root: str) -> DataFrame:
     _, predictions = holdout_predictions(spark, root)
     accuracy = metrics.accuracy_table(predictions, ["model_id", "id"], "date")
     lowest = accuracy.groupBy("id").agg(F.min("rmse").alias("_lowest"))
-    kept = accuracy.join(lowest, "id").where((F.col("model_id") == 2) | (F.col("rmse") == F.col("_lowest")))
+    kept = joins.by_group(accuracy, lowest, ["id"]).where((F.col("model_id") == 2) | (F.col("rmse") == F.col("_lowest")))
     return kept.select("model_id", "id", "rmse")
 
 

@@ -20,6 +20,7 @@ from tidalframe.operators import (
     temporal,
     windows,
 )
+from tidalframe.operators.joins import by_group
 from tidalframe.operators.models import Design
 from tidalframe.plans.aggregates import returns_wide
 from tidalframe.plans.calendar import customer_days
@@ -304,7 +305,7 @@ def nested_predictions(train: DataFrame, future: DataFrame, months: int) -> Data
         "prediction",
     )
     nodes = temporal.node_forecasts(train, ["id"], "date", "value", 12, 3)
-    tier = future.join(temporal.reconcile(nodes, ["id"], 12), ["id", "h"])
+    tier = by_group(future, temporal.reconcile(nodes, ["id"], 12), ["id", "h"], "left")
     return lines.unionByName(
         tier.select(F.lit(3).alias("model_id"), F.lit("hierarchy").alias("model_desc"), "id", "date", "h", "prediction")
     )
@@ -318,9 +319,8 @@ def nst_best(spark: SparkSession, root: str) -> DataFrame:
     panel = kept(nation_monthly(spark, root))
     split = nested_split = splits.series_tail_split(panel, ["id"], "date", 6)
     test = steps_ahead(splits.testing(split), ["id"], "date")
-    tested = nested_predictions(splits.training(nested_split), test, 6).join(
-        test.select("id", "date", F.col("value").alias("actual")), ["id", "date"]
-    )
+    truth = test.select("id", "date", F.col("value").alias("actual"))
+    tested = by_group(nested_predictions(splits.training(nested_split), test, 6), truth, ["id", "date"])
     accuracy = metrics.accuracy_table(tested, ["model_id", "id"], "date")
     best = forecasts.best_by_series(accuracy, "id", "rmse")
     future = calendar.future_rows(panel, ["id"], "date", 6, "month")

@@ -19,6 +19,7 @@ from tidalframe.operators import (
     tuning,
 )
 from tidalframe.operators.features import Roles, Steps
+from tidalframe.operators.joins import by_group
 from tidalframe.operators.models import Design
 from tidalframe.plans.features import HORIZON, hier_features
 from tidalframe.plans.inputs import MONTHLY, kept, monthly_panel, transactions
@@ -34,7 +35,7 @@ REFERENCE_MODEL = 13
 def window_and_season(train: DataFrame, future: DataFrame) -> DataFrame:
     """Thirteen models: window medians of 1 to 12 months, and the last season."""
     levels = baselines.window_levels(train, ["id"], "date", "value", SIZES)
-    flat = future.join(levels.withColumnRenamed("size", "model_id"), "id")
+    flat = by_group(future, levels.withColumnRenamed("size", "model_id"), ["id"])
     season = baselines.seasonal_naive(train, future, ["id"], "date", "value", 12)
     return flat.unionByName(season.withColumn("model_id", F.lit(REFERENCE_MODEL)))
 
@@ -70,7 +71,7 @@ def study_baselines(spark: SparkSession, root: str) -> DataFrame:
     tested = cut_lineage(window_and_season(splits.training(split), test))
     accuracy = metrics.accuracy_table(tested, ["model_id", "id"], "date")
     lowest = accuracy.groupBy("id").agg(F.min("rmse").alias("_lowest"))
-    chosen = accuracy.join(lowest, "id").where(
+    chosen = by_group(accuracy, lowest, ["id"]).where(
         (F.col("model_id") == REFERENCE_MODEL) | (F.col("rmse") == F.col("_lowest"))
     )
     future = calendar.future_rows(panel, ["id"], "date", 6, "month")

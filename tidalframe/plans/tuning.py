@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalframe.operators import baselines, metrics, models, shape, splits, tuning
+from tidalframe.operators.joins import by_group
 from tidalframe.operators.models import Design
 from tidalframe.plans.customers import rfm_table
 from tidalframe.plans.flagship import METRICS_SQL
@@ -72,7 +73,7 @@ def window_errors(sizes: list[int], folded: DataFrame, slice_id: int) -> DataFra
     rows = folded.where(F.col("slice_id") == slice_id)
     train, test = splits.training(rows), splits.testing(rows)
     levels = baselines.window_levels(train, ["id"], "date", "value", sizes)
-    scored = test.withColumnRenamed("value", "actual").join(levels, "id")
+    scored = by_group(test.withColumnRenamed("value", "actual"), levels, ["id"])
     return scored.groupBy(F.col("size").alias("candidate")).agg(metrics.rmse("actual", "prediction").alias("metric"))
 
 
@@ -128,7 +129,7 @@ def window_accuracy(spark: SparkSession, root: str) -> DataFrame:
     """
     split = splits.time_split(kept(monthly_panel(spark, root)), "date", 6)
     levels = baselines.window_levels(splits.training(split), ["id"], "date", "value", SIZES)
-    scored = splits.testing(split).withColumnRenamed("value", "actual").join(levels, "id")
+    scored = by_group(splits.testing(split).withColumnRenamed("value", "actual"), levels, ["id"])
     return metrics.accuracy_table(
         scored.withColumnRenamed("size", "model_id"), ["model_id"], "date", series=["id"]
     )
