@@ -21,7 +21,7 @@ NATION_MONTHS = """panel AS (SELECT n_name AS id, CAST(date_trunc('month', o_ord
 
 
 @query(
-    "nst_split",
+    "nst_boost_split",
     f"""WITH {NATION_MONTHS}, r AS (SELECT id, month(date) AS m, value - avg(value) OVER (PARTITION BY id) AS e, avg(value) OVER (PARTITION BY id) AS mean FROM panel),
 cuts AS (SELECT DISTINCT id, m AS cut FROM r),
 sides AS (SELECT id, cut, any_value(mean) AS mean, sum(e) FILTER (m <= cut) AS gl, count(*) FILTER (m <= cut) AS nl, sum(e) FILTER (m > cut) AS gr, count(*) FILTER (m > cut) AS nr
@@ -29,7 +29,7 @@ sides AS (SELECT id, cut, any_value(mean) AS mean, sum(e) FILTER (m <= cut) AS g
 best AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY gl * gl / nl + gr * gr / nr DESC, cut) AS place FROM sides WHERE nr > 0)
 SELECT id, nl + nr AS n, cut::DOUBLE AS cut, round(mean + gl / nl, 2) AS low, round(mean + gr / nr, 2) AS high FROM best WHERE place = 1""",
 )
-def nst_split(spark: SparkSession, root: str) -> DataFrame:
+def nst_boost_split(spark: SparkSession, root: str) -> DataFrame:
     """One tree with one split for every nation: the month that parts its year best, and both means."""
     rows = nation_monthly(spark, root).withColumn("month", F.month("date"))
     fitted = seriestrees.fit(rows, "id", "date", ["month"], "value", {"split": Spec(trees=1, learn_rate=1.0, depth=1)})
