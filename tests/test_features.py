@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tidalframe.functions import dates, text
 from tidalframe.functions import selectors as sel
 from tidalframe.functions.names import snake_names
-from tidalframe.operators import features, impute
+from tidalframe.operators import features, impute, neighbours
 from tidalframe.operators.features import Roles, Steps
 from tidalframe.session import scratch, shared_dir
 from tidalframe.sources import files
@@ -183,3 +184,54 @@ def test_shared_folder_is_the_one_the_cluster_names():
         shared_dir(Session("spark://host:7077"))
     local = Session("local[2]")
     assert shared_dir(local) == shared_dir(local) == local.checkpoint
+
+
+def gower(a, b, numbers, cats, reach):
+    return (sum(abs(a[c] - b[c]) / reach[c] for c in numbers if reach[c]) + sum(a[c] != b[c] for c in cats)) / (len(numbers) + len(cats))
+
+
+@pytest.mark.parametrize(("seed", "cells", "k"), [(1, 40, 3), (2, 1, 5), (3, 200, 1)])
+def test_neighbours_over_all_predictors_equal_brute_force(spark, monkeypatch, seed, cells, k):
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 4)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 20)
+    rng = random.Random(seed)
+    rows = []
+    for key in range(300):
+        y = None if key % 6 == 0 else float(rng.randint(0, 50))
+        z = None if key % 7 == 0 else rng.choice("uvw")
+        rows.append((key, y, z, rng.choice([1.0, 2.0, 7.5, None]), float(rng.randint(0, 400)), 5.0, rng.choice("abc"), rng.choice(["x", None])))
+    names = ["key", "y", "z", "n1", "n2", "same", "c1", "c2"]
+    df = spark.createDataFrame(rows, "key long, y double, z string, n1 double, n2 double, same double, c1 string, c2 string")
+    numbers, cats = ("n1", "n2", "same"), ("c1", "c2")
+    models = [neighbours.fit(df, "key", t, numbers, cats, k, cells) for t in ("y", "z")]
+    got = {r["key"]: r for r in neighbours.impute(models, df).collect()}
+    dicts = [dict(zip(names, r, strict=True)) for r in rows]
+    middle = {c: np.mean([d[c] for d in dicts if d[c] is not None]) for c in numbers}
+    reach = {c: max(d[c] for d in dicts if d[c] is not None) - min(d[c] for d in dicts if d[c] is not None) for c in numbers}
+    full = [d | {c: middle[c] if d[c] is None else d[c] for c in numbers} for d in dicts]
+    assert len(got) == 300
+    for d in full:
+        for target in ("y", "z"):
+            if d[target] is not None:
+                assert got[d["key"]][target] == d[target]
+                continue
+            near = sorted((o for o in full if o[target] is not None), key=lambda o: (gower(d, o, numbers, cats, reach), o["key"]))[:k]
+            values = [o[target] for o in near]
+            want = np.mean(values) if target == "y" else min(values, key=lambda v: (-values.count(v), v))
+            assert got[d["key"]][target] == (pytest.approx(want) if target == "y" else want)
+
+
+def test_neighbours_without_donors_or_rows(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (2, None, None)], "key long, y double, n double")
+    model = neighbours.fit(df, "key", "y", ["n"], [], 3)
+    assert [r["y"] for r in neighbours.impute([model], df).collect()] == [None, None]
+    some = neighbours.fit(df.withColumn("y", F.lit(4.0)), "key", "y", ["n"], [], 3)
+    assert neighbours.impute([some], df.limit(0)).count() == 0 and {r["y"] for r in neighbours.impute([some], df).collect()} == {4.0}
+
+
+def test_the_number_of_neighbours_is_chosen_in_folds(spark):
+    rng = random.Random(4)
+    rows = [(k, float(x := rng.randint(0, 30)), float(x % 2 * 100 + rng.gauss(0, 30)), k % 3) for k in range(240)]
+    df = spark.createDataFrame(rows, "key long, n double, y double, fold int")
+    tuned = neighbours.tune(df, "key", "y", ["n"], [], (1, 4, 60), 3)
+    assert tuned.count() == 9 and neighbours.best_k(tuned) == 4

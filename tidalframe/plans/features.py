@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from tidalframe.functions import dates
 from tidalframe.functions import selectors as sel
-from tidalframe.operators import aggregates, calendar, features, impute, windows
+from tidalframe.functions.exact import exact_sum
+from tidalframe.operators import aggregates, calendar, features, impute, neighbours, windows
 from tidalframe.operators.features import Roles, Steps
 from tidalframe.plans.inputs import UNKNOWN, kept, order_days, parts, unknown_prices
 from tidalframe.plans.registry import query
 from tidalframe.plans.scalars import SIGNATURE
+from tidalframe.session import cut_lineage
 from tidalframe.sources.tables import table
 
 PART_ROLES = Roles("p_retailprice", ("p_partkey", "p_brand"))
@@ -179,6 +181,79 @@ def fea_impute_knn(spark: SparkSession, root: str) -> DataFrame:
     return impute.impute_knn(rows, "p_partkey", "price", "p_size", ["p_brand", "p_type"], 5, scale=2)
 
 
+ORDER_FACTS = """lines AS (SELECT l_orderkey, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity,
+  CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) AS taxes FROM lineitem GROUP BY 1),
+facts AS (SELECT o_orderkey, CASE WHEN o_orderkey % 25 <> 3 THEN o_totalprice END AS price, CASE WHEN o_orderkey % 25 <> 4 THEN c_mktsegment END AS segment,
+  CAST(o_orderdate AS DATE) - DATE '1992-01-01' AS day, c_acctbal AS balance, n_lines, quantity, taxes, o_orderpriority AS priority, c_nationkey AS nation
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN lines ON o_orderkey = l_orderkey)"""
+NUMBERS, CATEGORIES = ("day", "balance", "n_lines", "quantity", "taxes"), ("priority", "segment", "nation")
+
+
+def order_facts(spark: SparkSession, root: str) -> DataFrame:
+    """Orders with eight predictors; one price and one segment in 25 unknown."""
+    lines = table(spark, root, "lineitem").groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), exact_sum("l_quantity").alias("quantity"), exact_sum("l_tax").alias("taxes")
+    )
+    people = table(spark, root, "customer").select("c_custkey", "c_mktsegment", "c_acctbal", "c_nationkey")
+    orders = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    joined = orders.join(people, F.col("o_custkey") == F.col("c_custkey")).join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    left = F.col("o_orderkey") % 25
+    return joined.select(
+        "o_orderkey",
+        F.when(left != 3, F.col("o_totalprice")).alias("price"),
+        F.when(left != 4, F.col("c_mktsegment")).alias("segment"),
+        F.datediff("o_orderdate", F.lit("1992-01-01")).alias("day"),
+        F.col("c_acctbal").alias("balance"),
+        "n_lines",
+        "quantity",
+        "taxes",
+        F.col("o_orderpriority").alias("priority"),
+        F.col("c_nationkey").alias("nation"),
+    )
+
+
+def _gower(numbers: tuple[str, ...], categories: tuple[str, ...]) -> str:
+    parts = [f"abs(a.{c} - b.{c})::DOUBLE / r.{c}" for c in numbers]
+    parts += [f"CASE WHEN a.{c} IS NOT DISTINCT FROM b.{c} THEN 0.0 ELSE 1.0 END::DOUBLE" for c in categories]
+    return f"({' + '.join(parts)}) / {len(parts)}::DOUBLE"
+
+
+@query(
+    "fea_knn_all",
+    f"""WITH {ORDER_FACTS}, r AS (SELECT {', '.join(f'(max({c}) - min({c}))::DOUBLE AS {c}' for c in NUMBERS)} FROM facts),
+near AS (SELECT a.o_orderkey, b.price FROM facts a, facts b, r WHERE a.price IS NULL AND b.price IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY a.o_orderkey ORDER BY {_gower(NUMBERS, CATEGORIES)}, b.o_orderkey) <= 5),
+prices AS (SELECT o_orderkey, CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS filled FROM near GROUP BY 1),
+alike AS (SELECT a.o_orderkey, b.segment FROM facts a, facts b, r WHERE a.segment IS NULL AND b.segment IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY a.o_orderkey ORDER BY {_gower(NUMBERS, ('priority', 'nation'))}, b.o_orderkey) <= 5),
+votes AS (SELECT o_orderkey, segment, row_number() OVER (PARTITION BY o_orderkey ORDER BY count(*) DESC, segment) AS place FROM alike GROUP BY 1, 2)
+SELECT f.o_orderkey, coalesce(f.price, p.filled) AS price, coalesce(f.segment, v.segment) AS segment
+FROM facts f LEFT JOIN prices p USING (o_orderkey) LEFT JOIN (SELECT * FROM votes WHERE place = 1) v USING (o_orderkey)""",
+)
+def fea_knn_all(spark: SparkSession, root: str) -> DataFrame:
+    """Unknown prices and segments from the five most similar orders by all other columns."""
+    rows = cut_lineage(order_facts(spark, root))
+    models = [neighbours.fit(rows, "o_orderkey", target, NUMBERS, CATEGORIES, 5) for target in ("price", "segment")]
+    return neighbours.impute(models, rows, scale=2).select("o_orderkey", "price", "segment")
+
+
+@query(
+    "fea_knn_folds",
+    f"""WITH {ORDER_FACTS}, known AS (SELECT *, CAST(o_orderkey % 3 AS INT) AS fold FROM facts WHERE o_orderkey % 5 = 1),
+r AS (SELECT i, {', '.join(f'(max({c}) - min({c}))::DOUBLE AS {c}' for c in NUMBERS)} FROM known, range(3) t(i) WHERE fold <> i GROUP BY i),
+near AS (SELECT a.fold, a.o_orderkey, a.price AS truth, b.price,
+    row_number() OVER (PARTITION BY a.o_orderkey ORDER BY {_gower(NUMBERS, CATEGORIES)}, b.o_orderkey) AS nth
+  FROM known a JOIN known b ON a.fold <> b.fold JOIN r ON r.i = a.fold WHERE a.price IS NOT NULL AND b.price IS NOT NULL QUALIFY nth <= 9),
+guess AS (SELECT k, fold, o_orderkey, truth, avg(price) AS e FROM near, (VALUES (1), (3), (5), (9)) t(k) WHERE nth <= k GROUP BY ALL)
+SELECT CAST(k AS INT) AS k, fold, count(*) AS n, round(sqrt(avg((truth - e) * (truth - e))), 3) AS rmse FROM guess GROUP BY 1, 2""",
+)
+def fea_knn_folds(spark: SparkSession, root: str) -> DataFrame:
+    """Errors of 1, 3, 5 and 9 neighbours over three folds, ranges and donors from the other folds."""
+    rows = order_facts(spark, root).where(F.col("o_orderkey") % 5 == 1).withColumn("fold", (F.col("o_orderkey") % 3).cast("int"))
+    tuned = neighbours.tune(cut_lineage(rows), "o_orderkey", "price", NUMBERS, CATEGORIES, (1, 3, 5, 9), 3)
+    return tuned.withColumn("rmse", F.round("rmse", 3))
+
+
 HORIZON = 28
 
 
