@@ -138,8 +138,16 @@ def test_gamma_gamma_search(spark):
     guess = (6.0, 4.0, 20.0)
     by_hand = sum(gammagamma.log_likelihood(n, z, *guess) for n, z in data)
     assert gammagamma.score(df, "n", "z", [guess])[0] == pytest.approx(by_hand)
-    p, q, gamma, value = gammagamma.fit(df, "n", "z", rounds=14)
-    assert value > by_hand - 5
+    p, q, gamma, value = gammagamma.fit(df, "n", "z")
+    assert value >= by_hand
+    moments = gammagamma.moments(df, "n", "z", gamma)
+    gradient, curvature = gammagamma.slopes(moments, p, q, gamma)
+    assert np.abs(gradient).max() <= 1e-6 * 1500 and np.linalg.eigvalsh(curvature).max() < 0
+    at = np.log([p, q, gamma])
+    for i in range(3):
+        up, down = (at + d * np.eye(3)[i] for d in (1e-4, -1e-4))
+        steep = [gammagamma.value(gammagamma.moments(df, "n", "z", float(np.exp(t[2]))), *np.exp(t)) for t in (up, down)]
+        assert max(steep) <= value + 1e-6
     mean = customers.expected_spend(F.col("n"), F.col("z"), p, q, gamma)
     assert df.select(F.avg(mean)).first()[0] == pytest.approx(np.mean([z for _, z in data]), rel=0.1)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,26 +113,26 @@ def series_diagnostics(panel: DataFrame, ids: Sequence[str], date: str) -> DataF
     return out.withColumn("scale", scale)
 
 
-# Pairs of columns whose moments are added up in one pass.
-PAIRS = 400
-
-
 def correlation(wide: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Correlation matrix of columns as (x, y, r) rows, incomplete rows dropped.
 
-    Every entry is an aggregate, some hundred of them a pass; no rows are paired up.
-    A column that does not vary has no correlation with another one.
+    One pass finds means and spreads, a second one adds up the products of the standardised
+    columns, whatever their number: each task keeps one triangle of sums, and the driver
+    the matrix of the columns. A column that does not vary has no correlation with another.
     """
     full = wide.select(*cols).dropna("any")
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    same = [F.struct(F.lit(a).alias("x"), F.lit(a).alias("y"), F.lit(1.0).alias("r")) for a in cols]
-    out = full.limit(1).select(F.inline(F.array(*same))) if cols else None
-    for at in range(0, len(pairs), PAIRS):
-        own = pairs[at : at + PAIRS]
-        r = [F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)).alias(f"{i}") for i, (a, b) in enumerate(own)]
-        cells = [F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"{i}").alias("r")) for i, (a, b) in enumerate(own) for x, y in ((a, b), (b, a))]
-        out = out.unionByName(full.agg(*r).select(F.inline(F.array(*cells))))
-    return out.select("x", "y", F.round("r", digits).alias("r"))
+    facts = full.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{k}{i}") for i, c in enumerate(cols) for k, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    spark, schema = wide.sparkSession, "x string, y string, r double"
+    if not cols or not facts["n"]:
+        return spark.createDataFrame([], schema)
+    varied = [i for i in range(len(cols)) if facts[f"s{i}"]]
+    found: dict[tuple[int, int], float | None] = {}
+    if len(varied) > 1:
+        scaled = full.select(F.array(*[(F.col(cols[i]) - facts[f"m{i}"]) / facts[f"s{i}"] for i in varied]).alias("v"))
+        matrix = Correlation.corr(scaled.select(array_to_vector("v").alias("v")), "v").first()[0].toArray()
+        found = {(i, j): float(matrix[a, b]) for a, i in enumerate(varied) for b, j in enumerate(varied)}
+    rows = [(x, y, 1.0 if i == j else found.get((i, j))) for i, x in enumerate(cols) for j, y in enumerate(cols)]
+    return spark.createDataFrame(rows, schema).withColumn("r", F.round("r", digits))
 
 
 def autocorrelation(panel: DataFrame, ids: Sequence[str], date: str, value: str, lags: int) -> DataFrame:

@@ -24,6 +24,9 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidalframe.operators.ordered import row_index
+from tidalframe.session import cut_lineage
+
 
 @dataclass(frozen=True)
 class Design:
@@ -96,12 +99,18 @@ def boosted(
     depth: int = 5,
     min_gain: float = 0.0,
     seed: int = 1,
+    stop: str | None = None,
+    fall: float = 0.01,
 ) -> Estimator:
-    """Gradient-boosted trees. Spark's learn rates end at 1; a larger one is an error."""
+    """Gradient-boosted trees. Spark's learn rates end at 1; a larger one is an error.
+
+    With ``stop``, the name of a boolean column that marks validation rows, trees are added
+    until the error of these falls by less than the share ``fall``, ``trees`` at most.
+    """
     if not 0 < learn_rate <= 1:
         raise ValueError(f"a learn rate lies above 0 and up to 1, not at {learn_rate}")
     kind = GBTRegressor if mode == "regression" else GBTClassifier
-    return kind(
+    learner = kind(
         maxIter=trees,
         stepSize=learn_rate,
         minInstancesPerNode=min_n,
@@ -109,6 +118,7 @@ def boosted(
         minInfoGain=min_gain,
         seed=seed,
     )
+    return learner.setValidationIndicatorCol(stop).setParams(validationTol=fall) if stop else learner
 
 
 def forest(
@@ -197,6 +207,51 @@ def feature_names(scored: DataFrame, col: str = "features") -> list[str]:
     return [a["name"] for a in sorted(slots, key=lambda a: a["idx"])]
 
 
+def learning_curve(model: PipelineModel, rows: dict[str, DataFrame], loss: str = "squared") -> DataFrame:
+    """(rows, trees, error): the error of boosted trees on each table after every tree, and which count was kept.
+
+    The model keeps the number of trees it stopped at, so the curve ends there.
+    """
+    last = model.stages[-1]
+    found = []
+    for name, df in rows.items():
+        ready = PipelineModel(model.stages[:-1]).transform(df)
+        kind = (loss,) if hasattr(last, "evaluateEachIteration") and "Regression" in type(last).__name__ else ()
+        found += [(name, k, float(e)) for k, e in enumerate(last.evaluateEachIteration(ready, *kind), 1)]
+    spark = next(iter(rows.values())).sparkSession
+    return spark.createDataFrame(found, "rows string, trees int, error double")
+
+
+def shuffled(df: DataFrame, key: Sequence[str], cols: Sequence[str], seed: int = 1) -> DataFrame:
+    """The rows with each column of ``cols`` as _s_<name> too, dealt anew over all rows.
+
+    One and the same random order serves all columns: the row at place i by key takes the
+    values of the row at place i by a hash of the key. Both orders are numbered by ranges,
+    so no task and no driver holds a column. Keys must be unique.
+    """
+    name = F.concat_ws("-", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+    rows = cut_lineage(df.withColumn("_name", name).withColumn("_drawn", F.md5(F.concat(F.col("_name"), F.lit(f"#{seed}")))))
+    given = row_index(rows.select("_drawn", *cols), "_drawn", "_place")
+    taking = row_index(rows, "_name", "_place")
+    values = given.select("_place", *[F.col(c).alias(f"_s_{c}") for c in cols])
+    return taking.join(values, "_place").drop("_place", "_name", "_drawn")
+
+
+def permutation_importance(model: PipelineModel, df: DataFrame, key: Sequence[str], predictors: Sequence[str], target: str, error, seed: int = 1) -> DataFrame:
+    """(feature, error, importance): how much the error of any fitted model grows when one predictor is dealt anew.
+
+    ``error`` is an aggregate of the target and the prediction, such as ``metrics.rmse``.
+    """
+    rows = cut_lineage(shuffled(df, key, predictors, seed))
+    base = predict(model, rows, [target]).agg(error(target, "prediction").alias("e")).first()[0]
+    out = None
+    for c in predictors:
+        scored = predict(model, rows.withColumn(c, F.col(f"_s_{c}")), [target])
+        part = scored.agg(F.lit(c).alias("feature"), error(target, "prediction").alias("error"))
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("importance", F.col("error") - F.lit(base))
+
+
 def importance(model: PipelineModel, scored: DataFrame, spark: SparkSession) -> DataFrame:
     """(feature, importance): impurity shares of trees or sizes of coefficients."""
     last = model.stages[-1]

@@ -24,6 +24,7 @@ MODULES = (
     "series",
     "tuning",
     "closed",
+    "search",
     "streams",
     "studies",
 )

@@ -227,19 +227,27 @@ def mod_importance(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query(
-    "mod_score",
+    "mod_score_line",
     """WITH d AS (SELECT doc_id, quality, n_chars FROM documents JOIN labels USING (doc_id)),
 fit AS (SELECT regr_slope(quality, n_chars) AS b, regr_intercept(quality, n_chars) AS a FROM d)
 SELECT doc_id, round(a + b * n_chars, 6) AS prediction FROM d, fit""",
 )
-def mod_score(spark: SparkSession, root: str) -> DataFrame:
-    """Stored features and model applied to a table: the score of every row."""
+def mod_score_line(spark: SparkSession, root: str) -> DataFrame:
+    """A stored line applied to a table: the score of every row."""
     rows = kept(labelled(spark, root))
     model = models.fit(Design("quality", ("n_chars",)), models.linear(), rows)
-    scored = models.predict(models.load(models.save(model, scratch(spark, "mod_score"))), rows, ["doc_id"])
+    scored = models.predict(models.load(models.save(model, scratch(spark, "mod_score_line"))), rows, ["doc_id"])
     return scored.withColumn("prediction", F.round("prediction", 6))
 
 
+@query("mod_score")
+def mod_score(spark: SparkSession, root: str) -> DataFrame:
+    """Stored features, two of them nominal, and model applied to a table: class and probability of every row."""
+    rows = kept(labelled(spark, root))
+    path = models.save(models.fit(QUALITY, models.logistic(0.01, 0.5), rows), scratch(spark, "mod_score"))
+    return models.predict(models.load(path), rows, ["doc_id"])
+
+
 LAGS = list(range(1, 13))
 
 

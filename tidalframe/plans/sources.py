@@ -102,14 +102,23 @@ def snk_csv(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query(
-    "snk_model",
+    "snk_model_line",
     """WITH fit AS (SELECT regr_slope(p_retailprice, p_size) AS b, regr_intercept(p_retailprice, p_size) AS a FROM part)
 SELECT p_partkey, round(a + b * p_size, 3) AS prediction FROM part, fit""",
 )
-def snk_model(spark: SparkSession, root: str) -> DataFrame:
-    """A reloaded model scores every row as the fitted one does."""
+def snk_model_line(spark: SparkSession, root: str) -> DataFrame:
+    """A reloaded line scores every row as the fitted one does."""
     rows = parts(spark, root)
     fitted = models.fit(Design("p_retailprice", ("p_size",)), models.linear(), rows)
-    again = models.load(models.save(fitted, scratch(spark, "snk_model")))
+    again = models.load(models.save(fitted, scratch(spark, "snk_model_line")))
     return models.predict(again, rows, ["p_partkey"]).withColumn("prediction", F.round("prediction", 3))
 
+
+@query("snk_model")
+def snk_model(spark: SparkSession, root: str) -> DataFrame:
+    """A stored specification with nominal columns, reloaded: its score of every row beside that of the fitted one."""
+    rows = parts(spark, root)
+    fitted = models.fit(Design("p_retailprice", ("p_size",), ("p_brand", "p_type")), models.elastic_net(0.1, 0.5), rows)
+    again = models.load(models.save(fitted, scratch(spark, "snk_model")))
+    one = models.predict(fitted, rows, rows.columns).withColumnRenamed("prediction", "before")
+    return models.predict(again, one, ["p_partkey", "before"])
