@@ -12,6 +12,8 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidalframe.llm.learning import Adam, chosen, held_out, log_loss, sample, sigmoid, temperature
 from tidalframe.llm.store import written
-from tidalframe.llm.words import Numbers, slices
+from tidalframe.llm.words import Numbers, Store, expand, slices, split_words, sums
 
 BUCKETS, DIM = 1 << 14, 32
 # Non-zero places of an index vector, and how far apart tokens count as neighbours.
@@ -49,20 +51,40 @@ def parts_of(word: str) -> list[int]:
     return out
 
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets of all texts' tokens, tokens of each text). Each distinct word is taken apart once."""
-    numbers = Numbers()
-    look = numbers.__getitem__
-    words = [t.split() for t in texts]
-    counts = np.fromiter(map(len, words), np.int64, len(words))
-    index = np.fromiter((n for w in words for n in map(look, w)), np.int64, int(counts.sum()))
-    found = [parts_of(w) for w in numbers]
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.fromiter((b for x in found for b in x), np.int64, int(sizes.sum()))
-    starts, lens = (np.cumsum(sizes) - sizes)[index], sizes[index]
-    ends = np.cumsum(lens)
-    out = flat[np.repeat(starts - (ends - lens), lens) + np.arange(int(ends[-1]) if len(ends) else 0)]
-    return out, np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])])
+class Parts:
+    """Buckets of words' parts; a worker remembers the words that it has taken apart, about so many."""
+
+    def __init__(self, remembered: int = 200_000):
+        self.remembered, self.numbers, self.held = remembered, Numbers(), Store()
+
+    def take(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(buckets of different words one after another, how many each has)."""
+        if len(self.numbers) > self.remembered:
+            self.numbers, self.held = Numbers(), Store()
+        listed = words.to_pylist()
+        numbers = np.fromiter(map(self.numbers.__getitem__, listed), np.int64, len(listed))
+        if self.numbers.fresh:
+            found = [parts_of(w) for w in self.numbers.fresh]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self.held.add(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes)
+            self.numbers.fresh.clear()
+        return self.held.take(numbers)
+
+
+known_parts = lru_cache(maxsize=1)(Parts)
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets of all texts' tokens, tokens of each text).
+
+    Texts are split at plain white space; a part never holds any, so other white space
+    inside a word only parts it as it would anywhere.
+    """
+    index, counts, different = split_words(texts)
+    flat, sizes = known_parts().take(different)
+    lens = sizes[index]
+    out = flat[expand((np.cumsum(sizes) - sizes)[index], lens)].astype(np.int64)
+    return out, sums(lens, counts)
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +107,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         entry = place * 2 + (sign < 0)
         signed = np.zeros(BUCKETS * DIM * 2, np.int64)
         for batch in slices(batches, "text"):
-            flat, lens = tokens([x or "" for x in batch.column(0).to_pylist()])
+            flat, lens = tokens(batch.column(0))
             doc = np.repeat(np.arange(len(lens)), lens)
             for far in range(1, REACH + 1):
                 near = doc[far:] == doc[:-far]
@@ -110,7 +132,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return out.astype(np.float32)
 
 
-def pooled(texts: list[str], vectors: np.ndarray) -> np.ndarray:
+def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """Per text: mean and spread of its tokens' vectors, their count, and how many differ."""
     flat, lens = tokens(texts)
     out = np.zeros((len(texts), VECTOR), np.float32)
@@ -190,7 +212,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, fit
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            x = pooled([t or "" for t in batch.column(1).to_pylist()], vectors.value)
+            x = pooled(batch.column(1), vectors.value)
             held = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), VECTOR).cast(pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), held], ["doc_id", "vector"])
 
@@ -201,7 +223,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, fit
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            x = pooled([t or "" for t in batch.column(1).to_pylist()], vectors.value).astype(np.float64)
+            x = pooled(batch.column(1), vectors.value).astype(np.float64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(net.score(x)), *batch.columns[1:]], ["doc_id", "score", *names])
 
     scored = rows.mapInArrow(score, f"doc_id long, score double{kept}")

@@ -110,6 +110,56 @@ def spaced_pieces(text: str) -> list[str]:
     return [first, *[" " + x for x in rest]]
 
 
+# Bytes that part words: plain white space.
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all bytes of a column of texts, where each text begins and the last one ends); null is empty."""
+    filled = pc.fill_null(column, "")
+    _, offsets, data = filled.buffers()
+    width = np.int64 if pa.types.is_large_string(filled.type) else np.int32
+    if not len(filled):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    at = np.frombuffer(offsets, width)[filled.offset : filled.offset + len(filled) + 1].astype(np.int64)
+    return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8))[at[0] : at[-1]], at - at[0]
+
+
+def runs(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the longest runs of marked bytes that lie within one text."""
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    own = at[:-1][at[1:] > at[:-1]]
+    first[own] = inside[own]
+    own = at[1:][at[1:] > at[:-1]] - 1
+    last[own] = inside[own]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def different_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(number of each run of bytes in order of appearance, the different ones); ``inside`` marks their bytes."""
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    letters = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+    coded = letters.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+
+
+def split_words(column: pa.Array, blank: np.ndarray = BLANK, fold: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(number of each word, words of each text, the different words) of texts split at blank bytes.
+
+    ``fold`` says what each byte counts as, before it is looked up in ``blank``.
+    """
+    data, at = text_bytes(column)
+    data = data if fold is None else fold[data]
+    inside = ~blank[data]
+    starts, ends = runs(inside, at)
+    numbers, different = different_runs(data, starts, ends, inside)
+    return numbers, np.diff(np.searchsorted(starts, at)), different
+
+
 class Numbers(dict):
     """Gives each new key the next number and lists the new keys."""
 
