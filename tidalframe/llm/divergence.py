@@ -14,10 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidalframe.llm.words import Numbers, slices
+from tidalframe.llm.words import different_runs, runs, slices, split_words, text_bytes
 
 # Classes of bytes; a byte that continues a character has none.
 LOWER, UPPER, DIGIT, SPACE, STOP, SYMBOL, OTHER, WIDE, CLASSES = range(9)
@@ -48,23 +49,6 @@ CLASS_WORDS, COMMON_WORDS, LANGUAGE_WORDS = 20, 50, 2000
 # should have ENOUGH common words, and how far any text that can hardly lack them all by
 # chance (once in 1 / RARE texts).
 LONG_SHARE, SHARE, ENOUGH, RARE = 0.67, 0.98, 50, 1e-4
-# Words are kept as numbers; text becomes words in pieces of this many bytes.
-PIECE = 1 << 20
-
-
-def word_numbers(data: bytes, numbers: Numbers) -> np.ndarray:
-    """The words of a text as numbers."""
-    out, start = [], 0
-    while start < len(data):
-        stop = min(len(data), start + PIECE)
-        while stop < len(data) and CLASS_OF[data[stop]] != SPACE:
-            stop += 1
-        own = data[start:stop].split()
-        out.append(np.fromiter(map(numbers.__getitem__, own), np.int64, len(own)))
-        start = stop
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
-
-
 def repeated(ids: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
     """Per document, the words inside 3-word windows that it has twice or more.
 
@@ -98,24 +82,32 @@ def repeated(ids: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
     return np.bincount(doc[covered], minlength=n_docs)
 
 
-def repeated_lines(data: bytes) -> int:
-    """Lines with a word that are equal to an earlier line."""
-    lines = [x for x in data.split(b"\n") if x.strip(b" \t\x0b\x0c\r")]
-    return len(lines) - len(set(lines))
+def repeated_lines(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Per text, its lines with a word that are equal to an earlier line of it."""
+    inside = data != 10
+    starts, ends = runs(inside, at)
+    number, different = different_runs(data, starts, ends, inside)
+    before = np.concatenate([[0], np.cumsum(CLASS_OF[data] != SPACE)])
+    some = before[ends] > before[starts]
+    doc = np.searchsorted(at, starts[some], side="right") - 1
+    once = np.unique(doc * max(1, len(different)) + number[some]) // max(1, len(different))
+    n = len(at) - 1
+    return np.bincount(doc, minlength=n) - np.bincount(once, minlength=n)
+
+
+def lowered(words: pa.Array) -> pa.Array:
+    """Words with plain capitals as small letters."""
+    return pc.ascii_lower(words)
 
 
-def measured(batch: pa.RecordBatch) -> tuple:
-    """(texts, words as numbers, the numbers, document of each word, words of each, byte classes of each)."""
-    texts = [(x or "").encode() for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-    numbers = Numbers()
-    ids = [word_numbers(t, numbers) for t in texts]
-    lens = np.array([len(x) for x in ids], np.int64)
-    sizes = np.array([len(t) for t in texts], np.int64)
-    classes = CLASS_OF[np.frombuffer(b"".join(texts), np.uint8)]
-    place = np.repeat(np.arange(len(texts), dtype=np.int32) * (CLASSES + 1), sizes) + classes
-    classes = np.bincount(place, minlength=len(texts) * (CLASSES + 1)).reshape(len(texts), CLASSES + 1)[:, :CLASSES]
-    flat = np.concatenate([*ids, np.zeros(0, np.int64)])
-    return texts, flat, numbers, np.repeat(np.arange(len(texts)), lens), lens, classes
+def measured(column: pa.Array) -> tuple:
+    """(words as numbers, the different words, document of each word, words of each, byte classes of each)."""
+    flat, lens, different = split_words(column)
+    data, at = text_bytes(column)
+    n = len(column)
+    place = np.repeat(np.arange(n, dtype=np.int32) * (CLASSES + 1), np.diff(at)) + CLASS_OF[data]
+    classes = np.bincount(place, minlength=n * (CLASSES + 1)).reshape(n, CLASSES + 1)[:, :CLASSES]
+    return flat, different, np.repeat(np.arange(n), lens), lens, classes
 
 
 def common_words(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -131,15 +123,15 @@ def common_words(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
 
         for batch in slices(batches, "text"):
             langs = batch.column(0).to_pylist()
-            _, flat, numbers, doc, lens, _ = measured(batch)
-            low, place = Numbers(), np.zeros(len(numbers), np.int64)
-            for word, k in numbers.items():
-                place[k] = low[word.lower()]
-            names = list(low)
-            key, times = np.unique(doc * max(1, len(low)) + (place[flat] if len(flat) else flat), return_counts=True)
-            d = key // max(1, len(low))
+            flat, different, doc, lens, _ = measured(batch.column(1))
+            low = lowered(different).dictionary_encode()
+            place, names = low.indices.to_numpy(zero_copy_only=False), low.dictionary
+            n = max(1, len(names))
+            key, times = np.unique(doc * n + place[flat], return_counts=True)
+            d = key // n
             often = (times >= LEAST_TIMES) & (times >= LEAST_SHARE * lens[d])
-            counts.update((langs[a], names[b]) for a, b in zip(d[often].tolist(), (key[often] % max(1, len(low))).tolist(), strict=True))
+            found = names.take(pa.array(key[often] % n)).cast(pa.large_binary()).to_pylist()
+            counts.update((langs[a], word) for a, word in zip(d[often].tolist(), found, strict=True))
             if len(counts) > 100_000:
                 yield out()
         yield out()
@@ -160,16 +152,18 @@ Common = dict[str, dict[bytes, int]]
 
 def histograms(batch: pa.RecordBatch, langs: list[str], common: Common) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(base counts, class histograms, word histograms) of the texts of a slice, a row each."""
-    texts, flat, numbers, doc, lens, classes = measured(batch)
-    words = np.zeros((len(texts), COMMON + 1), np.int64)
+    column = batch.column(batch.schema.get_field_index("text"))
+    flat, different, doc, lens, classes = measured(column)
+    low = lowered(different).cast(pa.large_binary())
+    words = np.zeros((len(column), COMMON + 1), np.int64)
     for lang in set(langs):
-        places = common.get(lang, {})
-        look = np.array([places.get(w.lower(), COMMON) for w in numbers], np.int64)
         mine = np.array([x == lang for x in langs])[doc]
         if mine.any():
+            known = pa.array(sorted(common.get(lang, {}), key=common.get(lang, {}).get), pa.large_binary())
+            look = pc.fill_null(pc.index_in(low, value_set=known), COMMON).to_numpy(zero_copy_only=False)
             words += np.bincount(doc[mine] * (COMMON + 1) + look[flat[mine]], minlength=words.size).reshape(words.shape)
-    lines = np.array([repeated_lines(t) for t in texts], np.int64)
-    base = np.stack([lens, classes.sum(axis=1) - classes[:, SPACE], classes[:, SYMBOL], lines, repeated(flat, doc, len(texts))], axis=1)
+    lines = repeated_lines(*text_bytes(column))
+    base = np.stack([lens, classes.sum(axis=1) - classes[:, SPACE], classes[:, SYMBOL], lines, repeated(flat, doc, len(column))], axis=1)
     return base.astype(np.int64), classes.astype(np.int64), words
 
 
