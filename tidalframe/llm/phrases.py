@@ -14,8 +14,11 @@ the next place is the adjacent position of the same piece and nothing else.
 A phrase is no more frequent than its parts, so nothing that counts is lost. Slices are
 runs of about ``SLICE_BYTES`` of text; their relations are Parquet files in the shared
 folder, named by manifest tables that Spark commits, and a lost task writes new files.
+
 Only counts of different phrases are shuffled, once a slice each: a phrase in every
-document is one row per slice.
+document is one row per slice. Pairs of phrases are dealt by the first, its pairs in one
+short run of bytes, and the pairs of a frequent first phrase by parts of the second, so
+that no group to be counted stands for more than about ``PART`` occurrences.
 
 Nulls, ties and odd input: a null text counts as empty, a null language as ``und``. Empty
 texts, texts of marks only and repeated rows need no care: every row counts. A very long
@@ -29,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -47,13 +51,16 @@ FOLD[9] = 32
 ENDS = np.zeros(256, bool)
 ENDS[list(b".,;:!?\n\x0b\x0c\r")] = True
 
-# A slice's number: partition and place in it. A group's number: slice and place in it.
-SLICE_BITS, GROUP_BITS = 14, 30
+# A slice's number: partition and place in it. A word's: its slice and place in that.
+SLICE_BITS, LOCAL_BITS = 14, 30
+# Occurrences of a first phrase whose pairs are counted together, and bytes of pairs at once.
+PART, RUN_BYTES = 1 << 20, 4 << 20
 
-COUNTS = "slice long, local long, lang string, word string, n long, address string"
+COUNTS = "code long, lang string, word string, n long, address string"
+PAIRS = "a long, part long, slice long, pairs binary"
+HELD = "slice long, a long, b array<long>, id array<long>, heavy array<struct<id: long, parts: long>>, new array<struct<b: long, id: long, total: long>>"
 # Numbers are those of one length, so a phrase is known by its length and number.
 INNER = "array<struct<size: int, id: long>>"
-PAIRS = "slice long, local long, a long, b long, n long"
 
 
 def chunks(text: bytes, limit: int) -> Iterator[bytes]:
@@ -129,25 +136,48 @@ def load(address: str) -> tuple[np.ndarray, np.ndarray]:
     return table.column("place").to_numpy(), table.column("number").to_numpy()
 
 
-def adjacent(places: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, bytes of each value): seven bits a byte, the highest bit of all but the last set."""
+    values = values.astype(np.uint64)
+    sizes = np.ones(len(values), np.int64)
+    for bits in range(7, 64, 7):
+        sizes += values >= np.uint64(1 << bits)
+    at = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), np.uint8)
+    for j in range(int(sizes.max()) if len(sizes) else 0):
+        on = sizes > j
+        more = (sizes[on] > j + 1).astype(np.uint8) << 7
+        out[at[on] + j] = (values[on] >> np.uint64(7 * j) & np.uint64(127)).astype(np.uint8) | more
+    return out, sizes
+
+
+def from_varints(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, where each begins)."""
+    last = data < 128
+    ends = np.flatnonzero(last) + 1
+    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    place = np.arange(len(data)) - np.repeat(starts, ends - starts)
+    bits = (data & 127).astype(np.uint64) << (7 * place).astype(np.uint64)
+    return (np.add.reduceat(bits, starts) if len(starts) else bits).astype(np.int64), starts
+
+
+def adjacent(places: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The sorted relation merge-joined with itself at the next place.
 
-    Gives place and group of each pair, and the two phrases of each group. A place occurs
-    once, so its partner can only be the next row.
+    Gives place and group of each pair, and for each group, in order, its two phrases and
+    how often it occurs. A place occurs once, so its partner can only be the next row.
     """
     at = np.flatnonzero(np.diff(places) == 1)
-    code, phrase = encoded(pa.array(numbers))
-    phrase, code = phrase.to_numpy(), code.astype(np.int64)
-    local, both = encoded(pa.array(code[at] * len(phrase) + code[at + 1]))
-    both = both.to_numpy()
-    return places[at], local, phrase[both // max(len(phrase), 1)], phrase[both % max(len(phrase), 1)]
+    phrase, code = np.unique(numbers, return_inverse=True)
+    both, local, n = np.unique(code[at] * len(phrase) + code[at + 1], return_inverse=True, return_counts=True)
+    return places[at], local, phrase[both // max(len(phrase), 1)], phrase[both % max(len(phrase), 1)], n
 
 
 def first_relation(docs: DataFrame, lang: str, text: str, base: str, limit: int) -> DataFrame:
-    """Rows (slice, address) of the words' relations, and (slice, local, lang, word, n) of their groups."""
+    """Rows (code of the slice, address) of the words' relations, and (code, lang, word, n) of their groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("slice", pa.int64()), ("local", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("address", pa.string())])
+        schema = pa.schema([("code", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("address", pa.string())])
         task = TaskContext.get().partitionId() << SLICE_BITS
         for k, (langs, texts) in enumerate(slices(batches, limit)):
             if k >= 1 << SLICE_BITS:
@@ -155,60 +185,222 @@ def first_relation(docs: DataFrame, lang: str, text: str, base: str, limit: int)
             places, local, spoken, letters = words(langs, texts)
             if not len(places):
                 continue
-            n, number = len(letters), task + k
-            none = pa.nulls(1, pa.string())
-            yield pa.record_batch([pa.array([number]), pa.nulls(1, pa.int64()), none, none, pa.nulls(1, pa.int64()), pa.array([store(base, places, local)])], schema=schema)
+            n, code, none = len(letters), task + k << LOCAL_BITS, pa.nulls(1, pa.string())
+            yield pa.record_batch([pa.array([code]), none, none, pa.nulls(1, pa.int64()), pa.array([store(base, places, local)])], schema=schema)
             counted = pa.array(np.bincount(local, minlength=n).astype(np.int64))
-            yield pa.record_batch([pa.array(np.full(n, number)), pa.array(np.arange(n)), spoken, letters, counted, pa.nulls(n, pa.string())], schema=schema)
+            yield pa.record_batch([pa.array(code + np.arange(n)), spoken, letters, counted, pa.nulls(n, pa.string())], schema=schema)
 
     read = docs.select(F.coalesce(lang, F.lit("und")).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
     return read.mapInArrow(run, COUNTS)
 
 
+def numbers_of_task(tasks: int):
+    """Gives a task's first, second, ... group numbers that no other task gives, with few gaps between them."""
+    step = max(tasks, 1 << 10)
+
+    def number(place: np.ndarray) -> np.ndarray:
+        task = TaskContext.get().partitionId()
+        if task >= step:
+            raise ValueError(f"task {task} of {tasks}: the groups were dealt into more tasks than were asked for")
+        return place * step + task
+
+    return number
+
+
+def frequent_words(counts: DataFrame, least: int, tasks: int) -> DataFrame:
+    """(slice, local, id, total, first, lang, word) of the words that occur ``least`` times in their language.
+
+    Numbers leave few gaps: the words of a task are numbered one by one, beside those of
+    the other tasks. ``first`` marks one row of each, which alone names it.
+    """
+    own = Window.partitionBy("lang", "word").orderBy("code")
+    every = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    dealt = counts.select("code", "lang", "word", "n").repartition(tasks, "lang", "word")
+    held = dealt.withColumn("total", F.sum("n").over(every)).withColumn("first", F.row_number().over(own) == 1).filter(F.col("total") >= least)
+    named = [F.when(F.col("first"), F.col(c)).alias(c) for c in ("lang", "word")]
+    mask = (1 << LOCAL_BITS) - 1
+    rows = held.select(F.shiftright("code", LOCAL_BITS).alias("slice"), F.col("code").bitwiseAND(F.lit(mask)).alias("local"), "total", "first", *named)
+
+    number = numbers_of_task(tasks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = -1
+        for batch in batches:
+            place = seen + np.cumsum(batch.column("first").to_numpy(zero_copy_only=False))
+            seen = int(place[-1]) if len(place) else seen
+            yield batch.append_column("id", pa.array(number(place)))
+
+    return written(rows.mapInArrow(run, "slice long, local long, total long, first boolean, lang string, word string, id long"), "frequent_words")
+
+
+def parts_of(ids: np.ndarray, heavy: dict[int, int]) -> np.ndarray:
+    """Into how many parts the pairs of each first phrase are dealt."""
+    parts = np.ones(len(ids), np.int64)
+    if heavy:
+        known = np.array(sorted(heavy))
+        at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
+        hit = known[at] == ids
+        parts[hit] = np.array([heavy[int(x)] for x in known])[at[hit]]
+    return parts
+
+
 def extended(relations: DataFrame) -> DataFrame:
-    """(slice, local, a, b, n): the groups of adjacent phrases, counted in each slice."""
+    """(a, part, slice, pairs): the groups of adjacent phrases, counted in each slice.
+
+    ``pairs`` holds the second phrases and the counts of one first phrase and part, each
+    second phrase as its distance from the one before.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, address in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                _, local, a, b = adjacent(*load(address))
-                n = np.bincount(local, minlength=len(a)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(a), number), np.arange(len(a)), a, b, n)], ["slice", "local", "a", "b", "n"])
+            for number, address, heavy in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                _, _, a, b, n = adjacent(*load(address))
+                parts = parts_of(a, {x["id"]: x["parts"] for x in heavy})
+                part = b % parts
+                if (parts > 1).any():
+                    order = np.lexsort((b, part, a))
+                    a, b, n, part = a[order], b[order], n[order], part[order]
+                new = np.ones(len(a), bool)
+                new[1:] = (a[1:] != a[:-1]) | (part[1:] != part[:-1])
+                step = b.copy()
+                step[1:] -= np.where(new[1:], 0, b[:-1])
+                data, sizes = varints(np.stack([step, n], 1).ravel())
+                at = np.concatenate([[0], np.cumsum(sizes)])[::2]
+                first = np.flatnonzero(new)
+                ends = np.append(at[first], at[-1])
+                pairs = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(part[first]), pa.array(np.full(len(first), number)), pairs], ["a", "part", "slice", "pairs"])
+
+    return relations.select("slice", "address", "heavy").mapInArrow(run, PAIRS)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by (a, part), in runs of whole groups of about RUN_BYTES."""
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.column("pairs").nbytes
+        if size >= RUN_BYTES:
+            rows = pa.Table.from_batches(held)
+            cut = int(group_starts(rows)[-1])
+            if cut:
+                yield rows.slice(0, cut)
+            # A copy, so that the rows given away can be freed.
+            rest = rows.slice(cut).take(pa.array(np.arange(rows.num_rows - cut)))
+            held, size = rest.to_batches(), sum(c.nbytes for c in rest.column("pairs").chunks)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def group_starts(rows: pa.Table) -> np.ndarray:
+    a, part = rows.column("a").to_numpy(), rows.column("part").to_numpy()
+    return np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (part[1:] != part[:-1])]))
+
 
-    return relations.mapInArrow(run, PAIRS)
+def offsets(counts: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
 
 
-def frequent(counts: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
-    """The rows of groups that occur ``least`` times, with the group's total and number (that of its first slice)."""
-    own = Window.partitionBy(*keys)
-    code = F.shiftleft(F.col("slice"), GROUP_BITS) + F.col("local")
-    held = counts.withColumn("total", F.sum("n").over(own)).withColumn("_code", code).withColumn("id", F.min("_code").over(own))
-    return written(held.filter(F.col("total") >= least).withColumn("first", F.col("_code") == F.col("id")).drop("_code", "n"), name)
+def structs(owner: np.ndarray, owners: np.ndarray, **fields: np.ndarray) -> pa.Array:
+    """A list of structs for each of ``owners``, from values whose owners ascend."""
+    held = pa.StructArray.from_arrays([pa.array(x.astype(np.int64)) for x in fields.values()], list(fields))
+    return pa.ListArray.from_arrays(offsets(np.diff(np.searchsorted(owner, np.append(owners, np.iinfo(np.int64).max)), prepend=0)[1:]), held)
+
+
+def frequent_pairs(pairs: DataFrame, least: int, tasks: int) -> DataFrame:
+    """(slice, a, b, id, heavy, new) of the pairs that occur ``least`` times: a row for each slice and first phrase.
+
+    ``b`` and ``id`` list the second phrases and the pairs' numbers, ``heavy`` those whose
+    own pairs need several parts, ``new`` the pairs that no row before has, with totals.
+    """
+    number, size = numbers_of_task(tasks), PART
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        for rows in whole_groups(batches):
+            starts = group_starts(rows)
+            group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, rows.num_rows)))
+            column = rows.column("pairs").combine_chunks().cast(pa.large_binary())
+            ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+            values, begins = from_varints(np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]])
+            first = np.searchsorted(begins, ends - ends[0]) // 2
+            b, n = values[::2], values[1::2]
+            row = np.repeat(np.arange(rows.num_rows), np.diff(first))
+            total = np.cumsum(b)
+            b = total - (total[first[:-1]] - b[first[:-1]])[row]
+            own = group[row]
+            order = np.lexsort((b, own))
+            new = np.ones(len(order), bool)
+            new[1:] = (b[order][1:] != b[order][:-1]) | (own[order][1:] != own[order][:-1])
+            at = np.flatnonzero(new)
+            sums = np.add.reduceat(n[order], at)
+            good = sums >= least
+            which = np.cumsum(new) - 1
+            place = seen + np.cumsum(good) - 1
+            seen += int(good.sum())
+            taken = np.flatnonzero(good[which])
+            taken = taken[np.argsort(row[order[taken]], kind="stable")]
+            at_row, ids, totals, seconds = row[order[taken]], number(place[which[taken]]), sums[which[taken]], b[order[taken]]
+            filled, counts = np.unique(at_row, return_counts=True)
+            several, fresh = totals > size, new[taken]
+            lists = [pa.ListArray.from_arrays(offsets(counts), pa.array(x)) for x in (seconds, ids)]
+            lists.append(structs(at_row[several], filled, id=ids[several], parts=1 + totals[several] // size))
+            lists.append(structs(at_row[fresh], filled, b=seconds[fresh], id=ids[fresh], total=totals[fresh]))
+            out = [pa.array(rows.column(c).to_numpy()[filled]) for c in ("slice", "a")]
+            yield pa.RecordBatch.from_arrays([*out, *lists], ["slice", "a", "b", "id", "heavy", "new"])
+
+    dealt = pairs.repartition(tasks, "a", "part").sortWithinPartitions("a", "part")
+    return written(dealt.mapInArrow(run, HELD), "frequent_pairs")
 
 
 def kept(relations: DataFrame, held: DataFrame, joined: bool, base: str, tasks: int) -> DataFrame:
-    """(slice, address) of the next relations: places whose group is among the frequent ones.
+    """(slice, address, heavy) of the next relations: places whose group is among the frequent ones.
 
     Both sides are dealt by slice; a slice's frequent groups are part of its own groups,
-    so they fit where the slice did.
+    so they fit where the slice did. ``heavy`` says how many parts the pairs of very
+    frequent phrases are dealt into.
     """
+    size = PART
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("slice", pa.int64()), ("address", pa.string())])
+        heavy = pa.list_(pa.struct([("id", pa.int64()), ("parts", pa.int64())]))
+        schema = pa.schema([("slice", pa.int64()), ("address", pa.string()), ("heavy", heavy)])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         places, local = load(left.column("address")[0].as_py())
         if joined:
-            places, local, _, _ = adjacent(places, local)
-        ids = np.full(int(local.max()) + 1, -1, np.int64)
-        ids[right.column("local").to_numpy()] = right.column("id").to_numpy()
-        found = ids[local]
-        there = found >= 0
-        return pa.table([left.column("slice").slice(0, 1), pa.array([store(base, places[there], found[there])])], schema=schema)
-
-    left = relations.repartition(tasks, "slice").groupBy("slice")
-    right = held.select("slice", "local", "id").repartition(tasks, "slice").groupBy("slice")
-    return written(left.cogroup(right).applyInArrow(run, "slice long, address string"), "phrase_relations")
+            places, local, a, b, _ = adjacent(places, local)
+            found = np.full(len(a), -1, np.int64)
+            seconds, ids = (flat(right.column(c)) for c in ("b", "id"))
+            firsts = np.repeat(right.column("a").to_numpy(), pc.list_value_length(right.column("b")).to_numpy())
+            order = np.lexsort((seconds, firsts))
+            found[pairs_at(a, b, firsts[order], seconds[order])] = ids[order]
+            many = [x for c in right.column("heavy").to_pylist() for x in c]
+        else:
+            ids, parts = right.column("id").to_numpy(), 1 + right.column("total").to_numpy() // size
+            found = np.full(int(local.max()) + 1, -1, np.int64)
+            found[right.column("local").to_numpy()] = ids
+            many = [{"id": int(x), "parts": int(p)} for x, p in zip(ids[parts > 1], parts[parts > 1], strict=True)]
+        number = found[local]
+        on = number >= 0
+        return pa.table([left.column("slice").slice(0, 1), pa.array([store(base, places[on], number[on])]), pa.array([many], heavy)], schema=schema)
+
+    left = relations.select("slice", "address").repartition(tasks, "slice").groupBy("slice")
+    right = held.select("slice", *(("a", "b", "id", "heavy") if joined else ("local", "id", "total"))).repartition(tasks, "slice").groupBy("slice")
+    return written(left.cogroup(right).applyInArrow(run, "slice long, address string, heavy array<struct<id: long, parts: long>>"), "phrase_relations")
+
+
+def flat(column: pa.ChunkedArray) -> np.ndarray:
+    """All values of a column of lists."""
+    return pc.list_flatten(column).to_numpy()
+
+
+def pairs_at(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Where the sorted pairs (c, d) stand among the sorted pairs (a, b), which hold them all."""
+    both = np.lexsort((np.repeat([0, 1], [len(a), len(c)]), np.concatenate([b, d]), np.concatenate([a, c])))
+    return (np.cumsum(both < len(a)) - 1)[both >= len(a)]
 
 
 def described(groups: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -246,21 +438,21 @@ def best_cut(total: str, heads: str, tails: str) -> Column:
 
 def phrases(docs: DataFrame, least: int = 30, longest: int = 4, text: str = "text", lang: str = "lang", slice_bytes: int = SLICE_BYTES) -> tuple[DataFrame, DataFrame]:
     """(all frequent phrases of 1 to ``longest`` words as described, (lang, n) words of each language)."""
-    spark = docs.sparkSession
-    base = scratch(spark, "phrases")
+    base = scratch(docs.sparkSession, "phrases")
     first = written(first_relation(docs, lang, text, base, slice_bytes), "words")
-    relations, counts = first.filter("address IS NOT NULL").select("slice", "address"), first.filter("address IS NULL").drop("address")
+    relations = first.filter("address IS NOT NULL").select(F.shiftright("code", LOCAL_BITS).alias("slice"), "address")
+    counts = first.filter("address IS NULL")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
-    held = frequent(counts, ["lang", "word"], least, "frequent_words")
+    slices_ = max(1, relations.count())
+    tasks = max(min(partitions(docs), slices_), slices_ // 64)
+    held = frequent_words(counts, least, tasks)
     empty = F.array().cast("array<long>")
     level = held.filter("first").select("id", "lang", F.array("word").alias("words"), "total", empty.alias("heads"), empty.alias("tails"), F.array().cast(INNER).alias("inner"))
     found = [written(level, "phrases")]
-    tasks = max(1, relations.count())
-    tasks = max(min(partitions(docs), tasks), tasks // 8)
     for k in range(1, longest):
         relations = kept(relations, held, k > 1, base, tasks)
-        held = frequent(extended(relations.repartition(tasks)), ["a", "b"], least, "frequent_pairs")
-        found.append(written(described(held.filter("first").select("id", "a", "b", "total"), found[-1]), "phrases"))
+        held = frequent_pairs(extended(relations.repartition(tasks)), least, tasks)
+        found.append(written(described(held.select("a", F.inline("new")), found[-1]), "phrases"))
     out = found[0]
     for level in found[1:]:
         out = out.unionByName(level)
