@@ -37,16 +37,29 @@ PART = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 VECTOR = 2 * DIM + 3
 
 
+def letters(part: str) -> int:
+    return zlib.crc32((part.lower() if len(part) > 1 and part[1:].islower() else part).encode()) % BUCKETS
+
+
+MARKS = {mark: zlib.crc32(mark.encode()) % BUCKETS for mark in ".,;:!?"}
+
+
 def parts_of(word: str) -> list[int]:
     """Buckets of a word's parts: letters as written, numbers by length, marks up to three alike."""
+    # Most words are letters alone or before one mark.
+    if word.isalpha():
+        return [letters(word)]
+    if word[-1:] in MARKS and word[:-1].isalpha():
+        return [letters(word[:-1]), MARKS[word[-1]]]
     out = []
     for part in PART.findall(word):
         if part.isdigit():
             part = f"0{len(part)}"
         elif not part[0].isalnum():
             part = part[:3]
-        elif len(part) > 1 and part[1:].islower():
-            part = part.lower()
+        else:
+            out.append(letters(part))
+            continue
         out.append(zlib.crc32(part.encode()) % BUCKETS)
     return out
 
@@ -54,7 +67,7 @@ def parts_of(word: str) -> list[int]:
 class Parts:
     """Buckets of words' parts; a worker remembers the words that it has taken apart, about so many."""
 
-    def __init__(self, remembered: int = 200_000):
+    def __init__(self, remembered: int = 300_000):
         self.remembered, self.numbers, self.held = remembered, Numbers(), Store()
 
     def take(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -138,12 +151,14 @@ def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     out = np.zeros((len(texts), VECTOR), np.float32)
     some = np.flatnonzero(lens)
     if len(some):
-        starts = (np.cumsum(lens) - lens)[some]
-        held, n = vectors[flat], lens[some, None]
-        mean = np.add.reduceat(held, starts, axis=0) / n
-        square = np.add.reduceat(held * held, starts, axis=0) / n
         doc = np.repeat(np.arange(len(texts)), lens)
-        kinds = np.bincount(np.unique(doc * BUCKETS + flat) // BUCKETS, minlength=len(texts))
+        key, times = np.unique(doc * BUCKETS + flat, return_counts=True)
+        kinds = np.bincount(key // BUCKETS, minlength=len(texts))
+        starts, n = (np.cumsum(kinds) - kinds)[some], lens[some, None]
+        held, weight = vectors[key % BUCKETS], times[:, None].astype(np.float32)
+        weighted = held * weight
+        mean = np.add.reduceat(weighted, starts, axis=0) / n
+        square = np.add.reduceat(np.multiply(weighted, held, out=weighted), starts, axis=0) / n
         out[some, :DIM], out[some, DIM : 2 * DIM] = mean, np.sqrt(np.maximum(square - mean * mean, 0))
         out[some, 2 * DIM] = np.log1p(lens[some])
         out[some, 2 * DIM + 1] = kinds[some] / lens[some]
