@@ -13,12 +13,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidalframe.llm.store import written
-from tidalframe.llm.words import Numbers, slices
+from tidalframe.llm.store import met, written
+from tidalframe.llm.words import slices, split_words
 
 SHINGLE, THRESHOLD = 5, 0.8
 # Coordinates: at a similarity of 0.8 a pair shares none of 36 bands of 6 coordinates
@@ -94,34 +95,40 @@ def bands(signature: np.ndarray, rows: int) -> np.ndarray:
     return keys
 
 
+def occurrences(keys: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """A key of its own for every occurrence of each key."""
+    strip = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+    return mixed(np.repeat(keys, times) + strip.astype(np.uint64) * MIX[0])
+
+
 def parity(keys: np.ndarray, times: np.ndarray | None, owner: np.ndarray, n: int) -> np.ndarray:
     """Per set a bit for each of PARITY places: whether an odd count of its elements lies there."""
     if times is not None:
-        strip = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-        owner, keys = np.repeat(owner, times), mixed(np.repeat(keys, times) + strip.astype(np.uint64) * MIX[0])
+        owner, keys = np.repeat(owner, times), occurrences(keys, times)
     place = owner * PARITY + (mixed(keys) % np.uint64(PARITY)).astype(np.int64)
     odd = np.bincount(place, minlength=n * PARITY).reshape(n, PARITY) & 1
     return np.packbits(odd.astype(np.uint8), axis=1).view(">u8").astype(np.int64)
 
 
-class WordHash(Numbers):
-    """Hashes of words; the words seen are remembered for one batch."""
+# White space beyond the plain kind.
+WHITE = r"[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
 
-    def __missing__(self, word):
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
+def lowered(texts: pa.Array) -> pa.Array:
+    """Texts in lower case, all white space plain."""
+    low = pc.utf8_lower(pc.fill_null(texts, ""))
+    return pc.replace_substring_regex(low, WHITE, " ") if pc.any(pc.match_substring_regex(low, WHITE)).as_py() else low
 
 
-def shingles(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of the runs of ``size`` words of all texts, which text each is of).
 
     Words are what lies between white space, in lower case; a text of fewer words, but not
-    none, is one run.
+    none, is one run. Only different words are hashed.
     """
-    look = WordHash().__getitem__
-    words = [t.lower().split() for t in texts]
-    lens = np.array([len(w) for w in words], np.int64)
-    flat = np.fromiter((h for w in words for h in map(look, w)), np.uint64, int(lens.sum()))
+    number, lens, different = split_words(lowered(texts))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, different.cast(pa.large_binary()).to_pylist()), np.uint64, len(different))
+    flat = hashes[number]
     ends = np.cumsum(lens)
     upto, place = np.repeat(ends, lens), np.arange(len(flat))
     with np.errstate(over="ignore"):
@@ -132,7 +139,7 @@ def shingles(texts: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     short = (lens < size) & (lens > 0)
     take = whole.copy()
     take[(ends - lens)[short]] = True
-    owner = np.repeat(np.arange(len(texts)), lens)
+    owner = np.repeat(np.arange(len(lens)), lens)
     return key[take], owner[take]
 
 
@@ -147,12 +154,12 @@ def distinct(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def signed(docs: DataFrame, weighted: bool, bands_: int = BANDS, rows_: int = ROWS) -> DataFrame:
-    """Per row of (uid, text): uid, digest of the text, weight (of its shingles), parity map, bands."""
+    """Per row of (uid, doc_id, text): uid, doc_id, digest of the text, weight (of its shingles), parity map, bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 19):
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            keys, owner, times = distinct(*shingles(texts))
+            texts = [x or "" for x in batch.column(2).to_pylist()]
+            keys, owner, times = distinct(*shingles(batch.column(2)))
             with np.errstate(over="ignore"):
                 signature = signatures(keys, times.astype(float) if weighted else None, owner, len(texts), bands_ * rows_)
                 weight = np.bincount(owner, weights=times if weighted else None, minlength=len(texts)).astype(np.int64)
@@ -162,50 +169,32 @@ def signed(docs: DataFrame, weighted: bool, bands_: int = BANDS, rows_: int = RO
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.int64())) for x in (drawn, held)]
             lists[1] = pa.array([x if f else [] for x, f in zip(lists[1].to_pylist(), full, strict=True)], pa.list_(pa.int64())) if not full.all() else lists[1]
             digest = pa.array([xxhash.xxh3_128_digest(t.encode()) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), digest, pa.array(weight), *lists], ["uid", "digest", "weight", "parity", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), digest, pa.array(weight), *lists], ["uid", "doc_id", "digest", "weight", "parity", "bands"])
 
-    return docs.select("uid", "text").mapInArrow(run, "uid long, digest binary, weight long, parity array<long>, bands array<long>")
+    return docs.select("uid", "doc_id", "text").mapInArrow(run, "uid long, doc_id long, digest binary, weight long, parity array<long>, bands array<long>")
 
 
-def shingle_sets(texts: DataFrame) -> DataFrame:
-    """Per row of (uid, text) its distinct shingles in order and how often each occurs."""
+def shingle_sets(texts: DataFrame, weighted: bool) -> DataFrame:
+    """Per row of (uid, text) its distinct shingles; ``weighted``: each occurrence of one counts as another."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = [x or "" for x in batch.column(1).to_pylist()]
-            keys, owner, times = distinct(*shingles(found))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(found)))]), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int64)))], ["uid", "keys", "times"])
+            keys, owner, times = distinct(*shingles(batch.column(1)))
+            if weighted:
+                with np.errstate(over="ignore"):
+                    keys, owner = occurrences(keys, times), np.repeat(owner, times)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=batch.num_rows))]), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64)))], ["uid", "keys"])
 
-    return texts.select("uid", "text").mapInArrow(run, "uid long, keys array<long>, times array<long>")
+    return texts.select("uid", "text").mapInArrow(run, "uid long, keys array<long>")
 
 
-def lists_of(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets, values) of a list column."""
-    column = batch.column(k)
-    return column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
-
-
-def similar(pairs: DataFrame, sets: DataFrame, weighted: bool, threshold: float) -> DataFrame:
+def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Of pairs (a, b) of text numbers those whose shingles' similarity reaches ``threshold``."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            (oa, ka), (_, ta), (ob, kb), (_, tb) = (lists_of(batch, k) for k in range(2, 6))
-            keep = np.zeros(batch.num_rows, bool)
-            for r in range(batch.num_rows):
-                x, y = slice(oa[r], oa[r + 1]), slice(ob[r], ob[r + 1])
-                _, ia, ib = np.intersect1d(ka[x], kb[y], assume_unique=True, return_indices=True)
-                if weighted:
-                    common, every = int(np.minimum(ta[x][ia], tb[y][ib]).sum()), int(ta[x].sum() + tb[y].sum())
-                else:
-                    common, every = len(ia), oa[r + 1] - oa[r] + ob[r + 1] - ob[r]
-                keep[r] = common >= threshold * (every - common)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
-
-    one, two = ([F.col("uid").alias(x), F.col("keys").alias(f"k{x}"), F.col("times").alias(f"t{x}")] for x in "ab")
+    one, two = ([F.col("uid").alias(x), F.col("keys").alias(f"k{x}")] for x in "ab")
     joined = pairs.hint("merge").join(sets.select(*one), "a").hint("merge").join(sets.select(*two), "b")
-    return joined.select("a", "b", "ka", "ta", "kb", "tb").mapInArrow(check, "a long, b long")
+    counted = joined.select("a", "b", (F.size("ka") + F.size("kb")).alias("every"), F.size(F.array_intersect("ka", "kb")).alias("common"))
+    return counted.filter(F.col("common") >= threshold * (F.col("every") - F.col("common"))).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -237,8 +226,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weighted: boo
     ``threshold`` or more, with ``weighted`` one that counts each shingle as often as it
     occurs. Equal texts are one from the start. Every band key has a centre, and a text is
     first checked against one centre of its keys; where a key then still holds texts of
-    different classes, all pairs across these that parity maps let through are checked,
-    so no link within a key is lost and hardly any pair within a class is made. class_id is
+    different classes, rounds of new centres close it (``close_keys``), so no link within
+    a key is lost and hardly any pair within a class is made. class_id is
     the smallest doc_id of the class, class_size its number of documents, first marks one
     of them, that with the smallest id. Empty texts are equal; texts without words are
     linked to equal texts only; a document with null text is a class of its own; null ids
@@ -270,7 +259,8 @@ def numbered_rows(docs: DataFrame, id_col: str, text_col: str, carried: tuple[st
 def classes(rows: DataFrame, threshold: float, weighted: bool) -> DataFrame:
     """Per numbered row: uid, doc_id, class_id, class_size, first."""
     marks = written(signed(rows.filter(F.col("text").isNotNull()), weighted), "signatures")
-    groups = written(marks.groupBy("digest").agg(F.min("uid").alias("text_id"), F.count(F.lit(1)).alias("copies")), "texts")
+    first = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "uid")
+    groups = written(marks.groupBy("digest").agg(F.min("uid").alias("text_id"), F.count(F.lit(1)).alias("copies"), F.min(first).alias("head")), "texts")
     heads = marks.join(groups.select(F.col("text_id").alias("uid")), "uid", "left_semi")
     keys = heads.select("uid", F.posexplode("bands").alias("band", "key")).select("uid", F.xxhash64("band", "key").alias("key"))
     turn = F.struct(F.xxhash64("uid").alias("h"), F.col("uid").alias("uid"))
@@ -278,23 +268,47 @@ def classes(rows: DataFrame, threshold: float, weighted: bool) -> DataFrame:
     # No side of these joins has a bound on its size, so none may be broadcast.
     members = written(keys.hint("merge").join(shared, "key"), "members")
     centres = members.groupBy("uid").agg(F.min("low").alias("low")).select("uid", F.col("low.uid").alias("centre"))
-    sets = written(shingle_sets(rows.hint("merge").join(centres.select("uid"), "uid", "left_semi")), "shingles")
+    sets = written(shingle_sets(rows.hint("merge").join(centres.select("uid"), "uid", "left_semi"), weighted), "shingles")
     profile = heads.select("uid", "weight", *[F.col("parity")[k].alias(f"p{k}") for k in range(PARITY // 64)])
-    tried = written(worth(pair(centres.filter("uid <> centre"), "uid", "centre"), profile, threshold), "pairs")
-    links = written(similar(tried, sets, weighted, threshold), "similar")
-    found = components(links)
-    # What is left: keys whose texts are in more than one class.
-    placed = members.select("key", "uid").hint("merge").join(found, "uid", "left").select("key", "uid", F.coalesce("class", "uid").alias("class"))
-    placed = written(placed, "placed")
-    mixed_ = placed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("key")
-    open_ = written(placed.hint("merge").join(mixed_, "key", "left_semi"), "open")
-    left = open_.hint("merge").join(profile, "uid")
-    x, y = left.alias("x"), left.alias("y")
-    rest = x.hint("merge").join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.uid") < F.col("y.uid")) & (F.col("x.class") != F.col("y.class")) & near("x", "y", threshold))
-    rest = pair(rest.select(F.col("x.uid").alias("p"), F.col("y.uid").alias("q")), "p", "q").hint("merge").join(tried, ["a", "b"], "left_anti")
-    more = written(similar(written(rest, "rest"), sets, weighted, threshold), "more")
-    found = components(links.union(more)) if not more.isEmpty() else found
-    return labelled(rows, marks, groups, found)
+    tried = worth(pair(centres.filter("uid <> centre"), "uid", "centre"), profile, threshold)
+    links = written(similar(tried, sets, threshold), "similar")
+    return labelled(rows, marks, groups, close_keys(members.select("key", "uid"), profile, sets, links, threshold))
+
+
+def close_keys(members: DataFrame, profile: DataFrame, sets: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
+    """Classes after every pair of texts of different classes that shares a key has been checked.
+
+    A key is open while texts outside its largest class have not been centres of it. In
+    each round the first such texts of each open key, four times as many as in the last round,
+    are checked against all texts of other classes there that have not been centres; then
+    classes merge and closed keys leave. So a group of copies, most of which hang together
+    by a few centres, costs a small multiple of its size, and only texts that are like
+    none of the others are compared with all of them.
+    """
+    found, place = components(links), members.withColumn("done", F.lit(False))
+    most = 4
+    while True:
+        placed = written(place.hint("merge").join(found, "uid", "left").select("key", "uid", "done", F.coalesce("class", "uid").alias("class")), "placed")
+        held = placed.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~F.col("done"), 1)).alias("new"))
+        size = F.struct("n", "class", "new")
+        keys = held.groupBy("key").agg(F.max(size).alias("top"), F.sum("new").alias("new")).filter(F.col("new") > F.col("top.new"))
+        # Keys with a text outside the largest class that has not been a centre.
+        open_ = placed.hint("merge").join(keys.select("key", F.col("top.class").alias("main")), "key").hint("merge").join(profile, "uid")
+        open_ = written(open_, "open")
+        if open_.isEmpty():
+            return found
+        turn = Window.partitionBy("key").orderBy(F.xxhash64("uid"), "uid")
+        centres = open_.filter("NOT done AND class <> main").withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= most)
+        centres = written(centres.drop("turn", "done", "main"), "centres")
+        x, y = centres.alias("x"), open_.filter("NOT done").alias("y")
+        match = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") != F.col("y.class")) & near("x", "y", threshold)
+        asked = pair(x.hint("merge").join(y, match).select(F.col("x.uid").alias("p"), F.col("y.uid").alias("q")), "p", "q")
+        more = written(similar(asked, sets, threshold), "similar")
+        if not more.isEmpty():
+            found = components(found.select(F.col("uid").alias("a"), F.col("class").alias("b")).union(more))
+        was = centres.select("key", "uid", F.lit(True).alias("was"))
+        place = open_.select("key", "uid", "done").hint("merge").join(was, ["key", "uid"], "left").select("key", "uid", (F.col("done") | F.coalesce("was", F.lit(False))).alias("done"))
+        most *= 4
 
 
 def pair(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -316,11 +330,12 @@ def worth(pairs: DataFrame, profile: DataFrame, threshold: float) -> DataFrame:
 
 
 def labelled(rows: DataFrame, marks: DataFrame, groups: DataFrame, found: DataFrame) -> DataFrame:
-    """Every document with its class: copies take that of their text."""
+    """Every document with its class: classes are made of texts, and copies take that of their text."""
     texts = groups.hint("merge").join(found.withColumnRenamed("uid", "text_id"), "text_id", "left")
-    texts = texts.select("digest", F.coalesce("class", "text_id").alias("_class"))
-    own = marks.select("uid", "digest").hint("merge").join(texts, "digest").drop("digest")
-    every = rows.select("uid", "doc_id").hint("merge").join(own, "uid", "left").withColumn("_class", F.coalesce("_class", "uid"))
-    every = written(every, "labelled")
-    head = every.groupBy("_class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "uid")).alias("head"))
-    return every.hint("merge").join(head, "_class").select("uid", "doc_id", "class_id", "class_size", (F.col("uid") == F.col("head.uid")).alias("first"))
+    texts = written(texts.select("digest", "copies", "head", F.coalesce("class", "text_id").alias("_class")), "classed")
+    heads = texts.groupBy("_class").agg(F.count(F.lit(1)).alias("_texts"), F.min("head").alias("_head"), F.min("head.doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
+    by_text = met(texts.select("digest", "copies", "_class"), written(heads, "heads"), "_class", "_texts")
+    every = met(marks.select("uid", "doc_id", "digest"), written(by_text.select("digest", "copies", "_head", "class_id", "class_size"), "texts"), "digest", "copies")
+    known = every.select("uid", "doc_id", "class_id", "class_size", (F.col("uid") == F.col("_head.uid")).alias("first"))
+    alone = rows.filter(F.col("text").isNull()).select("uid", "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("first"))
+    return known.unionByName(alone)

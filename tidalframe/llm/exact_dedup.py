@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidalframe.llm.store import partitions, written
+from tidalframe.llm.store import met, written
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -72,12 +72,7 @@ def exact_duplicates(
     order = F.struct((-F.col("_chars")).alias("chars"), F.col("_id").isNull().alias("no_id"), F.col("_id").alias("id"), F.col("_row").alias("row"))
     groups = members.groupBy("_key").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1")
     groups = written(groups.select("_key", F.col("_first.id").alias("keep_id"), F.col("_first.row").alias("_keep_row"), "group_size"), "groups_of_equals")
-    # At most 4 groups for each partition can be larger than this share of the rows.
-    share = max(1, members.count() // (4 * partitions(docs)))
-    large, small = groups.filter(F.col("group_size") > share), groups.filter(F.col("group_size") <= share)
-    hot = members.join(F.broadcast(large), "_key")
-    rest = members.join(F.broadcast(large.select("_key")), "_key", "left_anti").join(small, "_key", "left")
-    found = hot.unionByName(rest)
+    found = met(members, groups, "_key", "group_size", "left")
     single = F.col("group_size").isNull()
     return found.select(
         F.col("_id").alias(id),

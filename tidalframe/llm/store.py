@@ -52,6 +52,21 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def met(rows: DataFrame, groups: DataFrame, key: str, size: str, how: str = "inner") -> DataFrame:
+    """Rows with the one row of their group (same ``key``), however large a group is.
+
+    ``size`` names the column of ``groups`` that says how many rows a group has. A group of
+    more than a quarter of a partition's share is sent to the rows: there are at most four
+    of them for each partition. The others are small and meet their rows by a shuffle.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    share = max(1, total // (4 * partitions(rows)))
+    large, small = groups.filter(F.col(size) > share), groups.filter(F.col(size) <= share)
+    hot = rows.join(F.broadcast(large), key)
+    rest = rows.join(F.broadcast(large.select(key)), key, "left_anti").hint("merge").join(small, key, how)
+    return hot.unionByName(rest)
+
+
 def numbered(df: DataFrame, group: list, order: list, name: str) -> DataFrame:
     """Adds ``name``: numbers without gaps from 0 within each group, also within a huge one.
 
