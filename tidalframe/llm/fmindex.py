@@ -1,11 +1,12 @@
 """Benchmark passages in documents, found by an FM-index over each shard of the texts.
 
-A shard is a run of documents with some number of words. Its words are numbered by the
-searched phrases' vocabulary; a stretch of words of that vocabulary long enough to hold
-the shortest phrase goes into the shard's text, anything else cannot be part of a match
-and is only a break in it. Phrases are searched backwards through ranks of a wavelet
-matrix over the Burrows-Wheeler transform, all phrases side by side, occurrences are
-placed by walking to sampled suffix positions, and their spans are merged.
+A shard is a run of documents with some number of words. Its different words are numbered;
+a stretch of words that the searched phrases hold, long enough for the shortest phrase,
+goes into the shard's text, anything else cannot be part of a match and is only a break in
+it. The index is built once a shard, whatever the number of blocks that the phrases come
+in. Phrases are searched backwards through ranks of a wavelet matrix over the
+Burrows-Wheeler transform, all phrases of a block side by side, occurrences are placed by
+walking to sampled suffix positions, and their spans are merged.
 """
 
 from __future__ import annotations
@@ -14,16 +15,16 @@ import pickle
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidalframe.llm.store import new_file, read_file
 from tidalframe.llm.wavelet import WaveletMatrix
-from tidalframe.llm.words import slices
+from tidalframe.llm.words import slices, split_words
 from tidalframe.session import scratch
 
 WINDOW = 10
@@ -31,13 +32,17 @@ WINDOW = 10
 SAMPLE = 8
 # Bytes of text of a shard, and occurrences that are placed at once.
 SHARD_BYTES, PLACED = 8 << 20, 1 << 20
-# Items of the benchmark that are searched together.
-BLOCK_ITEMS = 20_000
+# Items and bytes of the benchmark that are searched together, and blocks a worker keeps.
+BLOCK_ITEMS, BLOCK_BYTES, KEPT = 20_000, 4 << 20, 4
 
 # Bytes of words as themselves, A-Z as a-z, all others as a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
+FOLDED = np.frombuffer(FOLD, np.uint8)
+SPACED = np.arange(256) == 32
+
+
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(FOLD).split()
 
@@ -133,6 +138,23 @@ class Phrases:
         self.owner_start = np.cumsum([0, *map(len, owners)])
         self.owners = np.array([i for x in owners for i in x], np.int64)
         self.shortest = int(self.lens.min()) if len(self.lens) else 0
+        self.vocabulary = pa.array(list(self.numbers), pa.large_binary())
+        del self.numbers
+
+    def numbered(self, different: pa.Array) -> np.ndarray:
+        """For each of a shard's different words its number among the phrases' words, or 0."""
+        return pc.fill_null(pc.index_in(different, value_set=self.vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+
+    def translated(self, own: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(phrases in the shard's numbers, which they are) for those whose words are all there.
+
+        ``own`` numbers the shard's words among the phrases' words, ``shard`` in the shard.
+        """
+        to = np.zeros(len(self.vocabulary) + 1, np.int64)
+        to[own[own > 0]] = shard[own > 0]
+        found = to[self.phrases]
+        there = np.flatnonzero(((found > 0) | (self.phrases == 0)).all(axis=1))
+        return found[there], there
 
 
 def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -142,12 +164,22 @@ def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def search_shard(ids: list[np.ndarray], sought: Phrases) -> tuple[list[list[int]], list[list[int]]]:
-    """Per document of a shard: merged spans of hit words (flat start, end pairs) and the items found."""
-    spans: list[list[int]] = [[] for _ in ids]
-    items: list[list[int]] = [[] for _ in ids]
-    lens = np.array([len(x) for x in ids], np.int64)
+    """Documents of words numbered as the phrases' words are (0: none), and one block of phrases; see ``search``."""
     flat = np.concatenate([*ids, np.zeros(0, np.int64)])
-    doc = np.repeat(np.arange(len(ids)), lens)
+    every = np.arange(len(sought.vocabulary) + 1)
+    return search(flat, np.array([len(x) for x in ids], np.int64), sought.shortest, [(sought, every, every)])
+
+
+def search(flat: np.ndarray, lens: np.ndarray, shortest: int, blocks) -> tuple[list[list[int]], list[list[int]]]:
+    """Per document of a shard: merged spans of hit words (flat start, end pairs) and the items found.
+
+    ``flat`` are the shard's words, 0 where no phrase holds the word, ``lens`` the words of
+    each document. ``blocks`` gives (phrases, number of each different word of the shard
+    among the phrases' words, and in ``flat``), one after another.
+    """
+    spans: list[list[int]] = [[] for _ in lens]
+    items: list[list[int]] = [[] for _ in lens]
+    doc = np.repeat(np.arange(len(lens)), lens)
     # Stretches of known words within a document that can hold the shortest phrase.
     known = flat > 0
     begins = known.copy()
@@ -155,7 +187,7 @@ def search_shard(ids: list[np.ndarray], sought: Phrases) -> tuple[list[list[int]
     ends = known.copy()
     ends[:-1] &= ~known[1:] | (doc[1:] != doc[:-1])
     begin, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    long = end - begin >= max(1, sought.shortest)
+    long = end - begin >= max(1, shortest)
     begin, size = begin[long], (end - begin)[long]
     if not len(begin):
         return spans, items
@@ -167,33 +199,44 @@ def search_shard(ids: list[np.ndarray], sought: Phrases) -> tuple[list[list[int]
     origin = np.zeros(len(text), np.int64)
     origin[place] = source
     index = FMIndex(text)
-    low, high = index.search(sought.phrases, sought.lens)
-    hits, pairs, turn = np.zeros(len(flat) + 1, np.int32), [], np.zeros(0, np.int64)
+    hits = np.zeros(len(flat) + 1, np.int32)
+    for sought, own, shard in blocks:
+        phrases, which = sought.translated(own, shard)
+        found = index.search(phrases, sought.lens[which]) if len(which) else (np.zeros(0, np.int64),) * 2
+        for d, item in placed(index, *found, which, sought, origin, doc, hits):
+            items[d].append(item)
+    hit = np.cumsum(hits[:-1]) > 0
+    first, last = hit.copy(), hit.copy()
+    first[1:] &= ~hit[:-1] | (doc[1:] != doc[:-1])
+    last[:-1] &= ~hit[1:] | (doc[1:] != doc[:-1])
+    offset = np.cumsum(lens) - lens
+    for a, b in zip(np.flatnonzero(first).tolist(), np.flatnonzero(last).tolist(), strict=True):
+        spans[doc[a]] += [a - int(offset[doc[a]]), b + 1 - int(offset[doc[a]])]
+    return spans, items
+
+
+def placed(index: FMIndex, low: np.ndarray, high: np.ndarray, which: np.ndarray, sought: Phrases, origin: np.ndarray, doc: np.ndarray, hits: np.ndarray) -> list[tuple[int, int]]:
+    """(document, item) of the phrases found; adds the ends of their words to ``hits``.
+
+    Occurrences are placed in blocks of suffix rows: a frequent phrase is spread over as
+    many as it needs.
+    """
+    pairs = []
     matched = np.flatnonzero(high > low)
     counts = (high - low)[matched]
-    # Blocks of suffix rows: a frequent phrase is spread over as many as it needs.
     total = np.cumsum(counts)
     for done in range(0, int(total[-1]) if len(total) else 0, PLACED):
         turn = np.arange(done, min(done + PLACED, int(total[-1])))
         own = np.searchsorted(total, turn, side="right")
         where = origin[index.locate(low[matched[own]] + turn - (total[own] - counts[own]))]
-        phrase = matched[own]
+        phrase = which[matched[own]]
         np.add.at(hits, where, 1)
         np.add.at(hits, where + sought.lens[phrase], -1)
         seen = np.unique(doc[where] * len(sought.lens) + phrase)
         d, p = seen // len(sought.lens), seen % len(sought.lens)
         share = sought.owner_start[p + 1] - sought.owner_start[p]
         pairs.append(np.unique(np.repeat(d, share) * len(sought.items) + sought.owners[ranges(sought.owner_start[p], share)]))
-    hit = np.cumsum(hits[:-1]) > 0
-    first, last = hit.copy(), hit.copy()
-    first[1:] &= ~hit[:-1] | (doc[1:] != doc[:-1])
-    last[:-1] &= ~hit[1:] | (doc[1:] != doc[:-1])
-    offset = np.cumsum(lens) - lens
-    for a, b in zip(np.flatnonzero(first).tolist(), np.flatnonzero(last).tolist(), strict=True):
-        spans[doc[a]] += [a - int(offset[doc[a]]), b + 1 - int(offset[doc[a]])]
-    for x in np.unique(np.concatenate(pairs)).tolist() if pairs else []:
-        items[x // len(sought.items)].append(sought.items[x % len(sought.items)])
-    return spans, items
+    return [(x // len(sought.items), sought.items[x % len(sought.items)]) for x in (np.unique(np.concatenate(pairs)).tolist() if pairs else [])]
 
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -211,35 +254,30 @@ def cut_spans(text: str, spans: list[int]) -> str:
 
 
 def phrase_blocks(benchmark: DataFrame, window: int) -> list[str]:
-    """Addresses of the benchmark's phrases, a file for each block of items; none for items without words."""
-    base, out = scratch(benchmark.sparkSession, "phrases"), []
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator()
-    while block := [(r["item_id"], r["text"]) for r in islice(rows, BLOCK_ITEMS)]:
-        sought = Phrases(block, window)
-        if sought.items:
-            file, address = new_file(base, ".phrases")
-            file.write(pickle.dumps(sought))
-            file.close()
-            out.append(address)
-    return out
-
-
-@lru_cache(maxsize=1)
-def phrases_at(address: str) -> Phrases:
-    return pickle.loads(read_file(address))
+    """Addresses of the benchmark's phrases, a file for each block of items; none for items without words.
 
+    Tasks read the items and write the blocks; the driver sees the addresses.
+    """
+    base, most, size = scratch(benchmark.sparkSession, "phrases"), BLOCK_ITEMS, BLOCK_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", size):
+            for at in range(0, batch.num_rows, most):
+                block = batch.slice(at, most)
+                sought = Phrases(list(zip(block.column(0).to_pylist(), block.column(1).to_pylist(), strict=True)), window)
+                if sought.items:
+                    file, address = new_file(base, ".phrases")
+                    file.write(pickle.dumps(sought))
+                    file.close()
+                    yield pa.RecordBatch.from_arrays([pa.array([address])], ["address"])
 
-def merged(a: list[int], b: list[int]) -> list[int]:
-    """Two lists of spans (start, end pairs) as one without overlaps; spans that touch are one."""
-    if not a or not b:
-        return a or b
-    out: list[int] = []
-    for start, end in sorted([*zip(a[::2], a[1::2], strict=True), *zip(b[::2], b[1::2], strict=True)]):
-        if out and start <= out[-1]:
-            out[-1] = max(out[-1], end)
-        else:
-            out += [start, end]
-    return out
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    return [r["address"] for r in rows.mapInArrow(run, "address string").collect()]
+
+
+@lru_cache(maxsize=KEPT)
+def phrases_at(address: str) -> Phrases:
+    return pickle.loads(read_file(address))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
@@ -249,9 +287,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     n_hit, spans (merged, first word and the one after the last, in pairs) and items (ids
     of the items found, block by block in the benchmark's order). Items and documents without
     words have no windows; a null text stays null; repeated rows are each searched; an
-    empty table gives no rows. The benchmark is the stated query set: it is written down
-    in blocks of BLOCK_ITEMS items, and each shard's words are held against one block
-    after another, so neither the driver nor a task holds more of it than a block.
+    empty table gives no rows; a very long text is a shard of its own. Carried columns may
+    have any name. The benchmark is the stated query set: tasks write it down in blocks of
+    at most BLOCK_ITEMS items or about BLOCK_BYTES bytes, and a shard, indexed once, is
+    searched for one block after another, so no task holds more than KEPT blocks.
     """
     blocks = phrase_blocks(benchmark, window)
     names = [f"_c_{c}" for c in carried]
@@ -259,20 +298,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SHARD_BYTES):
-            texts = batch.column(1).to_pylist()
-            own = [words(text) for text in texts]
-            spans: list[list[int]] = [[] for _ in texts]
-            items: list[list[int]] = [[] for _ in texts]
+            number, lens, different = split_words(batch.column(1), SPACED, FOLDED)
+            different = different.cast(pa.large_binary())
+            known, shortest = np.zeros(len(different), bool), window
             for address in blocks:
-                asked = phrases_at(address)
-                number = asked.numbers.get
-                found = search_shard([np.fromiter((number(w, 0) for w in x), np.int64, len(x)) for x in own], asked)
-                spans = [merged(a, b) for a, b in zip(spans, found[0], strict=True)]
-                items = [a + b for a, b in zip(items, found[1], strict=True)]
-            lens = [len(x) for x in own]
+                known |= phrases_at(address).numbered(different) > 0
+                shortest = min(shortest, phrases_at(address).shortest)
+            own = np.cumsum(known) * known
+            searched = ((phrases_at(address), phrases_at(address).numbered(different), own) for address in blocks)
+            spans, items = search(own[number], lens, shortest, searched)
             hit = [sum(s[1::2]) - sum(s[::2]) for s in spans]
-            left = [cut_spans(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
-            out = [batch.column(0), pa.array(left, pa.string()), *batch.columns[2:], pa.array(lens, pa.int64()), pa.array(hit, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.int64()))]
+            left = batch.column(1)
+            if any(spans):
+                left = pa.array([cut_spans(t, s) if s else t for t, s in zip(left.to_pylist(), spans, strict=True)], pa.string())
+            out = [batch.column(0), left, *batch.columns[2:], pa.array(lens, pa.int64()), pa.array(hit, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "text", *names, "n_words", "n_hit", "spans", "items"])
 
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[2:])
