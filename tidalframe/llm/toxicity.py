@@ -3,7 +3,8 @@
 The score of a text is a bias, a weight for each of its terms, and for each pair of its
 terms the product of their factor vectors, so that two terms that mean little alone can
 mean much together. Terms are words in lower case, numbered by a hash; the machine is
-fitted on those terms whose frequency differs most between the labels.
+fitted on those terms whose frequency differs most between the labels, and on those that
+tell the labels apart only together with another term.
 """
 
 from __future__ import annotations
@@ -23,9 +24,13 @@ from tidalframe.llm.store import written
 from tidalframe.llm.words import Numbers, slices
 
 BUCKETS = 1 << 18
-# Labelled rows and terms the machine is fitted on, at most, and length of a factor.
-FITTED, TERMS, FACTORS = 20_000, 4096, 8
+# Labelled rows, terms of all of them together and different terms the machine is fitted
+# on, at most, and length of a factor.
+FITTED, FITTED_TERMS, TERMS, FACTORS = 20_000, 24_000_000, 4096, 8
 ROUNDS, RATE, DECAY = 160, 0.05, 2e-4
+# Terms alone are screened by deviations of their share (ALONE); pairs among the PAIRED most
+# frequent terms by deviations of their joint effect from the sum of both (TOGETHER).
+ALONE, PAIRED, TOGETHER, PAIR_TEXTS = 2.5, 2048, 6.0, 1 << 12
 LIMIT = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -73,6 +78,47 @@ class Machine:
         return sigmoid(self.parts(term[known], doc[known], n)[0] / self.heat)
 
 
+def paired(buckets: np.ndarray, doc: np.ndarray, toxic: np.ndarray, train: np.ndarray) -> np.ndarray:
+    """Terms that matter with another one: the share of toxic texts with both is not what the shares with each alone add up to.
+
+    All pairs of the PAIRED most frequent terms are looked at, by products of the matrix of
+    texts and terms, PAIR_TEXTS texts at a time.
+    """
+    times = np.bincount(buckets, minlength=BUCKETS)
+    asked = np.argsort(-times, kind="stable")[:PAIRED]
+    asked = asked[times[asked] >= 20]
+    place = np.full(BUCKETS, -1, np.int64)
+    place[asked] = np.arange(len(asked))
+    k, known = len(asked), place[buckets] >= 0
+    column, row, which = place[buckets[known]], doc[known], np.flatnonzero(train)
+    both, both_toxic = np.zeros((k, k)), np.zeros((k, k))
+    for at in range(0, len(which), PAIR_TEXTS):
+        texts = which[at : at + PAIR_TEXTS]
+        on = (row >= texts[0]) & (row <= texts[-1])
+        x = np.zeros((texts[-1] - texts[0] + 1, k), np.float32)
+        x[row[on] - texts[0], column[on]] = 1
+        both += x.T @ x
+        x = x[toxic[texts[0] : texts[-1] + 1]]
+        both_toxic += x.T @ x
+    one, one_toxic = np.diag(both), np.diag(both_toxic)
+    n, n_toxic = max(1, len(which)), int(toxic[which].sum())
+    cells = [
+        (both, both_toxic),
+        (one[:, None] - both, one_toxic[:, None] - both_toxic),
+        (one[None] - both, one_toxic[None] - both_toxic),
+        (n - one[:, None] - one[None] + both, n_toxic - one_toxic[:, None] - one_toxic[None] + both_toxic),
+    ]
+    effect, variance = np.zeros((k, k)), np.zeros((k, k))
+    for sign, (held, bad) in zip((1, -1, -1, 1), cells, strict=True):
+        share = (bad + 0.5) / (held + 1)
+        effect += sign * share
+        variance += share * (1 - share) / np.maximum(held, 1)
+    enough = np.min([held for held, _ in cells], axis=0) >= 20
+    np.fill_diagonal(enough, False)
+    found = enough & (np.abs(effect) > TOGETHER * np.sqrt(variance))
+    return asked[found.any(axis=1)]
+
+
 def fit(buckets: np.ndarray, doc: np.ndarray, y: np.ndarray, seed: int = 13) -> Machine:
     """A machine by full-batch Adam on four fifths of the texts, its round and temperature chosen on the rest."""
     rng = np.random.default_rng(seed)
@@ -92,7 +138,9 @@ def fit(buckets: np.ndarray, doc: np.ndarray, y: np.ndarray, seed: int = 13) ->
     z = np.abs(a / n1 - b / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
     z[a + b < 3] = 0
     chosen = np.argsort(-z, kind="stable")[:TERMS]
-    chosen = chosen[z[chosen] > 2.5]
+    chosen = chosen[z[chosen] > ALONE]
+    joint = np.setdiff1d(paired(buckets[on], doc[on], y > 0.5, train), chosen)
+    chosen = np.concatenate([chosen[: TERMS - len(joint)], joint])
     number[chosen] = np.arange(len(chosen))
     m = max(1, len(chosen))
     share = np.clip(pos.sum() / max(1, train.sum()), 1e-3, 1 - 1e-3)
@@ -121,11 +169,25 @@ def fit(buckets: np.ndarray, doc: np.ndarray, y: np.ndarray, seed: int = 13) ->
     return machine
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, fitted: int = FITTED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bounded(learnt: DataFrame, most: int, parts: int = 1024) -> DataFrame:
+    """The rows of the first parts, by a hash of the id, that have at most ``most`` terms together, the first part at least."""
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
+    sizes = learnt.groupBy(part.alias("part")).agg(F.sum(F.size("terms")).alias("n")).collect()
+    total, upto = 0, parts
+    for part_, n in sorted((r["part"], r["n"]) for r in sizes):
+        total += n
+        if total > most:
+            upto = max(part_, 1)
+            break
+    return learnt.filter(part < upto)
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, fitted: int = FITTED, fitted_terms: int = FITTED_TERMS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Scores every whole text: doc_id, held_out, score (near 1: toxic), predicted.
 
-    The machine is fitted on at most ``fitted`` labelled documents that are not held out.
-    A null or empty text has no terms and the score of the bias; without any label the
+    The machine is fitted on at most ``fitted`` labelled documents that are not held out,
+    and on fewer, in the order of a hash, where these have over ``fitted_terms`` different
+    terms each, added up. A very long text has no more terms than there are buckets. A null or empty text has no terms and the score of the bias; without any label the
     score is 0.5; repeated rows score alike; a null id is never held out nor learnt from;
     an empty table gives no rows; other columns are not looked at.
     """
@@ -140,7 +202,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, fi
 
     known = written(chosen(labels, "toxic", fitted), "labels")
     texts = rows.join(F.broadcast(known.select("label_id")), F.col("doc_id") == F.col("label_id"), "left_semi")
-    learnt = sample(texts.mapInArrow(listed, "doc_id long, terms array<int>"), known, "terms").orderBy("doc_id").toArrow()
+    learnt = written(sample(texts.mapInArrow(listed, "doc_id long, terms array<int>"), known, "terms"), "terms")
+    learnt = bounded(learnt, fitted_terms).orderBy("doc_id").toArrow()
     held = learnt.column("terms").combine_chunks()
     sizes = np.array([len(x) for x in held.to_pylist()], np.int64) if learnt.num_rows else np.zeros(0, np.int64)
     bucket = held.flatten().to_numpy(zero_copy_only=False).astype(np.int64) if learnt.num_rows else np.zeros(0, np.int64)
