@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import LONG, frame
@@ -192,6 +193,18 @@ def test_weighted_classes_count_repeats(spark):
     assert dartminhash.near_duplicates(frame_, weighted=True).select("class_id").distinct().count() == 2
 
 
+def test_a_large_group_of_unlike_copies_is_closed(spark):
+    """Copies of one text, most of them too far from each other but near to the first."""
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(120)]
+    texts = [varied(rng, words, 3) for _ in range(120)] + [" ".join(words)] + [varied(rng, words, 12) for _ in range(30)]
+    rng.shuffle(texts)
+    got = {r.doc_id: (r.class_id, r.class_size) for r in dartminhash.near_duplicates(frame(spark, list(enumerate(texts)))).collect()}
+    want = classes(texts)
+    missed = sum(got[k] != want[k] for k in range(len(texts)))
+    assert missed == 0, missed
+
+
 # Passages
 
 
@@ -278,6 +291,34 @@ def test_machine_learns_a_pair_that_no_weight_shows():
     assert score[2] > 0.5 > max(score[0], score[1]) and score[3] < 0.5
 
 
+def test_machine_learns_a_pair_without_any_effect_alone():
+    """Toxic if exactly one of two words occurs: neither word alone tells anything."""
+    rng, texts, y = np.random.default_rng(5), [], []
+    for _ in range(4000):
+        a, b = rng.random(2) < 0.5
+        texts.append(" ".join(["alpha"] * int(a) + ["beta"] * int(b) + [f"n{k}" for k in rng.integers(0, 40, 6)]))
+        y.append(int(a != b))
+    machine = toxicity.fit(*toxicity.terms(texts), np.array(y))
+    score = machine.score(*toxicity.terms(["alpha n1", "beta n2", "alpha beta n3", "n4"]), 4)
+    assert min(score[:2]) > 0.9 and max(score[2:]) < 0.1
+
+
+def test_machine_against_all_pairs():
+    rng = np.random.default_rng(2)
+    machine = toxicity.Machine(np.arange(20), np.array([0.3]), rng.normal(size=20), rng.normal(size=(20, 3)))
+    held = [sorted(set(rng.integers(0, 20, k).tolist())) for k in (0, 1, 5, 12)]
+    logit, _ = machine.parts(np.array([t for x in held for t in x], np.int64), np.repeat(np.arange(4), [len(x) for x in held]), 4)
+    for x, got in zip(held, logit, strict=True):
+        pairs = sum(machine.factor[a] @ machine.factor[b] for a in x for b in x if a < b)
+        assert got == pytest.approx(0.3 + sum(machine.weight[a] for a in x) + pairs)
+
+
+def test_the_terms_learnt_from_are_bounded(spark):
+    learnt = spark.range(3000).selectExpr("id AS doc_id", "sequence(0, cast(id % 20 AS int)) AS terms")
+    few = toxicity.bounded(learnt, 5000)
+    assert 3000 < few.selectExpr("sum(size(terms))").first()[0] <= 5000 and toxicity.bounded(learnt, 10**6).count() == 3000
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = random.Random(6)
     rows = [(k, prose(rng, 50) + (" You are scum, an idiot." if k % 5 == 0 else "")) for k in range(500)]
@@ -287,6 +328,39 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(got[k].predicted == int(k % 5 == 0) for k in held) >= 0.98 * len(held)
 
 
+def test_pooled_vectors_against_plain_ones():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["Word", "word", "a1b22", "***", "ünder", "x\u00a0y", "_", "7"]) for _ in range(rng.randint(0, 30))) for _ in range(25)]
+    vectors = np.random.default_rng(1).normal(size=(quality.BUCKETS, quality.DIM)).astype(np.float32)
+    got = quality.pooled(pa.array([*texts, None], pa.string()), vectors)
+    for text, row in zip([*texts, ""], got, strict=True):
+        own = [b for w in text.split() for b in quality.parts_of(w)]
+        if not own:
+            assert not row.any()
+            continue
+        held = vectors[own]
+        assert row[: quality.DIM] == pytest.approx(held.mean(0), abs=1e-4) and row[quality.DIM : 2 * quality.DIM] == pytest.approx(held.std(0), abs=1e-3)
+        assert row[-3] == pytest.approx(np.log1p(len(own))) and row[-2] == pytest.approx(len(set(own)) / len(own))
+
+
+def test_word_vectors_against_plain_neighbours(spark):
+    texts = ["a b a c", "b c", None, "c c c a b d"]
+    got = quality.word_vectors(frame(spark, list(enumerate(texts))))
+    place, sign = quality.index_vectors()
+    plain = np.zeros((quality.BUCKETS, quality.DIM))
+    for text in texts:
+        own = [b for w in (text or "").split() for b in quality.parts_of(w)]
+        for i, x in enumerate(own):
+            for j in range(max(0, i - quality.REACH), min(len(own), i + quality.REACH + 1)):
+                if i != j:
+                    np.add.at(plain[x], place[own[j]], sign[own[j]])
+    norm = np.linalg.norm(plain, axis=1, keepdims=True)
+    used = norm[:, 0] > 0
+    plain[used] /= norm[used]
+    plain[used] -= plain[used].mean(axis=0)
+    assert np.allclose(got, plain, atol=1e-5)
+
+
 @pytest.mark.parametrize("score", [quality.quality_scores, toxicity.toxicity_scores])
 def test_classifiers_of_odd_rows(spark, score, odd, odd_rows, nothing):
     labels = labelled(spark, [(3, 1, 0), (4, 0, 1), (4, 1, 0), (9, 1, 1), (None, 0, 0)])

@@ -92,8 +92,26 @@ def test_a_hot_length_is_numbered_without_gaps(spark):
     rows = spark.range(5000).selectExpr("id as doc_id", "0 as piece", "0L as start", "cast(if(id % 3 = 0, 7, id % 90 + 1) as long) as length", "0L as ids_crc32")
     placed = packing.place(rows, capacity=90).collect()
     assert len(placed) == 5000
-    used, total = packed_right(placed, 90), sum(r.length for r in placed)
-    assert used - -(-total // 90) <= 1
+    counts = np.bincount([r.length for r in placed], minlength=91)
+    assert packing.lower_bound(counts, 90) <= packed_right(placed, 90) <= 1837 < sum(n for _, n in packing.best_fit(dict(Counter(r.length for r in placed)), 90))
+
+
+def test_fullest_fillings_against_all_sums():
+    rng = random.Random(12)
+    for _ in range(200):
+        pieces = Counter(rng.randint(1, 30) for _ in range(rng.randint(1, 12)))
+        counts = np.zeros(41, np.int64)
+        for x, n in pieces.items():
+            counts[x] = n
+        room, sums = rng.randint(1, 40), {0}
+        for x in pieces.elements():
+            sums |= {y + x for y in sums}
+        found = [(items, total) for items, total in packing.Sums(counts, room).fullest()]
+        assert found[0][1] == max(y for y in sums if y <= room) and [t for _, t in found] == sorted((t for _, t in found), reverse=True)
+        assert {t for _, t in found} == {y for y in sums if y <= room}
+        assert all(sum(items) == total and not Counter(items) - pieces for items, total in found)
+        packed = packing.fullest_first(counts, 40, rng.random() < 0.5)
+        assert Counter(x for items, n in packed for x in items * n) == pieces and all(sum(items) <= 40 for items, _ in packed)
 
 
 def fewest(sizes, capacity):

@@ -13,6 +13,7 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -82,48 +83,82 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     return max(best, int((alone + big + more).max())) if len(k) else best
 
 
+class Sums:
+    """Which totals pieces at hand can make, as bits, from the smallest lengths on."""
+
+    def __init__(self, counts: np.ndarray, room: int):
+        self.counts, self.lengths = counts, [int(x) for x in np.flatnonzero(counts[: room + 1]) if x]
+        self.reached, mask = [1], (1 << room + 1) - 1
+        for x in self.lengths:
+            bits, left, step = self.reached[-1], min(int(counts[x]), room // x), 1
+            while left > 0:
+                n = min(step, left)
+                bits |= bits << n * x & mask
+                left, step = left - n, 2 * step
+            self.reached.append(bits)
+
+    def largest_first(self, total: int, below: int) -> tuple[int, ...]:
+        """Pieces of the first ``below`` lengths that make ``total``, the largest possible ones first."""
+        out: list[int] = []
+        while total:
+            below = min(below, bisect_right(self.lengths, total))
+            x = self.lengths[below - 1]
+            below -= 1
+            for n in range(min(int(self.counts[x]), total // x), 0, -1):
+                if self.reached[below] >> total - n * x & 1:
+                    out += [x] * n
+                    total -= n * x
+                    break
+        return tuple(out)
+
+    def fullest(self) -> Iterator[tuple[tuple[int, ...], int]]:
+        """(filling, total), the fullest first, among these those with the largest first piece."""
+        totals, top = self.reached[-1], self.reached[-1].bit_length()
+        for total in range(top - 1, -1, -1):
+            if not totals >> total & 1:
+                continue
+            if not total:
+                yield (), 0
+            for at in range(bisect_right(self.lengths, total) - 1, -1, -1):
+                x = self.lengths[at]
+                for n in range(min(int(self.counts[x]), total // x), 0, -1):
+                    if self.reached[at] >> total - n * x & 1:
+                        yield (x,) * n + self.largest_first(total - n * x, at), total
+
+
+def dominated(items: tuple[int, ...], waste: int, counts: np.ndarray) -> bool:
+    """Whether one of the pieces, or none, could be exchanged for a larger one within the waste."""
+    used = Counter(items)
+    return any(counts[y] > used[y] for x in {0, *items} for y in range(x + 1, min(x + waste, len(counts) - 1) + 1))
+
+
 def fillings(counts: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` with pieces at hand, least waste first.
+    """The first ``width`` undominated fillings of ``room`` with pieces at hand, least waste first.
 
-    A filling is built from a first piece and the largest ones that fit after it, with a
-    single piece that closes the gap exactly preferred, and is complete: nothing more
-    fits. One is dominated, and left out, if one of its pieces could be exchanged for a
-    larger one within the waste: the larger piece would otherwise need more room elsewhere.
+    One is dominated, and left out, if one of its pieces could be exchanged for a larger
+    one within the waste: the larger piece would otherwise need more room elsewhere.
     """
-    have = np.flatnonzero(counts[: room + 1])
-    have = have[have > 0]
-    if not len(have):
-        return [()]
-    found: dict[tuple[int, ...], int] = {}
-    for first in have[::-1][: 8 * width]:
-        for exact in (True, False):
-            left, items, used = room - int(first), [int(first)], Counter([int(first)])
-            while left >= have[0]:
-                nxt = have[: np.searchsorted(have, left, side="right")][::-1]
-                if exact and items[-1] > 0:
-                    need = left if counts[left] - used[left] > 0 else 0
-                    pair = 0 if need else next((int(a) for a in nxt[:64] if counts[a] > used[int(a)] and left > a and counts[left - a] - used[left - int(a)] - (left == 2 * a) > 0), 0)
-                    take = need or pair
-                else:
-                    take = 0
-                take = take or next((int(a) for a in nxt if counts[a] > used[int(a)]), 0)
-                if not take:
-                    break
-                items.append(take)
-                used[take] += 1
-                left -= take
-            found[tuple(sorted(items, reverse=True))] = left
-        if sum(w == 0 for w in found.values()) >= width:
-            break
-    kept = []
-    for items, waste in sorted(found.items(), key=lambda x: (x[1], [-i for i in x[0]])):
-        used = Counter(items)
-        larger = any((counts[x + 1 : x + waste + 1] > np.array([used[y] for y in range(x + 1, x + 1 + len(counts[x + 1 : x + waste + 1]))])).any() for x in set(items)) if waste else False
-        if not larger:
-            kept.append(items)
-        if len(kept) == width:
-            break
-    return kept or [min(found, key=found.get)]
+    found = Sums(counts, room).fullest()
+    return list(islice((items for items, total in found if not dominated(items, room - total, counts)), width))
+
+
+def fullest_first(counts: np.ndarray, capacity: int, halves: bool) -> list[Pattern]:
+    """A packing that fills each sequence around the largest piece left as full as can be.
+
+    A sequence is repeated as often as its pieces last, or with ``halves`` half as often.
+    """
+    left, out = counts.copy(), []
+    while left.any():
+        largest = int(np.flatnonzero(left)[-1])
+        left[largest] -= 1
+        items = Counter((largest, *next(Sums(left, capacity - largest).fullest())[0]))
+        left[largest] += 1
+        times = min(int(left[x]) // m for x, m in items.items())
+        times = -(-times // 2) if halves else times
+        for x, m in items.items():
+            left[x] -= m * times
+        out.append((tuple(items.elements()), times))
+    return out
 
 
 def all_fillings(counts: np.ndarray, room: int) -> Iterator[tuple[int, ...] | None]:
@@ -234,13 +269,21 @@ def complete(counts: np.ndarray, capacity: int, incumbent: int, target: int, nod
 
 
 def solve(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, width: int = WIDTH) -> list[Pattern]:
-    """Patterns for pieces counted by length: the best-fit packing, or a better one if bin completion finds it."""
+    """Patterns for pieces counted by length.
+
+    Best-fit decreasing and, where it misses the bound, packings of the fullest sequences
+    are the incumbents; bin completion then looks for a better one.
+    """
     packed = best_fit({x: n for x, n in counts.items() if n}, capacity)
     array = np.zeros(capacity + 1, np.int64)
     for x, n in counts.items():
         array[x] = n
-    bound, used = lower_bound(array, capacity), sum(n for _, n in packed)
-    better = complete(array, capacity, used, bound, nodes, width) if used > bound else None
+    bound = lower_bound(array, capacity)
+    sequences = lambda patterns: sum(n for _, n in patterns)
+    for halves in (False, True):
+        if sequences(packed) > bound:
+            packed = min(packed, fullest_first(array, capacity, halves), key=sequences)
+    better = complete(array, capacity, sequences(packed), bound, nodes, width) if sequences(packed) > bound else None
     return better or packed
 
 
