@@ -129,17 +129,20 @@ class Sums:
 def dominated(items: tuple[int, ...], waste: int, counts: np.ndarray) -> bool:
     """Whether one of the pieces, or none, could be exchanged for a larger one within the waste."""
     used = Counter(items)
-    return any(counts[y] > used[y] for x in {0, *items} for y in range(x + 1, min(x + waste, len(counts) - 1) + 1))
+    larger = {int(y) for x in {0, *items} for y in np.flatnonzero(counts[x + 1 : x + waste + 1]) + x + 1} if waste else ()
+    return any(counts[y] > used[y] for y in larger)
 
 
 def fillings(counts: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]:
-    """The first ``width`` undominated fillings of ``room`` with pieces at hand, least waste first.
+    """Undominated fillings of ``room`` with pieces at hand, least waste first, ``width`` at most.
 
-    One is dominated, and left out, if one of its pieces could be exchanged for a larger
-    one within the waste: the larger piece would otherwise need more room elsewhere.
+    Looked at are the fullest ones, four for each that is asked for. One is dominated, and
+    left out, if one of its pieces could be exchanged for a larger one within the waste:
+    the larger piece would otherwise need more room elsewhere.
     """
-    found = Sums(counts, room).fullest()
-    return list(islice((items for items, total in found if not dominated(items, room - total, counts)), width))
+    found = list(islice(Sums(counts, room).fullest(), 4 * width))
+    kept = [items for items, total in found if not dominated(items, room - total, counts)]
+    return kept[:width] or [found[0][0]]
 
 
 def fullest_first(counts: np.ndarray, capacity: int, halves: bool) -> list[Pattern]:
