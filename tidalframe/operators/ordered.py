@@ -24,9 +24,11 @@ BUCKET = "_bucket"
 
 def edges(df: DataFrame, col: str, parts: int | None = None) -> list[float]:
     """Approximate quantiles of a numeric column: at most ``parts - 1`` numbers, as many as the rows ask for."""
-    parts = parts or parallelism(df.sparkSession, df.count())
-    cuts = [i / parts for i in range(1, parts)]
-    found = df.agg(F.percentile_approx(F.col(col).cast("double"), cuts, 20 * parts)).first()[0]
+    least = parts or parallelism(df.sparkSession, 0)
+    quantiles = lambda n: F.percentile_approx(F.col(col).cast("double"), [i / n for i in range(1, n)], 20 * n)
+    found, rows = df.agg(quantiles(least), F.count(F.lit(1))).first()
+    if not parts and (more := parallelism(df.sparkSession, rows)) > least:
+        found = df.agg(quantiles(more)).first()[0]
     return sorted(set(found or []))
 
 
@@ -81,19 +83,18 @@ def running_totals(
 def row_index(df: DataFrame, order: str, out: str = "row_id") -> DataFrame:
     """Dense 1..n over a unique column of any type that can be ordered.
 
-    The column alone is dealt out by its own ranges and written down; counts per range
-    give each range its offset.
+    The rows are dealt out by ranges of the column, put in order and written down with
+    their place in their range, in one shuffle; counts per range give each its offset.
     """
-    keys = df.select(order)
-    parts = parallelism(df.sparkSession, keys.count())
-    dealt = keys.repartitionByRange(parts, order).select(
-        order, F.spark_partition_id().cast("double").alias(BUCKET), F.lit(1).cast("long").alias("_one")
-    )
-    ranked = running_totals(cut_lineage(dealt), [], [order], ["_one"])
-    numbers = ranked.select((F.col("before__one") + 1).alias(out), order)
-    if df.columns == [order]:
-        return numbers
-    return by_group(df, numbers, [order]).select(out, *df.columns)
+    parts = parallelism(df.sparkSession, df.select(order).count())
+    # The number's high bits are the range, its low ones the place in it.
+    placed = df.repartitionByRange(parts, order).sortWithinPartitions(order).withColumn("_at", F.monotonically_increasing_id())
+    placed = cut_lineage(placed).withColumn(BUCKET, F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_bucket_").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(F.col(BUCKET).alias("_bucket_")).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_bucket_", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    numbered = placed.join(offsets, F.col(BUCKET) == F.col("_bucket_"))
+    return numbered.select((F.col("_before") + F.col("_at") + 1).alias(out), *df.columns)
 
 
 def counted(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:

@@ -38,23 +38,25 @@ def cross(designs: dict[str, Design], learners: dict[str, Estimator]) -> list[Ca
 
 
 def out_of_fold(
-    df: DataFrame, candidates: Sequence[Candidate], keep: Sequence[str], folds: int, parallel: int = 8
+    df: DataFrame | dict[int, DataFrame], candidates: Sequence[Candidate], keep: Sequence[str], folds: int, parallel: int = 8
 ) -> DataFrame:
     """Predictions of every candidate on every held-out fold.
 
-    ``df`` carries a ``fold`` column. Feature stages are learnt once per design
+    ``df`` carries a ``fold`` column; a dict of tables gives each fold a table of its own,
+    whose columns were learnt without it. Feature stages are learnt once per design
     and fold and shared by the learners. Fits run a few at a time, each on the
     whole cluster.
     """
+    table = (lambda i: df[i]) if isinstance(df, dict) else (lambda i: df)
     designs = list(dict.fromkeys(design for _, design, _ in candidates))
 
     def prepare(task):
         design, i = task
-        return task, Pipeline(stages=models.stages(design)).fit(df.where(F.col("fold") != i))
+        return task, Pipeline(stages=models.stages(design)).fit(table(i).where(F.col("fold") != i))
 
     def run(task):
         (name, design, learner), i = task
-        ready = prepared[design, i].transform(df)
+        ready = prepared[design, i].transform(table(i))
         model = models.aimed(design, learner).fit(ready.where(F.col("fold") != i))
         held = models.tidy(model.transform(ready.where(F.col("fold") == i)), [*keep, "fold"])
         return held.select(F.lit(name).alias("candidate"), "*")

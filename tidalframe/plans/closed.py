@@ -200,6 +200,42 @@ def mod_global_ids(spark: SparkSession, root: str) -> DataFrame:
     return scored.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 3).alias("prediction"))
 
 
+def _best_cut(feature: str) -> str:
+    return f"""SELECT '{feature}' AS feature, max(gl * gl / nl + gr * gr / nr) AS gain FROM (SELECT x, sum(g) OVER w AS gl, sum(n) OVER w AS nl,
+  sum(g) OVER () - sum(g) OVER w AS gr, sum(n) OVER () - sum(n) OVER w AS nr FROM (SELECT {feature} AS x, sum(l_extendedprice - m) AS g, count(*) AS n
+  FROM lineitem, (SELECT avg(l_extendedprice) AS m FROM lineitem) GROUP BY 1) WINDOW w AS (ORDER BY x)) WHERE nr > 0"""
+
+
+SPLIT_ON = ("l_tax", "l_quantity", "l_discount")
+
+
+@query(
+    "mod_importance_split",
+    f"WITH cuts AS ({' UNION ALL '.join(_best_cut(f) for f in SPLIT_ON)}) SELECT feature, CASE WHEN gain = max(gain) OVER () THEN 1.0 ELSE 0.0 END::DOUBLE AS importance FROM cuts",
+)
+def mod_importance_split(spark: SparkSession, root: str) -> DataFrame:
+    """A tree of one split gives all importance to the feature whose best cut parts the prices best."""
+    rows = kept(table(spark, root, "lineitem").select(*SPLIT_ON, "l_extendedprice"))
+    model = models.fit(Design("l_extendedprice", SPLIT_ON), models.boosted(trees=1, learn_rate=1.0, depth=1), rows)
+    return models.importance(model, model.transform(rows), spark)
+
+
+@query(
+    "mod_kmeans_groups",
+    """WITH apart AS (SELECT DISTINCT p_type, dense_rank() OVER (ORDER BY p_type) AS place FROM part)
+SELECT p_partkey, place - 1 AS kmeans_group FROM part JOIN apart USING (p_type)""",
+)
+def mod_kmeans_groups(spark: SparkSession, root: str) -> DataFrame:
+    """Parts whose types lie far apart: every part is in the group of its type, groups in the order of their centres."""
+    types = [r[0] for r in table(spark, root, "part").select("p_type").distinct().orderBy("p_type").collect()]
+    place = F.array_position(F.array(*[F.lit(t) for t in types]), F.col("p_type")).cast("double")
+    rows = kept(table(spark, root, "part").select("p_partkey", (place * 1000 + F.col("p_size")).alias("x")))
+    flow = models.workflow(Design("p_partkey", ("x",)), models.clusters(len(types), 50)).fit(rows)
+    centres = [float(c[0]) for c in flow.stages[-1].clusterCenters()]
+    order = F.array(*[F.lit(sorted(centres).index(c)).cast("long") for c in centres])
+    return flow.transform(rows).select("p_partkey", order[F.col("prediction")].alias("kmeans_group"))
+
+
 @query("mod_importance_one", "SELECT 'l_quantity' AS feature, 1.0::DOUBLE AS importance FROM lineitem LIMIT 1")
 def mod_importance_one(spark: SparkSession, root: str) -> DataFrame:
     """The only feature of a tree has all the importance."""

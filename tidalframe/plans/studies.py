@@ -12,9 +12,9 @@ from tidalframe.operators import (
     customers,
     features,
     forecasts,
-    impute,
     metrics,
     models,
+    neighbours,
     splits,
     tuning,
 )
@@ -175,25 +175,30 @@ def study_churn(spark: SparkSession, root: str) -> DataFrame:
 
 @query("study_recipes")
 def study_recipes(spark: SparkSession, root: str) -> DataFrame:
-    """Unknown sizes left out, set to the mean or taken from 3 or 5 neighbours, with two learners, ranked."""
+    """Unknown sizes left out, set to the mean or taken from 3 or 5 neighbours, with two learners, ranked.
+
+    Means, ranges and neighbours of a fold come from the other folds.
+    """
     size = F.when(~F.col("p_name").startswith("red"), F.col("p_size").cast("double"))
-    rows = table(spark, root, "part").select("p_partkey", "p_brand", "p_type", "p_retailprice", size.alias("size"))
-    full = features.impute_mean(lambda df: ["size_mean"])(rows.withColumn("size_mean", F.col("size")))(
-        rows.withColumn("size_mean", F.col("size"))
-    ).drop("size")
-    for k in (3, 5):
-        near = impute.impute_knn(rows, "p_partkey", "size", "p_retailprice", ["p_brand", "p_type"], k)
-        full = full.join(near.select("p_partkey", F.col("size").alias(f"size_knn{k}")), "p_partkey")
-    folded = cut_lineage(splits.folds(kept(full), "p_partkey", 3))
-    cats = ("p_brand", "p_type")
+    colour = F.split("p_name", " ")[0].alias("colour")
+    rows = table(spark, root, "part").select("p_partkey", "p_brand", "p_type", colour, "p_retailprice", size.alias("size"))
+    folded = cut_lineage(splits.folds(kept(rows), "p_partkey", 3))
+    cats, tables = ("p_brand", "p_type"), {}
+    for i in range(3):
+        train = folded.where(F.col("fold") != i)
+        model = neighbours.fit(train, "p_partkey", "size", [], [*cats, "colour"], 5)
+        full = folded.withColumn("size_mean", F.coalesce("size", train.agg(F.avg("size")).scalar()))
+        for k in (3, 5):
+            full = neighbours.with_filled(model, full, f"size_knn{k}", k)
+        tables[i] = cut_lineage(full.drop("size"))
     designs = {
         "without": Design("p_retailprice", (), cats),
         "mean": Design("p_retailprice", ("size_mean",), cats),
         "knn3": Design("p_retailprice", ("size_knn3",), cats),
         "knn5": Design("p_retailprice", ("size_knn5",), cats),
     }
-    learners = {"net": models.elastic_net(0.1, 0.5), "forest": models.forest("regression", trees=5, depth=4)}
-    oof = tuning.out_of_fold(folded, tuning.cross(designs, learners), ["p_partkey", "p_retailprice"], 3)
+    learners = {"net": models.elastic_net(0.1, 0.5), "forest": models.forest("regression", trees=20, depth=5)}
+    oof = cut_lineage(tuning.out_of_fold(tables, tuning.cross(designs, learners), ["p_partkey", "p_retailprice"], 3))
     per_fold = oof.groupBy("candidate", "fold").agg(
         metrics.rmse("p_retailprice", "prediction").alias("rmse"), metrics.rsq("p_retailprice", "prediction").alias("rsq")
     )
