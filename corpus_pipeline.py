@@ -25,23 +25,35 @@ def _kept(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
-    """Documents that the classifier takes for good ones."""
+    """Documents that the classifier takes for good ones.
+
+    A null or empty text has the score of no words; repeated rows stay or go together.
+    """
     found = quality.quality_scores(docs, table(spark, root, "labels"), carried=_others(docs))
     return _kept(found.filter("predicted = 1"), docs)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
-    """Documents that pass the base rules and resemble their language."""
+    """Documents that pass the base rules and resemble their language.
+
+    Null and empty texts fail; a null language is one of its own; repeated rows stay or go together.
+    """
     return _kept(divergence.quality_rules(docs, carried=_others(docs)).filter("kept"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
-    """One document of each class of near duplicates: that with the smallest id."""
+    """One document of each class of near duplicates: that with the smallest id.
+
+    Of repeated rows one stays; a null id comes last; a null text is a class of its own.
+    """
     return dartminhash.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
-    """All documents, without the benchmark passages in their texts; n_chars follows the text."""
+    """All documents, without the benchmark passages in their texts; n_chars follows the text.
+
+    A null text stays null, and a text that was all passage stays as an empty one.
+    """
     found = fmindex.contamination(docs, table(spark, root, "benchmark"), carried=tuple(c for c in _others(docs) if c != "text"))
     if "n_chars" in docs.columns:
         found = found.withColumn("_c_n_chars", F.when(F.col("n_hit") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_c_n_chars")))
@@ -49,7 +61,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, root: str) -> DataFram
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
+    """The pieces of all documents and their places in sequences; a null text is one end mark."""
     return packing.pack(docs, tokenizer("word_bpe_49k.json"))
 
 
