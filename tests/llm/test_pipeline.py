@@ -9,6 +9,7 @@ import pytest
 import corpus_pipeline
 from tests.llm.conftest import frame
 from tests.llm.test_texts import prose
+from tidalframe.llm import divergence, quality
 
 
 @pytest.fixture
@@ -49,6 +50,15 @@ def test_stages_one_after_another(spark, tables, tmp_path):
 def test_each_stage_on_odd_and_empty_tables(spark, tables, odd, nothing):
     root, _ = tables
     for name, stage in corpus_pipeline.STAGES:
-        out = stage(spark, odd, root)
-        assert out.count() <= (1000 if name == "best_fit_packing" else odd.count())
+        out, n = stage(spark, odd, root), odd.count()
+        want = {
+            "quality_classifier": lambda: quality.quality_scores(odd, spark.read.parquet(f"{root}/labels.parquet")).filter("predicted = 1").count(),
+            "quality_rules": lambda: divergence.quality_rules(odd).filter("kept").count(),
+            "near_duplicates": lambda: n - 1,
+            "decontamination": lambda: n,
+        }
+        if name == "best_fit_packing":
+            assert out.filter("piece = 0").count() == n
+        else:
+            assert out.count() == want[name]()
         assert stage(spark, nothing, root).count() == 0
