@@ -91,6 +91,21 @@ def test_weights_meet_the_conditions_of_a_minimum():
         assert (w >= 0).all() and (slope <= 1e-7).all() and np.abs(slope[w > 0]).max(initial=0) < 1e-7
 
 
+def test_weights_of_members_that_say_nearly_the_same():
+    """Members a hair apart, one that is the sum of two others and constant ones: slopes still end at 0."""
+    rng = np.random.default_rng(5)
+    for apart in (1e-3, 1e-5, 1e-8, 0.0):
+        base = rng.random((400, 3))
+        near = base[:, :1] + apart * rng.normal(size=(400, 6))
+        x = np.column_stack([base, near, base[:, 0] + base[:, 1], np.full((400, 2), 0.5), np.zeros(400)])
+        full = np.column_stack([x, (base[:, 0] + rng.normal(size=400) * 0.3 > 0.5).astype(float)])
+        gram = full.T @ full / 400
+        for penalty in (1e-1, 1e-3, 1e-6):
+            w = tuning.nonnegative_lasso(gram, np.zeros(x.shape[1]), penalty)
+            slope = gram[:-1, -1] - gram[:-1, :-1] @ w - penalty
+            assert (w >= 0).all() and slope.max() < 1e-6 and np.abs(slope[w > 0]).max(initial=0) < 1e-6
+
+
 def test_a_path_chooses_the_penalty_of_the_least_error(spark):
     rng = np.random.default_rng(8)
     t = rng.integers(0, 2, 300)

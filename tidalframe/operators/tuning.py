@@ -280,21 +280,58 @@ def gram_sums(oof: DataFrame, members: Sequence[str], target: str, by: str) -> d
     return out
 
 
-def nonnegative_lasso(gram, start, penalty: float, tolerance: float = 1e-10, sweeps: int = 100_000):
+def nonnegative_lasso(gram, start, penalty: float, tolerance: float = 1e-10):
     """Weights of 0 or more that minimise (mean square error) / 2 + penalty * (sum of weights).
 
-    ``gram`` holds mean products of the members and, last, the target. Coordinate descent
-    from ``start`` until no weight moves by ``tolerance``; otherwise an error.
+    ``gram`` holds mean products of the members and, last, the target. Members enter one by
+    one, those with a weight in ``start`` first, and leave where their weight reaches 0;
+    between, the weights of the entered ones are solved for. So members that are nearly or
+    wholly sums of others need no more steps than different ones: such a member takes
+    weight from the others until one of them leaves.
     """
-    x, y, w = gram[:-1, :-1], gram[:-1, -1], start.copy()
-    for _ in range(sweeps):
-        moved = 0.0
-        for j in range(len(w)):
-            new = max(0.0, (y[j] - x[j] @ w + x[j, j] * w[j] - penalty) / x[j, j]) if x[j, j] > 0 else 0.0
-            moved, w[j] = max(moved, abs(new - w[j])), new
-        if moved < tolerance:
-            return w
-    raise ValueError(f"no solution for penalty {penalty} within {sweeps} sweeps")
+    import numpy as np
+
+    size = np.sqrt(np.diag(gram)[:-1])
+    used = size > 0
+    unit = np.where(used, size, 1.0)
+    x, b = gram[:-1, :-1] / unit / unit[:, None], np.where(used, (gram[:-1, -1] - penalty) / unit, 0.0)
+    u, on, refused = np.zeros(len(b)), np.zeros(len(b), bool), np.zeros(len(b), bool)
+    enough = tolerance * max(1.0, np.abs(b).max(initial=0.0))
+    for _ in range(100 + 50 * len(b)):
+        slope = b - x @ u
+        waiting = used & ~on & ~refused & (slope > enough)
+        if not waiting.any():
+            break
+        waiting = waiting & (start > 0) if (waiting & (start > 0)).any() else waiting
+        j = int(np.argmax(np.where(waiting, slope, -np.inf)))
+        held = np.flatnonzero(on)
+        pull = np.linalg.solve(x[np.ix_(held, held)], x[held, j])
+        bend = x[j, j] - x[j, held] @ pull
+        step = slope[j] / bend if bend > 1e-11 else np.inf
+        out = held[pull > 0]
+        step = min(step, (u[out] / pull[pull > 0]).min(initial=np.inf))
+        if not 0 < step < np.inf:
+            refused[j] = True
+            continue
+        u[held] -= step * pull
+        u[j], on[j] = step, True
+        on &= u > 1e-14
+        while on.any():  # each turn settles the weights or drops a member
+            held = np.flatnonzero(on)
+            best = np.linalg.solve(x[np.ix_(held, held)], b[held])
+            if (best > 0).all():
+                u[held] = best
+                break
+            low = best <= 0
+            u[held] += (u[held][low] / (u[held][low] - best[low])).min() * (best - u[held])
+            on[held[low][np.argmin(u[held][low])]] = False
+            on &= u > 1e-14
+        u[~on] = 0.0
+        refused[:] = False
+    slope = b - x @ u
+    if (slope[used & ~refused] > 1e-6 * max(1.0, np.abs(b).max(initial=0.0))).any():
+        raise ValueError(f"no solution for penalty {penalty}")
+    return u / unit
 
 
 def stack_path(oof: DataFrame, members: Sequence[str], target: str, penalties: Sequence[float], fold: str = "fold") -> tuple[dict[str, float], float, DataFrame]:
