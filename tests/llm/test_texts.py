@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -319,6 +320,20 @@ def test_the_terms_learnt_from_are_bounded(spark):
     assert 3000 < few.selectExpr("sum(size(terms))").first()[0] <= 5000 and toxicity.bounded(learnt, 10**6).count() == 3000
 
 
+def test_a_machine_is_fitted_in_little_more_than_its_terms():
+    rng = np.random.default_rng(2)
+    n, per = 4000, 60
+    key = np.unique(np.repeat(np.arange(n), per) * toxicity.BUCKETS + rng.zipf(1.3, n * per) % 3000)
+    doc, bucket = (key // toxicity.BUCKETS).astype(np.int32), (key % toxicity.BUCKETS).astype(np.int32)
+    y = (rng.random(n) < 0.2).astype(int)
+    tracemalloc.start()
+    try:
+        toxicity.fit(bucket, doc, y)
+        assert tracemalloc.get_traced_memory()[1] < 45e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = random.Random(6)
     rows = [(k, prose(rng, 50) + (" You are scum, an idiot." if k % 5 == 0 else "")) for k in range(500)]

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ FITTED, FITTED_TERMS, TERMS, FACTORS = 20_000, 24_000_000, 4096, 8
 ROUNDS, RATE, DECAY = 160, 0.05, 2e-4
 # Terms alone are screened by deviations of their share (ALONE); pairs among the PAIRED most
 # frequent terms by deviations of their joint effect from the sum of both (TOGETHER).
-ALONE, PAIRED, TOGETHER, PAIR_TEXTS = 2.5, 2048, 6.0, 1 << 12
+ALONE, PAIRED, TOGETHER, PAIR_TEXTS, PAIR_ROWS = 2.5, 2048, 6.0, 1 << 11, 256
 LIMIT = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -67,9 +68,9 @@ class Machine:
     def parts(self, term: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(logits, sums of factors) of n texts; ``term`` are places, ``doc`` whose each is."""
         linear = np.bincount(doc, weights=self.weight[term], minlength=n)
-        v = self.factor[term]
-        sums = np.stack([np.bincount(doc, weights=v[:, k], minlength=n) for k in range(v.shape[1])], axis=1)
-        squares = np.bincount(doc, weights=(v * v).sum(axis=1), minlength=n)
+        # A factor at a time: no table of all terms of the texts and their factors is held.
+        sums = np.stack([np.bincount(doc, weights=v[term], minlength=n) for v in self.factor.T.copy()], axis=1)
+        squares = np.bincount(doc, weights=(self.factor * self.factor).sum(axis=1)[term], minlength=n)
         return self.bias[0] + linear + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
 
     def score(self, buckets: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
@@ -90,8 +91,9 @@ def paired(buckets: np.ndarray, doc: np.ndarray, toxic: np.ndarray, train: np.nd
     place = np.full(BUCKETS, -1, np.int64)
     place[asked] = np.arange(len(asked))
     k, known = len(asked), place[buckets] >= 0
-    column, row, which = place[buckets[known]], doc[known], np.flatnonzero(train)
-    both, both_toxic = np.zeros((k, k)), np.zeros((k, k))
+    column, row, which = place[buckets[known]].astype(np.int32), doc[known], np.flatnonzero(train)
+    # Whole counts of at most FITTED texts, so single precision holds them.
+    both, both_toxic = np.zeros((k, k), np.float32), np.zeros((k, k), np.float32)
     for at in range(0, len(which), PAIR_TEXTS):
         texts = which[at : at + PAIR_TEXTS]
         on = (row >= texts[0]) & (row <= texts[-1])
@@ -100,23 +102,27 @@ def paired(buckets: np.ndarray, doc: np.ndarray, toxic: np.ndarray, train: np.nd
         both += x.T @ x
         x = x[toxic[texts[0] : texts[-1] + 1]]
         both_toxic += x.T @ x
-    one, one_toxic = np.diag(both), np.diag(both_toxic)
+    one, one_toxic = np.diag(both).astype(float), np.diag(both_toxic).astype(float)
     n, n_toxic = max(1, len(which)), int(toxic[which].sum())
-    cells = [
-        (both, both_toxic),
-        (one[:, None] - both, one_toxic[:, None] - both_toxic),
-        (one[None] - both, one_toxic[None] - both_toxic),
-        (n - one[:, None] - one[None] + both, n_toxic - one_toxic[:, None] - one_toxic[None] + both_toxic),
-    ]
-    effect, variance = np.zeros((k, k)), np.zeros((k, k))
-    for sign, (held, bad) in zip((1, -1, -1, 1), cells, strict=True):
-        share = (bad + 0.5) / (held + 1)
-        effect += sign * share
-        variance += share * (1 - share) / np.maximum(held, 1)
-    enough = np.min([held for held, _ in cells], axis=0) >= 20
-    np.fill_diagonal(enough, False)
-    found = enough & (np.abs(effect) > TOGETHER * np.sqrt(variance))
-    return asked[found.any(axis=1)]
+    matters = np.zeros(k, bool)
+    for at in range(0, k, PAIR_ROWS):  # some rows of the pairs at a time
+        part = slice(at, at + PAIR_ROWS)
+        mine, mine_toxic = one[part, None], one_toxic[part, None]
+        cells = [
+            (both[part], both_toxic[part]),
+            (mine - both[part], mine_toxic - both_toxic[part]),
+            (one[None] - both[part], one_toxic[None] - both_toxic[part]),
+            (n - mine - one[None] + both[part], n_toxic - mine_toxic - one_toxic[None] + both_toxic[part]),
+        ]
+        effect, variance = np.zeros(both[part].shape), np.zeros(both[part].shape)
+        for sign, (held, bad) in zip((1, -1, -1, 1), cells, strict=True):
+            share = (bad + 0.5) / (held + 1)
+            effect += sign * share
+            variance += share * (1 - share) / np.maximum(held, 1)
+        enough = np.min([held for held, _ in cells], axis=0) >= 20
+        enough[np.arange(len(enough)), np.arange(at, at + len(enough))] = False
+        matters[part] = (enough & (np.abs(effect) > TOGETHER * np.sqrt(variance))).any(axis=1)
+    return asked[matters]
 
 
 def fit(buckets: np.ndarray, doc: np.ndarray, y: np.ndarray, seed: int = 13) -> Machine:
@@ -146,7 +152,8 @@ def fit(buckets: np.ndarray, doc: np.ndarray, y: np.ndarray, seed: int = 13) ->
     share = np.clip(pos.sum() / max(1, train.sum()), 1e-3, 1 - 1e-3)
     machine = Machine(number, np.array([np.log(share / (1 - share))]), np.zeros(m), rng.normal(0, 0.05, (m, FACTORS)))
     term = number[buckets]
-    term, doc = term[term >= 0], doc[term >= 0]
+    held = term >= 0
+    term, doc = term[held].astype(np.int32), doc[held].astype(np.int32)
     fitted = train[doc]
     ft, fd = term[fitted], doc[fitted]
     adam, best, waited = Adam([machine.bias, machine.weight, machine.factor], RATE), (np.inf, None), 0
@@ -155,8 +162,7 @@ def fit(buckets: np.ndarray, doc: np.ndarray, y: np.ndarray, seed: int = 13) ->
         d = np.where(train, sigmoid(logit) - y, 0) / max(1, train.sum())
         own = d[fd]
         gw = np.bincount(ft, weights=own, minlength=m)
-        pull = own[:, None] * (sums[fd] - machine.factor[ft])
-        gv = np.stack([np.bincount(ft, weights=pull[:, k], minlength=m) for k in range(FACTORS)], axis=1)
+        gv = np.stack([np.bincount(ft, weights=own * (sums[:, k][fd] - machine.factor[:, k][ft]), minlength=m) for k in range(FACTORS)], axis=1)
         adam.step([np.array([d.sum()]), gw + DECAY * machine.weight, gv + DECAY * machine.factor])
         loss = log_loss(y[test], machine.parts(term, doc, n)[0][test]) if test.any() else 0.0
         waited += 1
@@ -205,9 +211,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, fi
     learnt = written(sample(texts.mapInArrow(listed, "doc_id long, terms array<int>"), known, "terms"), "terms")
     learnt = bounded(learnt, fitted_terms).orderBy("doc_id").toArrow()
     held = learnt.column("terms").combine_chunks()
-    sizes = np.array([len(x) for x in held.to_pylist()], np.int64) if learnt.num_rows else np.zeros(0, np.int64)
-    bucket = held.flatten().to_numpy(zero_copy_only=False).astype(np.int64) if learnt.num_rows else np.zeros(0, np.int64)
-    machine = spark.sparkContext.broadcast(fit(bucket, np.repeat(np.arange(len(sizes)), sizes), learnt.column("label").to_numpy()))
+    sizes = pc.list_value_length(held).to_numpy(zero_copy_only=False)
+    bucket, label = held.flatten().to_numpy(zero_copy_only=False), learnt.column("label").to_numpy()
+    machine = spark.sparkContext.broadcast(fit(bucket, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), label))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
