@@ -221,6 +221,20 @@ def test_neighbours_over_all_predictors_equal_brute_force(spark, monkeypatch, se
             assert got[d["key"]][target] == (pytest.approx(want) if target == "y" else want)
 
 
+def test_a_row_meets_few_of_a_cells_donors(monkeypatch):
+    rng = np.random.default_rng(1)
+    codes = rng.integers(0, 4, (4200, 2)).astype(float)
+    every = np.column_stack([rng.random((4200, 3)).round(2), codes])
+    x, donors, reach = every[:200], every[200:], np.ones(3)
+    whole = neighbours.distances(x, donors, 3, reach)
+    met, plain = [], neighbours.distances
+    monkeypatch.setattr(neighbours, "distances", lambda a, b, *rest: met.append(len(a) * len(b)) or plain(a, b, *rest))
+    row, donor, far = neighbours.nearest(x, np.full(200, np.inf), donors, 3, reach, 5)
+    want = np.argsort(whole, axis=1, kind="stable")[:, :5]
+    assert (donor.reshape(200, 5) == want).all() and (far.reshape(200, 5) == np.take_along_axis(whole, want, 1)).all()
+    assert sum(met) < 0.25 * whole.size
+
+
 def test_neighbours_without_donors_or_rows(spark):
     df = spark.createDataFrame([(1, None, 2.0), (2, None, None)], "key long, y double, n double")
     model = neighbours.fit(df, "key", "y", ["n"], [], 3)

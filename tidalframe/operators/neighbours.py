@@ -5,7 +5,9 @@ Distance is Gower's: the mean over the predictors of |a - b| / range for a numbe
 sample of them; a cell's box (smallest and largest number, set of categories) bounds the
 distance of any row from all its donors. A row first looks at the cell nearest to it; its
 k-th distance there then says which other cells can still hold a neighbour, and only
-those are looked at. So neighbours are exact, whatever the tree.
+those are looked at. Within a cell the same is done with leaves of a tree of all its
+donors, so that a row meets few donors however many a cell holds. So neighbours are exact,
+whatever the trees.
 
 Rows of one profile are looked up once, and of the donors of one profile only the k with
 the smallest keys can be chosen and are kept.
@@ -13,6 +15,7 @@ the smallest keys can be chosen and are kept.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -31,6 +34,8 @@ from tidalframe.session import cut_lineage
 
 # Donors the tree is grown on at most, and cells of it at most; donors a cell should hold.
 SAMPLE, CELLS, CELL_ROWS = 50_000, 1024, 256
+# Donors of a leaf of a cell's own tree, about.
+LEAF_ROWS = 64
 # Rows whose distances from a cell's donors are computed at once.
 BLOCK = 2_000_000
 # Rows of one cell that are searched in one task.
@@ -40,7 +45,7 @@ SLACK = 1e-9
 
 @dataclass
 class Tree:
-    """Splits in heap order: feature, and cut (numbers) or level (categories: equal goes left); -1 ends."""
+    """Splits: feature, -1 at the end of a branch, and cut; values and codes up to the cut go left."""
 
     feature: list[int] = field(default_factory=list)
     cut: list[float] = field(default_factory=list)
@@ -53,7 +58,7 @@ class Tree:
             held.append(value)
         return len(self.feature) - 1
 
-    def place(self, x: np.ndarray, n_numbers: int) -> np.ndarray:
+    def place(self, x: np.ndarray) -> np.ndarray:
         """The cell of each row."""
         feature, cut, left, right, cell = (np.array(v) for v in (self.feature, self.cut, self.left, self.right, self.cell))
         at = np.zeros(len(x), np.int64)
@@ -61,51 +66,111 @@ class Tree:
             inner = np.flatnonzero(feature[at] >= 0)
             if not len(inner):
                 return cell[at]
-            f, value = feature[at[inner]], x[inner, feature[at[inner]]]
-            goes = np.where(f < n_numbers, value <= cut[at[inner]], value == cut[at[inner]])
+            goes = x[inner, feature[at[inner]]] <= cut[at[inner]]
             at[inner] = np.where(goes, left[at[inner]], right[at[inner]])
 
 
 def grown(x: np.ndarray, n_numbers: int, reach: np.ndarray, cells: int) -> Tree:
-    """A tree of at most ``cells`` leaves: the largest leaf is split next, where that tells rows apart best."""
+    """A tree of at most ``cells`` leaves: the largest leaf is split next, where that parts rows farthest.
+
+    A row on one side of a number's cut lies a quarter of the range from the other side on
+    average; a row of one half of the levels lies a whole step from the other half.
+    """
     tree, ready = Tree(), []
     root = tree.add()
-    ready.append((len(x), root, np.arange(len(x))))
+    heapq.heappush(ready, (-len(x), root, np.arange(len(x))))
     leaves = 1
     done: list[int] = []
     while ready:
-        ready.sort(key=lambda r: r[0])
-        _, node, rows = ready.pop()
+        _, node, rows = heapq.heappop(ready)
         best = (0.0, -1, 0.0)
         for f in range(x.shape[1]) if leaves < cells else ():
-            v = x[rows, f]
-            if f < n_numbers:
-                low, high = np.quantile(v, [0.05, 0.95]) if len(v) > 20 else (v.min(), v.max())
-                middle = float(np.median(v))
-                middle = middle if middle < v.max() else float(v[v < v.max()].max()) if v.min() < v.max() else middle
-                gain = (high - low) / reach[f] if reach[f] > 0 and v.min() < v.max() else 0.0
-            else:
-                levels, counts = np.unique(v, return_counts=True)
-                middle, share = levels[counts.argmax()], counts.max() / len(v)
-                gain = 2 * min(share, 1 - share)
+            v = np.sort(x[rows, f])
+            if v[0] == v[-1] or f < n_numbers and not reach[f] > 0:
+                continue
+            # The cut between different values that is nearest to the middle.
+            middle = v[(len(v) - 1) // 2]
+            after = int(np.searchsorted(v, middle, side="right"))
+            before = int(np.searchsorted(v, middle, side="left"))
+            after = after if before == 0 or after < len(v) and after - len(v) / 2 <= len(v) / 2 - before else before
+            share = after / len(v)
+            low, high = v[len(v) // 20], v[-1 - len(v) // 20]
+            gain = (high - low) / reach[f] / 4 if f < n_numbers and high > low else 2 * share * (1 - share) * (1.0 if f >= n_numbers else 1e-3)
             if gain > best[0]:
-                best = (float(gain), f, float(middle))
+                best = (float(gain), f, float(v[after - 1]))
         if best[1] < 0:
             done.append(node)
             continue
-        value = x[rows, best[1]]
-        goes = value <= best[2] if best[1] < n_numbers else value == best[2]
+        goes = x[rows, best[1]] <= best[2]
         tree.feature[node], tree.cut[node] = best[1], best[2]
         for side, mine in (("left", goes), ("right", ~goes)):
             child = tree.add()
             getattr(tree, side)[node] = child
-            ready.append((int(mine.sum()), child, rows[mine]))
+            heapq.heappush(ready, (-int(mine.sum()), child, rows[mine]))
         leaves += 1
     for k, node in enumerate(done):
         tree.cell[node] = k
     return tree
 
 
+def boxed(x: np.ndarray, n_numbers: int, order: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(smallest numbers, largest numbers, bits of the codes) of each run of the rows in that order; see ``bounds``."""
+    held = x[order]
+    bits = np.uint64(1) << (held[:, n_numbers:].astype(np.int64) % 64).astype(np.uint64)
+    numbers = held[:, :n_numbers]
+    return np.minimum.reduceat(numbers, starts), np.maximum.reduceat(numbers, starts), np.bitwise_or.reduceat(bits, starts)
+
+
+def nearest(x: np.ndarray, far: np.ndarray, donors: np.ndarray, n_numbers: int, reach: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, donor, distance): for each row the k nearest donors, the earlier first at one distance, none beyond ``far``.
+
+    A row first meets the leaf that may hold the nearest donor, then each leaf that may
+    hold one within its k-th distance so far. Where a number is NaN, all are compared.
+    """
+    asked = [f for f in range(n_numbers) if reach[f] > 0]
+    if np.isnan(x[:, asked]).any() or np.isnan(donors[:, asked]).any():
+        rows, step = [], max(1, BLOCK // len(donors))
+        for at in range(0, len(x), step):
+            d = distances(x[at : at + step], donors, n_numbers, reach)
+            own = np.argsort(d, axis=1, kind="stable")[:, :k]
+            rows.append((at + np.repeat(np.arange(len(d)), own.shape[1]), own.ravel(), np.take_along_axis(d, own, 1).ravel()))
+        return tuple(np.concatenate(c) for c in zip(*rows, strict=True))
+    tree = grown(donors, n_numbers, reach, max(1, len(donors) // LEAF_ROWS))
+    leaf = tree.place(donors)
+    order = np.argsort(leaf, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(leaf[order]) > 0]))
+    ends = np.append(starts[1:], len(order))
+    box = boxed(donors, n_numbers, order, starts)
+    best, who = np.full((len(x), k), np.inf), np.full((len(x), k), len(donors), np.int64)
+    least = bounds(x, *box, reach)
+
+    def meet(rows: np.ndarray, n: int) -> None:
+        own = order[starts[n] : ends[n]]
+        for at in range(0, len(rows), max(1, BLOCK // len(own))):
+            part = rows[at : at + max(1, BLOCK // len(own))]
+            d = distances(x[part], donors[own], n_numbers, reach)
+            hit = (d <= np.minimum(best[part, -1], far[part])[:, None]).any(1)
+            part, d = part[hit], d[hit]
+            if not len(part):
+                continue
+            every = np.concatenate([best[part], np.where(d <= far[part, None], d, np.inf)], 1)
+            names = np.concatenate([who[part], np.where(d <= far[part, None], own, len(donors))], 1)
+            chosen = np.lexsort((names, every))[:, :k]
+            best[part], who[part] = np.take_along_axis(every, chosen, 1), np.take_along_axis(names, chosen, 1)
+
+    first = least.argmin(1)
+    turn = np.argsort(first, kind="stable")
+    for rows in np.split(turn, np.flatnonzero(np.diff(first[turn])) + 1):
+        meet(rows, first[rows[0]])
+    least[np.arange(len(x)), first] = np.inf
+    for n in range(len(starts)):
+        rows = np.flatnonzero((least[:, n] <= np.minimum(best[:, -1], far) + SLACK) & (least[:, n] < np.inf))
+        if len(rows):
+            meet(rows, n)
+    row, place = np.nonzero(who < len(donors))
+    return row, who[row, place], best[row, place]
+
+
 def bounds(x: np.ndarray, low: np.ndarray, high: np.ndarray, seen: np.ndarray, reach: np.ndarray) -> np.ndarray:
     """Least distance of each row from any donor of each cell (rows x cells).
 
@@ -191,7 +256,7 @@ def fit(train: DataFrame, key: str, target: str, numbers: Sequence[str], categor
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell = tree.place(matrix(batch.column("_x"), width), n_numbers)
+            cell = tree.place(matrix(batch.column("_x"), width))
             yield batch.append_column("_cell", pa.array(cell.astype(np.int32)))
 
     placed = cut_lineage(donors.mapInArrow(place, T.StructType([*donors.schema.fields, T.StructField("_cell", T.IntegerType())])))
@@ -244,15 +309,15 @@ def ranked(model: Neighbours, df: DataFrame, k: int | None = None) -> DataFrame:
         donors = right.sort_by("_key")
         x = matrix(donors.column("_x"), width)
         rows, far, chosen = [], [], []
-        step = max(1, BLOCK // max(1, len(x)))
+        step = max(1, BLOCK // max(1, len(x) // LEAF_ROWS))
         for at in range(0, left.num_rows if len(x) else 0, step):
-            part = matrix(left.slice(at, step).column("_x"), width)
-            d = distances(part, x, n_numbers, reach)
-            # The k nearest, ties to the smaller key: a stable order of donors sorted by key.
-            order = np.argsort(d, axis=1, kind="stable")[:, :k]
-            rows.append(np.repeat(np.arange(at, at + len(part)), order.shape[1]))
-            chosen.append(order.ravel())
-            far.append(np.take_along_axis(d, order, 1).ravel())
+            part = left.slice(at, step)
+            within = pd.Series(part.column("_far").to_numpy()).fillna(np.inf).to_numpy(float)
+            # Donors are sorted by key: the earlier of two at one distance has the smaller key.
+            row, donor, d = nearest(matrix(part.column("_x"), width), within, x, n_numbers, reach, k)
+            rows.append(at + row)
+            chosen.append(donor)
+            far.append(d)
         if not rows:
             return pa.Table.from_arrays([left.column("_x").slice(0, 0), pa.array([], pa.float64()), donors.column("_key").slice(0, 0), donors.column("_value").slice(0, 0)], names=found_schema.names)
         taken = donors.select(["_key", "_value"]).take(pa.array(np.concatenate(chosen)))
@@ -287,9 +352,10 @@ def with_filled(model: Neighbours, df: DataFrame, out: str, k: int | None = None
     numeric = isinstance(df.schema[model.target].dataType, T.NumericType)
     wanted = df.where(F.col(model.target).isNull())
     filled = ranked(model, wanted, k).groupBy("_x").agg((mean("value", scale) if numeric else F.mode("value", True)).alias("_filled"))
-    rows = by_group(profile(df, model.numbers, model.categories, model.means), filled, ["_x"], "left")
+    rows = by_group(profile(wanted, model.numbers, model.categories, model.means), filled, ["_x"], "left")
     own = F.col(model.target).cast("double") if numeric else F.col(model.target)
-    return rows.select(*df.columns, F.coalesce(own, F.col("_filled")).alias(out))
+    known = df.where(F.col(model.target).isNotNull()).select(*df.columns, own.alias(out))
+    return known.unionByName(rows.select(*df.columns, F.col("_filled").alias(out)))
 
 
 def impute(models: Sequence[Neighbours], df: DataFrame, k: int | None = None, scale: int | None = None) -> DataFrame:
