@@ -177,3 +177,13 @@ def test_many_values_are_cut_at_quantiles():
     bins, tops = seriestrees.binned(series, values, 16)
     assert bins[:1000].max() == 15 and np.bincount(bins[:1000]).max() <= 63 and (np.diff(bins[:1000]) >= 0).all()
     assert list(bins[1000:]) == list(range(10)) and tops[0, 15] == 999 and tops[1, 9] == 9
+
+
+def test_series_grown_side_by_side_are_bounded_by_their_histograms(monkeypatch):
+    rows = np.array([3] * 5000 + [900] + [2] * 4000)
+    spec = Spec(depth=3, bins=64)
+    parts = list(seriestrees.pieces(rows, 10, spec))
+    assert [a for a, _ in parts] == [0, *[b for _, b in parts[:-1]]] and parts[-1][1] == len(rows)
+    assert all((b - a) * 40 * min(64, rows[a:b].max()) <= seriestrees.HELD for a, b in parts) and len(parts) < 20
+    monkeypatch.setattr(seriestrees, "HELD", 10)
+    assert list(seriestrees.pieces(rows[:3], 10, spec)) == [(0, 1), (1, 2), (2, 3)] and not list(seriestrees.pieces(rows[:0], 10, spec))

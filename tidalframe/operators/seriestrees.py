@@ -1,8 +1,9 @@
 """Boosted trees, one small model per series and spec, many series at a time.
 
 Rows are dealt by series and sorted; a task reads them in runs of whole series, at most
-``RUN_ROWS`` rows or one longer series, and grows the trees of all series of a run side by
-side: one histogram over (series, node, feature, bin) a level. What a series gets depends
+``RUN_ROWS`` rows or one longer series, and grows the trees of as many series of a run side
+by side as ``HELD`` cells of a histogram over (series, node, feature, bin) allow, one at
+least. What a series gets depends
 on its own rows alone, not on the run. A series that cannot be fitted is a row with an
 error; it neither stops nor changes the others.
 
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 
 from tidalframe.operators.joins import by_group
 
-RUN_ROWS = 100_000
+RUN_ROWS, HELD = 100_000, 500_000
 
 TREE = T.StructType(
     [
@@ -149,6 +150,20 @@ def series_starts(column: pa.ChunkedArray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
 
 
+def pieces(rows: np.ndarray, n_features: int, spec: Spec) -> Iterator[tuple[int, int]]:
+    """(first series, the one after the last) of parts of a run whose series have so many rows each."""
+    cells = 2 ** max(spec.depth - 1, 0) * n_features
+    first, width = 0, 0
+    for k, n in enumerate(rows.tolist()):
+        own = max(width, min(n, spec.bins))
+        if k > first and (k + 1 - first) * cells * own > HELD:
+            yield first, k
+            first, own = k, min(n, spec.bins)
+        width = own
+    if len(rows):
+        yield first, len(rows)
+
+
 def fit(df: DataFrame, id: str, order: str, features: Sequence[str], target: str, specs: dict[str, Spec], least: int = 2) -> DataFrame:
     """(id, model_desc, n, base, trees, error): a model for each series and spec, or why there is none.
 
@@ -194,16 +209,19 @@ def fit(df: DataFrame, id: str, order: str, features: Sequence[str], target: str
             series = np.repeat(np.arange(n_series), np.diff(np.append(starts, whole.num_rows)))
             x = np.stack([whole.column(f).to_numpy().astype(float) for f in features], 1)
             y = whole.column(target).to_numpy().astype(float)
-            for name, spec in specs.items():
+            ends = np.append(starts, whole.num_rows)
+            turns = [(name, spec, a, b) for name, spec in specs.items() for a, b in pieces(np.diff(ends), len(features), spec)]
+            for name, spec, a, b in turns:
+                part = slice(ends[a], ends[b])
                 try:
-                    yield from models(ids, series, x, y, n_series, name, spec).to_batches()
+                    yield from models(ids.slice(a, b - a), series[part] - a, x[part], y[part], b - a, name, spec).to_batches()
                 except Exception:  # find the series that fails; the others keep their models
-                    for k in range(n_series):
-                        mine = series == k
+                    for k in range(a, b):
+                        mine = slice(ends[k], ends[k + 1])
                         try:
-                            yield from models(ids.slice(k, 1), np.zeros(mine.sum(), int), x[mine], y[mine], 1, name, spec).to_batches()
+                            yield from models(ids.slice(k, 1), np.zeros(ends[k + 1] - ends[k], int), x[mine], y[mine], 1, name, spec).to_batches()
                         except Exception as err:
-                            yield from pa.table([ids.slice(k, 1), [name], [int(mine.sum())], pa.nulls(1, pa.float64()), pa.nulls(1, arrow.field("trees").type), [f"{type(err).__name__}: {err}"]], schema=arrow).to_batches()
+                            yield from pa.table([ids.slice(k, 1), [name], [int(ends[k + 1] - ends[k])], pa.nulls(1, pa.float64()), pa.nulls(1, arrow.field("trees").type), [f"{type(err).__name__}: {err}"]], schema=arrow).to_batches()
 
     numbers = [F.col(c).cast("double").alias(c) for c in (*features, target)]
     dealt = df.select(id, F.col(order).alias("_order"), *numbers).repartition(id).sortWithinPartitions(id, "_order").drop("_order")
