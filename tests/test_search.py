@@ -10,8 +10,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidalframe.operators import aggregates, metrics, models, tuning, tweedieboost
+from tidalframe.operators import aggregates, metrics, models, ordered, tuning, tweedieboost
 from tidalframe.operators.models import Design
+from tidalframe.session import cut_by
 
 
 @pytest.fixture(scope="module")
@@ -179,6 +180,25 @@ def test_a_dealt_column_is_a_permutation_and_tells_what_matters(rows):
     assert found["x"] > found["z"] > 0.05 and found["c"] > 0.05 and abs(found["spend"]) < 1e-12
 
 
+def test_dealing_anew_moves_only_what_the_model_and_the_error_need(rows, monkeypatch):
+    model = models.fit(Design("y", ("x", "z"), ("c",)), models.linear(), rows)
+    assert models.inputs(model, ["k", "x", "z", "c", "spend"]) == ["x", "z", "c"]
+    written, plain = [], ordered.cut_lineage
+    monkeypatch.setattr(ordered, "cut_lineage", lambda df: written.append(set(df.columns)) or plain(df))
+    models.permutation_importance(model, rows, ["k"], ["x"], "y", metrics.rmse).collect()
+    assert written == [{"_s_x", "_at"}, {"x", "z", "c", "y", "_at"}]
+
+
+def test_folds_are_read_by_folder(spark, rows):
+    folded = rows.withColumn("fold", F.when(F.col("k") % 7 != 3, F.col("k") % 3).cast("int"))
+    kept = cut_by(folded, "fold")
+    assert kept.columns == folded.columns and sorted(map(str, kept.collect())) == sorted(map(str, folded.collect()))
+    design = Design("y", ("x", "z"), ("c",))
+    ready = tuning.prepared_folds(folded.where("fold IS NOT NULL"), [design], ["k"], 3)
+    assert all("PartitionFilters: [isnotnull(fold" in part._jdf.queryExecution().toString() for part in ready[design, 1])
+    assert [part.select("fold").distinct().count() for part in ready[design, 1]] == [2, 1]
+
+
 def test_correlation_of_many_columns(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(80, 30)) * np.logspace(-3, 6, 30) + 1e6

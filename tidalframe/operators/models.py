@@ -222,34 +222,43 @@ def learning_curve(model: PipelineModel, rows: dict[str, DataFrame], loss: str =
     return spark.createDataFrame(found, "rows string, trees int, error double")
 
 
-def shuffled(df: DataFrame, key: Sequence[str], cols: Sequence[str], seed: int = 1) -> DataFrame:
-    """The rows with each column of ``cols`` as _s_<name> too, dealt anew over all rows.
+def shuffled(df: DataFrame, key: Sequence[str], cols: Sequence[str], seed: int = 1, keep: Sequence[str] | None = None) -> DataFrame:
+    """The rows, or their columns ``keep``, with each column of ``cols`` as _s_<name> too, dealt anew over all rows.
 
     One and the same random order serves all columns: the row at place i by key takes the
     values of the row at place i by a hash of the key. Both orders are numbered by ranges,
     so no task and no driver holds a column. Keys must be unique.
     """
     name = F.concat_ws("-", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
-    rows = cut_lineage(df.withColumn("_name", name).withColumn("_drawn", F.md5(F.concat(F.col("_name"), F.lit(f"#{seed}")))))
-    given = row_index(rows.select("_drawn", *cols), "_drawn", "_place")
-    taking = row_index(rows, "_name", "_place")
-    values = given.select("_place", *[F.col(c).alias(f"_s_{c}") for c in cols])
-    return taking.join(values, "_place").drop("_place", "_name", "_drawn")
+    rows = cut_lineage(df)
+    drawn = rows.select(F.unhex(F.md5(F.concat(name, F.lit(f"#{seed}")))).alias("_drawn"), *[F.col(c).alias(f"_s_{c}") for c in cols])
+    given = row_index(drawn, "_drawn", "_place", keep=False)
+    taking = row_index(rows.select(name.alias("_name"), *[c for c in df.columns if keep is None or c in keep]), "_name", "_place", keep=False)
+    return taking.join(given, "_place").drop("_place")
+
+
+def inputs(model: PipelineModel, columns: Sequence[str]) -> list[str]:
+    """Those of the columns that a parameter of one of the model's stages names."""
+    named = set()
+    for value in (v for stage in model.stages for v in stage.extractParamMap().values()):
+        named |= {value} if isinstance(value, str) else {v for v in value if isinstance(v, str)} if isinstance(value, (list, tuple)) else set()
+    return [c for c in columns if c in named]
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, key: Sequence[str], predictors: Sequence[str], target: str, error, seed: int = 1) -> DataFrame:
     """(feature, error, importance): how much the error of any fitted model grows when one predictor is dealt anew.
 
     ``error`` is an aggregate of the target and the prediction, such as ``metrics.rmse``.
+    The rows are read once: each is scored as it is and with each predictor dealt anew.
     """
-    rows = cut_lineage(shuffled(df, key, predictors, seed))
-    base = predict(model, rows, [target]).agg(error(target, "prediction").alias("e")).first()[0]
-    out = None
-    for c in predictors:
-        scored = predict(model, rows.withColumn(c, F.col(f"_s_{c}")), [target])
-        part = scored.agg(F.lit(c).alias("feature"), error(target, "prediction").alias("error"))
-        out = part if out is None else out.unionByName(part)
-    return out.withColumn("importance", F.col("error") - F.lit(base))
+    needed = list(dict.fromkeys([*inputs(model, df.columns), target, *predictors]))
+    rows = shuffled(df.select(*dict.fromkeys([*key, *needed])), key, predictors, seed, needed)
+    ways = [F.struct(F.lit(k).alias("_way"), *[F.col(f"_s_{c}" if j == k else c).alias(c) for j, c in enumerate(predictors)]) for k in range(-1, len(predictors))]
+    every = rows.select(*[c for c in needed if c not in predictors], F.inline(F.array(*ways)))
+    errors = {r["_way"]: r["e"] for r in predict(model, every, ["_way", target]).groupBy("_way").agg(error(target, "prediction").alias("e")).collect()}
+    base = errors.get(-1)
+    out = [(c, errors.get(k), None if base is None or errors.get(k) is None else errors[k] - base) for k, c in enumerate(predictors)]
+    return df.sparkSession.createDataFrame(out, "feature string, error double, importance double")
 
 
 def importance(model: PipelineModel, scored: DataFrame, spark: SparkSession) -> DataFrame:

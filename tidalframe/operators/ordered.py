@@ -80,8 +80,8 @@ def running_totals(
     )
 
 
-def row_index(df: DataFrame, order: str, out: str = "row_id") -> DataFrame:
-    """Dense 1..n over a unique column of any type that can be ordered.
+def row_index(df: DataFrame, order: str, out: str = "row_id", keep: bool = True) -> DataFrame:
+    """Dense 1..n over a unique column of any type that can be ordered; without ``keep`` that column is left out.
 
     The rows are dealt out by ranges of the column, put in order and written down with
     their place in their range, in one shuffle; counts per range give each its offset.
@@ -89,12 +89,13 @@ def row_index(df: DataFrame, order: str, out: str = "row_id") -> DataFrame:
     parts = parallelism(df.sparkSession, df.select(order).count())
     # The number's high bits are the range, its low ones the place in it.
     placed = df.repartitionByRange(parts, order).sortWithinPartitions(order).withColumn("_at", F.monotonically_increasing_id())
-    placed = cut_lineage(placed).withColumn(BUCKET, F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    columns = [c for c in df.columns if keep or c != order]
+    placed = cut_lineage(placed.select(*columns, "_at")).withColumn(BUCKET, F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
     earlier = Window.partitionBy(F.lit(0)).orderBy("_bucket_").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy(F.col(BUCKET).alias("_bucket_")).agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_bucket_", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     numbered = placed.join(offsets, F.col(BUCKET) == F.col("_bucket_"))
-    return numbered.select((F.col("_before") + F.col("_at") + 1).alias(out), *df.columns)
+    return numbered.select((F.col("_before") + F.col("_at") + 1).alias(out), *columns)
 
 
 def counted(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
