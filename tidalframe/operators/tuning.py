@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 from tidalframe.functions.quantiles import t_quantile
 from tidalframe.operators import models
 from tidalframe.operators.models import Design
-from tidalframe.session import cut_lineage
+from tidalframe.session import cut_by, cut_lineage
 
 Candidate = tuple[str, Design, Estimator]
 
@@ -56,9 +56,9 @@ def out_of_fold(
 
     def run(task):
         (name, design, learner), i = task
-        ready = prepared[design, i].transform(table(i))
-        model = models.aimed(design, learner).fit(ready.where(F.col("fold") != i))
-        held = models.tidy(model.transform(ready.where(F.col("fold") == i)), [*keep, "fold"])
+        ready = prepared[design, i].transform  # of chosen rows: a filter does not pass the stages
+        model = models.aimed(design, learner).fit(ready(table(i).where(F.col("fold") != i)))
+        held = models.tidy(model.transform(ready(table(i).where(F.col("fold") == i))), [*keep, "fold"])
         return held.select(F.lit(name).alias("candidate"), "*")
 
     with ThreadPool(parallel) as pool:
@@ -181,12 +181,16 @@ def behind(scores: dict[str, Sequence[float]], level: float = 0.95) -> set[str]:
 
 
 def prepared_folds(df: DataFrame, designs: Sequence[Design], keep: Sequence[str], folds: int) -> dict:
-    """For each design and fold the rows with features learnt on the other folds, written once for all learners."""
-    out = {}
+    """For each design and fold the rows of the other folds and its own, with features learnt on the others.
+
+    The rows are written once, by fold: a fit reads the other folds, a score its own.
+    """
+    rows, out = cut_by(df, "fold"), {}
     for design, i in product(dict.fromkeys(designs), range(folds)):
-        ready = Pipeline(stages=models.stages(design)).fit(df.where(F.col("fold") != i)).transform(df)
+        others, own = rows.where(F.col("fold") != i), rows.where(F.col("fold") == i)
+        ready = Pipeline(stages=models.stages(design)).fit(others)
         columns = list(dict.fromkeys([*keep, design.target, "fold"]))
-        out[design, i] = cut_lineage(ready.select(*columns, "features"))
+        out[design, i] = tuple(ready.transform(part).select(*columns, "features") for part in (others, own))
     return out
 
 
@@ -221,9 +225,9 @@ def race_learners(
         spark.sparkContext.addJobTag(tag)
         try:
             design, learner = held[name]
-            rows = ready[design, i]
-            model = models.aimed(design, learner).fit(rows.where(F.col("fold") != i))
-            scored = models.tidy(model.transform(rows.where(F.col("fold") == i)), [*keep, "fold"])
+            others, own = ready[design, i]
+            model = models.aimed(design, learner).fit(others)
+            scored = models.tidy(model.transform(own), [*keep, "fold"])
             return float(error(scored).first()[0])
         except Exception:
             if name in left:  # ended on purpose

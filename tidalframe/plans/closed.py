@@ -16,6 +16,7 @@ from tidalframe.plans.customers import RFM as RFM_SQL
 from tidalframe.plans.customers import rfm_table
 from tidalframe.plans.inputs import kept, labelled, nation_monthly
 from tidalframe.plans.registry import query
+from tidalframe.session import cut_by
 from tidalframe.sources.tables import table
 
 LINE = Design("l_extendedprice", ("l_quantity",))
@@ -97,7 +98,7 @@ SUMMED = "round(avg(rmse), 4) AS mean, count(*) AS n, round(stddev_samp(rmse) /
 
 def fold_errors(spark: SparkSession, root: str, candidates) -> DataFrame:
     """Summary of the root mean square error of candidates over folds by key."""
-    rows = kept(lines(spark, root).withColumn("fold", (F.col("l_orderkey") % FOLDS).cast("int")))
+    rows = cut_by(lines(spark, root).withColumn("fold", (F.col("l_orderkey") % FOLDS).cast("int")), "fold")
     oof = tuning.out_of_fold(rows, candidates, ["l_orderkey", "l_extendedprice"], FOLDS)
     per_fold = oof.groupBy("candidate", "fold").agg(metrics.rmse("l_extendedprice", "prediction").alias("rmse"))
     return tuning.summarise_folds(per_fold, "rmse").withColumns({c: F.round(c, 4) for c in ("mean", "std_err")})

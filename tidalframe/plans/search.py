@@ -51,7 +51,7 @@ SELECT candidate, CAST(n_folds AS INT) AS n_folds, round(avg(rmse), 1) AS mean,
 )
 def tun_race_anova(spark: SparkSession, root: str) -> DataFrame:
     """Elastic nets raced over five folds: after three folds those clearly behind leave, by analysis of variance."""
-    rows = kept(lines(spark, root).withColumn("fold", (F.col("l_orderkey") % FOLDS).cast("int")))
+    rows = lines(spark, root).withColumn("fold", (F.col("l_orderkey") % FOLDS).cast("int"))
     learners = [(f"penalty {p}", LINE, models.elastic_net(p, 0.5)) for p in RACED]
     error = lambda scored: scored.agg(metrics.rmse("l_extendedprice", "prediction"))
     race, _ = tuning.race_learners(rows, learners, ["l_extendedprice"], FOLDS, error)
