@@ -389,3 +389,13 @@ def test_classifiers_of_odd_rows(spark, score, odd, odd_rows, nothing):
 def test_labels_of_a_document_are_one(spark):
     rows = learning.known_labels(labelled(spark, [(1, 0, None), (1, 1, 1), (None, 1, 1), (2, None, 0)]), "quality").collect()
     assert [tuple(r) for r in rows] == [(1, 0)]
+
+
+def test_a_network_scores_a_row_alike_beside_any_others():
+    rng = np.random.default_rng(2)
+    layers = [rng.normal(size=(quality.VECTOR, quality.HIDDEN)), rng.normal(size=quality.HIDDEN), rng.normal(size=quality.HIDDEN), rng.normal(size=1)]
+    net, x = quality.Network(np.zeros(quality.VECTOR), np.ones(quality.VECTOR), layers), rng.normal(size=(301, quality.VECTOR))
+    every = net.logit(x)
+    for n in (1, 2, 3, 5, 8, 100):
+        for at in range(0, 301, n):
+            assert (net.logit(x[at : at + n]) == every[at : at + n]).all()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -167,6 +168,19 @@ def test_search_beats_best_fit_where_that_is_not_best():
     assert sum(n for _, n in packing.solve(counts, 100)) <= plain
 
 
+def test_search_holds_one_count_of_pieces():
+    rng = random.Random(4)
+    counts = np.zeros(2049, np.int64)
+    for _ in range(6000):
+        counts[min(2048, int(rng.lognormvariate(5.5, 0.8)) + 1)] += 1
+    tracemalloc.start()
+    found = packing.complete(counts, 2048, 10**9, packing.lower_bound(counts, 2048) - 1, 300, 6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6e6  # 300 nodes with a count of each length were 25 MB
+    assert found is None or Counter(x for items, n in found for x in items * n) == {x: int(n) for x, n in enumerate(counts) if n}
+
+
 @pytest.mark.parametrize("n", [0, 1, 64, 65, 3000])
 def test_wavelet_matrix(n):
     rng = np.random.default_rng(n)

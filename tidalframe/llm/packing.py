@@ -164,12 +164,12 @@ def fullest_first(counts: np.ndarray, capacity: int, halves: bool) -> list[Patte
     return out
 
 
-def all_fillings(counts: np.ndarray, room: int) -> Iterator[tuple[int, ...] | None]:
+def all_fillings(counts: np.ndarray, have: list[int], room: int) -> Iterator[tuple[int, ...] | None]:
     """Every undominated filling of ``room``, one after another, and None for each step that gives none.
 
-    Complete and dominated are meant as in ``fillings``.
+    ``have`` lists the lengths at hand, in order. Complete and dominated are meant as in
+    ``fillings``. ``counts`` must be the same at every step.
     """
-    have = [int(x) for x in np.flatnonzero(counts[: room + 1]) if x]
 
     def grow(left: int, upto: int, items: Counter) -> Iterator[tuple[int, ...] | None]:
         for at in range(min(upto, bisect_right(have, left)) - 1, -1, -1):
@@ -179,7 +179,33 @@ def all_fillings(counts: np.ndarray, room: int) -> Iterator[tuple[int, ...] | No
         larger = (y for x in (0, *items) for y in have[bisect_right(have, x) : bisect_right(have, x + left)])
         yield None if any(counts[y] > items[y] for y in larger) else tuple(sorted(items.elements(), reverse=True))
 
-    return grow(room, len(have), Counter())
+    return grow(room, bisect_right(have, room), Counter())
+
+
+Repeated = tuple[tuple[tuple[int, int], ...], int]  # (length, how many of it) in one sequence, number of such sequences
+
+
+class Path:
+    """Sequences chosen one after another, and the pieces that they leave: one array, whatever the depth."""
+
+    def __init__(self, counts: np.ndarray):
+        self.left, self.chosen = counts.copy(), []
+
+    def add(self, pattern: Repeated) -> None:
+        self.chosen.append(pattern)
+        for x, m in pattern[0]:
+            self.left[x] -= m * pattern[1]
+
+    def cut(self, depth: int) -> None:
+        """Back to the first ``depth`` choices."""
+        while len(self.chosen) > depth:
+            items, times = self.chosen.pop()
+            for x, m in items:
+                self.left[x] += m * times
+
+
+def written_out(patterns: list[Repeated]) -> list[Pattern]:
+    return [(tuple(x for x, m in items for _ in range(m)), times) for items, times in patterns]
 
 
 def complete_all(counts: np.ndarray, capacity: int, incumbent: int, target: int, nodes: int) -> list[Pattern] | None:
@@ -188,46 +214,50 @@ def complete_all(counts: np.ndarray, capacity: int, incumbent: int, target: int,
     A sequence is repeated as often as its pieces last, and else used once before the next
     is chosen. Every step of an enumeration counts as a node.
     """
-
-    def options(left: np.ndarray) -> Iterator[tuple[Counter, int] | None]:
-        largest, rest = int(np.flatnonzero(left)[-1]), left.copy()
-        rest[largest] -= 1
-        for filling in all_fillings(rest, capacity - largest):
+    path, have = Path(counts), [int(x) for x in np.flatnonzero(counts) if x]
+    left = path.left
+
+    def options() -> Iterator[Repeated | None]:
+        """Of the pieces left now; whenever it is asked again, the same ones must be left."""
+        largest, end = int(np.flatnonzero(left)[-1]), object()
+        every = all_fillings(left, have, capacity - largest)
+        while True:
+            left[largest] -= 1
+            filling = next(every, end)
+            left[largest] += 1
+            if filling is end:
+                return
             if filling is None:
                 yield None
                 continue
-            items = Counter((largest, *filling))
-            times = min(int(left[x]) // m for x, m in items.items())
+            items = tuple(Counter((largest, *filling)).items())
+            times = min(int(left[x]) // m for x, m in items)
             yield items, times
             if times > 1:
                 yield items, 1
 
     if not counts.any():
         return None
-    best, chain, stack = None, [], [(counts, 0, options(counts))]
+    best, stack = None, [(0, options())]
     while stack and nodes > 0 and incumbent > target:
-        left, used, tried = stack[-1]
+        used, tried = stack[-1]
+        path.cut(len(stack) - 1)
         option = next(tried, ())
         if option == ():
             stack.pop()
-            del chain[-1:]
             continue
         nodes -= 1
         if option is None:
             continue
-        items, times = option
-        rest = left.copy()
-        for x, m in items.items():
-            rest[x] -= m * times
-        pattern = (tuple(items.elements()), times)
-        if used + times + lower_bound(rest, capacity) >= incumbent:
+        path.add(option)
+        used += option[1]
+        if used + lower_bound(left, capacity) >= incumbent:
             continue
-        if rest.any():
-            chain.append(pattern)
-            stack.append((rest, used + times, options(rest)))
+        if left.any():
+            stack.append((used, options()))
         else:
-            best, incumbent = [*chain, pattern], used + times
-    return best
+            best, incumbent = list(path.chosen), used
+    return best and written_out(best)
 
 
 def complete(counts: np.ndarray, capacity: int, incumbent: int, target: int, nodes: int, width: int) -> list[Pattern] | None:
@@ -237,16 +267,21 @@ def complete(counts: np.ndarray, capacity: int, incumbent: int, target: int, nod
     fillings in turn, and repeats that sequence as often as its pieces last. A node whose
     sequences so far and lower bound for the rest reach the incumbent is pruned. The
     search ends at ``target``, a proven bound, or after ``nodes`` nodes. If it has tried
-    all that before, the nodes left go to all fillings.
+    all that before, the nodes left go to all fillings. A node waits as its last sequence
+    and its depth; the pieces it leaves are counted when its turn comes.
     """
-    best, stack = None, [(counts.copy(), 0, ())]
+    best, path, stack = None, Path(counts), [(0, 0, None)]
+    left = path.left
     while stack and nodes > 0:
-        left, used, chain = stack.pop()
+        depth, used, pattern = stack.pop()
+        path.cut(depth)
+        if pattern:
+            path.add(pattern)
         nodes -= 1
         have = np.flatnonzero(left)
         if not len(have):
             if used < incumbent:
-                best, incumbent = chain, used
+                best, incumbent = list(path.chosen), used
                 if used <= target:
                     break
             continue
@@ -257,18 +292,11 @@ def complete(counts: np.ndarray, capacity: int, incumbent: int, target: int, nod
         options = fillings(left, capacity - largest, width)
         left[largest] += 1
         for filling in reversed(options):
-            items = Counter((largest, *filling))
-            times = min(int(left[x]) // m for x, m in items.items())
-            rest = left.copy()
-            for x, m in items.items():
-                rest[x] -= m * times
-            stack.append((rest, used + times, ((tuple(items.elements()), times), chain)))
-    out = []
-    while best:
-        head, best = best
-        out.append(head)
+            items = tuple(Counter((largest, *filling)).items())
+            times = min(int(left[x]) // m for x, m in items)
+            stack.append((len(path.chosen), used + times, (items, times)))
     wider = complete_all(counts, capacity, incumbent, target, nodes) if incumbent > target else None
-    return wider or out or None
+    return wider or (written_out(best[::-1]) if best else None)
 
 
 def solve(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, width: int = WIDTH) -> list[Pattern]:

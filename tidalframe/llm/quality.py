@@ -134,9 +134,10 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(total[used, k]) for k in range(DIM)]], ["bucket", *names])
 
     rows = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "bucket long, " + ", ".join(f"{n} long" for n in names))
-    summed = rows.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).toPandas()  # at most BUCKETS rows
-    out = np.zeros((BUCKETS, DIM), np.float64)
-    out[summed["bucket"].to_numpy(np.int64)] = summed[names].to_numpy(np.float64)
+    summed = rows.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).toArrow()  # at most BUCKETS rows
+    out, at = np.zeros((BUCKETS, DIM), np.float64), summed.column("bucket").to_numpy()
+    for k, name in enumerate(names):
+        out[at, k] = summed.column(name).to_numpy()
     norm = np.linalg.norm(out, axis=1, keepdims=True)
     out = np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
     used = norm[:, 0] > 0
@@ -176,8 +177,15 @@ class Network:
     heat: float = 1.0
 
     def logit(self, x: np.ndarray) -> np.ndarray:
+        """Added up input by input, so that a row's logit does not depend on the rows beside it, as a product of matrices does."""
         w1, b1, w2, b2 = self.layers
-        return np.tanh((x - self.mean) / self.scale @ w1 + b1) @ w2 + b2[0]
+        z, hidden = (x - self.mean) / self.scale, np.zeros((len(x), w1.shape[1]))
+        for j, weights in enumerate(w1):
+            hidden += z[:, j, None] * weights
+        hidden, out = np.tanh(hidden + b1), np.zeros(len(x))
+        for j, weight in enumerate(w2):
+            out += hidden[:, j] * weight
+        return out + b2[0]
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return sigmoid(self.logit(x) / self.heat)
@@ -233,8 +241,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, fit
 
     known = written(chosen(labels, "quality", fitted), "labels")
     texts = rows.select("doc_id", "text").join(F.broadcast(known.select("label_id")), F.col("doc_id") == F.col("label_id"), "left_semi")
-    learnt = sample(texts.mapInArrow(pool, "doc_id long, vector array<float>"), known, "vector").orderBy("doc_id").toPandas()
-    net = fit(np.array(learnt["vector"].tolist(), np.float64).reshape(-1, VECTOR), learnt["label"].to_numpy())
+    learnt = sample(texts.mapInArrow(pool, "doc_id long, vector array<float>"), known, "vector").orderBy("doc_id").select("vector", "label").toArrow()
+    net = fit(learnt.column("vector").combine_chunks().flatten().to_numpy().reshape(-1, VECTOR), learnt.column("label").to_numpy())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
