@@ -57,6 +57,24 @@ def test_more_trees_fit_better(rows):
     assert err(8) < err(1)
 
 
+def test_boosting_by_profile_grows_the_trees_of_all_rows(spark):
+    rng = random.Random(8)
+    held = [(rng.choice([0.0, 1.0, 2.5, 4.0]), rng.choice([0.1, 0.2, 0.3]), rng.choice(["a", "b", None])) for _ in range(40)]
+    held = [(x, z, c, 2 * x - 9 * z + (c == "b") + rng.random()) for x, z, c in held * 50]
+    rows = spark.createDataFrame(held, "x double, z double, c string, y double")
+    learner = models.boosted(trees=6, depth=3, learn_rate=0.3)
+    summed = models.profiles(DESIGN, learner, rows, "n").collect()
+    assert len(summed) == len({h[:3] for h in held}) and sum(r["n"] for r in summed) == 2000
+    plain, by = models.fit(DESIGN, learner, rows), models.fit(DESIGN, learner, rows, by_profile=True)
+    both = models.predict(by, models.predict(plain, rows, [*rows.columns]).withColumnRenamed("prediction", "p"), ["p"])
+    assert both.where(F.abs(F.col("p") - F.col("prediction")) > 1e-9).count() == 0
+    for other in (models.boosted("classification"), models.boosted(min_n=2), models.boosted(stop="held"), models.forest("regression")):
+        with pytest.raises(ValueError):
+            models.profiles(DESIGN, other, rows, "n")
+    with pytest.raises(Exception):
+        models.fit(DESIGN, learner, rows.withColumn("y", F.when(F.col("x") > 3, None).otherwise(F.col("y"))), by_profile=True)
+
+
 def test_new_level_is_scored(spark, rows):
     model = models.fit(DESIGN, models.linear(), rows)
     new = spark.createDataFrame([(1, 0.5, 0.5, "unseen")], "k int, x double, z double, c string")

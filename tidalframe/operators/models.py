@@ -161,8 +161,36 @@ def clusters(k: int = 10, steps: int = 20, seed: int = 1) -> Estimator:
 # -- fitting and using ------------------------------------------------------
 
 
-def fit(design: Design, model: Estimator, train: DataFrame) -> PipelineModel:
-    return workflow(design, model).fit(train)
+def fit(design: Design, model: Estimator, train: DataFrame, by_profile: bool = False) -> PipelineModel:
+    """Feature stages and learner, fitted together.
+
+    ``by_profile`` adds up the rows with the same predictors before the learner reads them;
+    see ``profiles``. Feature stages see every row either way.
+    """
+    if not by_profile:
+        return workflow(design, model).fit(train)
+    ready = Pipeline(stages=stages(design)).fit(train)
+    rows = cut_lineage(profiles(design, model, train, "_n"))
+    fitted = aimed(design, model).setWeightCol("_n").fit(ready.transform(rows))
+    return PipelineModel([*ready.stages, fitted])
+
+
+def profiles(design: Design, model: Estimator, train: DataFrame, count: str) -> DataFrame:
+    """One row for all rows with the same predictors: their number as ``count``, the mean of their targets.
+
+    Boosting with squared loss sees rows of a profile only through their number and the sum
+    of their targets, so it grows the same trees; its cut points come from a sample of
+    profiles, by their counts, in place of one of rows. Where every row has a profile of its
+    own, nothing is gained. A learner that draws rows, counts them in a node or has another
+    loss would not give the same and is an error. A null level is one like any other;
+    unknown targets stay apart, for the learner to refuse.
+    """
+    if not isinstance(model, GBTRegressor) or model.getLossType() != "squared" or model.getMinInstancesPerNode() > 1 or model.getSubsamplingRate() < 1 or model.isSet("validationIndicatorCol"):
+        raise ValueError("only boosting with squared loss on all rows, leaves of any size, can be fitted by profile")
+    y = F.col(design.target).cast("double")
+    predictors = dict.fromkeys([*design.numeric, *design.nominal, *design.hashed])
+    sums = train.select(*predictors, y.alias("_y")).groupBy(*predictors, F.col("_y").isNull().alias("_unknown"))
+    return sums.agg(F.count(F.lit(1)).cast("double").alias(count), F.avg("_y").alias(design.target)).drop("_unknown")
 
 
 def fit_in_means(design: Design, model: Estimator, train: DataFrame) -> tuple[PipelineModel, float]:
