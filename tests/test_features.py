@@ -16,7 +16,7 @@ from tidalframe.functions import selectors as sel
 from tidalframe.functions.names import snake_names
 from tidalframe.operators import features, impute, neighbours
 from tidalframe.operators.features import Roles, Steps
-from tidalframe.session import scratch, shared_dir
+from tidalframe.session import FIT_ROWS, cut_lineage, dealt, scratch, shared_dir
 from tidalframe.sources import files
 
 
@@ -243,6 +243,31 @@ def test_neighbours_without_donors_or_rows(spark):
     assert neighbours.impute([some], df.limit(0)).count() == 0 and {r["y"] for r in neighbours.impute([some], df).collect()} == {4.0}
 
 
+def test_one_search_fills_for_several_numbers_of_neighbours(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(k, rng.choice([None, 1.0, 2.0, 5.0, 9.0]), rng.choice("abc"), rng.choice(["u", "v", None])) for k in range(120)]
+    df = spark.createDataFrame(rows, "key long, y double, c string, d string")
+    model = neighbours.fit(df, "key", "y", [], ["c", "d"], 5)
+    alone = {k: {r["key"]: r["f"] for r in neighbours.with_filled(model, df, "f", k).collect()} for k in (3, 5)}
+    asked, plain = [], neighbours.ranked
+    monkeypatch.setattr(neighbours, "ranked", lambda *a: asked.append(a[2]) or plain(*a))
+    got = neighbours.with_several(model, df, {"f3": 3, "f5": 5}).collect()
+    assert asked == [5] and len(got) == 120
+    for r in got:
+        assert r["f3"] == pytest.approx(alone[3][r["key"]]) and r["f5"] == pytest.approx(alone[5][r["key"]])
+    levels = neighbours.with_several(neighbours.fit(df, "key", "d", [], ["c"], 5), df, {"one": 1, "five": 5}).collect()
+    assert all(r["one"] == r["five"] == r["d"] for r in levels if r["d"]) and {r["five"] for r in levels} <= {"u", "v"}
+
+
+def test_tables_of_many_rows_in_few_files_are_dealt_over_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    many, few = (cut_lineage(spark.range(n).coalesce(1)) for n in (cores * FIT_ROWS, FIT_ROWS))
+    assert many.rdd.getNumPartitions() == 1 < cores
+    found = dealt(many)
+    assert found.rdd.getNumPartitions() == cores and found.agg(F.sum("id")).first()[0] == sum(range(cores * FIT_ROWS))
+    assert dealt(few) is few
+
+
 def test_the_number_of_neighbours_is_chosen_in_folds(spark):
     rng = random.Random(4)
     rows = [(k, float(x := rng.randint(0, 30)), float(x % 2 * 100 + rng.gauss(0, 30)), k % 3) for k in range(240)]

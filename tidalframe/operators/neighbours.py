@@ -349,13 +349,25 @@ def filling(kind: T.DataType, scale: int | None) -> Column:
 
 def with_filled(model: Neighbours, df: DataFrame, out: str, k: int | None = None, scale: int | None = None) -> DataFrame:
     """The rows of ``df`` with a column ``out``: the target, or what the neighbours say where it is missing."""
+    return with_several(model, df, {out: k or model.k}, scale)
+
+
+def with_several(model: Neighbours, df: DataFrame, ks: dict[str, int], scale: int | None = None) -> DataFrame:
+    """As ``with_filled``, with a column for each number of neighbours, named by the keys; one search finds them all.
+
+    Of the donors of a profile as many are looked at as the largest number asks for, so a
+    smaller one has the first of them.
+    """
     numeric = isinstance(df.schema[model.target].dataType, T.NumericType)
     wanted = df.where(F.col(model.target).isNull())
-    filled = ranked(model, wanted, k).groupBy("_x").agg((mean("value", scale) if numeric else F.mode("value", True)).alias("_filled"))
+    found = ranked(model, wanted, max(ks.values()))
+    kept = [F.when(F.col("nth") <= k, F.col("value")).alias(f"_k{k}") for k in dict.fromkeys(ks.values())]
+    ways = {k: mean(f"_k{k}", scale) if numeric else F.mode(f"_k{k}", True) for k in ks.values()}
+    filled = found.select("_x", *kept).groupBy("_x").agg(*[w.alias(f"_filled{k}") for k, w in ways.items()])
     rows = by_group(profile(wanted, model.numbers, model.categories, model.means), filled, ["_x"], "left")
     own = F.col(model.target).cast("double") if numeric else F.col(model.target)
-    known = df.where(F.col(model.target).isNotNull()).select(*df.columns, own.alias(out))
-    return known.unionByName(rows.select(*df.columns, F.col("_filled").alias(out)))
+    known = df.where(F.col(model.target).isNotNull()).select(*df.columns, *[own.alias(name) for name in ks])
+    return known.unionByName(rows.select(*df.columns, *[F.col(f"_filled{k}").alias(name) for name, k in ks.items()]))
 
 
 def impute(models: Sequence[Neighbours], df: DataFrame, k: int | None = None, scale: int | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,14 +185,17 @@ def study_recipes(spark: SparkSession, root: str) -> DataFrame:
     colour = F.split("p_name", " ")[0].alias("colour")
     rows = table(spark, root, "part").select("p_partkey", "p_brand", "p_type", colour, "p_retailprice", size.alias("size"))
     folded = cut_lineage(splits.folds(kept(rows), "p_partkey", 3))
-    cats, tables = ("p_brand", "p_type"), {}
-    for i in range(3):
+    cats = ("p_brand", "p_type")
+
+    def filled(i: int) -> DataFrame:
         train = folded.where(F.col("fold") != i)
         model = neighbours.fit(train, "p_partkey", "size", [], [*cats, "colour"], 5)
         full = folded.withColumn("size_mean", F.coalesce("size", train.agg(F.avg("size")).scalar()))
-        for k in (3, 5):
-            full = neighbours.with_filled(model, full, f"size_knn{k}", k)
-        tables[i] = cut_lineage(full.drop("size"))
+        full = neighbours.with_several(model, full, {"size_knn3": 3, "size_knn5": 5})
+        return cut_lineage(full.drop("size"))
+
+    with ThreadPool(3) as pool:
+        tables = dict(enumerate(pool.map(filled, range(3), chunksize=1)))
     designs = {
         "without": Design("p_retailprice", (), cats),
         "mean": Design("p_retailprice", ("size_mean",), cats),
