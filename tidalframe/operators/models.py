@@ -170,7 +170,9 @@ def fit(design: Design, model: Estimator, train: DataFrame, by_profile: bool = F
     if not by_profile:
         return workflow(design, model).fit(train)
     ready = Pipeline(stages=stages(design)).fit(train)
-    rows = cut_lineage(profiles(design, model, train, "_n"))
+    # In order, so that a rerun draws the same profiles for its cut points.
+    summed = profiles(design, model, train, "_n")
+    rows = cut_lineage(summed.sortWithinPartitions(*[c for c in summed.columns if c not in ("_n", design.target)]))
     fitted = aimed(design, model).setWeightCol("_n").fit(ready.transform(rows))
     return PipelineModel([*ready.stages, fitted])
 
