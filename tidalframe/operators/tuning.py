@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 from tidalframe.functions.quantiles import t_quantile
 from tidalframe.operators import models
 from tidalframe.operators.models import Design
-from tidalframe.session import cut_by, cut_lineage, dealt
+from tidalframe.session import cut_by, cut_lineage
 
 Candidate = tuple[str, Design, Estimator]
 
@@ -45,10 +45,9 @@ def out_of_fold(
     ``df`` carries a ``fold`` column; a dict of tables gives each fold a table of its own,
     whose columns were learnt without it. Feature stages are learnt once per design
     and fold and shared by the learners. Fits run a few at a time, each on the
-    whole cluster: tables of fewer partitions than it has cores are dealt anew.
+    whole cluster.
     """
-    one = None if isinstance(df, dict) else dealt(df)
-    table = {i: dealt(df[i]) if one is None else one for i in range(folds)}.__getitem__
+    table = (lambda i: df[i]) if isinstance(df, dict) else (lambda i: df)
     designs = list(dict.fromkeys(design for _, design, _ in candidates))
 
     def prepare(task):

@@ -27,7 +27,7 @@ from tidalframe.plans.features import HORIZON, hier_features
 from tidalframe.plans.inputs import MONTHLY, kept, monthly_panel, transactions
 from tidalframe.plans.learners import FLAG, RFM, SPEND
 from tidalframe.plans.registry import query
-from tidalframe.session import cut_lineage
+from tidalframe.session import cut_lineage, dealt
 from tidalframe.sources.tables import table
 
 SIZES = list(range(1, 13))
@@ -192,7 +192,7 @@ def study_recipes(spark: SparkSession, root: str) -> DataFrame:
         model = neighbours.fit(train, "p_partkey", "size", [], [*cats, "colour"], 5)
         full = folded.withColumn("size_mean", F.coalesce("size", train.agg(F.avg("size")).scalar()))
         full = neighbours.with_several(model, full, {"size_knn3": 3, "size_knn5": 5})
-        return cut_lineage(full.drop("size"))
+        return dealt(cut_lineage(full.drop("size")))
 
     with ThreadPool(3) as pool:
         tables = dict(enumerate(pool.map(filled, range(3), chunksize=1)))
