@@ -89,22 +89,6 @@ def spread(df: DataFrame) -> DataFrame:
     return (df.repartition(cores) if few else df).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-# Rows of a partition below which a fit gains nothing by more partitions.
-FIT_ROWS = 10_000
-
-
-def dealt(df: DataFrame) -> DataFrame:
-    """Rows of a stored table, in as many partitions as the cluster has cores if it has fewer.
-
-    A table of many rows may be a few small files, and a fit then has as few tasks however
-    long it takes for a row. A table of few rows stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    want = min(cores, df.count() // FIT_ROWS) if have < cores else have
-    return cut_lineage(df.repartition(want)) if have < want else df
-
-
 # Rows that one ordered bucket should hold.
 BUCKET_ROWS = 500_000
 
