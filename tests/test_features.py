@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import itertools
 import random
 
@@ -11,6 +12,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as spine
 from tidalframe.functions import dates, text
 from tidalframe.functions import selectors as sel
 from tidalframe.functions.names import snake_names
@@ -265,3 +267,25 @@ def test_the_number_of_neighbours_is_chosen_in_folds(spark):
     df = spark.createDataFrame(rows, "key long, n double, y double, fold int")
     tuned = neighbours.tune(df, "key", "y", ["n"], [], (1, 4, 60), 3)
     assert tuned.count() == 9 and neighbours.best_k(tuned) == 4
+
+
+def order_tables(spark, at, n=90):
+    """Small tables of orders, their lines and customers; one line an order and one more for each third."""
+    rng = random.Random(8)
+    orders = [(k, k % 7, float(rng.randint(100, 900)), dt.datetime(1995, 1, 1) + dt.timedelta(days=rng.randint(0, 700)), rng.choice(["1-URGENT", "5-LOW"])) for k in range(n)]
+    lines = [(k, float(rng.randint(1, 50)), rng.randint(0, 8) / 100) for k in (*range(n), *range(0, n, 3))]
+    people = [(k, f"S{k % 3}", float(rng.randint(-99, 999)), k % 4) for k in range(7)]
+    for name, rows, schema in (
+        ("orders", orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        ("lineitem", lines, "l_orderkey long, l_quantity double, l_tax double"),
+        ("customer", people, "c_custkey long, c_mktsegment string, c_acctbal double, c_nationkey int"),
+    ):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{at}/{name}.parquet")
+    return str(at)
+
+
+def test_folds_hold_every_order_of_a_known_price(spark, tmp_path):
+    root = order_tables(spark, tmp_path)
+    got = spine.queries()["fea_knn_folds"](spark, root).collect()
+    known = [k for k in range(90) if k % 25 != 3]
+    assert {(r["k"], r["fold"]): r["n"] for r in got} == {(k, i): sum(o % 3 == i for o in known) for k in (1, 3, 5, 9) for i in range(3)}
