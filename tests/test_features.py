@@ -7,6 +7,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -289,3 +290,35 @@ def test_folds_hold_every_order_of_a_known_price(spark, tmp_path):
     got = spine.queries()["fea_knn_folds"](spark, root).collect()
     known = [k for k in range(90) if k % 25 != 3]
     assert {(r["k"], r["fold"]): r["n"] for r in got} == {(k, i): sum(o % 3 == i for o in known) for k in (1, 3, 5, 9) for i in range(3)}
+
+
+@pytest.mark.parametrize(("numbers", "levels", "far"), [(5, 1, np.inf), (3, 6, 0.05), (0, 4, np.inf), (2, 0, np.inf), (4, 2, 0.0)])
+def test_rows_of_a_cell_that_are_searched_together(monkeypatch, numbers, levels, far):
+    """The k nearest of each row as brute force finds them, few of them computed in full."""
+    rng = np.random.default_rng(3)
+    parts = [rng.choice([1.0, 2.5, 100.25, -7.125], (3100, 1)) if f == 1 else rng.uniform(-50, 900, (3100, 1)).round(1) for f in range(numbers)]
+    parts += [rng.integers(0, max(1, levels), (3100, 1)) * 1e12 for _ in range(2 if levels else 0)]
+    every = np.concatenate(parts, 1)
+    every[3000:, 0] += 4000.0  # rows outside of the donors' range
+    x, donors = every[2900:], every[:2900]
+    reach = np.ptp(donors[:, :numbers], axis=0)
+    whole = neighbours.distances(x, donors, numbers, reach)
+    met, plain = [], neighbours.paired
+    monkeypatch.setattr(neighbours, "paired", lambda a, *rest: met.append(len(a)) or plain(a, *rest))
+    row, donor, d = neighbours.nearest(x, np.full(200, far), donors, numbers, reach, 5)
+    want = np.argsort(whole, axis=1, kind="stable")[:, :5]
+    near = np.take_along_axis(whole, want, 1)
+    assert row.tolist() == np.nonzero(near <= far)[0].tolist() and donor.tolist() == want[near <= far].tolist() and (d == near[near <= far]).all()
+    assert sum(met) < 0.05 * whole.size or numbers < 3
+
+
+def test_a_frequent_profile_does_not_fill_its_cell(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "RUN_ROWS", 100)
+    rows = [(k, float(k % 11), 1.0 if k % 50 else float(k), "a") for k in range(1000)]
+    df = spark.createDataFrame([*rows, (5000, None, 1.0, "a")], "key long, y double, n double, c string").coalesce(1)
+    model = neighbours.fit(df, "key", "y", ["n"], ["c"], 3)
+    held = sorted(r["_key"] for r in model.donors.collect())
+    assert held[:4] == [0, 1, 2, 3] and set(range(50, 1000, 50)) < set(held) and len(held) <= 20 + 11 * 3
+    assert {r["y"] for r in neighbours.impute([model], df).collect() if r["key"] == 5000} == {2.0}
+    x = np.array([[1.0, 2.0], [3.0, 0.0], [1.0, 2.0], [1.0, 2.0], [3.0, 0.0]])
+    assert neighbours.firsts(x, pa.chunked_array([pa.array([7, 1, None, 3, 2])]), 2).tolist() == [2, 1, 4, 3]

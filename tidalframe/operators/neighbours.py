@@ -3,14 +3,15 @@
 Distance is Gower's: the mean over the predictors of |a - b| / range for a number and of
 0 or 1 for a category. The donors lie in the cells of a tree that is grown on a bounded
 sample of them; a cell's box (smallest and largest number, set of categories) bounds the
-distance of any row from all its donors. A row first looks at the cell nearest to it; its
+distance of any row from all its donors. A row first looks at the cell it would lie in; its
 k-th distance there then says which other cells can still hold a neighbour, and only
-those are looked at. Within a cell the same is done with leaves of a tree of all its
-donors, so that a row meets few donors however many a cell holds. So neighbours are exact,
-whatever the trees.
+those are looked at. Within a cell the same is done with runs of donors that are near one
+another, so that a row meets few donors however many a cell holds. So neighbours are exact,
+whatever the cells and runs.
 
 Rows of one profile are looked up once, and of the donors of one profile only the k with
-the smallest keys can be chosen and are kept.
+the smallest keys can be chosen: the others are dropped from each run of rows that a task
+reads, so that a frequent profile does not fill its cell, and again in the search.
 """
 
 from __future__ import annotations
@@ -20,26 +21,28 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidalframe.functions.exact import mean
-from tidalframe.operators.joins import by_group
-from tidalframe.operators.ordered import top_rows
 from tidalframe.session import cut_lineage
 
 # Donors the tree is grown on at most, and cells of it at most; donors a cell should hold.
-SAMPLE, CELLS, CELL_ROWS = 50_000, 1024, 256
+SAMPLE, CELLS, CELL_ROWS = 50_000, 1024, 2048
 # Donors of a leaf of a cell's own tree, about.
 LEAF_ROWS = 64
+# Rows that are searched together in a cell.
+GROUP_ROWS = 32
 # Rows whose distances from a cell's donors are computed at once.
 BLOCK = 2_000_000
 # Rows of one cell that are searched in one task.
 PART_ROWS = 50_000
+# Donors among which a task looks for rows of one profile.
+RUN_ROWS = 100_000
 SLACK = 1e-9
 
 
@@ -113,62 +116,124 @@ def grown(x: np.ndarray, n_numbers: int, reach: np.ndarray, cells: int) -> Tree:
     return tree
 
 
-def boxed(x: np.ndarray, n_numbers: int, order: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(smallest numbers, largest numbers, bits of the codes) of each run of the rows in that order; see ``bounds``."""
-    held = x[order]
-    bits = np.uint64(1) << (held[:, n_numbers:].astype(np.int64) % 64).astype(np.uint64)
-    numbers = held[:, :n_numbers]
-    return np.minimum.reduceat(numbers, starts), np.maximum.reduceat(numbers, starts), np.bitwise_or.reduceat(bits, starts)
+def halved(x: np.ndarray, n_numbers: int, size: int) -> np.ndarray:
+    """Runs of about ``size`` rows that are near one another (runs x rows), by halving along the widest column.
+
+    What is missing to full runs is filled with numbers from ``len(x)`` on, which are rows 0, 1, ... again.
+    """
+    levels = max(0, int(np.ceil(np.log2(max(1, len(x)) / size))))
+    runs = 2**levels
+    order = np.arange(runs * -(-len(x) // runs))
+    held = x[order % len(x)]
+    for level in range(levels):
+        nodes = order.reshape(2**level, -1)
+        v = held[nodes]
+        spread = v.max(1) - v.min(1)
+        spread[:, n_numbers:] = 2 * (spread[:, n_numbers:] > 0)
+        by = np.take_along_axis(v, spread.argmax(1)[:, None, None], 2)[:, :, 0]
+        order = np.take_along_axis(nodes, np.argpartition(by, nodes.shape[1] // 2, axis=1), 1).ravel()
+    return order.reshape(runs, -1)
 
 
 def nearest(x: np.ndarray, far: np.ndarray, donors: np.ndarray, n_numbers: int, reach: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, donor, distance): for each row the k nearest donors, the earlier first at one distance, none beyond ``far``.
 
-    A row first meets the leaf that may hold the nearest donor, then each leaf that may
-    hold one within its k-th distance so far. Where a number is NaN, all are compared.
+    Rows that are near one another go together: they meet the runs of donors in order of
+    their least distance until the next run is farther than the k-th donor of each. Single
+    precision says which donors may be among the k; their distances are then computed in
+    full. Where a number is not finite, all are compared.
     """
     asked = [f for f in range(n_numbers) if reach[f] > 0]
-    if np.isnan(x[:, asked]).any() or np.isnan(donors[:, asked]).any():
+    if not (np.isfinite(x[:, asked]).all() and np.isfinite(donors[:, asked]).all() and np.isfinite(reach[asked]).all()):
         rows, step = [], max(1, BLOCK // len(donors))
         for at in range(0, len(x), step):
             d = distances(x[at : at + step], donors, n_numbers, reach)
             own = np.argsort(d, axis=1, kind="stable")[:, :k]
             rows.append((at + np.repeat(np.arange(len(d)), own.shape[1]), own.ravel(), np.take_along_axis(d, own, 1).ravel()))
         return tuple(np.concatenate(c) for c in zip(*rows, strict=True))
-    tree = grown(donors, n_numbers, reach, max(1, len(donors) // LEAF_ROWS))
-    leaf = tree.place(donors)
-    order = np.argsort(leaf, kind="stable")
-    starts = np.flatnonzero(np.concatenate([[True], np.diff(leaf[order]) > 0]))
-    ends = np.append(starts[1:], len(order))
-    box = boxed(donors, n_numbers, order, starts)
-    best, who = np.full((len(x), k), np.inf), np.full((len(x), k), len(donors), np.int64)
-    least = bounds(x, *box, reach)
-
-    def meet(rows: np.ndarray, n: int) -> None:
-        own = order[starts[n] : ends[n]]
-        for at in range(0, len(rows), max(1, BLOCK // len(own))):
-            part = rows[at : at + max(1, BLOCK // len(own))]
-            d = distances(x[part], donors[own], n_numbers, reach)
-            hit = (d <= np.minimum(best[part, -1], far[part])[:, None]).any(1)
-            part, d = part[hit], d[hit]
-            if not len(part):
-                continue
-            every = np.concatenate([best[part], np.where(d <= far[part, None], d, np.inf)], 1)
-            names = np.concatenate([who[part], np.where(d <= far[part, None], own, len(donors))], 1)
-            chosen = np.lexsort((names, every))[:, :k]
-            best[part], who[part] = np.take_along_axis(every, chosen, 1), np.take_along_axis(names, chosen, 1)
-
-    first = least.argmin(1)
-    turn = np.argsort(first, kind="stable")
-    for rows in np.split(turn, np.flatnonzero(np.diff(first[turn])) + 1):
-        meet(rows, first[rows[0]])
-    least[np.arange(len(x)), first] = np.inf
-    for n in range(len(starts)):
-        rows = np.flatnonzero((least[:, n] <= np.minimum(best[:, -1], far) + SLACK) & (least[:, n] < np.inf))
-        if len(rows):
-            meet(rows, n)
-    row, place = np.nonzero(who < len(donors))
-    return row, who[row, place], best[row, place]
+    width, m = x.shape[1], len(asked)
+    # Numbers as shares of their ranges, then each category's levels numbered.
+    both = np.concatenate([donors, x])
+    columns = [(both[:, f] - donors[:, f].min()) / reach[f] for f in asked]
+    slack = 2.0**-20 * width**2 * max([1.0, *(float(np.abs(c).max()) for c in columns)])
+    columns += [np.unique(both[:, f], return_inverse=True)[1] for f in range(n_numbers, width)]
+    scaled = np.stack(columns, 1).astype(np.float32) if columns else np.zeros((len(both), 0), np.float32)
+    if not columns or not len(x):
+        scaled, m = np.zeros((len(both), 1), np.float32), 1
+    given, own = scaled[: len(donors)], scaled[len(donors) :]
+    runs = halved(given, m, LEAF_ROWS)
+    lanes = np.ascontiguousarray(given[runs % len(donors)].transpose(2, 0, 1))
+    low, high = lanes.min(2), lanes.max(2)
+    groups = halved(own, m, GROUP_ROWS) if len(x) else np.zeros((0, 1), np.int64)
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for group in groups:
+        rows = group[group < len(x)]
+        if not len(rows):
+            continue
+        q = own[rows]
+        q_low, q_high = q.min(0)[:, None], q.max(0)[:, None]
+        apart = np.maximum(low - q_high, q_low - high)
+        least = np.maximum(apart[:m], 0).sum(0, dtype=np.float64) + (apart[m:] > 0).sum(0)
+        turn = np.argsort(least, kind="stable")
+        least = least[turn]
+        limit = far[rows] * width + slack
+        best = np.full((len(rows), k), np.inf, np.float32)
+        found, at, take = [], 0, 2 + k // LEAF_ROWS
+        while at < len(turn):
+            stop = min(at + take, int(np.searchsorted(least, limit.max() + slack, side="right")), at + max(1, BLOCK // (len(rows) * runs.shape[1])))
+            if stop <= at:
+                break
+            chosen = turn[at:stop]
+            names = runs[chosen].ravel()
+            d = screened(q, lanes[:, chosen].reshape(len(lanes), -1), m)
+            d[:, names >= len(donors)] = np.inf
+            best = np.partition(np.concatenate([best, d], 1), k - 1, axis=1)[:, :k]
+            limit = np.minimum(limit, best.max(1).astype(float) + 2 * slack)
+            row, column = np.nonzero(d <= limit[:, None])
+            found.append((row, names[column], d[row, column]))
+            at, take = stop, 2 * take
+        if not found:
+            continue
+        row, donor, d = (np.concatenate(c) for c in zip(*found, strict=True))
+        left = d <= limit[row]
+        row, donor = row[left], donor[left]
+        exact = paired(x[rows[row]], donors[donor], n_numbers, reach)
+        row, donor, exact = (c[exact <= far[rows[row]]] for c in (row, donor, exact))
+        turn = np.lexsort((donor, exact, row))
+        row, donor, exact = row[turn], donor[turn], exact[turn]
+        first = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
+        out.append((rows[row[first]], donor[first], exact[first]))
+    row, donor, d = (np.concatenate(c) for c in zip(*out, strict=True))
+    turn = np.argsort(row, kind="stable")
+    return row[turn], donor[turn], d[turn]
+
+
+def screened(q: np.ndarray, lanes: np.ndarray, m: int) -> np.ndarray:
+    """Sums of the distances of rows and donors in single precision; ``lanes`` has a line for each predictor, numbers first."""
+    total = np.zeros((len(q), lanes.shape[1]), np.float32)
+    one = np.empty_like(total)
+    for f in range(len(lanes)):
+        if f < m:
+            np.subtract(q[:, f, None], lanes[None, f], out=one)
+            np.abs(one, out=one)
+            total += one
+        elif (q[:, f] == q[0, f]).all():
+            total += lanes[None, f] != q[0, f]
+        else:
+            total += lanes[None, f] != q[:, f, None]
+    return total
+
+
+def paired(x: np.ndarray, donors: np.ndarray, n_numbers: int, reach: np.ndarray) -> np.ndarray:
+    """As ``distances``, of each row and the donor beside it."""
+    total = np.zeros(len(x))
+    for f in range(x.shape[1]):
+        if f < n_numbers:
+            if reach[f] > 0:
+                total += np.abs(x[:, f] - donors[:, f]) / reach[f]
+        else:
+            total += x[:, f] != donors[:, f]
+    return total / x.shape[1]
 
 
 def bounds(x: np.ndarray, low: np.ndarray, high: np.ndarray, seen: np.ndarray, reach: np.ndarray) -> np.ndarray:
@@ -223,11 +288,11 @@ class Neighbours:
 def profile(df: DataFrame, numbers: Sequence[str], categories: Sequence[str], means: Sequence[float]) -> DataFrame:
     """Adds ``_x``: numbers (a missing one counts as the mean) and codes of the categories (a missing one is a level).
 
-    A code is a hash of 52 bits, so that a double holds it.
+    A code is a hash of 52 bits, so that a double holds it. ``_h`` is a hash of the whole, quick to sort by.
     """
     values = [F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in zip(numbers, means, strict=True)]
     code = lambda c: F.shiftrightunsigned(F.xxhash64(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))), 12)
-    return df.withColumn("_x", F.array(*values, *[code(c).cast("double") for c in categories]))
+    return df.withColumn("_x", F.array(*values, *[code(c).cast("double") for c in categories])).withColumn("_h", F.xxhash64("_x"))
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
@@ -235,6 +300,37 @@ def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return held.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Tables of at least so many rows, the last one apart."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def firsts(x: np.ndarray, keys: pa.ChunkedArray, k: int) -> np.ndarray:
+    """The rows in the order of their keys, without those that k rows of the same profile precede.
+
+    Rows of two profiles with one hash may all be left.
+    """
+    turn = pc.sort_indices(pa.table({"key": keys}), sort_keys=[("key", "ascending")], null_placement="at_start").to_numpy()
+    bits = np.ascontiguousarray(x[turn]).view(np.uint64).reshape(x.shape)
+    mixed = np.zeros(len(x), np.uint64)
+    for f in range(x.shape[1]):
+        mixed = (mixed ^ bits[:, f] ^ (bits[:, f] >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+    order = np.argsort(mixed, kind="stable")
+    new = np.ones(len(x), bool)
+    new[1:] = (bits[order[1:]] != bits[order[:-1]]).any(1)
+    at = np.arange(len(x))
+    return turn[np.sort(order[at - np.maximum.accumulate(np.where(new, at, 0)) < k])]
+
+
 def fit(train: DataFrame, key: str, target: str, numbers: Sequence[str], categories: Sequence[str], k: int = 5, cells: int = CELLS, sample: int = SAMPLE) -> Neighbours:
     """Donors are the training rows that know the target; keys tell donors at one distance apart, the smaller first.
 
@@ -243,21 +339,23 @@ def fit(train: DataFrame, key: str, target: str, numbers: Sequence[str], categor
     """
     numbers, categories = tuple(c for c in numbers if c != target), tuple(c for c in categories if c != target)
     width = len(numbers) + len(categories)
-    facts = train.agg(*[F.avg(F.col(c).cast("double")) for c in numbers], *[(F.max(c) - F.min(c)).cast("double") for c in numbers], F.lit(0)).first()
+    whole = F.when(F.col(target).isNotNull(), F.xxhash64(F.lit(0), *numbers, *categories))
+    facts = train.agg(*[F.avg(F.col(c).cast("double")) for c in numbers], *[(F.max(c) - F.min(c)).cast("double") for c in numbers], F.approx_count_distinct(whole)).first()
     means = tuple(float(v or 0.0) for v in facts[: len(numbers)])
     reach = tuple(float(v or 0.0) for v in facts[len(numbers) : 2 * len(numbers)])
-    known = profile(train.where(F.col(target).isNotNull()), numbers, categories, means)
-    donors = cut_lineage(top_rows(known.select(F.col(key).alias("_key"), F.col(target).alias("_value"), "_x"), ["_x"], [F.col("_key")], k))
-    n = donors.count()
-    drawn = donors.where(F.pmod(F.xxhash64("_x"), F.lit(1_000_000)) < F.lit(int(1_000_000 * min(1.0, sample / max(n, 1))) + 1)).select("_x").limit(2 * sample).toArrow()
+    donors = profile(train.where(F.col(target).isNotNull()), numbers, categories, means).select(F.col(key).alias("_key"), F.col(target).alias("_value"), "_x")
+    n = facts[-1]  # profiles, about
+    drawn = donors.where(F.pmod(F.xxhash64("_x"), F.lit(1_000_000)) < F.lit(int(1_000_000 * min(1.0, sample / max(n, 1))) + 1)).select("_x").distinct().limit(2 * sample).toArrow()
     x = matrix(drawn.column("_x"), width) if drawn.num_rows else np.zeros((0, width))
     tree = grown(x, len(numbers), np.array(reach), max(1, min(cells, n // CELL_ROWS))) if len(x) else grown(np.zeros((1, width)), len(numbers), np.array(reach), 1)
     n_numbers = len(numbers)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cell = tree.place(matrix(batch.column("_x"), width))
-            yield batch.append_column("_cell", pa.array(cell.astype(np.int32)))
+        for run in gathered(batches, RUN_ROWS):
+            x = matrix(run.column("_x"), width)
+            left = firsts(x, run.column("_key"), k)
+            cell = tree.place(x[left])
+            yield from run.take(pa.array(left)).append_column("_cell", pa.array(cell.astype(np.int32))).to_batches(max_chunksize=10_000)
 
     placed = cut_lineage(donors.mapInArrow(place, T.StructType([*donors.schema.fields, T.StructField("_cell", T.IntegerType())])))
     at = lambda f: F.col("_x")[f]
@@ -273,71 +371,88 @@ def fit(train: DataFrame, key: str, target: str, numbers: Sequence[str], categor
     return Neighbours(target, key, numbers, categories, k, placed, means, reach, tree, (names, *boxes))
 
 
-def ranked(model: Neighbours, df: DataFrame, k: int | None = None) -> DataFrame:
-    """(_x, nth, value): the k nearest donors' values, nearest first, of each distinct profile of ``df``."""
-    k, width, n_numbers, reach = k or model.k, model.width, len(model.numbers), np.array(model.reach)
+def open_cells(x: np.ndarray, far: np.ndarray, low: np.ndarray, high: np.ndarray, seen: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cell): the cells that may hold a donor within ``far`` of each row.
+
+    Cells too far from the box of all the rows are left out first.
+    """
+    n_numbers, asked = low.shape[1], reach > 0
+    bits = np.bitwise_or.reduce(np.uint64(1) << (x[:, n_numbers:].astype(np.int64) % 64).astype(np.uint64), axis=0)
+    apart = np.maximum(0, np.maximum(low - x[:, :n_numbers].max(0), x[:, :n_numbers].min(0) - high))[:, asked] / reach[asked]
+    least = (apart.sum(1) + ((seen & bits) == 0).sum(1)) / x.shape[1]
+    cells = np.flatnonzero(~(least > far.max() + SLACK))
+    rows, step = [], max(1, BLOCK // max(1, len(cells)))
+    for at in range(0, len(x), step):
+        part = bounds(x[at : at + step], low[cells], high[cells], seen[cells], reach) <= far[at : at + step, None] + SLACK
+        row, cell = np.nonzero(part)
+        rows.append((at + row, cells[cell]))
+    return tuple(np.concatenate(c) for c in zip(*rows, strict=True))
+
+
+def ranked(model: Neighbours, df: DataFrame, k: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(_id, nth, value): the k nearest donors' values, nearest first, of each distinct profile of ``df``; (_id, _h, _x): the profiles."""
+    k, width, n_numbers, reach, tree = k or model.k, model.width, len(model.numbers), np.array(model.reach), model.tree
     names, low, high, seen = model.boxes
-    asked = cut_lineage(profile(df, model.numbers, model.categories, model.means).select("_x").distinct().withColumn("_far", F.lit(None).cast("double")))
+    asked = profile(df, model.numbers, model.categories, model.means).select("_h", "_x").distinct().withColumn("_id", F.monotonically_increasing_id())
+    value = model.donors.schema["_value"]
     if not len(names):
-        return asked.select("_x", F.lit(0).alias("nth"), F.lit(None).cast(model.donors.schema["_value"].dataType).alias("value")).limit(0)
-
-    def routed(first: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                step = max(1, BLOCK // max(1, len(names) * width))
-                for at in range(0, batch.num_rows, step):
-                    part = batch.slice(at, step)
-                    least = bounds(matrix(part.column("_x"), width), low, high, seen, reach)
-                    nearest = least.argmin(1)
-                    if first:
-                        rows, cells = np.arange(part.num_rows), nearest
-                    else:
-                        far = pd.Series(part.column("_far").to_numpy(zero_copy_only=False)).fillna(np.inf).to_numpy(float)
-                        open_ = least <= far[:, None] + SLACK
-                        open_[np.arange(part.num_rows), nearest] = False
-                        rows, cells = np.nonzero(open_)
-                    taken = part.select(["_x", "_far"]).take(pa.array(rows))
-                    yield taken.append_column("_cell", pa.array(names[cells].astype(np.int32)))
-
-        return run
+        asked = cut_lineage(asked)
+        return asked.select("_id", F.lit(0).alias("nth"), F.lit(None).cast(value.dataType).alias("value")).limit(0), asked
 
-    value = model.donors.schema["_value"]
-    found_schema = T.StructType([asked.schema["_x"], T.StructField("_distance", T.DoubleType()), model.donors.schema["_key"], value])
-    routed_schema = T.StructType([*asked.schema.fields, T.StructField("_cell", T.IntegerType())])
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell = tree.place(matrix(batch.column("_x"), width))
+            yield batch.append_column("_cell", pa.array(np.where(np.isin(cell, names), cell, names[0]).astype(np.int32)))
+
+    asked = cut_lineage(asked.mapInArrow(place, T.StructType([*asked.schema.fields, T.StructField("_cell", T.IntegerType())])))
+    nullable = lambda name, kind: T.StructField(name, kind, True)
+    found_schema = T.StructType(
+        [nullable("_id", T.LongType()), nullable("_x", T.ArrayType(T.DoubleType())), nullable("_cell", T.IntegerType()), nullable("_far", T.DoubleType()), nullable("_distance", T.DoubleType())]
+        + [nullable("_key", model.donors.schema["_key"].dataType), nullable("_value", value.dataType)]
+    )
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        donors = right.sort_by("_key")
-        x = matrix(donors.column("_x"), width)
-        rows, far, chosen = [], [], []
-        step = max(1, BLOCK // max(1, len(x) // LEAF_ROWS))
-        for at in range(0, left.num_rows if len(x) else 0, step):
-            part = left.slice(at, step)
-            within = pd.Series(part.column("_far").to_numpy()).fillna(np.inf).to_numpy(float)
-            # Donors are sorted by key: the earlier of two at one distance has the smaller key.
-            row, donor, d = nearest(matrix(part.column("_x"), width), within, x, n_numbers, reach, k)
-            rows.append(at + row)
-            chosen.append(donor)
-            far.append(d)
-        if not rows:
-            return pa.Table.from_arrays([left.column("_x").slice(0, 0), pa.array([], pa.float64()), donors.column("_key").slice(0, 0), donors.column("_value").slice(0, 0)], names=found_schema.names)
-        taken = donors.select(["_key", "_value"]).take(pa.array(np.concatenate(chosen)))
-        return pa.Table.from_arrays([left.column("_x").take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(far)), taken.column("_key"), taken.column("_value")], names=found_schema.names)
+        """Neighbours in this cell and, where no limit was given, the other cells to look at with the limit from this one."""
+        own = matrix(right.column("_x"), width)
+        order = firsts(own, right.column("_key"), k)
+        donors, own = right.select(["_key", "_value"]).take(pa.array(order)), own[order]
+        ids, cells = left.column("_id").to_numpy(), left.column("_cell").to_numpy()
+        x, given = matrix(left.column("_x"), width), left.column("_far").to_numpy() if "_far" in left.column_names else None
+        kinds = {"_x": pa.list_(pa.float64()), "_cell": pa.int32(), "_far": pa.float64(), "_distance": pa.float64(), "_key": donors.schema.field("_key").type, "_value": donors.schema.field("_value").type}
+
+        def made(n: int, **columns) -> pa.Table:
+            return pa.table({c: columns.get(c, pa.nulls(n, kinds.get(c))) for c in found_schema.names})
+
+        if not len(own) or not len(x):
+            return made(0, _id=pa.array([], pa.int64()))
+        # Donors are in the order of their keys: the earlier of two at one distance has the smaller key.
+        row, donor, d = nearest(x, np.full(len(x), np.inf) if given is None else given, own, n_numbers, reach, k)
+        taken = donors.take(pa.array(donor))
+        out = [made(len(row), _id=pa.array(ids[row]), _distance=pa.array(d), _key=taken.column("_key").combine_chunks(), _value=taken.column("_value").combine_chunks())]
+        if given is None:
+            far = np.full(len(x), -np.inf)
+            np.maximum.at(far, row, d)
+            far[np.bincount(row, minlength=len(x)) < k] = np.inf
+            row, cell = open_cells(x, far, low, high, seen, reach)
+            other = names[cell] != cells[row]
+            row, cell = row[other], names[cell[other]].astype(np.int32)
+            out.append(made(len(row), _id=pa.array(ids[row]), _x=left.column("_x").combine_chunks().take(pa.array(row)).cast(kinds["_x"]), _cell=pa.array(cell), _far=pa.array(far[row])))
+        return pa.concat_tables(out)
 
     def met(rows: DataFrame) -> DataFrame:
         """Rows and donors of each cell, the rows of a cell in parts that fit a task."""
-        rows = cut_lineage(rows)
         parts = rows.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("_parts"))
         parts = F.broadcast(cut_lineage(parts))  # at most one row a cell
-        own = rows.join(parts, "_cell").withColumn("_part", F.pmod(F.xxhash64("_x"), F.col("_parts")).cast("int")).drop("_parts")
+        own = rows.join(parts, "_cell").withColumn("_part", F.pmod(F.xxhash64("_id"), F.col("_parts")).cast("int")).drop("_parts")
         given = model.donors.join(parts, "_cell").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
         return own.groupBy("_cell", "_part").cogroup(given.groupBy("_cell", "_part")).applyInArrow(search, found_schema)
 
-    near = cut_lineage(met(asked.mapInArrow(routed(True), routed_schema)))
-    reached = near.groupBy("_x").agg(F.when(F.count(F.lit(1)) >= k, F.max("_distance")).alias("_far"))
-    more = met(reached.mapInArrow(routed(False), routed_schema))
-    order = Window.partitionBy("_x").orderBy("_distance", "_key")
-    nth = near.unionByName(more).withColumn("nth", F.row_number().over(order))
-    return nth.where(F.col("nth") <= k).select("_x", "nth", F.col("_value").alias("value"))
+    once = cut_lineage(met(asked.drop("_h")))
+    more = met(once.where(F.col("_cell").isNotNull()).select("_id", "_x", "_cell", "_far"))
+    near = once.where(F.col("_cell").isNull()).unionByName(more).select("_id", "_distance", "_key", "_value")
+    order = Window.partitionBy("_id").orderBy("_distance", "_key")
+    nth = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k)
+    return nth.select("_id", "nth", F.col("_value").alias("value")), asked.select("_id", "_h", "_x")
 
 
 def filling(kind: T.DataType, scale: int | None) -> Column:
@@ -360,11 +475,11 @@ def with_several(model: Neighbours, df: DataFrame, ks: dict[str, int], scale: in
     """
     numeric = isinstance(df.schema[model.target].dataType, T.NumericType)
     wanted = df.where(F.col(model.target).isNull())
-    found = ranked(model, wanted, max(ks.values()))
+    found, asked = ranked(model, wanted, max(ks.values()))
     kept = [F.when(F.col("nth") <= k, F.col("value")).alias(f"_k{k}") for k in dict.fromkeys(ks.values())]
     ways = {k: mean(f"_k{k}", scale) if numeric else F.mode(f"_k{k}", True) for k in ks.values()}
-    filled = found.select("_x", *kept).groupBy("_x").agg(*[w.alias(f"_filled{k}") for k, w in ways.items()])
-    rows = by_group(profile(wanted, model.numbers, model.categories, model.means), filled, ["_x"], "left")
+    filled = found.select("_id", *kept).groupBy("_id").agg(*[w.alias(f"_filled{k}") for k, w in ways.items()])
+    rows = profile(wanted, model.numbers, model.categories, model.means).join(asked.join(filled, "_id"), ["_h", "_x"], "left")
     own = F.col(model.target).cast("double") if numeric else F.col(model.target)
     known = df.where(F.col(model.target).isNotNull()).select(*df.columns, *[own.alias(name) for name in ks])
     return known.unionByName(rows.select(*df.columns, *[F.col(f"_filled{k}").alias(name) for name, k in ks.items()]))
@@ -392,9 +507,9 @@ def tune(train: DataFrame, key: str, target: str, numbers: Sequence[str], catego
     for i in range(folds):
         model = fit(train.where(F.col("fold") != i), key, target, numbers, categories, most)
         held = train.where((F.col("fold") == i) & F.col(target).isNotNull())
-        near = ranked(model, held, most)
+        near, asked = ranked(model, held, most)
         sums = [F.avg(F.when(F.col("nth") <= k, F.col("value").cast("double"))).alias(f"_k{k}") for k in ks]
-        guessed = by_group(profile(held, model.numbers, model.categories, model.means), near.groupBy("_x").agg(*sums), ["_x"])
+        guessed = profile(held, model.numbers, model.categories, model.means).join(asked.join(near.groupBy("_id").agg(*sums), "_id"), ["_h", "_x"])
         long = guessed.select(F.col(target).cast("double").alias("_t"), F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_k{k}").alias("_e")) for k in ks])))
         scored = long.groupBy("k").agg(F.count("_e").alias("n"), F.sqrt(F.avg((F.col("_t") - F.col("_e")) ** 2)).alias("rmse"))
         part = scored.select("k", F.lit(i).alias("fold"), "n", "rmse")
