@@ -291,7 +291,7 @@ def profile(df: DataFrame, numbers: Sequence[str], categories: Sequence[str], me
     A code is a hash of 52 bits, so that a double holds it. ``_h`` is a hash of the whole, quick to sort by.
     """
     values = [F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in zip(numbers, means, strict=True)]
-    code = lambda c: F.shiftrightunsigned(F.xxhash64(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))), 12)
+    code = lambda c: F.shiftrightunsigned(F.xxhash64(F.col(c).cast("string"), F.col(c).isNull()), 12)
     return df.withColumn("_x", F.array(*values, *[code(c).cast("double") for c in categories])).withColumn("_h", F.xxhash64("_x"))
 
 
@@ -339,13 +339,14 @@ def fit(train: DataFrame, key: str, target: str, numbers: Sequence[str], categor
     """
     numbers, categories = tuple(c for c in numbers if c != target), tuple(c for c in categories if c != target)
     width = len(numbers) + len(categories)
-    whole = F.when(F.col(target).isNotNull(), F.xxhash64(F.lit(0), *numbers, *categories))
-    facts = train.agg(*[F.avg(F.col(c).cast("double")) for c in numbers], *[(F.max(c) - F.min(c)).cast("double") for c in numbers], F.approx_count_distinct(whole)).first()
+    known, whole = F.col(target).isNotNull(), F.xxhash64(F.lit(0), *numbers, *categories)
+    facts = train.agg(*[F.avg(F.col(c).cast("double")) for c in numbers], *[(F.max(c) - F.min(c)).cast("double") for c in numbers], F.approx_count_distinct(F.when(known, whole))).first()
     means = tuple(float(v or 0.0) for v in facts[: len(numbers)])
     reach = tuple(float(v or 0.0) for v in facts[len(numbers) : 2 * len(numbers)])
-    donors = profile(train.where(F.col(target).isNotNull()), numbers, categories, means).select(F.col(key).alias("_key"), F.col(target).alias("_value"), "_x")
+    donors = profile(train.where(known), numbers, categories, means).select(F.col(key).alias("_key"), F.col(target).alias("_value"), "_x")
     n = facts[-1]  # profiles, about
-    drawn = donors.where(F.pmod(F.xxhash64("_x"), F.lit(1_000_000)) < F.lit(int(1_000_000 * min(1.0, sample / max(n, 1))) + 1)).select("_x").distinct().limit(2 * sample).toArrow()
+    some = train.where(known & (F.pmod(whole, F.lit(1_000_000)) < F.lit(int(1_000_000 * min(1.0, sample / max(n, 1))) + 1)))
+    drawn = profile(some, numbers, categories, means).select("_x").distinct().limit(2 * sample).toArrow()
     x = matrix(drawn.column("_x"), width) if drawn.num_rows else np.zeros((0, width))
     tree = grown(x, len(numbers), np.array(reach), max(1, min(cells, n // CELL_ROWS))) if len(x) else grown(np.zeros((1, width)), len(numbers), np.array(reach), 1)
     n_numbers = len(numbers)
