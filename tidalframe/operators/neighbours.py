@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidalframe.functions.exact import mean
+from tidalframe.operators.joins import by_group
 from tidalframe.session import cut_lineage
 
 # Donors the tree is grown on at most, and cells of it at most; donors a cell should hold.
@@ -291,7 +292,7 @@ def profile(df: DataFrame, numbers: Sequence[str], categories: Sequence[str], me
     A code is a hash of 52 bits, so that a double holds it. ``_h`` is a hash of the whole, quick to sort by.
     """
     values = [F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in zip(numbers, means, strict=True)]
-    code = lambda c: F.shiftrightunsigned(F.xxhash64(F.col(c).cast("string"), F.col(c).isNull()), 12)
+    code = lambda c: F.shiftrightunsigned(F.xxhash64(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))), 12)
     return df.withColumn("_x", F.array(*values, *[code(c).cast("double") for c in categories])).withColumn("_h", F.xxhash64("_x"))
 
 
@@ -479,8 +480,8 @@ def with_several(model: Neighbours, df: DataFrame, ks: dict[str, int], scale: in
     found, asked = ranked(model, wanted, max(ks.values()))
     kept = [F.when(F.col("nth") <= k, F.col("value")).alias(f"_k{k}") for k in dict.fromkeys(ks.values())]
     ways = {k: mean(f"_k{k}", scale) if numeric else F.mode(f"_k{k}", True) for k in ks.values()}
-    filled = found.select("_id", *kept).groupBy("_id").agg(*[w.alias(f"_filled{k}") for k, w in ways.items()])
-    rows = profile(wanted, model.numbers, model.categories, model.means).join(asked.join(filled, "_id"), ["_h", "_x"], "left")
+    filled = asked.select("_id", "_x").join(found.select("_id", *kept).groupBy("_id").agg(*[w.alias(f"_filled{k}") for k, w in ways.items()]), "_id").drop("_id")
+    rows = by_group(profile(wanted, model.numbers, model.categories, model.means), filled, ["_x"], "left")
     own = F.col(model.target).cast("double") if numeric else F.col(model.target)
     known = df.where(F.col(model.target).isNotNull()).select(*df.columns, *[own.alias(name) for name in ks])
     return known.unionByName(rows.select(*df.columns, *[F.col(f"_filled{k}").alias(name) for name, k in ks.items()]))
